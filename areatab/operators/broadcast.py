@@ -5,6 +5,10 @@ geography or by the questionnaire, not by the number of people. Still, we do
 not trust that: a bounded scan (``limit(n + 1).count()``) proves the bound
 before the hint is added. Anything larger joins by shuffle, and AQE may still
 switch it to a broadcast at run time from measured shuffle sizes.
+
+The check result is remembered per application and per semantically equal
+plan (``DataFrame.semanticHash``), so a dimension used by several branches of
+one job is counted once.
 """
 
 from __future__ import annotations
@@ -15,11 +19,22 @@ from pyspark.sql import functions as F
 # Rows we are willing to ship to every executor for a lookup table.
 DEFAULT_MAX_ROWS = 2_000_000
 
+_checked: dict[tuple[str, int, int], bool] = {}
+
+
+def fits(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
+    """True if ``df`` has at most ``max_rows`` rows (reads at most ``max_rows + 1``)."""
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    ok = _checked.get(key)
+    if ok is None:
+        ok = df.limit(max_rows + 1).count() <= max_rows
+        _checked[key] = ok
+    return ok
+
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
     """Return ``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if fits(df, max_rows) else df
 
 
 def literal_broadcast(df: DataFrame) -> DataFrame:

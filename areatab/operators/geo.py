@@ -138,8 +138,7 @@ def parse_wkb(buf: bytes | None) -> dict | None:
 
 
 @F.pandas_udf(GEOM_TYPE)
-def decode_wkb(col: pd.Series) -> pd.DataFrame:
-    """WKB binary column -> struct(kind, rings: array<array<struct<x,y>>>)."""
+def _decode_wkb(col: pd.Series) -> pd.DataFrame:
     parsed = [parse_wkb(b) for b in col]
     return pd.DataFrame(
         {
@@ -149,6 +148,12 @@ def decode_wkb(col: pd.Series) -> pd.DataFrame:
     )
 
 
+def decode_wkb(geometry: Column | str) -> Column:
+    """WKB binary column -> struct(kind, rings: array<array<struct<x,y>>>); NULL stays NULL."""
+    g = _c(geometry)
+    return F.when(g.isNotNull(), _decode_wkb(g))
+
+
 def point_wkb(x: float, y: float) -> bytes:
     """Little-endian WKB of one point (used to build geometry columns)."""
     return struct.pack("<BIdd", 1, 1, x, y)

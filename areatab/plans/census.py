@@ -86,7 +86,12 @@ class Census:
 
     # -- sources ---------------------------------------------------------
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """The table as a lazy scan; each table is listed and opened once."""
+        df = self._cache.get(name)
+        if df is None:
+            df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            self._cache[name] = df
+        return df
 
     @property
     def variables(self) -> dict[str, dict[str, Column]]:
@@ -113,9 +118,13 @@ class Census:
         return c
 
     def dwelling_area(self, how: str = "inner", broken_provinces: bool = False, broken_dwellings: bool = False,
-                      names: bool = True) -> DataFrame:
-        """``(c_custkey, id_geo[, r_regionkey, r_name, n_nationkey, n_name])`` per dwelling."""
-        c = self.dwellings(broken_dwellings).select("c_custkey", "c_nationkey")
+                      names: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
+        """``(c_custkey, id_geo[, r_regionkey, r_name, n_nationkey, n_name], keep...)`` per dwelling.
+
+        ``keep`` carries dwelling columns along, so the dwelling entity gets
+        its area in the same pass instead of a self-join.
+        """
+        c = self.dwellings(broken_dwellings).select("c_custkey", "c_nationkey", *[k for k in keep if k not in ("c_custkey", "c_nationkey")])
         n = self.table("nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_nationkey", "n_name", "n_regionkey")
         # the province code comes from the province file itself, so a
         # missing province leaves the key NULL under a left join
@@ -131,6 +140,7 @@ class Census:
         )
         g = g.withColumn("id_geo", key)
         cols = ["c_custkey", "id_geo"] + (["r_regionkey", "r_name", "n_nationkey", "n_name"] if names else [])
+        cols += [k for k in keep if k not in cols]
         return g.select(*cols)
 
     # -- entities with area ------------------------------------------------
@@ -150,9 +160,8 @@ class Census:
             g = self.dwelling_area(how, broken_dwellings=broken_dwellings, names=False)
             return areas.attach_area(facts, "o_custkey", g, "c_custkey", how=how)
         if entity == "VIVIENDA":
-            facts = self.dwellings(broken_dwellings)
-            g = self.dwelling_area(how, broken_dwellings=broken_dwellings, names=False)
-            return areas.attach_area(facts, "c_custkey", g, "c_custkey", how=how)
+            cols = tuple(self.table("customer").columns)
+            return self.dwelling_area(how, broken_dwellings=broken_dwellings, names=False, keep=cols)
         raise ValueError(f"unknown entity {entity!r}")
 
     # -- labels ------------------------------------------------------------

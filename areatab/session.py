@@ -18,6 +18,13 @@ _LOCAL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Fact tables are never broadcast implicitly: dimensions are broadcast
+    # explicitly after a size check (operators.broadcast); entity joins are
+    # shuffled, as hash joins when Spark's estimate says the build side fits
+    # per partition (or AQE measures it so), else sort-merge.
+    "spark.sql.autoBroadcastJoinThreshold": "1m",
+    "spark.sql.join.preferSortMergeJoin": "false",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # partition values such as '01' or '007' must stay strings (H20)
