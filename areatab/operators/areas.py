@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from areatab.functions.codes import format_code, to_int
 from areatab.operators.broadcast import bounded_broadcast
+from areatab.operators.skew import salted_join
 
 
 def join_chain(
@@ -46,15 +47,18 @@ def roll_down(
     parent_key: str,
     area_cols: Sequence[str] = ("id_geo",),
     how: str = "inner",
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Area map of a child level: ``(child_key, area...)``.
 
     ``parent_area`` is ``(parent_key, area...)``. Only the key columns travel
-    through the shuffle.
+    through the shuffle. ``hot_rows`` switches to a salted join for parents
+    with more than that many children (see ``operators.skew``).
     """
     c = child.select(F.col(child_key), F.col(parent_fk).alias(parent_key))
     p = parent_area.select(parent_key, *area_cols)
-    return c.join(p, parent_key, how).select(child_key, *area_cols)
+    joined = c.join(p, parent_key, how) if hot_rows is None else salted_join(c, p, parent_key, how, hot_rows)
+    return joined.select(child_key, *area_cols)
 
 
 def attach_area(
@@ -64,10 +68,15 @@ def attach_area(
     key: str,
     area_cols: Sequence[str] = ("id_geo",),
     how: str = "inner",
+    hot_rows: int | None = None,
 ) -> DataFrame:
-    """Entity rows with their area columns (join on ``facts.fk = area_map.key``)."""
+    """Entity rows with their area columns (join on ``facts.fk = area_map.key``).
+
+    ``hot_rows`` switches to a salted join for parents with more than that
+    many rows in ``facts``.
+    """
     m = area_map.select(F.col(key).alias(fk), *area_cols)
-    return facts.join(m, fk, how)
+    return facts.join(m, fk, how) if hot_rows is None else salted_join(facts, m, fk, how, hot_rows)
 
 
 def coverage(df: DataFrame, entity: str, area: str = "id_geo") -> DataFrame:

@@ -144,21 +144,26 @@ class Census:
         return g.select(*cols)
 
     # -- entities with area ------------------------------------------------
-    def household_area(self, how: str = "inner", broken_dwellings: bool = False) -> DataFrame:
+    def household_area(self, how: str = "inner", broken_dwellings: bool = False, hot_rows: int | None = None) -> DataFrame:
         """``(o_orderkey, id_geo)``: the area rolled down to households."""
         g = self.dwelling_area(how, broken_dwellings=broken_dwellings, names=False)
-        return areas.roll_down(self.table("orders"), "o_orderkey", "o_custkey", g, "c_custkey", how=how)
+        return areas.roll_down(self.table("orders"), "o_orderkey", "o_custkey", g, "c_custkey", how=how, hot_rows=hot_rows)
 
-    def entity(self, entity: str, how: str = "inner", broken_dwellings: bool = False) -> DataFrame:
-        """Entity rows with ``id_geo`` (NULL under ``how='left'`` when the chain breaks)."""
+    def entity(self, entity: str, how: str = "inner", broken_dwellings: bool = False,
+               hot_rows: int | None = None) -> DataFrame:
+        """Entity rows with ``id_geo`` (NULL under ``how='left'`` when the chain breaks).
+
+        ``hot_rows`` salts the entity joins for parents with more children
+        than that (explicit skew handling; by default AQE splits skew).
+        """
         if entity == "PERSONA":
             facts = self.table("lineitem")
-            m = self.household_area(how, broken_dwellings)
-            return areas.attach_area(facts, "l_orderkey", m, "o_orderkey", how=how)
+            m = self.household_area(how, broken_dwellings, hot_rows)
+            return areas.attach_area(facts, "l_orderkey", m, "o_orderkey", how=how, hot_rows=hot_rows)
         if entity == "HOGAR":
             facts = self.table("orders")
             g = self.dwelling_area(how, broken_dwellings=broken_dwellings, names=False)
-            return areas.attach_area(facts, "o_custkey", g, "c_custkey", how=how)
+            return areas.attach_area(facts, "o_custkey", g, "c_custkey", how=how, hot_rows=hot_rows)
         if entity == "VIVIENDA":
             cols = tuple(self.table("customer").columns)
             return self.dwelling_area(how, broken_dwellings=broken_dwellings, names=False, keep=cols)

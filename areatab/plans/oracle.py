@@ -200,6 +200,7 @@ def oracle_sql() -> dict[str, str]:
     blank["PERSONA_RETURNFLAG"] = "CASE WHEN l_returnflag = 'A' THEN '' ELSE l_returnflag END"
     q["freq_drop_blank"] = _with(G, H, P) + _freq("p", blank, "drop_blank")
     q["freq_hogar"] = _with(G, H) + _freq("h", HOGAR, "drop")
+    q["freq_salted"] = _with(G, H, P) + _freq("p", PERSONA, "drop") + "\nUNION ALL\n" + _freq("h", HOGAR, "drop")
     q["freq_vivienda"] = _with(G, V) + _freq("v", VIVIENDA, "drop")
     q["freq_left_chain"] = _with(GL, HL, PL) + _freq("pl", PERSONA, "drop") + "\nUNION ALL\n" + _freq("hl", HOGAR, "drop")
     q["freq_by_levels"] = _with(G, H, P) + (
