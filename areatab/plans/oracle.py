@@ -196,6 +196,7 @@ def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["freq_drop_nulls"] = _with(G, H, P) + _freq("p", PERSONA, "drop")
     q["freq_keep_nulls"] = _with(G, H, P) + _freq("p", PERSONA, "keep")
+    q["freq_stream"] = q["freq_keep_nulls"]
     blank = dict(PERSONA)
     blank["PERSONA_RETURNFLAG"] = "CASE WHEN l_returnflag = 'A' THEN '' ELSE l_returnflag END"
     q["freq_drop_blank"] = _with(G, H, P) + _freq("p", blank, "drop_blank")
@@ -272,6 +273,7 @@ def oracle_sql() -> dict[str, str]:
     )
     q["publish_long"] = _with(*LONG_CTES) + f"SELECT {LONG_COLS} FROM long"
     q["long_roundtrip"] = q["publish_long"]
+    q["census_job"] = q["publish_long"]
     q["variable_partition_roundtrip"] = _with(*LONG_CTES) + f"SELECT {LONG_COLS} FROM long WHERE codigo_variable = 'HOGAR_STATUS'"
     q["publish_metadata"] = _with(*LONG_CTES, METADATA) + "SELECT * FROM meta"
     q["dataset_stats"] = _with(*LONG_CTES) + (

@@ -94,6 +94,33 @@ def freq_salted(spark, sf_dir):
     return _union(parts)
 
 
+def freq_stream(spark, sf_dir):
+    """Persons counted by the incremental (Structured Streaming) path.
+
+    The person file is read as a file stream, joined to the static household
+    area map, counted in streaming state (checkpointed under the shared
+    folder) and published per micro-batch; the result equals the batch count.
+    """
+    from areatab.streaming.incremental import read_result, run_incremental
+
+    c = _census(spark, sf_dir)
+    base = scratch_path(spark, "stream")
+    li = c.table("lineitem")
+    run_incremental(
+        spark,
+        sf_dir,
+        li.schema,
+        c.variables["PERSONA"],
+        out_dir=f"{base}/out",
+        checkpoint=f"{base}/checkpoint",
+        area_map=c.household_area(),
+        fk="l_orderkey",
+        key="o_orderkey",
+        glob="lineitem.parquet",
+    )
+    return read_result(spark, f"{base}/out")
+
+
 def freq_hogar(spark, sf_dir):
     return _freq(_census(spark, sf_dir), "HOGAR", "drop")
 
@@ -254,6 +281,19 @@ def variable_partition_roundtrip(spark, sf_dir):
     return back.filter(F.col("codigo_variable") == SLICE_VARIABLE).select(*publish.LONG_COLUMNS)
 
 
+def census_job(spark, sf_dir):
+    """The resumable production run (frequencies -> long -> metadata -> manifest),
+    first for persons and households, then resumed for all entities; returns
+    the published long table read back from shared storage."""
+    from areatab.plans.job import run_census
+
+    c = _census(spark, sf_dir)
+    out = scratch_path(spark, "census")
+    run_census(c, out, entities=("PERSONA", "HOGAR"))
+    res = run_census(c, out)
+    return publish.read_long(spark, res.largo)
+
+
 def publish_metadata(spark, sf_dir):
     c = _census(spark, sf_dir)
     return publish.to_metadata(_long(c), c.variable_labels())
@@ -392,6 +432,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "freq_keep_nulls": freq_keep_nulls,
     "freq_drop_blank": freq_drop_blank,
     "freq_salted": freq_salted,
+    "freq_stream": freq_stream,
     "freq_hogar": freq_hogar,
     "freq_vivienda": freq_vivienda,
     "freq_left_chain": freq_left_chain,
@@ -413,6 +454,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "publish_long": publish_long,
     "long_roundtrip": long_roundtrip,
     "variable_partition_roundtrip": variable_partition_roundtrip,
+    "census_job": census_job,
     "publish_metadata": publish_metadata,
     "dataset_stats": dataset_stats,
     "table_counts": table_counts,
