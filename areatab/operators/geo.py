@@ -18,6 +18,8 @@ from pyspark.sql import types as T
 
 # Fixed value: WGS84 / Web Mercator sphere radius (EPSG:3857), metres.
 EARTH_RADIUS = 6378137.0
+# Latitude limit of the square Web Mercator world (tiles cover +-this).
+MAX_LAT = 85.0511287798066
 MAX_ZOOM = 10
 
 
@@ -59,7 +61,8 @@ def bbox(df: DataFrame, by: list[str] | None = None, lon: str = "lon", lat: str
 def tile_xy(lon: Column | str, lat: Column | str, z: Column | str) -> tuple[Column, Column]:
     """Slippy-map tile of a point at zoom ``z`` (clamped to the tile grid)."""
     n = F.pow(F.lit(2.0), _c(z))
-    lat_r = F.radians(_c(lat))
+    lat_c = F.greatest(F.least(_c(lat), F.lit(MAX_LAT)), F.lit(-MAX_LAT))
+    lat_r = F.radians(lat_c)
     tx = F.floor((_c(lon) + F.lit(180.0)) / F.lit(360.0) * n)
     ty = F.floor((F.lit(1.0) - F.ln(F.tan(lat_r) + F.lit(1.0) / F.cos(lat_r)) / F.lit(3.141592653589793)) / F.lit(2.0) * n)
     top = n.cast("long") - F.lit(1)

@@ -102,14 +102,20 @@ def write_long(
     )
 
 
-def write_by_variable(long: DataFrame, path: str) -> None:
-    """One folder per variable; re-running a variable replaces only its folder."""
+def write_by_variable(long: DataFrame, path: str, partitions: int | None = None) -> None:
+    """One folder per variable; re-running a variable replaces only its folder.
+
+    Range partitioning on (variable, area) keeps each task on a contiguous
+    slice: a large variable spans several tasks, small ones share a task,
+    so the file count stays near partitions + variables.
+    """
     spark = long.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
         (
-            long.repartition("codigo_variable", "id_geo")
+            long.repartitionByRange(n, "codigo_variable", "id_geo")
             .sortWithinPartitions("codigo_variable", "id_geo")
             .write.mode("overwrite")
             .option("compression", "zstd")
@@ -120,6 +126,11 @@ def write_by_variable(long: DataFrame, path: str) -> None:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
 
+def export(df: DataFrame, path: str, compression: str = "zstd") -> None:
+    """Write any query result as Parquet (``COPY (query) TO path``)."""
+    df.write.mode("overwrite").option("compression", compression).parquet(path)
+
+
 def read_long(spark: SparkSession, path: str) -> DataFrame:
     """Read a published long table with its fixed schema (codes stay text)."""
     return spark.read.schema(LONG_SCHEMA).parquet(path).select(*LONG_COLUMNS)
@@ -155,6 +166,17 @@ def run_manifest(requested: DataFrame, produced: DataFrame) -> DataFrame:
     )
 
 
+def resume_counts(requested: DataFrame, produced: DataFrame) -> DataFrame:
+    """``(n_done, n_todo)``: requested variables already produced vs. still pending."""
+    req = requested.select("codigo_variable").distinct()
+    flag = req.join(produced.select("codigo_variable").distinct().withColumn("_done", F.lit(True)), "codigo_variable", "left")
+    done = F.coalesce(F.col("_done"), F.lit(False))
+    return flag.agg(
+        F.sum(done.cast("long")).alias("n_done"),
+        F.sum((~done).cast("long")).alias("n_todo"),
+    )
+
+
 def dataset_stats(long: DataFrame) -> DataFrame:
     """Rows, distinct variables, distinct areas (exact counts)."""
     return long.agg(

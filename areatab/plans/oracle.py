@@ -184,7 +184,8 @@ def _repair_query(rules) -> str:
 def _tile_sql() -> str:
     n = "pow(2.0, z)"
     tx = f"floor((lon + 180.0) / 360.0 * {n})"
-    ty = f"floor((1.0 - ln(tan(radians(lat)) + 1.0 / cos(radians(lat))) / pi()) / 2.0 * {n})"
+    lat = "greatest(least(lat, 85.0511287798066), -85.0511287798066)"
+    ty = f"floor((1.0 - ln(tan(radians({lat})) + 1.0 / cos(radians({lat}))) / pi()) / 2.0 * {n})"
     top = f"(CAST({n} AS BIGINT) - 1)"
     return (f"SELECT z, least(greatest(CAST({tx} AS BIGINT), 0), {top}) AS tx, "
             f"least(greatest(CAST({ty} AS BIGINT), 0), {top}) AS ty FROM ll, range(0, 11) zz(z)")
@@ -291,6 +292,11 @@ def oracle_sql() -> dict[str, str]:
     q["pending_variables"] = _with(G, H, P, PRODUCED, REQUESTED) + (
         "SELECT codigo_variable FROM req WHERE codigo_variable NOT IN (SELECT codigo_variable FROM prod)"
     )
+    q["resume_counts"] = _with(G, H, P, PRODUCED, REQUESTED) + (
+        "SELECT CAST(sum(CASE WHEN prod.codigo_variable IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_done, "
+        "CAST(sum(CASE WHEN prod.codigo_variable IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_todo "
+        "FROM req LEFT JOIN prod ON req.codigo_variable = prod.codigo_variable"
+    )
     q["run_manifest"] = _with(G, H, P, PRODUCED, REQUESTED) + (
         "SELECT req.codigo_variable, CASE WHEN prod.n_rows IS NULL THEN 'missing' WHEN prod.n_rows = 0 THEN 'empty' "
         "ELSE 'success' END AS status, CAST(coalesce(prod.n_rows, 0) AS BIGINT) AS n_rows "
@@ -318,6 +324,16 @@ def oracle_sql() -> dict[str, str]:
         "FROM long JOIN (SELECT id_geo, arg_min(lon, c_custkey) AS lon, arg_min(lat, c_custkey) AS lat FROM dll GROUP BY id_geo) t "
         "ON long.id_geo = t.id_geo"
     )
+    tr = "tr AS (SELECT id_geo, arg_min(lon, c_custkey) AS lon, arg_min(lat, c_custkey) AS lat FROM dll GROUP BY id_geo)"
+    q["geo_profile"] = _with(G, POINTS, LONLAT, DLL, tr) + (
+        "SELECT CAST(count(*) AS BIGINT) AS n_rows, 3 AS n_columns, 'EPSG:4326' AS crs, min(lon) AS min_lon, "
+        "min(lat) AS min_lat, max(lon) AS max_lon, max(lat) AS max_lat FROM tr"
+    )
+    q["sql_recipes"] = _with(G, H, SLICE_FREQ, RAW, CL, SL, slice_long, POINTS, LONLAT, DLL, tr) + (
+        "SELECT g.id_geo, g.lon, g.lat, c.codigo_variable, c.valor_categoria, c.etiqueta_categoria, c.conteo "
+        "FROM tr g JOIN long c ON g.id_geo = c.id_geo WHERE c.codigo_variable = 'HOGAR_STATUS'"
+    )
+    q["export_geometry"] = q["join_geometry"]
     q["wkb_points"] = _with(POINTS, LONLAT) + "SELECT id, 'Point' AS kind, lon, lat FROM ll"
     q["repair_text_2001"] = _repair_query(RULES_2001)
     q["repair_text_1991"] = _repair_query(RULES_1991)

@@ -329,6 +329,12 @@ def pending_variables(spark, sf_dir):
     return publish.pending_variables(_requested(c), produced)
 
 
+def resume_counts(spark, sf_dir):
+    c = _census(spark, sf_dir)
+    produced = publish.produced_variables(_all_freq(c, "keep", ("PERSONA", "HOGAR")))
+    return publish.resume_counts(_requested(c), produced)
+
+
 def run_manifest(spark, sf_dir):
     c = _census(spark, sf_dir)
     produced = publish.produced_variables(_all_freq(c, "keep", ("PERSONA", "HOGAR")))
@@ -387,6 +393,38 @@ def tracts(c: Census) -> DataFrame:
     )
 
 
+def geo_profile(spark, sf_dir):
+    """Rows, columns, declared CRS and overall bounding box of the tract layer."""
+    t = tracts(_census(spark, sf_dir))
+    stats = t.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.min("lon").alias("min_lon"),
+        F.min("lat").alias("min_lat"),
+        F.max("lon").alias("max_lon"),
+        F.max("lat").alias("max_lat"),
+    )
+    return stats.select(
+        "n_rows", F.lit(len(t.columns)).alias("n_columns"), F.lit("EPSG:4326").alias("crs"),
+        "min_lon", "min_lat", "max_lon", "max_lat",
+    )
+
+
+def sql_recipes(spark, sf_dir):
+    """The published-data SQL recipe (slice joined to tracts) on Spark SQL views."""
+    from areatab.sources.views import recipe, register
+
+    c = _census(spark, sf_dir)
+    register({"largo": variable_slice(spark, sf_dir), "radios": tracts(c)})
+    return recipe(spark, "join_geometry", code=SLICE_VARIABLE)
+
+
+def export_geometry(spark, sf_dir):
+    """``COPY (slice joined to tracts) TO parquet``, read back."""
+    path = scratch_path(spark, "export")
+    publish.export(join_geometry(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
 def join_geometry(spark, sf_dir):
     c = _census(spark, sf_dir)
     sl = variable_slice(spark, sf_dir)
@@ -462,6 +500,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "duplicate_variable_names": duplicate_variable_names,
     "pending_variables": pending_variables,
     "run_manifest": run_manifest,
+    "resume_counts": resume_counts,
     "distinct_variables": distinct_variables,
     "categories_per_variable": categories_per_variable,
     "preview": preview,
@@ -470,6 +509,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bbox": bbox,
     "tile_counts": tile_counts,
     "join_geometry": join_geometry,
+    "geo_profile": geo_profile,
+    "sql_recipes": sql_recipes,
+    "export_geometry": export_geometry,
     "wkb_points": wkb_points,
     "repair_text_2001": repair_text_2001,
     "repair_text_1991": repair_text_1991,
