@@ -99,6 +99,36 @@ def frequencies(
     return long.groupBy(*area, "codigo_variable", "valor_categoria").agg(F.count(F.lit(1)).alias("conteo"))
 
 
+def frequencies_multi(
+    sources: Sequence[tuple[DataFrame, VarSpec]],
+    area: Sequence[str] = ("id_geo",),
+    null_policy: str = "drop",
+    drop_missing_area: bool = True,
+    sentinel: str = SENTINEL,
+) -> DataFrame:
+    """Frequency table of several entities in ONE aggregate.
+
+    Each ``(entity rows, variables)`` source is unpivoted on its own; the
+    narrow long rows are unioned and counted by a single ``groupBy``, so the
+    whole run has one aggregation shuffle instead of one per entity. Variable
+    codes carry the entity prefix, so groups of different entities never mix.
+    """
+    longs = []
+    for df, variables in sources:
+        src = df
+        if drop_missing_area:
+            cond = None
+            for a in area:
+                c = F.col(a).isNotNull()
+                cond = c if cond is None else cond & c
+            src = src.filter(cond)
+        longs.append(unpivot_variables(src, variables, area, null_policy, sentinel))
+    long = longs[0]
+    for other in longs[1:]:
+        long = long.unionByName(other)
+    return long.groupBy(*area, "codigo_variable", "valor_categoria").agg(F.count(F.lit(1)).alias("conteo"))
+
+
 def frequencies_by_levels(
     df: DataFrame,
     variable: Column | str,

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from areatab.operators import areas, labels, publish
-from areatab.operators.frequency import frequencies
+from areatab.operators.frequency import frequencies_multi
 from areatab.plans.census import Census
 
 FREQ_SCHEMA = T.StructType(
@@ -84,11 +84,9 @@ def run_census(
         skipped += [code for code in census.variables[ent] if code in done]
         if todo:
             computed += list(todo)
-            parts.append(frequencies(census.entity(ent), todo, null_policy=null_policy))
+            parts.append((census.entity(ent), todo))
     if parts:
-        new = parts[0]
-        for p in parts[1:]:
-            new = new.unionByName(p)
+        new = frequencies_multi(parts, null_policy=null_policy)
         publish.write_by_variable(new.select("id_geo", "codigo_variable", "valor_categoria", "conteo"), freq_dir)
 
     freq = spark.read.schema(FREQ_SCHEMA).parquet(freq_dir)

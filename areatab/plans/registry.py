@@ -15,7 +15,7 @@ from areatab.functions.codes import area_key, format_code, pad_code
 from areatab.functions.textfix import RC, count_damaged, repair
 from areatab.operators import areas, consumer, geo, labels, publish
 from areatab.operators.broadcast import bounded_broadcast
-from areatab.operators.frequency import check_totals, entity_count, frequencies, rollup_levels
+from areatab.operators.frequency import check_totals, entity_count, frequencies, frequencies_multi, rollup_levels
 from areatab.plans.census import Census
 from areatab.session import scratch_path
 from areatab.sources.inline import crosswalk_1991, provinces_1991
@@ -42,8 +42,11 @@ def _union(dfs: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _all_freq(c: Census, policy: str = "keep", entities=ENTITIES) -> DataFrame:
-    return _union([_freq(c, e, policy) for e in entities])
+def _all_freq(c: Census, policy: str = "keep", entities=ENTITIES, how: str = "inner", broken: bool = False) -> DataFrame:
+    """All variables of several entities, counted in one aggregate."""
+    return frequencies_multi(
+        [(c.entity(e, how, broken_dwellings=broken), c.variables[e]) for e in entities], null_policy=policy
+    )
 
 
 def _clean_labels(c: Census) -> DataFrame:
@@ -61,8 +64,16 @@ def _long(c: Census, freq: DataFrame | None = None) -> DataFrame:
     return publish.to_long(f)
 
 
+_CENSUS: dict[tuple[str, str], Census] = {}
+
+
 def _census(spark: SparkSession, sf_dir: str) -> Census:
-    return Census(spark, sf_dir)
+    """One model (and one set of table scans) per application and data folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    c = _CENSUS.get(key)
+    if c is None or c.spark is not spark:
+        c = _CENSUS[key] = Census(spark, sf_dir)
+    return c
 
 
 # ---------------------------------------------------------------- frequency
@@ -90,8 +101,8 @@ def freq_salted(spark, sf_dir):
     ``freq_drop_nulls`` and ``freq_hogar``).
     """
     c = _census(spark, sf_dir)
-    parts = [frequencies(c.entity(e, hot_rows=SALT_HOT_ROWS), c.variables[e], null_policy="drop") for e in ("PERSONA", "HOGAR")]
-    return _union(parts)
+    parts = [(c.entity(e, hot_rows=SALT_HOT_ROWS), c.variables[e]) for e in ("PERSONA", "HOGAR")]
+    return frequencies_multi(parts, null_policy="drop")
 
 
 def freq_stream(spark, sf_dir):
@@ -131,7 +142,7 @@ def freq_vivienda(spark, sf_dir):
 
 def freq_left_chain(spark, sf_dir):
     c = _census(spark, sf_dir)
-    return _union([_freq(c, e, "drop", how="left", broken=True) for e in ("PERSONA", "HOGAR")])
+    return _all_freq(c, "drop", ("PERSONA", "HOGAR"), how="left", broken=True)
 
 
 def freq_by_levels(spark, sf_dir):

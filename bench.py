@@ -7,6 +7,8 @@ Runs each query over ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 
 Each query is fully executed with the ``noop`` sink (every row computed, no
 driver collect). Queries that write tables (round trips) include the write.
+One untimed pass over the queries warms the JVM (JIT, generated-code cache);
+the timed pass follows. Set ``BENCH_WARMUP=0`` to time cold runs.
 """
 
 from __future__ import annotations
@@ -51,8 +53,9 @@ def main() -> None:
             "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
         },
     )
-    # warm up the JVM and the parquet reader (not timed)
-    QUERIES["freq_vivienda"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    warm = os.environ.get("BENCH_WARMUP", "1") != "0"
+    for name in only if warm else ["freq_vivienda"]:
+        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
     times: dict[str, float] = {}
     for name in only:
@@ -66,6 +69,7 @@ def main() -> None:
         "unit": "sec",
         "queries": times,
         "sf": float(m.group(1)) if m else sf_dir,
+        "warm": warm,
     }
     print(json.dumps(out))
     spark.stop()
