@@ -6,8 +6,10 @@ AQE's skew-join splitting covers the common case at run time; ``salted_join``
 is the explicit, deterministic alternative:
 
 1. find hot keys with one map-side-combined count per key (only keys above
-   ``hot_rows`` survive, so the hot set is at most ``rows / hot_rows`` keys
-   and its size is checked before it is broadcast);
+   ``hot_rows`` survive, so the hot set is at most ``rows / hot_rows`` keys);
+   the set is checkpointed to the shared checkpoint folder once, so the size
+   check and the join read it instead of re-aggregating the big table, and
+   it is broadcast only if the check passes;
 2. give each child row of a hot key a salt in ``[0, salts)`` and every other
    row salt 0;
 3. replicate the parent row of each hot key once per salt;
@@ -44,7 +46,7 @@ def salted_join(
     """``big.join(small, key, how)`` with hot keys of ``big`` spread over ``salts`` tasks."""
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
-    hot = bounded_broadcast(hot_keys(big.select(key), key, hot_rows))
+    hot = bounded_broadcast(hot_keys(big.select(key), key, hot_rows).checkpoint(eager=True))
     b = big.join(hot, key, "left").withColumn(
         "_salt",
         F.when(F.col("_hot"), F.floor(F.rand(seed) * F.lit(salts)).cast("int")).otherwise(F.lit(0)),
