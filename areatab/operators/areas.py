@@ -26,16 +26,23 @@ def join_chain(
     steps: Sequence[tuple[DataFrame, str | Sequence[str] | Column]],
     how: str = "inner",
     broadcast_dims: bool = True,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Join ``base`` to each dimension in turn (``how`` = inner or left).
 
     Each step is ``(dimension, on)``; ``on`` follows ``DataFrame.join``.
-    Dimensions are broadcast only after their size is checked.
+    Dimensions are broadcast only after their size is checked. SQL semantics
+    never match NULL keys; ``null_safe=True`` (string keys only) matches NULL
+    to NULL the way data-frame libraries do by default.
     """
     out = base
     for dim, on in steps:
         d = bounded_broadcast(dim) if broadcast_dims else dim
-        out = out.join(d, on, how)
+        if null_safe and isinstance(on, str):
+            r = d.withColumnRenamed(on, "_rk")
+            out = out.join(r, out[on].eqNullSafe(r["_rk"]), how).drop("_rk")
+        else:
+            out = out.join(d, on, how)
     return out
 
 
@@ -107,13 +114,21 @@ def label_areas(
     provinces: DataFrame,
     departments: DataFrame,
     missing: str = "Sin dato",
+    repair_rules=None,
 ) -> DataFrame:
     """Attach province and department codes and names after aggregation.
 
     ``long`` carries ``id_geo``; the level codes are cut from the key.
     ``provinces`` is ``(idprov:int, nomprov)``; ``departments`` is
     ``(idprov:int, iddpto:int, nomdpto)`` and is matched on both codes.
+    ``repair_rules`` (a rule set of ``functions.textfix``) repairs damaged
+    names on the small dimensions, before the join, never on the counts.
     """
+    if repair_rules is not None:
+        from areatab.functions.textfix import repair
+
+        provinces = provinces.withColumn("nomprov", repair("nomprov", repair_rules))
+        departments = departments.withColumn("nomdpto", repair("nomdpto", repair_rules))
     out = long.withColumns(
         {
             "_prov": to_int(F.substring("id_geo", 1, 2)),

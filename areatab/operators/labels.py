@@ -71,11 +71,18 @@ def add_sentinel(labels: DataFrame, variables: DataFrame, sentinel: str = SENTIN
     return labels.select(*KEY, "etiqueta_categoria").unionByName(extra)
 
 
+def strip_zeros(code: Column | str) -> Column:
+    """Code without leading zeros (``'01'`` -> ``'1'``; ``'0'`` stays ``'0'``)."""
+    c = F.col(code) if isinstance(code, str) else code
+    return F.regexp_replace(c, r"^0+(?=.)", "")
+
+
 def attach_labels(
     long: DataFrame,
     labels: DataFrame,
     fallback_to_value: bool = True,
     check_size: bool = False,
+    strip_leading_zeros: bool = False,
 ) -> DataFrame:
     """Left join category labels on (variable, value); never changes row count.
 
@@ -85,9 +92,18 @@ def attach_labels(
     from their measured shuffle size; ``check_size`` instead proves the bound
     up front (cheap for label files read as-is).
     """
-    lab = labels.select(*KEY, F.col("etiqueta_categoria").alias("_label"))
-    if check_size:
-        lab = bounded_broadcast(lab)
-    out = long.join(lab, list(KEY), "left")
+    if strip_leading_zeros:
+        # a label file keyed '01' and data valued '1' (or the reverse) match;
+        # the published value stays as it is in the data
+        lab = labels.select("codigo_variable", strip_zeros("valor_categoria").alias("_k"), "etiqueta_categoria")
+        lab = lab.groupBy("codigo_variable", "_k").agg(F.min("etiqueta_categoria").alias("_label"))
+        if check_size:
+            lab = bounded_broadcast(lab)
+        out = long.withColumn("_k", strip_zeros("valor_categoria")).join(lab, ["codigo_variable", "_k"], "left").drop("_k")
+    else:
+        lab = labels.select(*KEY, F.col("etiqueta_categoria").alias("_label"))
+        if check_size:
+            lab = bounded_broadcast(lab)
+        out = long.join(lab, list(KEY), "left")
     label = F.coalesce(F.col("_label"), F.col("valor_categoria")) if fallback_to_value else F.col("_label")
     return out.withColumn("etiqueta_categoria", label).drop("_label")

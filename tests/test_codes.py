@@ -31,3 +31,19 @@ def test_split_key_and_code_parts(spark):
     assert tuple(parts) == ("02", "007", "01", "01")
     r = df.select(code_entity("c"), code_name("c")).first()
     assert tuple(r) == ("PERSONA", "A")  # names with '_' are cut, as published
+
+
+def test_null_safe_chain_and_repaired_area_names(spark):
+    from areatab.operators.areas import join_chain, label_areas
+
+    base = spark.createDataFrame([(1, "x"), (None, "y")], "k int, v string")
+    dim = spark.createDataFrame([(1, "uno"), (None, "nulo")], "k int, name string")
+    assert join_chain(base, [(dim, "k")]).count() == 1
+    assert {r.name for r in join_chain(base, [(dim, "k")], null_safe=True).collect()} == {"uno", "nulo"}
+
+    long = spark.createDataFrame([("020070101", 5)], "id_geo string, conteo long")
+    prov = spark.createDataFrame([(2, "Entre R�os")], "idprov int, nomprov string")
+    dpto = spark.createDataFrame([(2, 7, "Jun�n")], "idprov int, iddpto int, nomdpto string")
+    r = label_areas(long, prov, dpto, repair_rules="2001").first()
+    assert r.etiqueta_departamento == "Junín" and r.valor_provincia == "02" and r.valor_departamento == "007"
+    assert r.etiqueta_provincia == "Entre R�os"  # no 2001 rule covers it (kept damaged, as published)

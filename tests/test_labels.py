@@ -21,3 +21,11 @@ def test_sentinel_and_attach_keep_rows(spark):
     assert out.count() == long.count()
     got = {(r.valor_categoria, r.etiqueta_categoria) for r in out.collect()}
     assert got == {("1", "Uno"), ("2", "2"), ("Sin dato", "Sin dato")}
+
+
+def test_leading_zero_keys_match_only_when_asked(spark):
+    labels = spark.createDataFrame([("V_A", "01", "Uno")], "codigo_variable string, valor_categoria string, etiqueta_categoria string")
+    long = spark.createDataFrame([("a", "V_A", "1", 3)], "id_geo string, codigo_variable string, valor_categoria string, conteo long")
+    assert attach_labels(long, labels).first().etiqueta_categoria == "1"  # no match: falls back to the code
+    r = attach_labels(long, labels, strip_leading_zeros=True).first()
+    assert r.etiqueta_categoria == "Uno" and r.valor_categoria == "1"
