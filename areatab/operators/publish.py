@@ -102,8 +102,9 @@ def write_long(
     )
 
 
-def write_by_variable(long: DataFrame, path: str, partitions: int | None = None) -> None:
-    """One folder per variable; re-running a variable replaces only its folder.
+def write_by_variable(long: DataFrame, path: str, partitions: int | None = None, replace_all: bool = False) -> None:
+    """One folder per variable; re-running a variable replaces only its folder
+    (``replace_all=True`` replaces the whole table instead).
 
     Range partitioning on (variable, area) keeps each task on a contiguous
     slice: a large variable spans several tasks, small ones share a task,
@@ -112,7 +113,7 @@ def write_by_variable(long: DataFrame, path: str, partitions: int | None = None)
     spark = long.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static" if replace_all else "dynamic")
     try:
         (
             long.repartitionByRange(n, "codigo_variable", "id_geo")

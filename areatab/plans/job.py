@@ -21,6 +21,7 @@ through the driver.
 
 from __future__ import annotations
 
+import hashlib
 import os
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -60,6 +61,29 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(conf).exists(p)
 
 
+def fingerprint(spark: SparkSession, frames: Sequence[DataFrame]) -> str:
+    """Hash of the input files (path, length, modification time) behind ``frames``.
+
+    File metadata only; no data is read.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    items = []
+    for df in frames:
+        for f in sorted(df.inputFiles()):
+            p = jvm.org.apache.hadoop.fs.Path(f)
+            st = p.getFileSystem(conf).getFileStatus(p)
+            items.append(f"{f}|{st.getLen()}|{st.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(set(items))).encode()).hexdigest()[:32]
+
+
+def previous_fingerprint(spark: SparkSession, man_dir: str) -> str | None:
+    if not _exists(spark, man_dir):
+        return None
+    rows = spark.read.parquet(man_dir).select("huella").distinct().collect()
+    return rows[0][0] if len(rows) == 1 else None
+
+
 def produced_codes(spark: SparkSession, freq_dir: str) -> set[str]:
     """Variable codes that already have a partition folder (partition values only)."""
     if not _exists(spark, freq_dir):
@@ -77,7 +101,12 @@ def run_census(
 ) -> RunResult:
     spark = census.spark
     freq_dir = os.path.join(out_dir, "frecuencias")
-    done = produced_codes(spark, freq_dir) if resume else set()
+    man_dir = os.path.join(out_dir, "manifiesto")
+    tables = ["lineitem", "orders", "customer", "nation", "region"]
+    huella = fingerprint(spark, [census.table(t) for t in tables])
+    # resume only over outputs made from the same inputs
+    same_inputs = previous_fingerprint(spark, man_dir) in (None, huella)
+    done = produced_codes(spark, freq_dir) if resume and same_inputs else set()
     computed, skipped, parts = [], [], []
     for ent in entities:
         todo = {code: expr for code, expr in census.variables[ent].items() if code not in done}
@@ -87,7 +116,10 @@ def run_census(
             parts.append((census.entity(ent), todo))
     if parts:
         new = frequencies_multi(parts, null_policy=null_policy)
-        publish.write_by_variable(new.select("id_geo", "codigo_variable", "valor_categoria", "conteo"), freq_dir)
+        # outputs of other inputs are dropped as a whole, never mixed in
+        publish.write_by_variable(
+            new.select("id_geo", "codigo_variable", "valor_categoria", "conteo"), freq_dir, replace_all=not same_inputs
+        )
 
     freq = spark.read.schema(FREQ_SCHEMA).parquet(freq_dir)
     labelled = areas.label_areas(freq, census.provinces(), census.departments())
@@ -101,8 +133,7 @@ def run_census(
     publish.to_metadata(long_back, census.variable_labels()).write.mode("overwrite").option("compression", "zstd").parquet(meta_dir)
 
     requested = census.variable_codes().filter(F.split_part("codigo_variable", F.lit("_"), F.lit(1)).isin(list(entities)))
-    manifest = publish.run_manifest(requested, publish.produced_variables(freq))
-    man_dir = os.path.join(out_dir, "manifiesto")
+    manifest = publish.run_manifest(requested, publish.produced_variables(freq)).withColumn("huella", F.lit(huella))
     manifest.write.mode("overwrite").parquet(man_dir)
     return RunResult(freq_dir, long_dir, meta_dir, man_dir, computed, skipped)
 

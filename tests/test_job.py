@@ -23,3 +23,22 @@ def test_resume_computes_only_pending(spark, tmp_dir):
     man = {r.codigo_variable: r.status for r in got["manifiesto"].collect()}
     assert set(man.values()) == {"success"} and len(man) == 6
     assert got["metadatos"].count() == QUERIES["publish_metadata"](spark, SF).count()
+
+
+def test_changed_inputs_invalidate_resume(spark, tmp_dir):
+    from areatab.plans.job import fingerprint
+
+    c = Census(spark, SF)
+    out = os.path.join(tmp_dir, "run")
+    run_census(c, out, entities=("HOGAR", "VIVIENDA"))
+    man = spark.read.parquet(os.path.join(out, "manifiesto")).first()
+    assert man.huella == fingerprint(spark, [c.table(t) for t in ("lineitem", "orders", "customer", "nation", "region")])
+    # same inputs: nothing recomputed
+    assert run_census(c, out, entities=("VIVIENDA",)).computed == []
+    # a different input folder (different files): recomputed, and the old
+    # household variables are gone instead of mixed with the new ones
+    c2 = Census(spark, "/root/testdata/sf0.01")
+    r = run_census(c2, out, entities=("VIVIENDA",))
+    assert r.computed == ["VIVIENDA_SEGMENT"]
+    codes = {x[0] for x in read_outputs(spark, r)["largo"].select("codigo_variable").distinct().collect()}
+    assert codes == {"VIVIENDA_SEGMENT"}
