@@ -23,6 +23,7 @@ aggregate runs partial on the map side of that join.
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -78,6 +79,24 @@ LABEL_FILE = (
 DERIVED_LABEL_LINE0 = 1000
 
 
+def _memo(fn):
+    """Remember the lazy plan a method returns for given arguments.
+
+    DataFrames are immutable plans; reusing one only saves rebuilding it on
+    the driver. Every action still executes it in full.
+    """
+
+    @functools.wraps(fn)
+    def wrapper(self, *args, **kwargs):
+        key = (fn.__name__, args, tuple(sorted(kwargs.items())))
+        plans = self._cache.setdefault("_plans", {})
+        if key not in plans:
+            plans[key] = fn(self, *args, **kwargs)
+        return plans[key]
+
+    return wrapper
+
+
 @dataclass
 class Census:
     spark: SparkSession
@@ -98,6 +117,7 @@ class Census:
         return _variables()
 
     # -- area dimensions -------------------------------------------------
+    @_memo
     def provinces(self, broken: bool = False) -> DataFrame:
         r = self.table("region")
         if broken:
@@ -105,11 +125,13 @@ class Census:
             r = r.filter(F.col("r_name") != F.lit("MIDDLE EAST"))
         return r.select(F.col("r_regionkey").alias("idprov"), F.col("r_name").alias("nomprov"))
 
+    @_memo
     def departments(self) -> DataFrame:
         return self.table("nation").select(
             F.col("n_regionkey").alias("idprov"), F.col("n_nationkey").alias("iddpto"), F.col("n_name").alias("nomdpto")
         )
 
+    @_memo
     def dwellings(self, broken: bool = False) -> DataFrame:
         c = self.table("customer")
         if broken:
@@ -117,6 +139,7 @@ class Census:
             c = c.filter(F.col("c_acctbal") >= F.lit(0.0))
         return c
 
+    @_memo
     def dwelling_area(self, how: str = "inner", broken_provinces: bool = False, broken_dwellings: bool = False,
                       names: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
         """``(c_custkey, id_geo[, r_regionkey, r_name, n_nationkey, n_name], keep...)`` per dwelling.
@@ -144,11 +167,13 @@ class Census:
         return g.select(*cols)
 
     # -- entities with area ------------------------------------------------
+    @_memo
     def household_area(self, how: str = "inner", broken_dwellings: bool = False, hot_rows: int | None = None) -> DataFrame:
         """``(o_orderkey, id_geo)``: the area rolled down to households."""
         g = self.dwelling_area(how, broken_dwellings=broken_dwellings, names=False)
         return areas.roll_down(self.table("orders"), "o_orderkey", "o_custkey", g, "c_custkey", how=how, hot_rows=hot_rows)
 
+    @_memo
     def entity(self, entity: str, how: str = "inner", broken_dwellings: bool = False,
                hot_rows: int | None = None) -> DataFrame:
         """Entity rows with ``id_geo`` (NULL under ``how='left'`` when the chain breaks).
@@ -170,6 +195,7 @@ class Census:
         raise ValueError(f"unknown entity {entity!r}")
 
     # -- labels ------------------------------------------------------------
+    @_memo
     def raw_labels(self) -> DataFrame:
         """Label rows: the hand-written file, then one row per household read
         from the priority text ``'<code>-<label>'`` (massively duplicated keys)."""
@@ -184,13 +210,16 @@ class Census:
         )
         return hand.unionByName(derived)
 
+    @_memo
     def variable_codes(self) -> DataFrame:
         codes = [(code,) for ent in self.variables.values() for code in ent]
         return self.spark.createDataFrame(codes, "codigo_variable string")
 
+    @_memo
     def variable_labels(self) -> DataFrame:
         return self.spark.createDataFrame(list(VARIABLE_LABELS), "codigo_variable string, etiqueta_variable string")
 
+    @_memo
     def dwelling_points(self) -> DataFrame:
         """Synthetic dwelling coordinates in EPSG:3857 (lon in [-74,-34), lat in [-55,-22))."""
         c = self.table("customer").select("c_custkey")
