@@ -55,26 +55,27 @@ class RunResult:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf).exists(p)
+    """True if ``path`` holds at least one Parquet file."""
+    try:
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet") \
+            .load(path).select("path").limit(1).collect()
+    except Exception as e:  # missing folder
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            return False
+        raise
+    return True
 
 
 def fingerprint(spark: SparkSession, frames: Sequence[DataFrame]) -> str:
     """Hash of the input files (path, length, modification time) behind ``frames``.
 
-    File metadata only; no data is read.
+    File metadata only: the ``binaryFile`` source lists the files and the
+    unused ``content`` column is pruned, so no data is read.
     """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    items = []
-    for df in frames:
-        for f in sorted(df.inputFiles()):
-            p = jvm.org.apache.hadoop.fs.Path(f)
-            st = p.getFileSystem(conf).getFileStatus(p)
-            items.append(f"{f}|{st.getLen()}|{st.getModificationTime()}")
-    return hashlib.sha256("\n".join(sorted(set(items))).encode()).hexdigest()[:32]
+    files = sorted({f for df in frames for f in df.inputFiles()})
+    meta = spark.read.format("binaryFile").load(files).select("path", "length", "modificationTime")
+    items = sorted(f"{r.path}|{r.length}|{r.modificationTime.isoformat()}" for r in meta.collect())
+    return hashlib.sha256("\n".join(items).encode()).hexdigest()[:32]
 
 
 def previous_fingerprint(spark: SparkSession, man_dir: str) -> str | None:
