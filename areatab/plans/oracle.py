@@ -234,8 +234,9 @@ def oracle_sql() -> dict[str, str]:
         "FROM customer JOIN nation ON c_nationkey = n_nationkey"
     )
     q["area_code_format"] = (
-        "SELECT n_nationkey, printf('%02d', n_regionkey) AS valor_provincia, printf('%03d', n_nationkey) AS valor_departamento "
-        "FROM nation"
+        "SELECT c_custkey, printf('%02d', n_regionkey) AS valor_provincia, printf('%03d', c_nationkey) AS valor_departamento, "
+        "printf('%02d', c_custkey % 4) AS valor_fraccion, printf('%06d', c_custkey) AS valor_vivienda "
+        "FROM customer JOIN nation ON c_nationkey = n_nationkey"
     )
     cov = []
     for ent, src in (("PERSONA", "pl"), ("HOGAR", "hl"), ("VIVIENDA", "vl")):

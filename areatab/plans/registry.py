@@ -197,11 +197,17 @@ def area_key_parts(spark, sf_dir):
 
 
 def area_code_format(spark, sf_dir):
-    n = _census(spark, sf_dir).table("nation")
-    return n.select(
-        "n_nationkey",
+    """Every dwelling's level codes zero-padded without truncation (printf style)."""
+    c = _census(spark, sf_dir)
+    cu = c.table("customer").select("c_custkey", "c_nationkey")
+    n = bounded_broadcast(c.table("nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey"))
+    j = cu.join(n, "c_nationkey")
+    return j.select(
+        "c_custkey",
         format_code("n_regionkey", 2).alias("valor_provincia"),
-        format_code("n_nationkey", 3).alias("valor_departamento"),
+        format_code("c_nationkey", 3).alias("valor_departamento"),
+        format_code(F.col("c_custkey") % 4, 2).alias("valor_fraccion"),
+        format_code(F.col("c_custkey"), 6).alias("valor_vivienda"),
     )
 
 
