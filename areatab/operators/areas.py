@@ -7,6 +7,12 @@ person) is large on every level. We never widen the big tables: the area key
 is rolled *down* the chain as a two-column map ``(key, id_geo)``, so each
 fact table is shuffled once, with only the columns the tabulation needs, and
 AQE's skew-join splitting handles a parent that owns a huge share of rows.
+
+Entity joins are shuffled hash joins built on the parent map (``shuffle_hash``
+hint on the map side). Parent keys are unique, so a build partition holds
+parents / partitions rows no matter how skewed the children are; the children
+stream through, and no sort is needed. Without table statistics Spark would
+estimate the map as the product of its inputs and build on the wrong side.
 """
 
 from __future__ import annotations
@@ -63,7 +69,7 @@ def roll_down(
     with more than that many children (see ``operators.skew``).
     """
     c = child.select(F.col(child_key), F.col(parent_fk).alias(parent_key))
-    p = parent_area.select(parent_key, *area_cols)
+    p = parent_area.select(parent_key, *area_cols).hint("shuffle_hash")
     joined = c.join(p, parent_key, how) if hot_rows is None else salted_join(c, p, parent_key, how, hot_rows)
     return joined.select(child_key, *area_cols)
 
@@ -82,8 +88,15 @@ def attach_area(
     ``hot_rows`` switches to a salted join for parents with more than that
     many rows in ``facts``.
     """
-    m = area_map.select(F.col(key).alias(fk), *area_cols)
-    return facts.join(m, fk, how) if hot_rows is None else salted_join(facts, m, fk, how, hot_rows)
+    if fk != key and key in facts.columns:
+        m = area_map.select(F.col(key).alias(fk), *area_cols).hint("shuffle_hash")
+        return facts.join(m, fk, how) if hot_rows is None else salted_join(facts, m, fk, how, hot_rows)
+    # rename on the fact side: the map side stays the same plan wherever it
+    # is used, so its shuffle can be reused across branches
+    m = area_map.select(key, *area_cols).hint("shuffle_hash")
+    f = facts.withColumnRenamed(fk, key)
+    out = f.join(m, key, how) if hot_rows is None else salted_join(f, m, key, how, hot_rows)
+    return out.withColumnRenamed(key, fk)
 
 
 def coverage(df: DataFrame, entity: str, area: str = "id_geo") -> DataFrame:
