@@ -219,6 +219,44 @@ class Census:
     def variable_labels(self) -> DataFrame:
         return self.spark.createDataFrame(list(VARIABLE_LABELS), "codigo_variable string, etiqueta_variable string")
 
+    @_memo
+    def linked_tables(self) -> dict[str, DataFrame]:
+        """The tables in the linked input model (reference-id chains).
+
+        Fraction and radio dimensions are derived from the dwellings (distinct
+        codes per department / fraction); every dwelling is its own segment.
+        """
+        cu = self.table("customer")
+        frac_code = F.col("c_custkey") % 4
+        radio_code = F.expr("(c_custkey div 4) % 5")
+        frac_id = F.col("c_nationkey").cast("long") * 10 + frac_code
+        radio_id = frac_id * 10 + radio_code
+        keyed = cu.select(
+            "c_custkey", "c_nationkey", "c_mktsegment",
+            frac_id.alias("frac_ref_id"), frac_code.alias("idfrac"), radio_id.alias("radio_ref_id"), radio_code.alias("idradio"),
+        )
+        pv = self.variables["PERSONA"]
+        hv = self.variables["HOGAR"]
+        return {
+            "prov": self.table("region").select(
+                F.col("r_regionkey").alias("prov_ref_id"), F.col("r_regionkey").alias("idprov"), F.col("r_name").alias("nomprov")),
+            "dpto": self.table("nation").select(
+                F.col("n_nationkey").alias("dpto_ref_id"), F.col("n_regionkey").alias("prov_ref_id"),
+                F.col("n_nationkey").alias("iddpto"), F.col("n_name").alias("nomdpto")),
+            "frac": keyed.select("frac_ref_id", F.col("c_nationkey").alias("dpto_ref_id"), "idfrac").distinct(),
+            "radio": keyed.select("radio_ref_id", "frac_ref_id", "idradio").distinct(),
+            "seg": keyed.select(F.col("c_custkey").alias("seg_ref_id"), "radio_ref_id"),
+            "vivienda": keyed.select(
+                F.col("c_custkey").alias("vivienda_ref_id"), F.col("c_custkey").alias("seg_ref_id"),
+                F.col("c_mktsegment").alias("SEGMENT")),
+            "hogar": self.table("orders").select(
+                F.col("o_orderkey").alias("hogar_ref_id"), F.col("o_custkey").alias("vivienda_ref_id"),
+                hv["HOGAR_STATUS"].alias("STATUS"), hv["HOGAR_PRIORITY"].alias("PRIORITY")),
+            "persona": self.table("lineitem").select(
+                F.col("l_orderkey").alias("hogar_ref_id"), pv["PERSONA_RETURNFLAG"].alias("RETURNFLAG"),
+                pv["PERSONA_STATUS"].alias("STATUS"), pv["PERSONA_LINENUMBER"].alias("LINENUMBER")),
+        }
+
     @_memo
     def dwelling_points(self) -> DataFrame:
         """Synthetic dwelling coordinates in EPSG:3857 (lon in [-74,-34), lat in [-55,-22))."""

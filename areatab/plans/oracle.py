@@ -276,6 +276,8 @@ def oracle_sql() -> dict[str, str]:
     q["publish_long"] = _with(*LONG_CTES) + f"SELECT {LONG_COLS} FROM long"
     q["long_roundtrip"] = q["publish_long"]
     q["census_job"] = q["publish_long"]
+    q["linked_model"] = q["publish_long"]
+    q["flat_model"] = _with(*LONG_CTES) + f"SELECT {LONG_COLS} FROM long WHERE codigo_variable LIKE 'PERSONA%'"
     q["variable_partition_roundtrip"] = _with(*LONG_CTES) + f"SELECT {LONG_COLS} FROM long WHERE codigo_variable = 'HOGAR_STATUS'"
     q["publish_metadata"] = _with(*LONG_CTES, METADATA) + "SELECT * FROM meta"
     q["dataset_stats"] = _with(*LONG_CTES) + (

@@ -21,7 +21,6 @@ from areatab.session import scratch_path
 from areatab.sources.inline import crosswalk_1991, provinces_1991
 
 ENTITIES = ("PERSONA", "HOGAR", "VIVIENDA")
-FREQ_COLS = ("id_geo", "codigo_variable", "valor_categoria", "conteo")
 SLICE_VARIABLE = "HOGAR_STATUS"
 # Requested-but-unknown variable used by the resume/manifest checks.
 UNKNOWN_VARIABLE = "PERSONA_EDAD"
@@ -311,6 +310,47 @@ def census_job(spark, sf_dir):
     return publish.read_long(spark, res.largo)
 
 
+def linked_model(spark, sf_dir):
+    """The long table produced by the linked-model pipeline (reference-id
+    chains through province, department, fraction, radio and segment files)."""
+    from areatab.plans.vintages import tabulate_linked
+
+    c = _census(spark, sf_dir)
+    t = c.linked_tables()
+    long, _ = tabulate_linked(
+        t["prov"], t["dpto"], t["frac"], t["radio"], t["seg"], t["vivienda"], t["hogar"], t["persona"],
+        raw_labels=c.raw_labels().withColumn("orden", F.col("linea")),
+        variable_labels=c.variable_labels(), null_policy="keep",
+    )
+    return long
+
+
+def flat_model(spark, sf_dir):
+    """The person part of the long table produced by the flat-model pipeline
+    (area codes carried on every person row)."""
+    from areatab.plans.vintages import tabulate_flat
+
+    c = _census(spark, sf_dir)
+    g = c.dwelling_area(names=False, keep=("c_nationkey",))
+    g = g.select(
+        "c_custkey",
+        F.substring("id_geo", 1, 2).alias("IDPROV"), F.substring("id_geo", 3, 3).alias("IDDPTO"),
+        F.substring("id_geo", 6, 2).alias("IDFRAC"), F.substring("id_geo", 8, 2).alias("IDRADIO"),
+    )
+    hm = areas.roll_down(c.table("orders"), "o_orderkey", "o_custkey", g.withColumnRenamed("c_custkey", "o_custkey"),
+                         "o_custkey", area_cols=("IDPROV", "IDDPTO", "IDFRAC", "IDRADIO"))
+    pv = c.variables["PERSONA"]
+    persons = c.table("lineitem").select(
+        F.col("l_orderkey").alias("o_orderkey"), pv["PERSONA_RETURNFLAG"].alias("RETURNFLAG"),
+        pv["PERSONA_STATUS"].alias("STATUS"), pv["PERSONA_LINENUMBER"].alias("LINENUMBER"),
+    ).join(hm.hint("shuffle_hash"), "o_orderkey").drop("o_orderkey")
+    long, _ = tabulate_flat(
+        {"PERSONA": persons}, c.provinces(), c.departments(),
+        raw_labels=c.raw_labels().withColumn("orden", F.col("linea")), variable_labels=c.variable_labels(),
+    )
+    return long
+
+
 def publish_metadata(spark, sf_dir):
     c = _census(spark, sf_dir)
     return publish.to_metadata(_long(c), c.variable_labels())
@@ -510,6 +550,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "long_roundtrip": long_roundtrip,
     "variable_partition_roundtrip": variable_partition_roundtrip,
     "census_job": census_job,
+    "linked_model": linked_model,
+    "flat_model": flat_model,
     "publish_metadata": publish_metadata,
     "dataset_stats": dataset_stats,
     "table_counts": table_counts,
