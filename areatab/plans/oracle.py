@@ -87,6 +87,17 @@ CROSSWALK_1991 = """(VALUES (1, 17), (2, 2), (3, 1), (4, 19), (5, 8), (6, 12), (
         (23, 5), (24, 4), (25, 10), (26, 20)) cw(idprov, provin_ref_id)"""
 
 
+# Fixed: column order of the driver tables profiled by describe_table.
+TABLE_COLUMNS = {
+    "region": ["r_regionkey", "r_name"],
+    "nation": ["n_nationkey", "n_name", "n_regionkey"],
+    "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
+    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+                 "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"],
+}
+
+
 def _freq(src: str, variables: dict[str, str], policy: str) -> str:
     parts = []
     for code, e in variables.items():
@@ -340,4 +351,13 @@ def oracle_sql() -> dict[str, str]:
     q["wkb_points"] = _with(POINTS, LONLAT) + "SELECT id, 'Point' AS kind, lon, lat FROM ll"
     q["repair_text_2001"] = _repair_query(RULES_2001)
     q["repair_text_1991"] = _repair_query(RULES_1991)
+    q["repair_text_literal"] = _repair_query([r for r in RULES_2001 if r[2] == "literal"])
+    prof = []
+    for t, cols in TABLE_COLUMNS.items():
+        for i, col in enumerate(cols):
+            prof.append(
+                f"SELECT '{t}' AS tabla, '{col}' AS columna, {i + 1} AS posicion, CAST(count(*) AS BIGINT) AS n_filas, "
+                f"CAST(count(*) - count({col}) AS BIGINT) AS n_nulos FROM {t}"
+            )
+    q["describe_table"] = "\nUNION ALL\n".join(prof)
     return q

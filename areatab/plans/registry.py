@@ -522,6 +522,24 @@ def repair_text_1991(spark, sf_dir):
     return fixed.select("doc_id", "text", count_damaged("text").alias("left_bad"))
 
 
+def repair_text_literal(spark, sf_dir):
+    """Only the literal (plain substring) rules of the 2001 set, in order."""
+    from areatab.functions.textfix import RULES_2001
+
+    literal = [r for r in RULES_2001 if r[2] == "literal"]
+    d = _damaged(_census(spark, sf_dir))
+    fixed = d.select("doc_id", repair("text", literal).alias("text"))
+    return fixed.select("doc_id", "text", count_damaged("text").alias("left_bad"))
+
+
+def describe_table(spark, sf_dir):
+    """Column profile of the entity and area tables: position, rows, NULLs."""
+    from areatab.sources.files import profile
+
+    c = _census(spark, sf_dir)
+    return profile({t: c.table(t) for t in ("region", "nation", "customer", "orders", "lineitem")})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "freq_drop_nulls": freq_drop_nulls,
     "freq_keep_nulls": freq_keep_nulls,
@@ -574,4 +592,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "wkb_points": wkb_points,
     "repair_text_2001": repair_text_2001,
     "repair_text_1991": repair_text_1991,
+    "repair_text_literal": repair_text_literal,
+    "describe_table": describe_table,
 }

@@ -132,10 +132,6 @@ def read_mapped_label_files(
 # -- XML variable dictionary ---------------------------------------------------
 
 
-def _variables_of(entity: T.StructType) -> bool:
-    return "Variable" in entity.fieldNames()
-
-
 def read_dictionary(spark: SparkSession, path: str, row_tag: str = "Entity") -> DataFrame:
     """Variable dictionary ``(codigo_variable, etiqueta_variable, entidad, nombre_variable)``.
 
@@ -189,6 +185,32 @@ def read_dictionary(spark: SparkSession, path: str, row_tag: str = "Entity") ->
 # -- introspection --------------------------------------------------------------
 
 
+def profile(tables: dict[str, DataFrame]) -> DataFrame:
+    """``(tabla, columna, posicion, n_filas, n_nulos)`` for every column.
+
+    One aggregate per table computes all column counts in a single scan; the
+    one-row result is unpivoted into one row per column.
+    """
+    parts = []
+    for name, df in tables.items():
+        cols = df.columns
+        aggs = [F.count(F.lit(1)).alias("_rows")] + [F.count(F.col(c)).alias(f"_c{i}") for i, c in enumerate(cols)]
+        one = df.agg(*aggs)
+        stacked = one.select(
+            "_rows",
+            F.explode(F.array(*[F.struct(F.lit(c).alias("columna"), F.lit(i + 1).alias("posicion"), F.col(f"_c{i}").alias("nn"))
+                                for i, c in enumerate(cols)])).alias("s"),
+        )
+        parts.append(stacked.select(
+            F.lit(name).alias("tabla"), "s.columna", "s.posicion", F.col("_rows").alias("n_filas"),
+            (F.col("_rows") - F.col("s.nn")).alias("n_nulos"),
+        ))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def describe(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
     """``(tabla, columna, posicion, tipo)`` for each table's schema (schema only, no scan)."""
     rows = [
