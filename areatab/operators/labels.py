@@ -15,6 +15,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from areatab.operators.broadcast import bounded_broadcast
 
@@ -52,7 +53,17 @@ def clean_labels(
     ok = v.isNotNull()
     for j in junk:
         ok = ok & (v != F.lit(j))
-    first = labels.filter(ok).groupBy(*KEY).agg(F.min_by("etiqueta_categoria", order).alias("etiqueta_categoria"))
+    src = labels.filter(ok)
+    if isinstance(src.schema[order].dataType, T.IntegralType):
+        # hash aggregate of the first position per key (fixed-width buffer,
+        # combined map side), then a semi join back on (key, position); the
+        # position is unique, so a hot key is not a hot join key
+        pos = src.groupBy(*KEY).agg(F.min(order).alias(order))
+        picked = src.join(pos.hint("shuffle_hash"), [*KEY, order], "left_semi")
+        first = picked.groupBy(*KEY).agg(F.min("etiqueta_categoria").alias("etiqueta_categoria"))
+    else:
+        # small label files ordered by (file, line): one sort-based aggregate
+        first = src.groupBy(*KEY).agg(F.min_by("etiqueta_categoria", order).alias("etiqueta_categoria"))
     if recode:
         first = first.withColumn("etiqueta_categoria", recode_labels("etiqueta_categoria"))
     return first
