@@ -3,10 +3,12 @@
 Label lists are keyed by ``(codigo_variable, valor_categoria)``. A duplicate
 key would fan out rows and inflate counts when joined, so labels are always
 de-duplicated first, keeping the first row in source order. "First row per
-key" is computed as ``min_by(label, order)`` in a grouped aggregate: it
-combines map side, so a key repeated millions of times never becomes one
-task's whole input (a row_number window would sort the whole key group in a
-single task).
+key" is ``min_by(label, order)`` in a grouped aggregate. A string result has
+no fixed-width buffer, so Spark plans a sort-based aggregate, but a partial
+one: each map task sorts only its own rows and emits one row per key, and
+only those partial rows are shuffled. A key repeated millions of times never
+becomes one task's input (a row_number window would sort the whole key group
+in a single task), and the label source itself is never shuffled.
 """
 
 from __future__ import annotations
