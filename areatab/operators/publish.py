@@ -26,7 +26,9 @@ LONG_COLUMNS = (
     "valor_departamento",
     "etiqueta_departamento",
     "valor_fraccion",
+    "etiqueta_fraccion",
     "valor_radio",
+    "etiqueta_radio",
     "codigo_variable",
     "valor_categoria",
     "etiqueta_categoria",
@@ -48,7 +50,11 @@ LONG_SCHEMA = T.StructType(
 
 
 def to_long(df: DataFrame) -> DataFrame:
-    """Published column names and order; ``conteo`` is always long."""
+    """Published column names and order; ``conteo`` is always long.
+
+    One schema for every input model: levels without names (fraction and
+    radio labels are only in some sources) are NULL columns, never dropped.
+    """
     cols = []
     for c in LONG_COLUMNS:
         if c in df.columns:

@@ -126,7 +126,9 @@ LONG_SELECT = """SELECT f.id_geo,
        printf('%03d', CAST(substr(f.id_geo, 3, 3) AS INTEGER)) AS valor_departamento,
        coalesce(n.n_name, 'Sin dato') AS etiqueta_departamento,
        substr(f.id_geo, 6, 2) AS valor_fraccion,
+       CAST(NULL AS VARCHAR) AS etiqueta_fraccion,
        substr(f.id_geo, 8, 2) AS valor_radio,
+       CAST(NULL AS VARCHAR) AS etiqueta_radio,
        f.codigo_variable, f.valor_categoria,
        coalesce(sl.etiqueta_categoria, f.valor_categoria) AS etiqueta_categoria,
        f.conteo
@@ -151,7 +153,8 @@ CATALOG = """cat AS (
          codigo_variable FROM long)"""
 
 LONG_COLS = ("id_geo, valor_provincia, etiqueta_provincia, valor_departamento, etiqueta_departamento, "
-             "valor_fraccion, valor_radio, codigo_variable, valor_categoria, etiqueta_categoria, conteo")
+             "valor_fraccion, etiqueta_fraccion, valor_radio, etiqueta_radio, codigo_variable, valor_categoria, "
+             "etiqueta_categoria, conteo")
 
 _requested = ", ".join(f"('{c}')" for c in ALL_CODES + ["PERSONA_EDAD"])
 PRODUCED = ("prod AS (SELECT codigo_variable, CAST(count(*) AS BIGINT) AS n_rows FROM (" + _freq("p", PERSONA, "keep")
