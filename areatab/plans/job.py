@@ -12,7 +12,9 @@ Stages, each materialised under ``out_dir`` on shared storage:
 2. ``largo/``: the published long table, labelled, range-partitioned and
    sorted by ``id_geo``.
 3. ``metadatos/``: the category x variable dictionary.
-4. ``manifiesto/``: one row per requested variable with status and rows.
+4. ``manifiesto/``: one row per requested variable with status (success =
+   computed now, skipped = reused from an earlier run, empty, missing), rows
+   and the input fingerprint.
 
 The list of variable codes is metadata (bounded by the questionnaire), so
 reading the produced partition names on the driver is fine; no data rows go
@@ -134,7 +136,14 @@ def run_census(
     publish.to_metadata(long_back, census.variable_labels()).write.mode("overwrite").option("compression", "zstd").parquet(meta_dir)
 
     requested = census.variable_codes().filter(F.split_part("codigo_variable", F.lit("_"), F.lit(1)).isin(list(entities)))
-    manifest = publish.run_manifest(requested, publish.produced_variables(freq)).withColumn("huella", F.lit(huella))
+    manifest = publish.run_manifest(requested, publish.produced_variables(freq))
+    if skipped:
+        # produced by an earlier run over the same inputs and reused as is
+        manifest = manifest.withColumn(
+            "status",
+            F.when((F.col("status") == "success") & F.col("codigo_variable").isin(skipped), F.lit("skipped")).otherwise(F.col("status")),
+        )
+    manifest = manifest.withColumn("huella", F.lit(huella))
     manifest.write.mode("overwrite").parquet(man_dir)
     return RunResult(freq_dir, long_dir, meta_dir, man_dir, computed, skipped)
 
