@@ -11,7 +11,9 @@ is the explicit, deterministic alternative:
    check and the join read it instead of re-aggregating the big table, and
    it is broadcast only if the check passes;
 2. give each child row of a hot key a salt in ``[0, salts)`` and every other
-   row salt 0;
+   row salt 0; the salt is a hash of the row's own columns, not a random
+   number, so a task re-run after an executor loss (which may see its input
+   rows in another order) assigns exactly the same salts;
 3. replicate the parent row of each hot key once per salt;
 4. join on ``(key, salt)``.
 
@@ -41,7 +43,6 @@ def salted_join(
     how: str = "inner",
     hot_rows: int = 1_000_000,
     salts: int = 64,
-    seed: int = 17,
 ) -> DataFrame:
     """``big.join(small, key, how)`` with hot keys of ``big`` spread over ``salts`` tasks."""
     if how not in ("inner", "left"):
@@ -49,7 +50,7 @@ def salted_join(
     hot = bounded_broadcast(hot_keys(big.select(key), key, hot_rows).checkpoint(eager=True))
     b = big.join(hot, key, "left").withColumn(
         "_salt",
-        F.when(F.col("_hot"), F.floor(F.rand(seed) * F.lit(salts)).cast("int")).otherwise(F.lit(0)),
+        F.when(F.col("_hot"), F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(salts)).cast("int")).otherwise(F.lit(0)),
     ).drop("_hot")
     s = small.join(hot, key, "left").withColumn(
         "_salt",
