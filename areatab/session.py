@@ -13,8 +13,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-_LOCAL_DEFAULTS = {
-    "spark.sql.shuffle.partitions": "8",
+# Defaults for any deployment; a value set by the submitter always wins.
+_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -29,22 +29,44 @@ _LOCAL_DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # partition values such as '01' or '007' must stay strings (H20)
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+}
+
+# No web UI server and no console progress bars.
+_UI_OFF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
 
+# Sizing for a single machine only (never applied to a cluster master).
+_LOCAL_ONLY = {
+    "spark.sql.shuffle.partitions": "8",
+}
+
 
 def get_session(master: str | None = None, app: str = "areatab", **conf: str) -> SparkSession:
-    """Return the active session, or build a local one with sane defaults."""
+    """Return the active session, or build one.
+
+    ``conf`` given here always applies. Library defaults (all runtime SQL
+    settings) are set after start-up, and only for keys the submitter
+    (``spark-submit --conf``, ``spark-defaults.conf``) left unset; the
+    single-machine sizing only when the master is local.
+    """
     active = SparkSession.getActiveSession()
     if active is not None:
         return active
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for k, v in {**_LOCAL_DEFAULTS, **conf}.items():
+    for k, v in {**_UI_OFF, **conf}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    submitted = spark.sparkContext.getConf()
+    defaults = dict(_DEFAULTS)
+    if spark.sparkContext.master.startswith("local"):
+        defaults.update(_LOCAL_ONLY)
+    for k, v in defaults.items():
+        if k not in conf and not submitted.contains(k):
+            spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
