@@ -18,7 +18,8 @@ import os
 import sys
 
 from areatab.operators import publish
-from areatab.plans.vintages import crosswalk_departments, tabulate_flat, tabulate_linked
+from areatab.plans.vintages import (EXCLUDE_2010, EXCLUDE_2010_EXTRA, LINKED_EXCLUDE, crosswalk_departments,
+                                    tabulate_flat, tabulate_linked)
 from areatab.session import get_session
 from areatab.sources.files import read_delimited, read_dictionary, read_label_files, read_mapped_label_files
 from areatab.sources.inline import crosswalk_1991, provinces_1991
@@ -50,6 +51,8 @@ def _parser() -> argparse.ArgumentParser:
     k.add_argument("--persona", default=None)
     k.add_argument("--labels-style", choices=("lower", "upper"), default="lower")
     k.add_argument("--how", choices=("inner", "left"), default="inner")
+    k.add_argument("--exclude-style", choices=("2001", "2010"), default="2001",
+                   help="variable exclusion: 2001 = lower-cased list, 2010 = case-sensitive list")
     return p
 
 
@@ -80,7 +83,10 @@ def main(argv: list[str] | None = None) -> dict:
                if args.labels_dir else None)
         long, meta = tabulate_linked(t["prov"], t["dpto"], t["frac"], t["radio"], t["seg"], t["vivienda"], hogar, persona,
                                      raw_labels=raw, variable_labels=var_labels, how=args.how,
-                                     null_policy=args.null_policy or "drop")
+                                     null_policy=args.null_policy or "drop",
+                                     exclude=EXCLUDE_2010 if args.exclude_style == "2010" else LINKED_EXCLUDE,
+                                     extra_exclude=EXCLUDE_2010_EXTRA if args.exclude_style == "2010" else None,
+                                     case_sensitive=args.exclude_style == "2010")
 
     long_dir, meta_dir = os.path.join(args.out, "largo"), os.path.join(args.out, "metadatos")
     publish.write_long(long, long_dir, partitions=args.partitions)

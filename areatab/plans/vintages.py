@@ -31,8 +31,16 @@ from areatab.operators.frequency import frequencies_multi
 
 # Key columns of the flat model, excluded from the variables.
 FLAT_KEYS = ("idprov", "iddpto", "idfrac", "idradio", "segmento", "manzana", "idviv", "idhog", "idper")
-# Unanchored exclusion patterns of the linked model.
+# Unanchored exclusion patterns of the linked model, tested on
+# lower-cased names (2001 style).
 LINKED_EXCLUDE = ("ref_id", "id_geo", "idprov", "nomprov", "iddpto", "nomdpto", "idfrac", "idradio")
+# The 2010-style list, tested case-sensitively on the names as
+# written, with one extra household pattern.
+EXCLUDE_2010 = ("REF_ID", "id_geo", "IDPROV", "NOMPROV", "IDDPTO", "NOMDPTO", "IDFRAC", "IDRADIO",
+                "MARCA_", "CLAVE", "ACT", "CODOCUP", "CONDACT",
+                "EDADAGRU", "EDADQUI", "JEFEBAJAED", "RAMA", "CARACTER",
+                "P04D", "P04M", "P04A", "C$")
+EXCLUDE_2010_EXTRA = {"HOGAR": ("V01$",)}
 
 
 def _lower(df: DataFrame) -> DataFrame:
@@ -148,12 +156,19 @@ def tabulate_linked(
     null_policy: str = "drop",
     exclude: Sequence[str] = LINKED_EXCLUDE,
     repair_rules="2001",
+    case_sensitive: bool = False,
+    extra_exclude: Mapping[str, Sequence[str]] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Linked model (``how='inner'`` as in SQL runs, ``'left'`` as in data-frame runs).
 
     Entities: vivienda(vivienda_ref_id, seg_ref_id, vars...),
     hogar(hogar_ref_id, vivienda_ref_id, vars...), persona(hogar_ref_id, vars...).
+    Variables are the columns matching none of ``exclude`` (+ the entity's
+    ``extra_exclude``), tested on the names as written when
+    ``case_sensitive``, else on lower-cased names; e.g.
+    ``exclude=EXCLUDE_2010, extra_exclude=EXCLUDE_2010_EXTRA, case_sensitive=True``.
     """
+    originals = {"VIVIENDA": vivienda, "HOGAR": hogar, "PERSONA": persona}
     lookup = area_lookup_linked(prov, dpto, frac, radio, how, repair_rules)
     seg_area = areas.roll_down(_lower(seg), "seg_ref_id", "radio_ref_id", lookup, "radio_ref_id", how=how)
     v = _lower(vivienda)
@@ -161,8 +176,9 @@ def tabulate_linked(
     sources, codes = [], []
 
     def add(ent: str, rows: DataFrame, fk: str, amap: DataFrame, key: str) -> None:
-        names = catalog.variables_excluding_patterns(rows.columns, exclude, lower=True)
-        vars_ = {f"{ent}_{n.upper()}": n for n in names}
+        pats = list(exclude) + list((extra_exclude or {}).get(ent, ()))
+        names = catalog.variables_excluding_patterns(originals[ent].columns, pats, lower=not case_sensitive)
+        vars_ = {f"{ent}_{n.upper()}": n.lower() for n in names}
         codes.extend(vars_)
         sources.append((areas.attach_area(rows, fk, amap, key, how=how), vars_))
 

@@ -80,3 +80,25 @@ def test_linked_model_end_to_end(spark, tmp_dir):
         r = long.first()
         assert (r.etiqueta_provincia, r.etiqueta_departamento) == ("Buenos Aires", "Morón")
         assert {x.entidad for x in meta.collect()} == {"VIVIENDA", "HOGAR", "PERSONA"}
+
+
+def test_linked_case_sensitive_2010_exclusion(spark, tmp_dir):
+    from areatab.plans.vintages import EXCLUDE_2010, EXCLUDE_2010_EXTRA
+
+    d = os.path.join(tmp_dir, "l2010")
+    dims = {
+        "prov": "PROV_REF_ID;IDPROV;NOMPROV\n1;6;Buenos Aires\n",
+        "dpto": "DPTO_REF_ID;PROV_REF_ID;IDDPTO;NOMDPTO\n10;1;7;Alsina\n",
+        "frac": "FRAC_REF_ID;DPTO_REF_ID;IDFRAC\n100;10;1\n",
+        "radio": "RADIO_REF_ID;FRAC_REF_ID;IDRADIO\n1000;100;1\n",
+        "seg": "SEG_REF_ID;RADIO_REF_ID\n5000;1000\n",
+        "vivienda": "VIVIENDA_REF_ID;SEG_REF_ID;V01;TIPVV;CONDACTX\n1;5000;1;2;9\n",
+        "hogar": "HOGAR_REF_ID;VIVIENDA_REF_ID;V01;H05;TOTPERC\n11;1;3;4;5\n",
+    }
+    t = {k: read_delimited(spark, _w(d, f"{k}.csv", v)) for k, v in dims.items()}
+    long, _ = tabulate_linked(t["prov"], t["dpto"], t["frac"], t["radio"], t["seg"], t["vivienda"], t["hogar"],
+                              exclude=EXCLUDE_2010, extra_exclude=EXCLUDE_2010_EXTRA, case_sensitive=True,
+                              how="left", null_policy="drop_blank")
+    codes = {r[0] for r in long.select("codigo_variable").distinct().collect()}
+    # 'ACT' removes CONDACTX, 'C$' removes TOTPERC, 'V01$' removes V01 for households only
+    assert codes == {"VIVIENDA_V01", "VIVIENDA_TIPVV", "HOGAR_H05"}
