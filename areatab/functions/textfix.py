@@ -197,4 +197,4 @@ def repair(text: Column | str, rules: Sequence[Rule] | str = "2001") -> Column:
 def count_damaged(text: Column | str) -> Column:
     """Number of '�' left in a text (0 for NULL)."""
     c = F.col(text) if isinstance(text, str) else text
-    return F.coalesce(F.length(c) - F.length(F.replace(c, F.lit(RC), F.lit(""))), F.lit(0))
+    return F.coalesce(F.length(c) - F.length(F.replace(c, F.lit(RC), F.lit(""))), F.lit(0)).cast("long")

@@ -202,7 +202,7 @@ def _tile_sql() -> str:
     ty = f"floor((1.0 - ln(tan(radians({lat})) + 1.0 / cos(radians({lat}))) / pi()) / 2.0 * {n})"
     top = f"(CAST({n} AS BIGINT) - 1)"
     return (f"SELECT z, least(greatest(CAST({tx} AS BIGINT), 0), {top}) AS tx, "
-            f"least(greatest(CAST({ty} AS BIGINT), 0), {top}) AS ty FROM ll, range(0, 11) zz(z)")
+            f"least(greatest(CAST({ty} AS BIGINT), 0), {top}) AS ty FROM ll, (SELECT CAST(range AS INTEGER) AS z FROM range(0, 11)) zz")
 
 
 def oracle_sql() -> dict[str, str]:

@@ -20,6 +20,9 @@ def _norm(v):
     return repr(v)
 
 
+DUCK_TO_SPARK = {"INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}
+
+
 def _digest(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     return hashlib.sha256("\n".join(sorted("|".join(_norm(r[i]) for i in order) for r in rows)).encode()).hexdigest()
@@ -41,10 +44,13 @@ def test_every_query_has_oracle():
 def test_query_matches_oracle(spark, con, key):
     df = QUERIES[key](spark, SF)
     rows = [tuple(r) for r in df.collect()]
+    rel = con.sql(SQL[key])
+    otypes = {c: DUCK_TO_SPARK.get(str(t).upper(), str(t).lower()) for c, t in zip(rel.columns, rel.types)}
     cur = con.execute(SQL[key])
     ocols = [d[0] for d in cur.description]
     orows = cur.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    assert dict(df.dtypes) == otypes
     assert len(rows) == len(orows)
     assert _digest(df.columns, rows) == _digest(ocols, orows)
 
