@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from areatab.functions.codes import area_key, format_code, pad_code
 from areatab.functions.textfix import RC, count_damaged, repair
 from areatab.operators import areas, consumer, geo, labels, publish
-from areatab.operators.broadcast import bounded_broadcast
+from areatab.operators.broadcast import bounded_broadcast, literal_broadcast
 from areatab.operators.frequency import check_totals, entity_count, frequencies, frequencies_multi, rollup_levels
 from areatab.plans.census import Census
 from areatab.session import scratch_path
@@ -227,7 +227,7 @@ def inline_lookup(spark, sf_dir):
     """Dwellings per province code with the inline province names (fallback 'Sin dato')."""
     c = _census(spark, sf_dir)
     counted = c.table("customer").groupBy(F.col("c_nationkey").alias("idprov")).agg(F.count(F.lit(1)).alias("n"))
-    named = counted.join(F.broadcast(provinces_1991(spark)), "idprov", "left")
+    named = counted.join(literal_broadcast(provinces_1991(spark)), "idprov", "left")
     return named.select(
         format_code("idprov", 2).alias("valor_provincia"),
         F.coalesce(F.col("nomprov"), F.lit("Sin dato")).alias("etiqueta_provincia"),

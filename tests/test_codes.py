@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from areatab.functions.codes import area_key, code_entity, code_name, format_code, pad_code, split_area_key, to_int
 
 

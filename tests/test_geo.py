@@ -1,8 +1,5 @@
-import math
 import struct
 
-from pyspark.sql import functions as F
-
 from areatab.operators.geo import bbox, decode_wkb, lonlat_to_mercator, mercator_to_lonlat, parse_wkb, point_wkb, tile_counts
 
 

@@ -1,7 +1,5 @@
 import os
 
-from pyspark.sql import functions as F
-
 from areatab.operators.frequency import frequencies
 from areatab.streaming.incremental import read_result, run_incremental
 
