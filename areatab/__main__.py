@@ -51,6 +51,8 @@ def _parser() -> argparse.ArgumentParser:
     k.add_argument("--persona", default=None)
     k.add_argument("--labels-style", choices=("lower", "upper"), default="lower")
     k.add_argument("--how", choices=("inner", "left"), default="inner")
+    k.add_argument("--hot-rows", type=int, default=None,
+                   help="salt entity joins for parents with more children than this (default: AQE skew handling)")
     k.add_argument("--exclude-style", choices=("2001", "2010"), default="2001",
                    help="variable exclusion: 2001 = lower-cased list, 2010 = case-sensitive list")
     return p
@@ -86,7 +88,7 @@ def main(argv: list[str] | None = None) -> dict:
                                      null_policy=args.null_policy or "drop",
                                      exclude=EXCLUDE_2010 if args.exclude_style == "2010" else LINKED_EXCLUDE,
                                      extra_exclude=EXCLUDE_2010_EXTRA if args.exclude_style == "2010" else None,
-                                     case_sensitive=args.exclude_style == "2010")
+                                     case_sensitive=args.exclude_style == "2010", hot_rows=args.hot_rows)
 
     long_dir, meta_dir = os.path.join(args.out, "largo"), os.path.join(args.out, "metadatos")
     publish.write_long(long, long_dir, partitions=args.partitions)

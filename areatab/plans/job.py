@@ -101,7 +101,13 @@ def run_census(
     entities: Sequence[str] = ("PERSONA", "HOGAR", "VIVIENDA"),
     null_policy: str = "keep",
     resume: bool = True,
+    hot_rows: int | None = None,
 ) -> RunResult:
+    """Run (or resume) the census tabulation into ``out_dir``.
+
+    ``hot_rows`` salts entity joins for parents with more children than that
+    (explicit skew handling; by default AQE splits skewed partitions).
+    """
     spark = census.spark
     freq_dir = os.path.join(out_dir, "frecuencias")
     man_dir = os.path.join(out_dir, "manifiesto")
@@ -116,7 +122,7 @@ def run_census(
         skipped += [code for code in census.variables[ent] if code in done]
         if todo:
             computed += list(todo)
-            parts.append((census.entity(ent), todo))
+            parts.append((census.entity(ent, hot_rows=hot_rows), todo))
     if parts:
         new = frequencies_multi(parts, null_policy=null_policy)
         # outputs of other inputs are dropped as a whole, never mixed in

@@ -158,6 +158,7 @@ def tabulate_linked(
     repair_rules="2001",
     case_sensitive: bool = False,
     extra_exclude: Mapping[str, Sequence[str]] | None = None,
+    hot_rows: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Linked model (``how='inner'`` as in SQL runs, ``'left'`` as in data-frame runs).
 
@@ -167,12 +168,14 @@ def tabulate_linked(
     ``extra_exclude``), tested on the names as written when
     ``case_sensitive``, else on lower-cased names; e.g.
     ``exclude=EXCLUDE_2010, extra_exclude=EXCLUDE_2010_EXTRA, case_sensitive=True``.
+    ``hot_rows`` salts the entity joins for parents with more children than
+    that (see ``operators.skew``).
     """
     originals = {"VIVIENDA": vivienda, "HOGAR": hogar, "PERSONA": persona}
     lookup = area_lookup_linked(prov, dpto, frac, radio, how, repair_rules)
     seg_area = areas.roll_down(_lower(seg), "seg_ref_id", "radio_ref_id", lookup, "radio_ref_id", how=how)
     v = _lower(vivienda)
-    viv_area = areas.roll_down(v, "vivienda_ref_id", "seg_ref_id", seg_area, "seg_ref_id", how=how)
+    viv_area = areas.roll_down(v, "vivienda_ref_id", "seg_ref_id", seg_area, "seg_ref_id", how=how, hot_rows=hot_rows)
     sources, codes = [], []
 
     def add(ent: str, rows: DataFrame, fk: str, amap: DataFrame, key: str) -> None:
@@ -180,14 +183,15 @@ def tabulate_linked(
         names = catalog.variables_excluding_patterns(originals[ent].columns, pats, lower=not case_sensitive)
         vars_ = {f"{ent}_{n.upper()}": n.lower() for n in names}
         codes.extend(vars_)
-        sources.append((areas.attach_area(rows, fk, amap, key, how=how), vars_))
+        sources.append((areas.attach_area(rows, fk, amap, key, how=how, hot_rows=hot_rows), vars_))
 
     add("VIVIENDA", v, "vivienda_ref_id", viv_area, "vivienda_ref_id")
     if hogar is not None:
         h = _lower(hogar)
         add("HOGAR", h, "vivienda_ref_id", viv_area, "vivienda_ref_id")
         if persona is not None:
-            hog_area = areas.roll_down(h, "hogar_ref_id", "vivienda_ref_id", viv_area, "vivienda_ref_id", how=how)
+            hog_area = areas.roll_down(h, "hogar_ref_id", "vivienda_ref_id", viv_area, "vivienda_ref_id", how=how,
+                                       hot_rows=hot_rows)
             add("PERSONA", _lower(persona), "hogar_ref_id", hog_area, "hogar_ref_id")
     freq = frequencies_multi(sources, null_policy=null_policy)
     spark = freq.sparkSession

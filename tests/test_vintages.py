@@ -63,10 +63,10 @@ def test_linked_model_end_to_end(spark, tmp_dir):
     lab_dir = os.path.join(tmp_dir, "lab")
     _w(lab_dir, "persona_labels_p2.csv", "v;l\n1;Var�n\n2;Mujer\nNA;junk\n")
     _w(lab_dir, "vivienda_labels_v4.csv", "v;l\n1;Casa\n1;Duplicada\n2;NOTAPPLICABLE\n")
-    for how in ("inner", "left"):
+    for how, hot in (("inner", None), ("left", None), ("inner", 1)):
         long, meta = tabulate_linked(
             t["prov"], t["dpto"], t["frac"], t["radio"], t["seg"], t["vivienda"], t["hogar"], t["persona"],
-            raw_labels=read_label_files(spark, lab_dir, "lower"), how=how,
+            raw_labels=read_label_files(spark, lab_dir, "lower"), how=how, hot_rows=hot,
         )
         got = _rows(long)
         assert got == {
