@@ -33,6 +33,19 @@ from areatab.functions.codes import area_key
 from areatab.operators import areas
 from areatab.operators.broadcast import bounded_broadcast
 
+def fraction_code() -> Column:
+    """Fraction code of a dwelling, derived from its key (4 fractions per department).
+
+    The modulo derives a code for every dwelling; it filters nothing.
+    """
+    return F.col("c_custkey") % 4
+
+
+def radio_code() -> Column:
+    """Radio code of a dwelling, derived from its key (5 radios per fraction)."""
+    return F.expr("(c_custkey div 4) % 5")
+
+
 # Fixed: which driver table plays which census entity.
 ENTITY_TABLES = {"PERSONA": "lineitem", "HOGAR": "orders", "VIVIENDA": "customer"}
 
@@ -155,12 +168,7 @@ class Census:
             F.col("idprov").alias("n_regionkey"), F.col("idprov").alias("r_regionkey"), F.col("nomprov").alias("r_name")
         )
         g = areas.join_chain(c, [(n, "c_nationkey"), (r, "n_regionkey")], how=how)
-        key = area_key(
-            "r_regionkey",
-            "n_nationkey",
-            F.col("c_custkey") % 4,
-            F.expr("(c_custkey div 4) % 5"),
-        )
+        key = area_key("r_regionkey", "n_nationkey", fraction_code(), radio_code())
         g = g.withColumn("id_geo", key)
         cols = ["c_custkey", "id_geo"] + (["r_regionkey", "r_name", "n_nationkey", "n_name"] if names else [])
         cols += [k for k in keep if k not in cols]
@@ -227,13 +235,12 @@ class Census:
         codes per department / fraction); every dwelling is its own segment.
         """
         cu = self.table("customer")
-        frac_code = F.col("c_custkey") % 4
-        radio_code = F.expr("(c_custkey div 4) % 5")
-        frac_id = F.col("c_nationkey").cast("long") * 10 + frac_code
-        radio_id = frac_id * 10 + radio_code
+        frac_id = F.col("c_nationkey").cast("long") * 10 + fraction_code()
+        radio_id = frac_id * 10 + radio_code()
         keyed = cu.select(
             "c_custkey", "c_nationkey", "c_mktsegment",
-            frac_id.alias("frac_ref_id"), frac_code.alias("idfrac"), radio_id.alias("radio_ref_id"), radio_code.alias("idradio"),
+            frac_id.alias("frac_ref_id"), fraction_code().alias("idfrac"),
+            radio_id.alias("radio_ref_id"), radio_code().alias("idradio"),
         )
         pv = self.variables["PERSONA"]
         hv = self.variables["HOGAR"]

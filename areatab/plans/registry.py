@@ -16,7 +16,7 @@ from areatab.functions.textfix import RC, count_damaged, repair
 from areatab.operators import areas, consumer, geo, labels, publish
 from areatab.operators.broadcast import bounded_broadcast, literal_broadcast
 from areatab.operators.frequency import check_totals, entity_count, frequencies, frequencies_multi, rollup_levels
-from areatab.plans.census import Census
+from areatab.plans.census import Census, fraction_code, radio_code
 from areatab.session import scratch_path
 from areatab.sources.inline import crosswalk_1991, provinces_1991
 
@@ -183,8 +183,7 @@ def area_key_parts(spark, sf_dir):
     cu = c.table("customer").select("c_custkey", "c_nationkey")
     n = bounded_broadcast(c.table("nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey"))
     j = cu.join(n, "c_nationkey")
-    frac = F.col("c_custkey") % 4
-    radio = F.expr("(c_custkey div 4) % 5")
+    frac, radio = fraction_code(), radio_code()
     return j.select(
         "c_custkey",
         pad_code("n_regionkey", 2).alias("valor_provincia"),
@@ -205,7 +204,7 @@ def area_code_format(spark, sf_dir):
         "c_custkey",
         format_code("n_regionkey", 2).alias("valor_provincia"),
         format_code("c_nationkey", 3).alias("valor_departamento"),
-        format_code(F.col("c_custkey") % 4, 2).alias("valor_fraccion"),
+        format_code(fraction_code(), 2).alias("valor_fraccion"),
         format_code(F.col("c_custkey"), 6).alias("valor_vivienda"),
     )
 
