@@ -49,13 +49,16 @@ LONG_SCHEMA = T.StructType(
 )
 
 
-def to_long(df: DataFrame) -> DataFrame:
+def to_long(df: DataFrame, year: int | None = None) -> DataFrame:
     """Published column names and order; ``conteo`` is always long.
 
     One schema for every input model: levels without names (fraction and
     radio labels are only in some sources) are NULL columns, never dropped.
+    Area codes are not comparable across census years, so tables of several
+    years must never be stacked on ``id_geo`` alone: pass ``year`` to add a
+    leading ``anio`` column when stacking.
     """
-    cols = []
+    cols = [] if year is None else [F.lit(int(year)).alias("anio")]
     for c in LONG_COLUMNS:
         if c in df.columns:
             cols.append(F.col(c).cast("long" if c == "conteo" else "string").alias(c))

@@ -49,3 +49,11 @@ def test_metadata_manifest_stats(spark):
     assert man == {"PERSONA_P1": ("success", 2), "HOGAR_H1": ("success", 1), "PERSONA_X": ("missing", 0)}
     s = dataset_stats(long).first()
     assert (s.total_rows, s.unique_vars, s.unique_geos) == (3, 2, 3)
+
+
+def test_year_column_for_stacking(spark):
+    a = to_long(_long(spark), year=2001)
+    b = to_long(_long(spark), year=2010)
+    assert a.columns[0] == "anio" and tuple(a.columns[1:]) == LONG_COLUMNS
+    stacked = a.unionByName(b)
+    assert stacked.groupBy("anio", "id_geo", "codigo_variable", "valor_categoria").count().filter("count > 1").count() == 0
