@@ -9,6 +9,10 @@ Each query is fully executed with the ``noop`` sink (every row computed, no
 driver collect). Queries that write tables (round trips) include the write.
 One untimed pass over the queries warms the JVM (JIT, generated-code cache);
 the timed pass follows. Set ``BENCH_WARMUP=0`` to time cold runs.
+
+For context (the published baseline has no timings), the same queries' oracle
+SQL is also timed in DuckDB on the same data and machine, warm, and reported
+as ``duckdb_same_sql_sec``; set ``BENCH_DUCKDB=0`` to skip it.
 """
 
 from __future__ import annotations
@@ -42,6 +46,28 @@ HEADLINE = (
 )
 
 
+def _duckdb_total(sf_dir: str, names: list[str]) -> float | None:
+    try:
+        import duckdb
+
+        from areatab.plans.oracle import oracle_sql
+    except ImportError:
+        return None
+    sql = oracle_sql()
+    con = duckdb.connect()
+    for t in ("region", "nation", "customer", "orders", "lineitem", "documents"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    total = 0.0
+    for name in names:
+        if name not in sql:
+            continue
+        con.execute(sql[name]).fetchall()
+        t0 = time.perf_counter()
+        con.execute(sql[name]).fetchall()
+        total += time.perf_counter() - t0
+    return round(total, 3)
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -62,6 +88,8 @@ def main() -> None:
         t0 = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
+    spark.stop()
+    duck = _duckdb_total(sf_dir, only) if os.environ.get("BENCH_DUCKDB", "1") != "0" else None
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {
         "metric": "total_sec",
@@ -71,8 +99,9 @@ def main() -> None:
         "sf": float(m.group(1)) if m else sf_dir,
         "warm": warm,
     }
+    if duck is not None:
+        out["duckdb_same_sql_sec"] = duck
     print(json.dumps(out))
-    spark.stop()
 
 
 if __name__ == "__main__":
