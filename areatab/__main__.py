@@ -62,7 +62,7 @@ def main(argv: list[str] | None = None) -> dict:
     args = _parser().parse_args(argv)
     spark = get_session(args.master)
     read = lambda path: read_delimited(spark, path, sep=args.sep, encoding=args.encoding)
-    var_labels = read_dictionary(spark, args.dictionary).select("codigo_variable", "etiqueta_variable") if args.dictionary else None
+    var_labels = read_dictionary(spark, args.dictionary) if args.dictionary else None
 
     if args.model == "flat":
         entities = dict(e.split("=", 1) for e in args.entity)

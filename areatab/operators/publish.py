@@ -71,24 +71,33 @@ def to_metadata(long: DataFrame, variable_labels: DataFrame | None = None) -> Da
     """Distinct category x variable dictionary with variable labels.
 
     Distinct is taken first on the three label columns (partial aggregation
-    map side), then the small result is joined to the variable labels.
+    map side), then the small result is joined to the variable labels
+    ``(codigo_variable, etiqueta_variable[, nombre_variable, entidad])``.
+    Name and entity come from that dictionary when it has them (names may
+    contain ``_``); otherwise they are cut from the code.
     """
     cats = long.select("valor_categoria", "etiqueta_categoria", "codigo_variable").distinct()
     name = code_name("codigo_variable")
+    entity = code_entity("codigo_variable")
+    vlabel = name
     if variable_labels is not None:
-        vl = variable_labels.select("codigo_variable", F.col("etiqueta_variable").alias("_vlabel"))
-        vl = bounded_broadcast(vl)
-        cats = cats.join(vl, "codigo_variable", "left")
+        extra = [c for c in ("nombre_variable", "entidad") if c in variable_labels.columns]
+        vl = variable_labels.select(
+            "codigo_variable", F.col("etiqueta_variable").alias("_vlabel"), *[F.col(c).alias(f"_{c}") for c in extra]
+        )
+        cats = cats.join(bounded_broadcast(vl), "codigo_variable", "left")
+        if "nombre_variable" in extra:
+            name = F.coalesce(F.col("_nombre_variable"), name)
+        if "entidad" in extra:
+            entity = F.coalesce(F.col("_entidad"), entity)
         vlabel = F.coalesce(F.col("_vlabel"), name)
-    else:
-        vlabel = name
     return cats.select(
         "valor_categoria",
         "etiqueta_categoria",
         "codigo_variable",
         name.alias("nombre_variable"),
         vlabel.alias("etiqueta_variable"),
-        code_entity("codigo_variable").alias("entidad"),
+        entity.alias("entidad"),
     )
 
 

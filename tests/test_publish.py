@@ -57,3 +57,14 @@ def test_year_column_for_stacking(spark):
     assert a.columns[0] == "anio" and tuple(a.columns[1:]) == LONG_COLUMNS
     stacked = a.unionByName(b)
     assert stacked.groupBy("anio", "id_geo", "codigo_variable", "valor_categoria").count().filter("count > 1").count() == 0
+
+
+def test_metadata_prefers_dictionary_names(spark):
+    long = to_long(spark.createDataFrame(
+        [("020070101", "PERSONA_P07_A", "1", 2)], "id_geo string, codigo_variable string, valor_categoria string, conteo long"))
+    d = spark.createDataFrame([("PERSONA_P07_A", "Lugar", "P07_A", "PERSONA")],
+                              "codigo_variable string, etiqueta_variable string, nombre_variable string, entidad string")
+    r = to_metadata(long, d).first()
+    assert (r.nombre_variable, r.etiqueta_variable, r.entidad) == ("P07_A", "Lugar", "PERSONA")
+    r2 = to_metadata(long, d.select("codigo_variable", "etiqueta_variable")).first()
+    assert r2.nombre_variable == "P07"  # cut at '_' when no dictionary name is given, as published
