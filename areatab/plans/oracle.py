@@ -212,6 +212,8 @@ def oracle_sql() -> dict[str, str]:
     q["freq_drop_nulls"] = _with(G, H, P) + _freq("p", PERSONA, "drop")
     q["freq_keep_nulls"] = _with(G, H, P) + _freq("p", PERSONA, "keep")
     q["freq_stream"] = q["freq_keep_nulls"]
+    q["freq_native_codes"] = _with(G, H, P) + _freq(
+        "p", {"PERSONA_LINENUMBER": "CAST(l_linenumber AS VARCHAR)", "PERSONA_SHIPYEAR": "CAST(year(l_shipdate) AS VARCHAR)"}, "keep")
     blank = dict(PERSONA)
     blank["PERSONA_RETURNFLAG"] = "CASE WHEN l_returnflag = 'A' THEN '' ELSE l_returnflag END"
     q["freq_drop_blank"] = _with(G, H, P) + _freq("p", blank, "drop_blank")

@@ -131,6 +131,17 @@ def freq_stream(spark, sf_dir):
     return read_result(spark, f"{base}/out")
 
 
+def freq_native_codes(spark, sf_dir):
+    """Integer-coded person variables counted on their native codes.
+
+    Line number and ship year are integers, so the aggregate groups on long
+    codes and formats each category as text once per group.
+    """
+    c = _census(spark, sf_dir)
+    variables = {"PERSONA_LINENUMBER": F.col("l_linenumber"), "PERSONA_SHIPYEAR": F.year("l_shipdate")}
+    return frequencies(c.entity("PERSONA"), variables, null_policy="keep")
+
+
 def freq_hogar(spark, sf_dir):
     return _freq(_census(spark, sf_dir), "HOGAR", "drop")
 
@@ -545,6 +556,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "freq_drop_blank": freq_drop_blank,
     "freq_salted": freq_salted,
     "freq_stream": freq_stream,
+    "freq_native_codes": freq_native_codes,
     "freq_hogar": freq_hogar,
     "freq_vivienda": freq_vivienda,
     "freq_left_chain": freq_left_chain,

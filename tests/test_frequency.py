@@ -47,3 +47,28 @@ def test_totals_invariant(spark, rows):
     d = frequencies(df, {"E_V1": "v1"}, null_policy="drop")
     total = d.agg(F.sum("conteo")).first()[0] or 0
     assert total == sum(1 for r in rows if r[1] is not None)
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["A", "B", None]), st.sampled_from([1, 2, 10, None]), st.sampled_from([0, 7, None])),
+                min_size=1, max_size=40))
+def test_integer_codes_path_equals_text_path(spark, rows):
+    df = spark.createDataFrame(rows, "id_geo string, a int, b long")
+    for policy in ("keep", "drop", "drop_blank"):
+        native = frequencies(df, {"E_A": "a", "E_B": "b"}, null_policy=policy)
+        text = frequencies(df, {"E_A": F.col("a").cast("string"), "E_B": F.col("b").cast("string")}, null_policy=policy)
+        assert dict(native.dtypes) == dict(text.dtypes)
+        assert sorted(map(tuple, native.collect())) == sorted(map(tuple, text.collect())), policy
+
+
+def test_integer_path_is_planned_on_long_codes(spark):
+    import contextlib
+    import io
+
+    df = spark.createDataFrame([("A", 1), ("A", None)], "id_geo string, a int")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        frequencies(df, {"E_A": "a"}, null_policy="keep").explain()
+    plan = buf.getvalue()
+    # grouped on the numeric code; text is made after the aggregate
+    assert "_v#" in plan and "partial_count" in plan
