@@ -120,10 +120,13 @@ def area_lookup_linked(
     if repair_rules is not None:
         p = p.withColumn("nomprov", repair("nomprov", repair_rules))
         d = d.withColumn("nomdpto", repair("nomdpto", repair_rules))
+    # fraction and radio names exist only in some sources
+    rname = F.col("nomradio") if "nomradio" in r.columns else F.lit(None).cast("string")
+    fname = F.col("nomfrac") if "nomfrac" in f.columns else F.lit(None).cast("string")
     g = areas.join_chain(
-        r.select("radio_ref_id", "frac_ref_id", "idradio"),
+        r.select("radio_ref_id", "frac_ref_id", "idradio", rname.alias("nomradio")),
         [
-            (f.select("frac_ref_id", "dpto_ref_id", "idfrac"), "frac_ref_id"),
+            (f.select("frac_ref_id", "dpto_ref_id", "idfrac", fname.alias("nomfrac")), "frac_ref_id"),
             (d.select("dpto_ref_id", "prov_ref_id", "iddpto", "nomdpto"), "dpto_ref_id"),
             (p.select("prov_ref_id", "idprov", "nomprov"), "prov_ref_id"),
         ],
@@ -137,7 +140,9 @@ def area_lookup_linked(
         pad_code("iddpto", 3).alias("valor_departamento"),
         F.coalesce(F.col("nomdpto"), F.lit("Sin dato")).alias("etiqueta_departamento"),
         pad_code("idfrac", 2).alias("valor_fraccion"),
+        F.col("nomfrac").alias("etiqueta_fraccion"),
         pad_code("idradio", 2).alias("valor_radio"),
+        F.col("nomradio").alias("etiqueta_radio"),
     )
 
 

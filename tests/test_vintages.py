@@ -53,7 +53,7 @@ def test_linked_model_end_to_end(spark, tmp_dir):
         "prov": "prov_ref_id;idprov;nomprov\n1;02;Buenos Aires\n",
         "dpto": "dpto_ref_id;prov_ref_id;iddpto;nomdpto\n10;1;007;Mor�n\n",
         "frac": "frac_ref_id;dpto_ref_id;idfrac\n100;10;01\n",
-        "radio": "radio_ref_id;frac_ref_id;idradio\n1000;100;01\n1001;100;02\n",
+        "radio": "radio_ref_id;frac_ref_id;idradio;nomradio\n1000;100;01;Centro\n1001;100;02;Norte\n",
         "seg": "seg_ref_id;radio_ref_id\n5000;1000\n5001;1001\n5002;9999\n",
         "vivienda": "vivienda_ref_id;seg_ref_id;V4\n1;5000;1\n2;5001;2\n3;5002;1\n",
         "hogar": "hogar_ref_id;vivienda_ref_id;H10\n11;1;1\n12;2;\n13;3;1\n",
@@ -77,8 +77,9 @@ def test_linked_model_end_to_end(spark, tmp_dir):
             ("020070101", "PERSONA_P2", "2"): ("Mujer", 1),
             ("020070102", "PERSONA_P2", "1"): ("Varón", 1),
         }, how
-        r = long.first()
+        r = long.filter("id_geo = '020070102'").first()
         assert (r.etiqueta_provincia, r.etiqueta_departamento) == ("Buenos Aires", "Morón")
+        assert (r.etiqueta_fraccion, r.etiqueta_radio) == (None, "Norte")
         assert {x.entidad for x in meta.collect()} == {"VIVIENDA", "HOGAR", "PERSONA"}
 
 
