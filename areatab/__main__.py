@@ -43,6 +43,8 @@ def _parser() -> argparse.ArgumentParser:
     f.add_argument("--entity", action="append", required=True, metavar="NAME=PATH")
     f.add_argument("--departments", default=None, help="department file (provin_ref_id;depto;nombdepto)")
     f.add_argument("--label-map", default=None, help="file with codigo_variable;label_file;etiqueta_variable")
+    f.add_argument("--level-label", action="append", default=[], metavar="LEVEL=COLUMN",
+                   help="area label carried on the rows (provincia, departamento, fraccion, radio); repeatable")
 
     k = sub.add_parser("linked", parents=[common], help="reference-id chains through area files")
     for name in ("prov", "dpto", "frac", "radio", "seg", "vivienda"):
@@ -75,8 +77,9 @@ def main(argv: list[str] | None = None) -> dict:
                 raw = read_mapped_label_files(spark, args.labels_dir, m, sep=args.sep, encoding=args.labels_encoding)
             if var_labels is None and "etiqueta_variable" in m.columns:
                 var_labels = m.select("codigo_variable", "etiqueta_variable")
-        long, meta = tabulate_flat(frames, provinces_1991(spark), departments, raw, var_labels,
-                                   null_policy=args.null_policy or "keep")
+        levels = dict(x.split("=", 1) for x in args.level_label) or None
+        long, meta = tabulate_flat(frames, None if levels else provinces_1991(spark), departments, raw, var_labels,
+                                   null_policy=args.null_policy or "keep", level_labels=levels)
     else:
         t = {n: read(getattr(args, n)) for n in ("prov", "dpto", "frac", "radio", "seg", "vivienda")}
         hogar = read(args.hogar) if args.hogar else None

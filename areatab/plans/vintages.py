@@ -23,7 +23,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from areatab.functions.codes import area_key, pad_code, to_int
+from areatab.functions.codes import area_key, pad_code, split_area_key, to_int
 from areatab.functions.textfix import repair
 from areatab.operators import areas, catalog, labels, publish
 from areatab.operators.broadcast import bounded_broadcast
@@ -69,33 +69,72 @@ def _publish(freq: DataFrame, area_names: DataFrame, lab: DataFrame, variable_la
     return long, publish.to_metadata(long, variable_labels)
 
 
+# Published label column of each area level.
+LEVEL_LABELS = {
+    "provincia": "etiqueta_provincia",
+    "departamento": "etiqueta_departamento",
+    "fraccion": "etiqueta_fraccion",
+    "radio": "etiqueta_radio",
+}
+
+
 def tabulate_flat(
     entities: Mapping[str, DataFrame],
-    provinces: DataFrame,
+    provinces: DataFrame | None = None,
     departments: DataFrame | None = None,
     raw_labels: DataFrame | None = None,
     variable_labels: DataFrame | None = None,
     null_policy: str = "keep",
     repair_rules="1991",
+    level_labels: Mapping[str, str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Flat model. ``entities`` maps ENTITY -> rows with area codes on each row.
 
     ``provinces``: (idprov int, nomprov); ``departments``: (idprov int,
     iddpto int, nomdpto), e.g. after a crosswalk; ``raw_labels``: label rows
     (codigo_variable, valor_categoria, etiqueta_categoria, archivo, linea).
+
+    ``level_labels`` maps a level (provincia, departamento, fraccion, radio)
+    to a label column carried on the rows, as some sources deliver each
+    level's value and label with every row. Counts are still aggregated on
+    ``id_geo`` only; the labels are attached afterwards from one row per area
+    (a grouped aggregate, bounded by the number of areas), replacing the
+    dimension lookups.
     """
-    sources, codes = [], []
+    level_labels = {k: v.lower() for k, v in (level_labels or {}).items()}
+    unknown = set(level_labels) - set(LEVEL_LABELS)
+    if unknown:
+        raise ValueError(f"unknown levels {sorted(unknown)}; use {sorted(LEVEL_LABELS)}")
+    sources, codes, area_rows = [], [], []
     for ent, df in entities.items():
         d = _lower(df)
-        names = catalog.variables_excluding_names(d.columns, FLAT_KEYS)
+        names = catalog.variables_excluding_names(d.columns, FLAT_KEYS + tuple(level_labels.values()))
         vars_ = {f"{ent.upper()}_{v.upper()}": v for v in names}
         codes += list(vars_)
         d = d.withColumn("id_geo", area_key("idprov", "iddpto", "idfrac", "idradio"))
         sources.append((d, vars_))
+        if level_labels:
+            area_rows.append(d.select("id_geo", *[F.col(c).alias(LEVEL_LABELS[lv]) for lv, c in level_labels.items()]))
     freq = frequencies_multi(sources, null_policy=null_policy)
     spark = freq.sparkSession
     code_df = spark.createDataFrame([(c,) for c in codes], "codigo_variable string")
     lab = _labels(raw_labels, code_df, repair_rules)
+    if level_labels:
+        rows = area_rows[0]
+        for other in area_rows[1:]:
+            rows = rows.unionByName(other)
+        label_cols = [LEVEL_LABELS[lv] for lv in level_labels]
+        if repair_rules is not None:
+            rows = rows.select("id_geo", *[repair(c, repair_rules).alias(c) for c in label_cols])
+        names = rows.filter(F.col("id_geo").isNotNull()).groupBy("id_geo").agg(*[F.min(c).alias(c) for c in label_cols])
+        parts = split_area_key("id_geo")
+        codes_cols = {"valor_provincia": parts[0], "valor_departamento": parts[1], "valor_fraccion": parts[2],
+                      "valor_radio": parts[3]}
+        long = freq.withColumns(codes_cols).join(names, "id_geo", "left")
+        long = publish.to_long(labels.attach_labels(long, lab))
+        return long, publish.to_metadata(long, variable_labels)
+    if provinces is None:
+        raise ValueError("provinces are required unless level_labels are given")
     provs = provinces
     dptos = departments
     if repair_rules is not None and dptos is not None:

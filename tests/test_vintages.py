@@ -103,3 +103,18 @@ def test_linked_case_sensitive_2010_exclusion(spark, tmp_dir):
     codes = {r[0] for r in long.select("codigo_variable").distinct().collect()}
     # 'ACT' removes CONDACTX, 'C$' removes TOTPERC, 'V01$' removes V01 for households only
     assert codes == {"VIVIENDA_V01", "VIVIENDA_TIPVV", "HOGAR_H05"}
+
+
+def test_flat_model_with_level_labels_on_rows(spark, tmp_dir):
+    p = _w(tmp_dir, "viv.csv",
+           "IDPROV;PROV_LABEL;IDDPTO;DPTO_LABEL;IDFRAC;FRAC_LABEL;IDRADIO;RAD_LABEL;TIPO\n"
+           "02;Caba;007;Comuna 7;01;Fr 1;01;Rd 1;1\n02;Caba;007;Comuna 7;01;Fr 1;01;Rd 1;2\n"
+           "06;Buenos Aires;014;Ayacucho;02;Fr 2;03;Rd 3;1\n")
+    levels = {"provincia": "PROV_LABEL", "departamento": "DPTO_LABEL", "fraccion": "FRAC_LABEL", "radio": "RAD_LABEL"}
+    long, meta = tabulate_flat({"VIVIENDA": read_delimited(spark, p)}, level_labels=levels, null_policy="drop")
+    got = {(r.id_geo, r.valor_categoria): r for r in long.collect()}
+    assert set(got) == {("020070101", "1"), ("020070101", "2"), ("060140203", "1")}
+    r = got[("060140203", "1")]
+    assert (r.valor_provincia, r.etiqueta_provincia, r.valor_departamento, r.etiqueta_departamento) == ("06", "Buenos Aires", "014", "Ayacucho")
+    assert (r.valor_fraccion, r.etiqueta_fraccion, r.valor_radio, r.etiqueta_radio, r.conteo) == ("02", "Fr 2", "03", "Rd 3", 1)
+    assert {x.codigo_variable for x in meta.collect()} == {"VIVIENDA_TIPO"}  # label columns are not variables
