@@ -293,6 +293,14 @@ def oracle_sql() -> dict[str, str]:
     q["long_roundtrip"] = q["publish_long"]
     q["census_job"] = q["publish_long"]
     q["linked_model"] = q["publish_long"]
+    level_long = LONG_SELECT.replace(
+        "coalesce(n.n_name, 'Sin dato') AS etiqueta_departamento", "n.n_name AS etiqueta_departamento").replace(
+        "CAST(NULL AS VARCHAR) AS etiqueta_fraccion", "'Fraccion ' || substr(f.id_geo, 6, 2) AS etiqueta_fraccion").replace(
+        "CAST(NULL AS VARCHAR) AS etiqueta_radio", "'Radio ' || substr(f.id_geo, 8, 2) AS etiqueta_radio").replace(
+        "printf('%02d', CAST(substr(f.id_geo, 1, 2) AS INTEGER))", "substr(f.id_geo, 1, 2)").replace(
+        "printf('%03d', CAST(substr(f.id_geo, 3, 3) AS INTEGER))", "substr(f.id_geo, 3, 3)")
+    q["flat_level_labels"] = _with(G, H, P, "f AS (" + _freq("p", PERSONA, "keep") + ")", RAW, CL, SL,
+                                   "long AS (" + level_long + ")") + f"SELECT {LONG_COLS} FROM long"
     q["flat_model"] = _with(*LONG_CTES) + f"SELECT {LONG_COLS} FROM long WHERE codigo_variable LIKE 'PERSONA%'"
     q["variable_partition_roundtrip"] = _with(*LONG_CTES) + f"SELECT {LONG_COLS} FROM long WHERE codigo_variable = 'HOGAR_STATUS'"
     q["publish_metadata"] = _with(*LONG_CTES, METADATA) + "SELECT * FROM meta"

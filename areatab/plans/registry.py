@@ -361,6 +361,35 @@ def flat_model(spark, sf_dir):
     return long
 
 
+def flat_level_labels(spark, sf_dir):
+    """Flat-model pipeline where every person row carries each area level's
+    code and label; labels are attached after counting, one row per area."""
+    from areatab.plans.vintages import tabulate_flat
+
+    c = _census(spark, sf_dir)
+    g = c.dwelling_area(names=True)
+    g = g.select(
+        F.col("c_custkey").alias("o_custkey"),
+        F.substring("id_geo", 1, 2).alias("IDPROV"), F.col("r_name").alias("PROV_LABEL"),
+        F.substring("id_geo", 3, 3).alias("IDDPTO"), F.col("n_name").alias("DPTO_LABEL"),
+        F.substring("id_geo", 6, 2).alias("IDFRAC"), F.concat(F.lit("Fraccion "), F.substring("id_geo", 6, 2)).alias("FRAC_LABEL"),
+        F.substring("id_geo", 8, 2).alias("IDRADIO"), F.concat(F.lit("Radio "), F.substring("id_geo", 8, 2)).alias("RAD_LABEL"),
+    )
+    level_cols = ("IDPROV", "PROV_LABEL", "IDDPTO", "DPTO_LABEL", "IDFRAC", "FRAC_LABEL", "IDRADIO", "RAD_LABEL")
+    hm = areas.roll_down(c.table("orders"), "o_orderkey", "o_custkey", g, "o_custkey", area_cols=level_cols)
+    pv = c.variables["PERSONA"]
+    persons = c.table("lineitem").select(
+        F.col("l_orderkey").alias("o_orderkey"), pv["PERSONA_RETURNFLAG"].alias("RETURNFLAG"),
+        pv["PERSONA_STATUS"].alias("STATUS"), pv["PERSONA_LINENUMBER"].alias("LINENUMBER"),
+    ).join(hm.hint("shuffle_hash"), "o_orderkey").drop("o_orderkey")
+    levels = {"provincia": "PROV_LABEL", "departamento": "DPTO_LABEL", "fraccion": "FRAC_LABEL", "radio": "RAD_LABEL"}
+    long, _ = tabulate_flat(
+        {"PERSONA": persons}, raw_labels=c.raw_labels().withColumn("orden", F.col("linea")),
+        variable_labels=c.variable_labels(), level_labels=levels,
+    )
+    return long
+
+
 def publish_metadata(spark, sf_dir):
     c = _census(spark, sf_dir)
     return publish.to_metadata(_long(c), c.variable_labels())
@@ -581,6 +610,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "census_job": census_job,
     "linked_model": linked_model,
     "flat_model": flat_model,
+    "flat_level_labels": flat_level_labels,
     "publish_metadata": publish_metadata,
     "dataset_stats": dataset_stats,
     "table_counts": table_counts,
