@@ -81,10 +81,15 @@ def fingerprint(spark: SparkSession, frames: Sequence[DataFrame]) -> str:
 
 
 def previous_fingerprint(spark: SparkSession, man_dir: str) -> str | None:
+    """Fingerprint of the last run (None if there was none).
+
+    A manifest without exactly one fingerprint cannot vouch for its outputs,
+    so it yields a value that never matches and forces a full recomputation.
+    """
     if not _exists(spark, man_dir):
         return None
     rows = spark.read.parquet(man_dir).select("huella").distinct().collect()
-    return rows[0][0] if len(rows) == 1 else None
+    return rows[0][0] if len(rows) == 1 and rows[0][0] else "<unknown>"
 
 
 def produced_codes(spark: SparkSession, freq_dir: str) -> set[str]:
