@@ -1,15 +1,20 @@
 """Area frequency tables: the one core computation.
 
-For an entity table that already carries its area key, produce
+For entity tables that already carry their area key, produce
 ``(area..., codigo_variable, valor_categoria, conteo)`` for every requested
-variable in ONE pass: cast the variables to text, ``unpivot`` them into
-(variable, value) rows and run a single ``groupBy(...).count()``. Catalyst
-plans this as Expand -> partial HashAggregate (map side) -> shuffle of the
-partial counts -> final HashAggregate, so a hot area or a hot category is
-collapsed before it is shuffled and never lands whole in one task.
+variable in ONE pass: ``unpivot`` the variables into (variable, value) rows,
+union the entities and run a single ``groupBy(...).count()``. Catalyst plans
+this as Expand -> partial HashAggregate (map side) -> shuffle of the partial
+counts -> final HashAggregate, so a hot area or a hot category is collapsed
+before it is shuffled and never lands whole in one task.
+
+Values are published as text. Mixed or text variables are cast before the
+aggregate; when every variable is integer-coded the aggregate runs on the
+native codes and each category is formatted once per group.
 
 The reference runs one GROUP BY per variable (and re-joins the fact chain
-each time); here the cost is one scan and one shuffle of partial counts.
+each time); here the cost is one scan per entity and one shuffle of partial
+counts for the whole run.
 """
 
 from __future__ import annotations
