@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import os
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -100,34 +100,37 @@ def produced_codes(spark: SparkSession, freq_dir: str) -> set[str]:
     return {r[0] for r in df.select("codigo_variable").distinct().collect()}
 
 
-def run_census(
-    census: Census,
+def run_resumable(
+    spark: SparkSession,
+    sources: Mapping[str, tuple[DataFrame, Mapping]],
+    publish_fn: Callable[[DataFrame], DataFrame],
     out_dir: str,
-    entities: Sequence[str] = ("PERSONA", "HOGAR", "VIVIENDA"),
+    inputs: Sequence[DataFrame] = (),
+    variable_labels: DataFrame | None = None,
     null_policy: str = "keep",
     resume: bool = True,
-    hot_rows: int | None = None,
 ) -> RunResult:
-    """Run (or resume) the census tabulation into ``out_dir``.
+    """Run (or resume) a tabulation into ``out_dir``; see the module notes.
 
-    ``hot_rows`` salts entity joins for parents with more children than that
-    (explicit skew handling; by default AQE splits skewed partitions).
+    ``sources`` maps each entity to ``(rows with id_geo, {code: column})``;
+    ``publish_fn`` turns the frequency table into the published long table
+    (area and category labels); ``inputs`` are the frames whose files make up
+    the input fingerprint.
     """
-    spark = census.spark
     freq_dir = os.path.join(out_dir, "frecuencias")
     man_dir = os.path.join(out_dir, "manifiesto")
-    tables = ["lineitem", "orders", "customer", "nation", "region"]
-    huella = fingerprint(spark, [census.table(t) for t in tables])
+    huella = fingerprint(spark, list(inputs))
     # resume only over outputs made from the same inputs
     same_inputs = previous_fingerprint(spark, man_dir) in (None, huella)
     done = produced_codes(spark, freq_dir) if resume and same_inputs else set()
-    computed, skipped, parts = [], [], []
-    for ent in entities:
-        todo = {code: expr for code, expr in census.variables[ent].items() if code not in done}
-        skipped += [code for code in census.variables[ent] if code in done]
+    computed, skipped, parts, requested = [], [], [], []
+    for _, (rows, variables) in sources.items():
+        requested += list(variables)
+        todo = {code: expr for code, expr in variables.items() if code not in done}
+        skipped += [code for code in variables if code in done]
         if todo:
             computed += list(todo)
-            parts.append((census.entity(ent, hot_rows=hot_rows), todo))
+            parts.append((rows, todo))
     if parts:
         new = frequencies_multi(parts, null_policy=null_policy)
         # outputs of other inputs are dropped as a whole, never mixed in
@@ -136,18 +139,15 @@ def run_census(
         )
 
     freq = spark.read.schema(FREQ_SCHEMA).parquet(freq_dir)
-    labelled = areas.label_areas(freq, census.provinces(), census.departments())
-    labelled = labels.attach_labels(labelled, labels.add_sentinel(labels.clean_labels(census.raw_labels(), "linea"), census.variable_codes()))
-    long = publish.to_long(labelled)
     long_dir = os.path.join(out_dir, "largo")
-    publish.write_long(long, long_dir)
+    publish.write_long(publish_fn(freq), long_dir)
 
     long_back = publish.read_long(spark, long_dir)
     meta_dir = os.path.join(out_dir, "metadatos")
-    publish.to_metadata(long_back, census.variable_labels()).write.mode("overwrite").option("compression", "zstd").parquet(meta_dir)
+    publish.export(publish.to_metadata(long_back, variable_labels), meta_dir)
 
-    requested = census.variable_codes().filter(F.split_part("codigo_variable", F.lit("_"), F.lit(1)).isin(list(entities)))
-    manifest = publish.run_manifest(requested, publish.produced_variables(freq))
+    req = spark.createDataFrame([(c,) for c in requested], "codigo_variable string")
+    manifest = publish.run_manifest(req, publish.produced_variables(freq))
     if skipped:
         # produced by an earlier run over the same inputs and reused as is
         manifest = manifest.withColumn(
@@ -159,6 +159,31 @@ def run_census(
     return RunResult(freq_dir, long_dir, meta_dir, man_dir, computed, skipped)
 
 
+def run_census(
+    census: Census,
+    out_dir: str,
+    entities: Sequence[str] = ("PERSONA", "HOGAR", "VIVIENDA"),
+    null_policy: str = "keep",
+    resume: bool = True,
+    hot_rows: int | None = None,
+) -> RunResult:
+    """Run (or resume) the census tabulation of the test-table model into ``out_dir``.
+
+    ``hot_rows`` salts entity joins for parents with more children than that
+    (explicit skew handling; by default AQE splits skewed partitions).
+    """
+    sources = {ent: (census.entity(ent, hot_rows=hot_rows), census.variables[ent]) for ent in entities}
+    lab = labels.add_sentinel(labels.clean_labels(census.raw_labels(), "linea"), census.variable_codes())
+
+    def publish_fn(freq: DataFrame) -> DataFrame:
+        labelled = areas.label_areas(freq, census.provinces(), census.departments())
+        return publish.to_long(labels.attach_labels(labelled, lab))
+
+    tables = ["lineitem", "orders", "customer", "nation", "region"]
+    return run_resumable(census.spark, sources, publish_fn, out_dir, [census.table(t) for t in tables],
+                         census.variable_labels(), null_policy, resume)
+
+
 def read_outputs(spark: SparkSession, result: RunResult) -> dict[str, DataFrame]:
     return {
         "largo": publish.read_long(spark, result.largo),
