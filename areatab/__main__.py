@@ -18,8 +18,10 @@ import os
 import sys
 
 from areatab.operators import publish
+from areatab.operators.frequency import frequencies_multi
+from areatab.plans.job import run_resumable
 from areatab.plans.vintages import (EXCLUDE_2010, EXCLUDE_2010_EXTRA, LINKED_EXCLUDE, crosswalk_departments,
-                                    tabulate_flat, tabulate_linked)
+                                    flat_plan, linked_plan)
 from areatab.session import get_session
 from areatab.sources.files import read_delimited, read_dictionary, read_label_files, read_mapped_label_files
 from areatab.sources.inline import crosswalk_1991, provinces_1991
@@ -38,6 +40,8 @@ def _parser() -> argparse.ArgumentParser:
     common.add_argument("--dictionary", default=None, help="XML variable dictionary (variable labels)")
     common.add_argument("--null-policy", choices=("keep", "drop", "drop_blank"), default=None)
     common.add_argument("--partitions", type=int, default=None, help="output range partitions")
+    common.add_argument("--resume", action="store_true",
+                        help="resumable run: keep variables already tabulated in --out from the same inputs")
 
     f = sub.add_parser("flat", parents=[common], help="area codes on every entity row")
     f.add_argument("--entity", action="append", required=True, metavar="NAME=PATH")
@@ -78,27 +82,39 @@ def main(argv: list[str] | None = None) -> dict:
             if var_labels is None and "etiqueta_variable" in m.columns:
                 var_labels = m.select("codigo_variable", "etiqueta_variable")
         levels = dict(x.split("=", 1) for x in args.level_label) or None
-        long, meta = tabulate_flat(frames, None if levels else provinces_1991(spark), departments, raw, var_labels,
-                                   null_policy=args.null_policy or "keep", level_labels=levels)
+        sources, publish_fn = flat_plan(frames, None if levels else provinces_1991(spark), departments, raw,
+                                        level_labels=levels)
+        inputs = list(frames.values())
+        policy = args.null_policy or "keep"
     else:
         t = {n: read(getattr(args, n)) for n in ("prov", "dpto", "frac", "radio", "seg", "vivienda")}
         hogar = read(args.hogar) if args.hogar else None
         persona = read(args.persona) if args.persona else None
         raw = (read_label_files(spark, args.labels_dir, args.labels_style, sep=args.sep, encoding=args.labels_encoding)
                if args.labels_dir else None)
-        long, meta = tabulate_linked(t["prov"], t["dpto"], t["frac"], t["radio"], t["seg"], t["vivienda"], hogar, persona,
-                                     raw_labels=raw, variable_labels=var_labels, how=args.how,
-                                     null_policy=args.null_policy or "drop",
-                                     exclude=EXCLUDE_2010 if args.exclude_style == "2010" else LINKED_EXCLUDE,
-                                     extra_exclude=EXCLUDE_2010_EXTRA if args.exclude_style == "2010" else None,
-                                     case_sensitive=args.exclude_style == "2010", hot_rows=args.hot_rows)
+        sources, publish_fn = linked_plan(
+            t["prov"], t["dpto"], t["frac"], t["radio"], t["seg"], t["vivienda"], hogar, persona,
+            raw_labels=raw, how=args.how,
+            exclude=EXCLUDE_2010 if args.exclude_style == "2010" else LINKED_EXCLUDE,
+            extra_exclude=EXCLUDE_2010_EXTRA if args.exclude_style == "2010" else None,
+            case_sensitive=args.exclude_style == "2010", hot_rows=args.hot_rows)
+        inputs = [x for x in [*t.values(), hogar, persona] if x is not None]
+        policy = args.null_policy or "drop"
 
-    long_dir, meta_dir = os.path.join(args.out, "largo"), os.path.join(args.out, "metadatos")
-    publish.write_long(long, long_dir, partitions=args.partitions)
-    back = publish.read_long(spark, long_dir)
-    publish.export(publish.to_metadata(back, var_labels), meta_dir)
+    if args.resume:
+        res = run_resumable(spark, sources, publish_fn, args.out, inputs, var_labels, policy)
+        long_dir, meta_dir = res.largo, res.metadatos
+        back = publish.read_long(spark, long_dir)
+        extra = {"computed": res.computed, "skipped": res.skipped, "manifiesto": res.manifiesto}
+    else:
+        freq = frequencies_multi(list(sources.values()), null_policy=policy)
+        long_dir, meta_dir = os.path.join(args.out, "largo"), os.path.join(args.out, "metadatos")
+        publish.write_long(publish_fn(freq), long_dir, partitions=args.partitions)
+        back = publish.read_long(spark, long_dir)
+        publish.export(publish.to_metadata(back, var_labels), meta_dir)
+        extra = {}
     stats = publish.dataset_stats(back).first().asDict()
-    stats.update({"largo": long_dir, "metadatos": meta_dir})
+    stats.update({"largo": long_dir, "metadatos": meta_dir, **extra})
     print(json.dumps(stats))
     return stats
 

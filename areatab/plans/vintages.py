@@ -18,7 +18,7 @@ case-insensitively by lower-casing them first.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -61,14 +61,6 @@ def _labels(raw: DataFrame | None, codes: DataFrame, rules, junk=("NA",)) -> Dat
     return labels.add_sentinel(base, codes)
 
 
-def _publish(freq: DataFrame, area_names: DataFrame, lab: DataFrame, variable_labels: DataFrame | None):
-    """Attach area names (by id_geo) and category labels; build metadata."""
-    long = freq.join(bounded_broadcast(area_names), "id_geo", "left")
-    long = labels.attach_labels(long, lab)
-    long = publish.to_long(long)
-    return long, publish.to_metadata(long, variable_labels)
-
-
 # Published label column of each area level.
 LEVEL_LABELS = {
     "provincia": "etiqueta_provincia",
@@ -78,17 +70,17 @@ LEVEL_LABELS = {
 }
 
 
-def tabulate_flat(
+def flat_plan(
     entities: Mapping[str, DataFrame],
     provinces: DataFrame | None = None,
     departments: DataFrame | None = None,
     raw_labels: DataFrame | None = None,
-    variable_labels: DataFrame | None = None,
-    null_policy: str = "keep",
     repair_rules="1991",
     level_labels: Mapping[str, str] | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """Flat model. ``entities`` maps ENTITY -> rows with area codes on each row.
+) -> tuple[dict, Callable[[DataFrame], DataFrame]]:
+    """Flat model as ``(sources, publish_fn)``, like :func:`linked_plan`.
+
+    Flat model. ``entities`` maps ENTITY -> rows with area codes on each row.
 
     ``provinces``: (idprov int, nomprov); ``departments``: (idprov int,
     iddpto int, nomdpto), e.g. after a crosswalk; ``raw_labels``: label rows
@@ -105,18 +97,17 @@ def tabulate_flat(
     unknown = set(level_labels) - set(LEVEL_LABELS)
     if unknown:
         raise ValueError(f"unknown levels {sorted(unknown)}; use {sorted(LEVEL_LABELS)}")
-    sources, codes, area_rows = [], [], []
+    sources, codes, area_rows = {}, [], []
     for ent, df in entities.items():
         d = _lower(df)
         names = catalog.variables_excluding_names(d.columns, FLAT_KEYS + tuple(level_labels.values()))
         vars_ = {f"{ent.upper()}_{v.upper()}": v for v in names}
         codes += list(vars_)
         d = d.withColumn("id_geo", area_key("idprov", "iddpto", "idfrac", "idradio"))
-        sources.append((d, vars_))
+        sources[ent.upper()] = (d, vars_)
         if level_labels:
             area_rows.append(d.select("id_geo", *[F.col(c).alias(LEVEL_LABELS[lv]) for lv, c in level_labels.items()]))
-    freq = frequencies_multi(sources, null_policy=null_policy)
-    spark = freq.sparkSession
+    spark = next(iter(sources.values()))[0].sparkSession
     code_df = spark.createDataFrame([(c,) for c in codes], "codigo_variable string")
     lab = _labels(raw_labels, code_df, repair_rules)
     if level_labels:
@@ -130,9 +121,11 @@ def tabulate_flat(
         parts = split_area_key("id_geo")
         codes_cols = {"valor_provincia": parts[0], "valor_departamento": parts[1], "valor_fraccion": parts[2],
                       "valor_radio": parts[3]}
-        long = freq.withColumns(codes_cols).join(names, "id_geo", "left")
-        long = publish.to_long(labels.attach_labels(long, lab))
-        return long, publish.to_metadata(long, variable_labels)
+        def publish_levels(freq: DataFrame) -> DataFrame:
+            long = freq.withColumns(codes_cols).join(names, "id_geo", "left")
+            return publish.to_long(labels.attach_labels(long, lab))
+
+        return sources, publish_levels
     if provinces is None:
         raise ValueError("provinces are required unless level_labels are given")
     provs = provinces
@@ -141,9 +134,17 @@ def tabulate_flat(
         dptos = dptos.withColumn("nomdpto", repair("nomdpto", repair_rules))
     if dptos is None:
         dptos = spark.createDataFrame([], "idprov int, iddpto int, nomdpto string")
-    labelled = areas.label_areas(freq, provs, dptos)
-    long = labels.attach_labels(labelled, lab)
-    long = publish.to_long(long)
+    def publish_dims(freq: DataFrame) -> DataFrame:
+        return publish.to_long(labels.attach_labels(areas.label_areas(freq, provs, dptos), lab))
+
+    return sources, publish_dims
+
+
+def tabulate_flat(*args, variable_labels: DataFrame | None = None, null_policy: str = "keep", **kwargs):
+    """Flat model: ``(long, metadata)``; arguments as :func:`flat_plan`."""
+    sources, publish_fn = flat_plan(*args, **kwargs)
+    freq = frequencies_multi(list(sources.values()), null_policy=null_policy)
+    long = publish_fn(freq)
     return long, publish.to_metadata(long, variable_labels)
 
 
@@ -185,7 +186,7 @@ def area_lookup_linked(
     )
 
 
-def tabulate_linked(
+def linked_plan(
     prov: DataFrame,
     dpto: DataFrame,
     frac: DataFrame,
@@ -195,16 +196,20 @@ def tabulate_linked(
     hogar: DataFrame | None = None,
     persona: DataFrame | None = None,
     raw_labels: DataFrame | None = None,
-    variable_labels: DataFrame | None = None,
     how: str = "inner",
-    null_policy: str = "drop",
     exclude: Sequence[str] = LINKED_EXCLUDE,
     repair_rules="2001",
     case_sensitive: bool = False,
     extra_exclude: Mapping[str, Sequence[str]] | None = None,
     hot_rows: int | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """Linked model (``how='inner'`` as in SQL runs, ``'left'`` as in data-frame runs).
+) -> tuple[dict, Callable[[DataFrame], DataFrame]]:
+    """Linked model as ``(sources, publish_fn)``; see :func:`tabulate_linked`.
+
+    ``sources`` maps each entity to ``(rows with id_geo, {code: column})``;
+    ``publish_fn`` turns a frequency table into the published long table.
+    Feed both to ``plans.job.run_resumable`` for a resumable run.
+
+    Linked model (``how='inner'`` as in SQL runs, ``'left'`` as in data-frame runs).
 
     Entities: vivienda(vivienda_ref_id, seg_ref_id, vars...),
     hogar(hogar_ref_id, vivienda_ref_id, vars...), persona(hogar_ref_id, vars...).
@@ -220,14 +225,14 @@ def tabulate_linked(
     seg_area = areas.roll_down(_lower(seg), "seg_ref_id", "radio_ref_id", lookup, "radio_ref_id", how=how)
     v = _lower(vivienda)
     viv_area = areas.roll_down(v, "vivienda_ref_id", "seg_ref_id", seg_area, "seg_ref_id", how=how, hot_rows=hot_rows)
-    sources, codes = [], []
+    sources, codes = {}, []
 
     def add(ent: str, rows: DataFrame, fk: str, amap: DataFrame, key: str) -> None:
         pats = list(exclude) + list((extra_exclude or {}).get(ent, ()))
         names = catalog.variables_excluding_patterns(originals[ent].columns, pats, lower=not case_sensitive)
         vars_ = {f"{ent}_{n.upper()}": n.lower() for n in names}
         codes.extend(vars_)
-        sources.append((areas.attach_area(rows, fk, amap, key, how=how, hot_rows=hot_rows), vars_))
+        sources[ent] = (areas.attach_area(rows, fk, amap, key, how=how, hot_rows=hot_rows), vars_)
 
     add("VIVIENDA", v, "vivienda_ref_id", viv_area, "vivienda_ref_id")
     if hogar is not None:
@@ -237,15 +242,27 @@ def tabulate_linked(
             hog_area = areas.roll_down(h, "hogar_ref_id", "vivienda_ref_id", viv_area, "vivienda_ref_id", how=how,
                                        hot_rows=hot_rows)
             add("PERSONA", _lower(persona), "hogar_ref_id", hog_area, "hogar_ref_id")
-    freq = frequencies_multi(sources, null_policy=null_policy)
-    spark = freq.sparkSession
+    spark = v.sparkSession
     code_df = spark.createDataFrame([(c,) for c in codes], "codigo_variable string")
     lab = _labels(raw_labels, code_df, repair_rules)
     cols = [c for c in lookup.columns if c not in ("radio_ref_id", "id_geo")]
     # one row per area (radios of one area carry the same codes and names;
     # min keeps the choice deterministic if a file disagrees)
     names = lookup.filter(F.col("id_geo").isNotNull()).groupBy("id_geo").agg(*[F.min(c).alias(c) for c in cols])
-    return _publish(freq, names, lab, variable_labels)
+
+    def publish_fn(freq: DataFrame) -> DataFrame:
+        long = freq.join(bounded_broadcast(names), "id_geo", "left")
+        return publish.to_long(labels.attach_labels(long, lab))
+
+    return sources, publish_fn
+
+
+def tabulate_linked(*args, variable_labels: DataFrame | None = None, null_policy: str = "drop", **kwargs):
+    """Linked model: ``(long, metadata)``; arguments as :func:`linked_plan`."""
+    sources, publish_fn = linked_plan(*args, **kwargs)
+    freq = frequencies_multi(list(sources.values()), null_policy=null_policy)
+    long = publish_fn(freq)
+    return long, publish.to_metadata(long, variable_labels)
 
 
 def crosswalk_departments(departments_raw: DataFrame, crosswalk: DataFrame) -> DataFrame:

@@ -37,3 +37,14 @@ def test_cli_linked_latin1(spark, tmp_dir):
         "020070101", "Córdoba", "Río Cuarto", "Casa", 1)
     m = spark.read.parquet(out + "/metadatos").first()
     assert m.etiqueta_variable == "Tipo de vivienda" and m.entidad == "VIVIENDA"
+
+
+def test_cli_resume_skips_done_variables(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "in")
+    p = _w(d, "viv.csv", "IDPROV;IDDPTO;IDFRAC;IDRADIO;TIPO;AGUA\n2;7;1;1;1;2\n2;7;1;2;1;\n")
+    out = os.path.join(tmp_dir, "out")
+    first = main(["flat", "--out", out, "--entity", f"VIVIENDA={p}", "--resume"])
+    assert sorted(first["computed"]) == ["VIVIENDA_AGUA", "VIVIENDA_TIPO"] and first["skipped"] == []
+    again = main(["flat", "--out", out, "--entity", f"VIVIENDA={p}", "--resume"])
+    assert again["computed"] == [] and sorted(again["skipped"]) == ["VIVIENDA_AGUA", "VIVIENDA_TIPO"]
+    assert (again["total_rows"], again["unique_vars"]) == (first["total_rows"], 2)
