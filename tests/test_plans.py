@@ -63,3 +63,19 @@ def test_tile_and_label_aggregates_are_partial(spark):
     for name in ("tile_counts", "clean_labels"):
         plan = _plan(spark, name)
         assert re.search(r"partial_(count|min_by)", plan), name
+
+
+def test_linked_pipeline_entity_joins_are_parent_built(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1m")
+    try:
+        plan = _plan(spark, "linked_model")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    body = plan.split("\n\n")[0]
+    joins = re.findall(r"ShuffledHashJoin (?:Inner|LeftOuter) (Build\w+)", body)
+    assert len(joins) >= 4 and set(joins) == {"BuildRight"}
+    # sort-merge joins may only appear on label tables (small aggregates that
+    # AQE broadcasts from measured sizes), never on entity keys
+    smj_keys = re.findall(r"\) SortMergeJoin.*\nLeft keys \[\d+\]: \[(.*)\]", plan)
+    assert all(k.startswith("codigo_variable#") for k in smj_keys), smj_keys
