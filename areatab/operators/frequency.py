@@ -49,6 +49,12 @@ def _var_columns(variables: VarSpec, as_text: bool = True) -> dict[str, Column]:
 
 def _all_integral(df: DataFrame, variables: VarSpec) -> bool:
     """True if every variable expression resolves to an integer type."""
+    specs = list(variables.values()) if isinstance(variables, Mapping) else list(variables)
+    if all(isinstance(v, str) for v in specs):
+        # plain column names: read the (cached) schema, no extra analysis
+        by_name = {f.name.lower(): f.dataType for f in df.schema.fields}
+        if all(v.lower() in by_name for v in specs):
+            return all(isinstance(by_name[v.lower()], T.IntegralType) for v in specs)
     cols = _var_columns(variables, as_text=False)
     types = df.select(*[c.alias(code) for code, c in cols.items()]).schema
     return all(isinstance(f.dataType, T.IntegralType) for f in types.fields)
