@@ -23,7 +23,7 @@ scored each; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -55,13 +55,8 @@ class Model:
     known: bool = True
 
 
-def keys(word: str) -> list[str]:
-    """What a word may be known by: itself and its beginnings."""
-    return ["=" + word, *(("^" + word[:k]) for k in (3, 4, 5, 6) if len(word) >= k)]
-
-
-def features(words: pa.Array) -> np.ndarray:
-    """Hashed features of each cleaned word: itself, beginnings of 3 to 7 bytes, ending of 3 bytes."""
+def codes(words: pa.Array) -> np.ndarray:
+    """What a cleaned word may be known by, as numbers: itself, its first 3 to 7 bytes, its last 3 bytes."""
     plain = words.cast(pa.large_binary())
     if isinstance(plain, pa.ChunkedArray):
         plain = plain.combine_chunks()
@@ -78,11 +73,13 @@ def features(words: pa.Array) -> np.ndarray:
         finish |= np.where(last > k, byte << np.uint64(8 * k), np.uint64(0))
     whole = ranges_hash(data, start, start + length)
     found = [whole, *(begin & np.uint64((1 << 8 * k) - 1) for k in (3, 4, 5, 6, 7)), finish]
-    out = np.empty((len(length), len(found)), np.int64)
-    for k, x in enumerate(found):
-        x = (x + np.uint64(k + 1)) * np.uint64(0x9E3779B97F4A7C15)
-        out[:, k] = ((x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(64 - BITS)).astype(np.int64)
-    return out
+    return np.stack([(x + np.uint64(k + 1)) * np.uint64(0x9E3779B97F4A7C15) for k, x in enumerate(found)], axis=1)
+
+
+def features(words: pa.Array) -> np.ndarray:
+    """The codes as places in a table of 2 ** BITS weights."""
+    x = codes(words)
+    return ((x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(64 - BITS)).astype(np.int64)
 
 
 def clean(words: pa.Array) -> pa.Array:
@@ -150,21 +147,29 @@ class Chains:
         return p[:n], counts
 
 
-def strength(texts: list[set[str]], toxic: np.ndarray) -> tuple[dict[str, float], set[str]]:
-    """Of each key, how far its share of toxic documents stands out (log-likelihood ratio); keys that mark toxic tokens."""
-    inside = Counter(k for i in np.flatnonzero(toxic) for k in texts[i])
-    others = Counter(k for i in np.flatnonzero(~toxic) for k in texts[i] if k in inside)
-    n, m = int(toxic.sum()), int((~toxic).sum())
-    names = list(inside)
-    a = np.array([inside[k] for k in names], float)
-    b = np.array([others[k] for k in names], float)
-    term = lambda x, e: np.where(x > 0, x * np.log(np.maximum(x, 1e-9) / e), 0.0)
-    c, d, total = n - a, m - b, n + m
-    ratio = 2 * (term(a, (a + b) * n / total) + term(b, (a + b) * m / total) + term(c, (c + d) * n / total) + term(d, (c + d) * m / total))
-    ratio = np.where(a * m > b * n, ratio, 0.0)
-    pure = a / n >= 19 * b / m  # as if both kinds were equally many: the sample's balance is arbitrary
-    sure = {names[i] for i in np.flatnonzero((ratio >= 20) & pure)}
-    return {names[i]: float(ratio[i]) for i in np.flatnonzero(ratio >= 4)}, sure
+def strength(known: np.ndarray, doc: np.ndarray, ids: np.ndarray, toxic: np.ndarray, use: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which words mark toxic tokens, and which may: by how far a code's share of toxic documents stands out.
+
+    ``known`` has each word's codes; a word is as telling as its most telling
+    code, measured by the log-likelihood ratio over the documents in ``use``.
+    """
+    n, m = int((toxic & use).sum()), int((~toxic & use).sum())
+    sure, maybe = np.zeros(len(known), bool), np.zeros(len(known), bool)
+    term = lambda x, e: np.where(x > 0, x * np.log(np.maximum(x, 1e-9) / np.maximum(e, 1e-9)), 0.0)
+    for column in range(known.shape[1] - 1):
+        _, code = np.unique(known[:, column], return_inverse=True)
+        size = int(code.max()) + 1
+        pairs = np.unique(doc * size + code[ids])
+        pairs = pairs[use[pairs // size]]
+        of, bad = pairs % size, toxic[pairs // size]
+        a, b = np.bincount(of[bad], minlength=size).astype(float), np.bincount(of[~bad], minlength=size).astype(float)
+        c, d, total = n - a, m - b, n + m
+        ratio = 2 * (term(a, (a + b) * n / total) + term(b, (a + b) * m / total) + term(c, (c + d) * n / total) + term(d, (c + d) * m / total))
+        ratio = np.where(a * m > b * n, ratio, 0.0)
+        pure = a * m >= 19 * b * n  # as if both kinds were equally many: the sample's balance is arbitrary
+        sure |= ((ratio >= 20) & pure)[code]
+        maybe |= (ratio >= 4)[code]
+    return sure, maybe
 
 
 def near_copies(offsets: np.ndarray, words: np.ndarray) -> np.ndarray:
@@ -186,21 +191,19 @@ def near_copies(offsets: np.ndarray, words: np.ndarray) -> np.ndarray:
     return out
 
 
-def sample(docs: DataFrame, labels: DataFrame, toxic_docs: int, clean_docs: int, max_chars: int, learn: F.Column) -> tuple[list[str], np.ndarray]:
-    """Texts and labels of at most ``toxic_docs`` and ``clean_docs`` rows, by the order of their ids' hash."""
+def sample(docs: DataFrame, labels: DataFrame, toxic_docs: int, clean_docs: int, max_chars: int) -> DataFrame:
+    """(text, toxic) of at most ``toxic_docs`` and ``clean_docs`` learnable rows, by the order of their ids' hash."""
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
-    marks = marks.where(learn & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    marks = marks.where(learnable() & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = F.xxhash64("doc_id", F.lit(7))
     picked = [marks.where(F.col("toxic") == t).orderBy(order, "doc_id").limit(n) for t, n in ((1, toxic_docs), (0, clean_docs))]
     ids = F.broadcast(picked[0].unionByName(picked[1]))  # at most toxic_docs + clean_docs rows of two numbers
     whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = whole.where(F.length("text") <= max_chars).join(ids, "doc_id").orderBy(order, "doc_id", "text").limit(toxic_docs + clean_docs)
-    found = rows.select("text", "toxic").collect()
-    unique = dict.fromkeys((r.text, int(r.toxic)) for r in found)  # copies teach nothing new
-    return [t for t, _ in unique], np.array([y for _, y in unique], bool)
+    rows = whole.where(F.length("text") <= max_chars).join(ids, "doc_id")
+    return rows.orderBy(order, "doc_id", "text").limit(toxic_docs + clean_docs).select("text", "toxic")
 
 
-def train(texts: list[str], toxic: np.ndarray, epochs: int = 30, rate: float = 0.5, decay: float = 1e-6) -> Model:
+def train(texts: list[str], toxic: np.ndarray, epochs: int = 25, rate: float = 0.5, decay: float = 1e-6) -> Model:
     """Fit the chain on three quarters of the texts, the document's score on the rest and those."""
     blank = Model(np.zeros((3, 1 << BITS), np.float32), 0.0, np.ones((2, 2)), np.array([-20.0, 0, 0]), False)
     if not toxic.any() or toxic.all():
@@ -209,17 +212,11 @@ def train(texts: list[str], toxic: np.ndarray, epochs: int = 30, rate: float = 0
     if not len(ids):
         return blank
     cleaned = clean(raw)
-    words = cleaned.to_pylist()
     doc = np.repeat(np.arange(len(texts)), np.diff(offsets))
     held = np.arange(len(texts)) % 4 == 3
-    known = [keys(w) for w in words]
-    sets: list[set[str]] = [set() for _ in texts]
-    for d, w in np.unique(np.stack([doc, ids]), axis=1).T.tolist():
-        sets[d].update(known[w])
     first = ~held & ~near_copies(offsets, ids)  # a group of copies would pass its every word off as telling
-    ratio, sure = strength([x for x, k in zip(sets, first, strict=True) if k], toxic[first])
-    listed = np.array([any(k in sure for k in ks) for ks in known], bool)
-    unsure = np.array([any(k in ratio for k in ks) for ks in known], bool) & ~listed
+    listed, unsure = strength(codes(cleaned), doc, ids, toxic, first)
+    unsure &= ~listed
     y = (listed[ids] & toxic[doc]).astype(float)
     use = ~held[doc] & ~(unsure[ids] & toxic[doc])
     f = features(cleaned)
@@ -238,7 +235,7 @@ def train(texts: list[str], toxic: np.ndarray, epochs: int = 30, rate: float = 0
         p, expected = chains.marginals(chains.unary(own, prev, nxt, w_bias), np.exp(logs), True)
         g = np.where(use, y - p, 0.0)
         after, ahead = np.where(chains.has_prev, g, 0.0), np.where(chains.has_next, g, 0.0)
-        of = np.bincount(ids, g, len(words)), np.bincount(ids[:-1], after[1:], len(words)), np.bincount(ids[1:], ahead[:-1], len(words))
+        of = np.bincount(ids, g, len(raw)), np.bincount(ids[:-1], after[1:], len(raw)), np.bincount(ids[1:], ahead[:-1], len(raw))
         for k, (table, x) in enumerate(((f, of[0]), (near, of[1]), (near, of[2]))):
             grad = np.bincount(table.ravel(), np.repeat(x, table.shape[1]), size) - decay * share * w[k]
             seen[k] += grad**2
@@ -310,8 +307,16 @@ def learnable() -> F.Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, toxic_docs: int = 1500, clean_docs: int = 2500, max_chars: int = 20_000) -> Model:
-    """Train on a bounded sample of the labelled rows that are not held out."""
-    return train(*sample(docs, labels, toxic_docs, clean_docs, max_chars, learnable()))
+    """Train on a bounded sample of the labelled rows that are not held out, in one task; the model comes back."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [r for batch in batches for r in batch.to_pylist()]
+        unique = list(dict.fromkeys((r["text"], r["toxic"]) for r in rows))  # copies teach nothing new
+        model = train([t for t, _ in unique], np.array([y for _, y in unique], bool))
+        yield pa.record_batch({"model": pa.array([pickle.dumps(model)], pa.binary())})
+
+    rows = sample(docs, labels, toxic_docs, clean_docs, max_chars).coalesce(1)
+    return pickle.loads(rows.mapInArrow(work, "model binary").first()[0])
 
 
 SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
