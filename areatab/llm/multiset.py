@@ -7,13 +7,14 @@ deleting a paragraph adds or subtracts one vector. Two kinds of elements:
 
 * 8 elements of the paragraph's own hashes: 256 bits that tell texts apart;
 * 48 elements that each hold two 16-bit counters of hash bits of the
-  paragraph's sentences. The difference of two fingerprints' counters is a sum
-  of independent signs over the sentences that only one text has, so its mean
-  square estimates their number, and with the sentence counts the likeness
-  (shared over all, as in Jaccard), 0 to 1, without the texts.
+  paragraph's pieces, four words or the rest of a sentence each. The difference
+  of two fingerprints' counters is a sum of independent signs over the pieces
+  that only one text has, so its mean square estimates their number, and with
+  the piece counts the likeness (shared over all, as in Jaccard), 0 to 1,
+  without the texts.
 
-Two elements count paragraphs and sentences. Sums of 32-bit numbers in 64 bits
-don't overflow below 2 ** 31 sentences.
+Two elements count paragraphs and pieces. Sums of 32-bit numbers in 64 bits
+don't overflow below 2 ** 31 pieces.
 
 Defined cases: a null text is an empty one, which has one empty paragraph; of
 equal doc_ids the order is that of their texts; null doc_ids come first; a table
@@ -31,11 +32,13 @@ from areatab.llm.common import range_buckets, written
 
 OWN = 8
 SIGNS = 48
+#: A piece: up to four words that end with a sentence or the paragraph.
+PIECE = r"(?:[^\s.!?]++\s++){0,3}\S++"
 MOD = 1 << 32
 
 
-def lanes(paragraph: Column, first: Column, sentence: Column) -> list[Column]:
-    """What one sentence adds to each element; a paragraph's own elements come with its first sentence."""
+def lanes(paragraph: Column, first: Column) -> list[Column]:
+    """What one piece adds to each element; a paragraph's own elements come with its first piece."""
     out = []
     for k in range(OWN // 2):
         h = F.xxhash64(paragraph, F.lit(k))
@@ -51,9 +54,10 @@ def lanes(paragraph: Column, first: Column, sentence: Column) -> list[Column]:
 def with_sums(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
     """(keys, sums): the fingerprint's elements as an array; one text for each combination of keys."""
     p = rows.select(*keys, F.explode(F.split(F.col(text), "\n")).alias("p"))
-    s = p.select(*keys, "p", F.posexplode(F.split("p", r"(?<=[.!?])\s+")).alias("at", "s"))
+    s = p.select(*keys, "p", F.posexplode_outer(F.regexp_extract_all("p", F.lit(PIECE), 0)).alias("at", "s"))
+    s = s.withColumns({"at": F.coalesce("at", F.lit(0)), "s": F.coalesce("s", F.lit(""))})
     hashed = s.select(*keys, "p", "at", F.xxhash64("s", F.lit(101)).alias("s0"), F.xxhash64("s", F.lit(102)).alias("s1"))
-    parts = lanes(F.col("p"), F.col("at") == 0, F.col("s"))
+    parts = lanes(F.col("p"), F.col("at") == 0)
     made = hashed.select(*keys, *[x.cast("long").alias(f"e{k}") for k, x in enumerate(parts)])
     sums = made.groupBy(*keys).agg(*[F.sum(f"e{k}").alias(f"e{k}") for k in range(len(parts))])
     return sums.select(*keys, F.array(*[F.col(f"e{k}") % F.lit(MOD) for k in range(len(parts))]).alias("sums"))
@@ -70,7 +74,7 @@ def combine(a: Column, b: Column, sign: int = 1) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Estimated share of sentences that two fingerprints' texts have in common, 0 to 1."""
+    """Estimated share of pieces that two fingerprints' texts have in common, 0 to 1."""
     size = OWN + SIGNS + 2
     n_a, n_b = F.element_at(a, size), F.element_at(b, size)
     balanced = lambda x: F.pmod(x + F.lit(1 << 15), F.lit(1 << 16)) - F.lit(1 << 15)

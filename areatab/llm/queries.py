@@ -7,11 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areatab.llm import decontaminate, packing, pii, simhash, toxicity
+from areatab.llm import decontaminate, html, multiset, packing, phrases, pii, simhash, suffixes, tokens, toxicity
 from areatab.llm.common import read_table
 from areatab.session import ensure_checkpoint_dir
 
 
+def main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text."""
+    return html.extract(read_table(spark, sf_dir, "pages"))
+
+
 def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's words packed into bins of 2,048 by best fit without conflicts."""
     return packing.pack(packing.measured(read_table(spark, sf_dir, "documents")))
@@ -22,18 +27,40 @@ def pseudonymised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(read_table(spark, sf_dir, "documents"))
 
 
+def repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document loses as 400-byte strings that start elsewhere too."""
+    found = suffixes.repeated_bytes(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans")
+
+
 def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's toxicity by the chain's marginals, and the offending offsets."""
     docs = read_table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, read_table(spark, sf_dir, "labels")))
 
 
+def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's multiset fingerprint, that of its edited text, and their likeness."""
+    return multiset.edited(read_table(spark, sf_dir, "documents"))
+
+
+def token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids, written bit-packed and read back."""
+    return tokens.round_trip(read_table(spark, sf_dir, "documents")).select("doc_id", "start", "n_tokens", "ids_crc32", "bucket", "block", "at")
+
+
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's SimHash fingerprint and its group of near duplicates."""
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_digits("fp").alias("fingerprint"), F.col("component_id"))
 
 
+def repeated_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document loses as runs of 35 words that start elsewhere too."""
+    found = phrases.repeated_words(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256", "spans")
+
+
 def leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that overlap benchmark items, with the best overlap of each pair."""
     return decontaminate.overlaps(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
@@ -49,10 +76,15 @@ def _ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
 
 
 QUERIES = {
+    "op1_html_main_text": _ready(main_texts),
     "op2_best_fit_packing": _ready(packed),
     "op3_pii_pseudonyms": _ready(pseudonymised),
+    "op4_suffix_array_dedup": _ready(repeated_bytes),
     "op5_toxicity": _ready(toxic),
+    "op6_multiset_fingerprints": _ready(fingerprints),
+    "op7_token_ids": _ready(token_ids),
     "op8_simhash": _ready(near_duplicates),
+    "op9_repeated_phrases": _ready(repeated_words),
     "op10_decontamination": _ready(leaks),
 }
 
