@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from areatab.session import scratch_path
@@ -36,6 +36,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def meet(left: DataFrame, right: DataFrame, on: str | list[str] | Column, how: str = "inner") -> DataFrame:
+    """Join two tables that both grow with the input: sorted and merged, which spills and splits skewed keys, never broadcast."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def temporary(name: str) -> str:
     """A column name that no input column has."""
     return f"__{name}_{uuid.uuid4().hex[:8]}"
@@ -117,18 +122,18 @@ def components(edges: DataFrame, left: str, right: str, name: str = "groups") ->
             least.select(F.col("u").alias("node"), F.least(rank("u"), F.col("m"))["id"].alias("root")), f"{name}-parents"
         )
         grand = parent.select(F.col("node").alias("root"), F.col("root").alias("top"))
-        jumped = parent.join(grand, "root").select("node", F.col("top").alias("root"))
+        jumped = meet(parent, grand, "root").select("node", F.col("top").alias("root"))
         jumped = written(jumped, f"{name}-jumped")
         if total is None:
             total = jumped
         else:
             step = jumped.select(F.col("node").alias("root"), F.col("root").alias("top"))
             total = written(
-                total.join(step, "root", "left").select("node", F.coalesce("top", "root").alias("root")), f"{name}-roots"
+                meet(total, step, "root", "left").select("node", F.coalesce("top", "root").alias("root")), f"{name}-roots"
             )
         pu = jumped.select(F.col("node").alias("u"), F.col("root").alias("ru"))
         pv = jumped.select(F.col("node").alias("v"), F.col("root").alias("rv"))
-        moved = current.join(pu, "u").join(pv, "v").where("ru <> rv")
+        moved = meet(meet(current, pu, "u"), pv, "v").where("ru <> rv")
         current = written(
             moved.select(F.least("ru", "rv").alias("u"), F.greatest("ru", "rv").alias("v"))
             .groupBy("u", "v").agg(F.lit(1).alias("one")).drop("one"), f"{name}-edges",

@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from areatab.llm.common import BASES, ranges_hash, written
+from areatab.llm.common import BASES, meet, ranges_hash, written
 
 #: Positions dealt with at once; the place of a unit takes 24 bits beside its hash.
 PIECE = 1 << 23
@@ -110,6 +110,6 @@ def recurring(found: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     one = F.struct("key", "place", "first", "last")
     contents = written(found.groupBy("anchor", "content").agg(F.count("*").alias("n"), F.min(one).alias("at")), f"{name}-contents")
     anchors = contents.groupBy("anchor").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")).where("total > 1")
-    known = written(contents.join(anchors, "anchor").select("anchor", "content", "n", "kinds", "at.*"), f"{name}-recurring")
-    rows = found.join(known.select("anchor", "content", "n", "kinds"), ["anchor", "content"])
+    known = written(meet(contents, anchors, "anchor").select("anchor", "content", "n", "kinds", "at.*"), f"{name}-recurring")
+    rows = meet(found, known.select("anchor", "content", "n", "kinds"), ["anchor", "content"])
     return rows, known.where("kinds > 1")

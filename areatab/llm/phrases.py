@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from areatab.llm.common import BASES, ranges_hash, slices, split_words, texts_of, written
+from areatab.llm.common import BASES, meet, ranges_hash, slices, split_words, texts_of, written
 from areatab.llm.contexts import CONTEXT_FIELDS, contexts
 from areatab.llm.suffixes import keyed, merged, repeated_spans, runs
 
@@ -82,10 +82,10 @@ def open_windows(rows: DataFrame, open_: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names)
 
     schema = "h1 long, h2 long, anchor long, content long, at int"
-    found = written(rows.join(wanted, "key").select("text", "cs").mapInArrow(windows, schema), "phrase-windows")
+    found = written(meet(rows, wanted, "key").select("text", "cs").mapInArrow(windows, schema), "phrase-windows")
     # equal rows give equal contents: a window counts once for each content
     many = found.groupBy("h1", "h2").agg(F.min("content").alias("a"), F.max("content").alias("b")).where("a <> b").select("h1", "h2")
-    hit = found.join(many, ["h1", "h2"]).groupBy("anchor", "content").agg(F.array_sort(F.collect_set("at")).alias("ats"))
+    hit = meet(found, many, ["h1", "h2"]).groupBy("anchor", "content").agg(F.array_sort(F.collect_set("at")).alias("ats"))
 
     def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -149,7 +149,7 @@ def repeated_words(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_words", "n_removed", "kept_sha256", "kept", "spans"])
 
     names = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept binary, spans array<struct<start:int,end:int>>"
-    return rows.join(spans, "key", "left").select("doc_id", "text", "spans").mapInArrow(work, names)
+    return meet(rows, spans, "key", "left").select("doc_id", "text", "spans").mapInArrow(work, names)
 
 
 SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from areatab.llm.common import components, slices, temporary, texts_of, written
+from areatab.llm.common import components, meet, slices, temporary, texts_of, written
 
 #: Rows of one key that are compared in one place; a larger key is split.
 BLOCK = 2048
@@ -156,7 +156,7 @@ def link_forest(values: DataFrame, radius: int = 3, blocks: int = 6, block_rows:
     keyed = values.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in masks])).alias("t", "key"))
     sizes = keyed.groupBy("t", "key").agg(F.count("*").alias("n")).where("n > 1")
     parts = F.ceil(F.col("n") / F.lit(block_rows)).cast("int")
-    dealt = keyed.join(sizes, ["t", "key"]).withColumn("parts", parts)
+    dealt = meet(keyed, sizes, ["t", "key"]).withColumn("parts", parts)
     own = F.pmod(F.xxhash64("fp", "t"), F.col("parts")).cast("int")
     dealt = dealt.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     dealt = dealt.select(
@@ -192,11 +192,11 @@ def near_duplicates(
     marks = written(fingerprints(docs, shingle, seed, text, doc_id), "simhash")
     distinct = written(marks.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
     roots = components(link_forest(distinct.select("fp"), radius, blocks, block_rows), "a", "b", "simhash")
-    known = distinct.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    known = meet(distinct, roots.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     known = written(known, "simhash-groups")
     ids = known.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = known.join(ids, "root").select("fp", "root", "component_id")
-    return marks.join(classes, "fp").select("doc_id", "fp", "root", "component_id")
+    classes = meet(known, ids, "root").select("fp", "root", "component_id")
+    return meet(marks, classes, "fp").select("doc_id", "fp", "root", "component_id")
 
 
 def deduplicate(docs: DataFrame, shingle: int = 3, radius: int = 3, seed: int = 42) -> DataFrame:
@@ -206,12 +206,15 @@ def deduplicate(docs: DataFrame, shingle: int = 3, radius: int = 3, seed: int =
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     counts = written(kept.groupBy(F.col("doc_id").alias(mine)).agg(F.count("*").alias(n)), "simhash-kept")
     same = docs["doc_id"].cast("long").eqNullSafe(F.col(mine))
-    single = docs.join(counts.where(F.col(n) == 1), same, "left_semi")
+    single = meet(docs, counts.where(F.col(n) == 1), same, "left_semi")
+    again = counts.where(F.col(n) > 1)
+    if again.isEmpty():
+        return single
     # rows that share an id with other kept rows: one for each group
     mark = F.pandas_udf(lambda t: t.map(lambda x: _signed(fingerprint((x or "").encode(), shingle, seed))), "long")
-    several = docs.join(counts.where(F.col(n) > 1), same, "left_semi").withColumn(fp, mark(F.col("text").cast("string")))
+    several = written(meet(docs, again, same, "left_semi"), "simhash-several").withColumn(fp, mark(F.col("text").cast("string")))
     groups = kept.groupBy(F.col("fp").alias(fp)).agg(F.first("root").alias(root))
-    several = several.join(groups, fp).dropDuplicates(["doc_id", root]).select(*docs.columns)
+    several = meet(several, groups, fp).dropDuplicates(["doc_id", root]).select(*docs.columns)
     return single.unionByName(several)
 
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from areatab.llm.common import slices, texts_of, written
+from areatab.llm.common import meet, slices, texts_of, written
 from areatab.llm.contexts import CONTEXT_FIELDS, contexts, recurring
 
 LENGTH = 400
@@ -219,7 +219,7 @@ def open_windows(rows: DataFrame, open_: DataFrame, shard_bytes: int = SHARD_BYT
     """(anchor, content, lo, hi): runs of windows, counted from the context's first, that recur in another content."""
     wanted = open_.select("key", F.struct("anchor", "content", "place", "first", "last", "kinds").alias("c"))
     wanted = wanted.groupBy("key").agg(F.collect_list("c").alias("cs"))  # a text's own contexts: bounded by its length
-    cut = rows.join(wanted, "key")
+    cut = meet(rows, wanted, "key")
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -275,7 +275,7 @@ def repeated_spans(rows: DataFrame, found: DataFrame, open_runs, length: int, na
     whole = all_.where("n > 1").select("key", F.col("first").alias("lo"), F.col("last").alias("hi"))
     # a content that stands once has only its open windows
     once = all_.where("n = 1 and kinds > 1").select("key", "anchor", "content", "first")
-    part = once.join(partly, ["anchor", "content"]).select("key", (F.col("first") + F.col("lo")).alias("lo"), (F.col("first") + F.col("hi")).alias("hi"))
+    part = meet(once, partly, ["anchor", "content"]).select("key", (F.col("first") + F.col("lo")).alias("lo"), (F.col("first") + F.col("hi")).alias("hi"))
     spans = whole.unionByName(part).groupBy("key").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
     return written(spans, f"{name}-spans")
 
@@ -316,7 +316,7 @@ def repeated_bytes(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "spans"])
 
     names = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, spans array<struct<start:int,end:int>>"
-    return rows.join(spans, "key", "left").select("doc_id", "text", "spans").mapInArrow(work, names)
+    return meet(rows, spans, "key", "left").select("doc_id", "text", "spans").mapInArrow(work, names)
 
 
 SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
