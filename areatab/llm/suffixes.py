@@ -35,7 +35,8 @@ from areatab.llm.common import meet, slices, texts_of, written
 from areatab.llm.contexts import CONTEXT_FIELDS, contexts, recurring
 
 LENGTH = 400
-GRAM = 16
+#: Bytes of an anchor: long enough that unrelated texts don't share one by chance.
+GRAM = 128
 SYMBOL = 8
 #: Bytes of contexts in a shard, on average.
 SHARD_BYTES = 1 << 19
