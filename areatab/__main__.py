@@ -20,11 +20,10 @@ import sys
 from areatab.operators import publish
 from areatab.operators.frequency import frequencies_multi
 from areatab.plans.job import run_resumable
-from areatab.plans.vintages import (EXCLUDE_2010, EXCLUDE_2010_EXTRA, LINKED_EXCLUDE, crosswalk_departments,
-                                    flat_plan, linked_plan)
+from areatab.plans.vintages import PRESETS, crosswalk_departments, flat_plan, linked_plan
 from areatab.session import get_session
 from areatab.sources.files import read_delimited, read_dictionary, read_label_files, read_mapped_label_files
-from areatab.sources.inline import crosswalk_1991, provinces_1991
+from areatab.sources.inline import crosswalk_1991, provinces_1991, variables_1991, variables_2001
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -56,11 +55,11 @@ def _parser() -> argparse.ArgumentParser:
     k.add_argument("--hogar", default=None)
     k.add_argument("--persona", default=None)
     k.add_argument("--labels-style", choices=("lower", "upper"), default="lower")
-    k.add_argument("--how", choices=("inner", "left"), default="inner")
+    k.add_argument("--how", choices=("inner", "left"), default=None, help="default: as the year's style has it")
     k.add_argument("--hot-rows", type=int, default=None,
                    help="salt entity joins for parents with more children than this (default: AQE skew handling)")
     k.add_argument("--exclude-style", choices=("2001", "2010"), default="2001",
-                   help="variable exclusion: 2001 = lower-cased list, 2010 = case-sensitive list")
+                   help="year's way: variables, joins, NULL policy, repairs, labels (see vintages.PRESETS)")
     return p
 
 
@@ -86,20 +85,25 @@ def main(argv: list[str] | None = None) -> dict:
                                         level_labels=levels)
         inputs = list(frames.values())
         policy = args.null_policy or "keep"
+        if var_labels is None:
+            var_labels = variables_1991(spark).select("codigo_variable", "etiqueta_variable")
     else:
         t = {n: read(getattr(args, n)) for n in ("prov", "dpto", "frac", "radio", "seg", "vivienda")}
         hogar = read(args.hogar) if args.hogar else None
         persona = read(args.persona) if args.persona else None
         raw = (read_label_files(spark, args.labels_dir, args.labels_style, sep=args.sep, encoding=args.labels_encoding)
                if args.labels_dir else None)
+        # all that differs between the years; --how and --null-policy given by hand win
+        preset = dict(PRESETS[args.exclude_style])
+        policy = args.null_policy or preset["null_policy"]
+        del preset["null_policy"]
+        preset["how"] = args.how or preset["how"]
         sources, publish_fn = linked_plan(
             t["prov"], t["dpto"], t["frac"], t["radio"], t["seg"], t["vivienda"], hogar, persona,
-            raw_labels=raw, how=args.how,
-            exclude=EXCLUDE_2010 if args.exclude_style == "2010" else LINKED_EXCLUDE,
-            extra_exclude=EXCLUDE_2010_EXTRA if args.exclude_style == "2010" else None,
-            case_sensitive=args.exclude_style == "2010", hot_rows=args.hot_rows)
+            raw_labels=raw, hot_rows=args.hot_rows, **preset)
         inputs = [x for x in [*t.values(), hogar, persona] if x is not None]
-        policy = args.null_policy or "drop"
+        if var_labels is None and args.exclude_style == "2001":
+            var_labels = variables_2001(spark)
 
     if args.resume:
         res = run_resumable(spark, sources, publish_fn, args.out, inputs, var_labels, policy)

@@ -37,21 +37,30 @@ def pad_code(c: Column | str, width: int) -> Column:
     return F.lpad(to_text(c), width, "0")
 
 
+def widen_code(c: Column | str, width: int) -> Column:
+    """Left-pad with zeros to at least ``width``; longer codes stay whole."""
+    text = to_text(c)
+    return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
+
+
 def format_code(c: Column | str, width: int) -> Column:
     """Zero-pad an integer code without truncation; NULL stays NULL."""
     v = _try_int(_col(c))
     return F.when(v.isNotNull(), F.format_string(f"%0{width}d", v))
 
 
-def area_key(*parts: Column | str, widths: tuple[int, ...] = AREA_WIDTHS) -> Column:
+def area_key(*parts: Column | str, widths: tuple[int, ...] = AREA_WIDTHS, cut: bool = True) -> Column:
     """Compose the area key from its level codes, padding each level.
 
+    ``cut=False`` keeps codes wider than their level whole, so areas of a level
+    that outgrew its width never merge.
     ``concat`` yields NULL if any part is NULL, which is the chosen rule for
     broken hierarchies: a radio with a missing parent has no key.
     """
     if len(parts) != len(widths):
         raise ValueError(f"expected {len(widths)} parts, got {len(parts)}")
-    return F.concat(*[pad_code(p, w) for p, w in zip(parts, widths)])
+    pad = pad_code if cut else widen_code
+    return F.concat(*[pad(p, w) for p, w in zip(parts, widths)])
 
 
 def split_area_key(key: Column | str, widths: tuple[int, ...] = AREA_WIDTHS) -> list[Column]:

@@ -163,7 +163,22 @@ RULES_2001: tuple[Rule, ...] = (
     ("� ", "ó ", "literal"),
 )
 
-RULE_SETS = {"1991": RULES_1991, "2001": RULES_2001}
+# Names and words that the 2001 rules get wrong or leave damaged, spelled right.
+CORRECT_WORDS: tuple[str, ...] = (
+    "González", "Tucumán", "Neuquén", "Salliqueló", "Pirané", "Córdoba", "Entre Ríos", "Río Negro", "Río Cuarto",
+    "Ciudad Autónoma", "Jáchal", "País", "país", "niño", "niña", "Niño", "Niña", "compañía", "Compañía",
+)
+
+
+def damage(text: str) -> str:
+    """``text`` as the source files have it: every accented letter is '�'."""
+    return "".join(RC if not c.isascii() and c.isalpha() else c for c in text)
+
+
+# The 2001 rules with those words mended first, as whole strings, so that no later rule meets them.
+RULES_CORRECTED: tuple[Rule, ...] = tuple((damage(w), w, "literal") for w in CORRECT_WORDS) + RULES_2001
+
+RULE_SETS = {"1991": RULES_1991, "2001": RULES_2001, "corrected": RULES_CORRECTED}
 
 
 def java_pattern(pattern: str) -> str:
@@ -171,8 +186,12 @@ def java_pattern(pattern: str) -> str:
 
     Without multi-line mode R's ``$`` matches only at the very end of the
     string, while Java's ``$`` also matches before a final line break, so a
-    trailing ``$`` becomes ``\\z``. ``\\b`` and ``^`` already agree.
+    trailing ``$`` becomes ``\\z``. A closing ``\\b`` means that no letter, mark,
+    digit or ``_`` follows; it is spelled out, since what ``\\b`` takes for a
+    letter differs between Java versions. ``^`` already agrees.
     """
+    if pattern.endswith("\\b"):
+        return pattern[:-2] + r"(?![\p{L}\p{M}\p{N}_])"
     if pattern.endswith("$") and not pattern.endswith("\\$"):
         return pattern[:-1] + "\\z"
     return pattern

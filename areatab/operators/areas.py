@@ -2,7 +2,7 @@
 
 Shape of the work at scale: the geography dimensions (provinces,
 departments, fractions, radios) are small and bounded, so they are joined
-with a size-checked broadcast. The entity chain (dwelling -> household ->
+with a broadcast when the optimiser knows their size in bytes. The entity chain (dwelling -> household ->
 person) is large on every level. We never widen the big tables: the area key
 is rolled *down* the chain as a two-column map ``(key, id_geo)``, so each
 fact table is shuffled once, with only the columns the tabulation needs, and
@@ -17,7 +17,7 @@ estimate the map as the product of its inputs and build on the wrong side.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +37,7 @@ def join_chain(
     """Join ``base`` to each dimension in turn (``how`` = inner or left).
 
     Each step is ``(dimension, on)``; ``on`` follows ``DataFrame.join``.
-    Dimensions are broadcast only after their size is checked. SQL semantics
+    Dimensions are broadcast only if the optimiser knows their size in bytes. SQL semantics
     never match NULL keys; ``null_safe=True`` (string keys only) matches NULL
     to NULL the way data-frame libraries do by default.
     """
@@ -70,7 +70,7 @@ def roll_down(
     """
     c = child.select(F.col(child_key), F.col(parent_fk).alias(parent_key))
     p = parent_area.select(parent_key, *area_cols).hint("shuffle_hash")
-    joined = c.join(p, parent_key, how) if hot_rows is None else salted_join(c, p, parent_key, how, hot_rows)
+    joined = c.join(p, parent_key, how) if hot_rows is None else salted_join(c, p, parent_key, how, hot_rows, identity=[child_key])
     return joined.select(child_key, *area_cols)
 
 
@@ -99,6 +99,13 @@ def attach_area(
     return out.withColumnRenamed(key, fk)
 
 
+def wide_codes(df: DataFrame, levels: Mapping[str, int]) -> DataFrame:
+    """``(nivel, codigo, n)``: codes longer than their level's width, which the key holds whole."""
+    both = [F.struct(F.lit(c).alias("nivel"), F.col(c).cast("string").alias("codigo"), F.lit(w).alias("ancho")) for c, w in levels.items()]
+    out = df.select(F.explode(F.array(*both)).alias("x")).select("x.*").where(F.length("codigo") > F.col("ancho"))
+    return out.groupBy("nivel", "codigo").agg(F.count(F.lit(1)).alias("n"))
+
+
 def coverage(df: DataFrame, entity: str, area: str = "id_geo") -> DataFrame:
     """Share of entity rows that found an area: ``(entidad, pct, n)``."""
     return df.agg(

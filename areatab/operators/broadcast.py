@@ -1,14 +1,13 @@
-"""Broadcast only what is proven small.
+"""Broadcast only what is known to be small, in bytes, without running a job.
 
 Dimension-like inputs (area levels, label lists, variable maps) are bounded by
 geography or by the questionnaire, not by the number of people. Still, we do
-not trust that: a bounded scan (``limit(n + 1).count()``) proves the bound
-before the hint is added. Anything larger joins by shuffle, and AQE may still
-switch it to a broadcast at run time from measured shuffle sizes.
-
-The check result is remembered per application and per semantically equal
-plan (``DataFrame.semanticHash``), so a dimension used by several branches of
-one job is counted once.
+not trust that: a table read from files (through projections, filters and
+renames) is hinted only if the optimiser's size in bytes, which comes from the
+file sizes of that very plan, is within the limit. Literal tables have a size
+the code fixes. Whatever is derived by a join or an aggregate has no proven
+size before it runs: it gets no hint, and AQE broadcasts it if the bytes it
+measured allow.
 """
 
 from __future__ import annotations
@@ -16,25 +15,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows we are willing to ship to every executor for a lookup table.
-DEFAULT_MAX_ROWS = 2_000_000
+# Bytes of files (or the optimiser's estimate of them after column pruning)
+# we are willing to ship to every executor for a lookup table.
+DEFAULT_MAX_BYTES = 16 << 20
+
 
-_checked: dict[tuple[str, int, int], bool] = {}
+def size_in_bytes(df: DataFrame) -> int:
+    """The optimiser's size of ``df`` (plan statistics; no job is run)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def fits(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows (reads at most ``max_rows + 1``)."""
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
-    ok = _checked.get(key)
-    if ok is None:
-        ok = df.limit(max_rows + 1).count() <= max_rows
-        _checked[key] = ok
-    return ok
+def fits(df: DataFrame, max_bytes: int = DEFAULT_MAX_BYTES) -> bool:
+    """True if the optimiser knows ``df`` to be at most ``max_bytes``."""
+    return size_in_bytes(df) <= max_bytes
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    """Return ``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``."""
-    return F.broadcast(df) if fits(df, max_rows) else df
+def bounded_broadcast(df: DataFrame, max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
+    """``broadcast(df)`` if its size in bytes is known to be within the limit, else ``df``."""
+    return F.broadcast(df) if fits(df, max_bytes) else df
 
 
 def literal_broadcast(df: DataFrame) -> DataFrame:

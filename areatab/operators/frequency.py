@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,6 +60,15 @@ def _all_integral(df: DataFrame, variables: VarSpec) -> bool:
     return all(isinstance(f.dataType, T.IntegralType) for f in types.fields)
 
 
+def _refuse_fractions(df: DataFrame, variables: VarSpec) -> None:
+    """Category codes are text or integers; a floating-point code has no exact text (``1`` or ``1.0``)."""
+    cols = _var_columns(variables, as_text=False)
+    found = df.select(*[c.alias(code) for code, c in cols.items()]).schema
+    bad = [f.name for f in found.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))]
+    if bad:
+        raise TypeError(f"category codes must be text or integers, not {bad}: cast them explicitly")
+
+
 def apply_null_policy(value: Column, policy: str, sentinel: str = SENTINEL) -> tuple[Column, Column | None]:
     """Return (value expression, row filter) for a NULL policy.
 
@@ -144,6 +153,8 @@ def frequencies_multi(
         raise ValueError(f"null_policy must be one of {NULL_POLICIES}, got {null_policy!r}")
     if all(_all_integral(df, v) for df, v in sources):
         return _frequencies_integral([(present(df), v) for df, v in sources], area, null_policy, sentinel)
+    for df, v in sources:
+        _refuse_fractions(df, v)
     longs = [unpivot_variables(present(df), v, area, null_policy, sentinel) for df, v in sources]
     long = longs[0]
     for other in longs[1:]:
@@ -192,6 +203,22 @@ def frequencies_by_levels(
     return src.groupBy(*by_cols, value.alias("valor_categoria")).agg(F.count(F.lit(1)).alias("conteo"))
 
 
+def totals_check(df: DataFrame, entity: str, variables: VarSpec, sentinel: str = SENTINEL) -> DataFrame:
+    """Totals invariant of one entity in one pass: ``(codigo_variable, total, expected, ok)``.
+
+    The rows with an area are counted as one more variable of the same
+    aggregate, so the entity is read and joined once.
+    """
+    marker = f"{entity}\0"
+    specs = dict(variables) if isinstance(variables, Mapping) else {v: v for v in variables}
+    long = unpivot_variables(df.filter(F.col("id_geo").isNotNull()), {**specs, marker: F.lit("")}, ("id_geo",), "keep", sentinel)
+    totals = long.groupBy("codigo_variable").agg(F.count(F.lit(1)).alias("total"))
+    # one row a variable from here on
+    expected = F.max(F.when(F.col("codigo_variable") == F.lit(marker), F.col("total"))).over(Window.partitionBy(F.lit(entity)))
+    out = totals.withColumn("expected", expected).filter(F.col("codigo_variable") != F.lit(marker))
+    return out.select("codigo_variable", "total", "expected", (F.col("total") == F.col("expected")).alias("ok"))
+
+
 def check_totals(freq: DataFrame, entity_counts: DataFrame) -> DataFrame:
     """Totals invariant: each variable of an entity sums to the entity count.
 
@@ -217,5 +244,5 @@ def entity_count(df: DataFrame, entity: str, area: str | None = "id_geo") -> Dat
 
 
 def rollup_levels(freq: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Re-aggregate an area frequency table to coarser named levels."""
-    return freq.groupBy(*by, "valor_categoria").agg(F.sum("conteo").cast("long").alias("conteo"))
+    """Re-aggregate an area frequency table to coarser named levels, variable by variable."""
+    return freq.groupBy(*by, "codigo_variable", "valor_categoria").agg(F.sum("conteo").cast("long").alias("conteo"))

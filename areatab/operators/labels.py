@@ -44,9 +44,12 @@ def clean_labels(
     order: str,
     junk: tuple[str, ...] = ("NA",),
     recode: bool = True,
+    keep_order: bool = False,
 ) -> DataFrame:
     """Drop junk keys, keep the first label per key by ``order``, recode.
 
+    ``keep_order`` adds ``_orden``, the kept label's place in the source.
+
     ``labels`` has ``codigo_variable, valor_categoria, etiqueta_categoria`` and
     an ``order`` column that is unique within a key (file + line).
     """
@@ -54,7 +57,8 @@ def clean_labels(
     ok = v.isNotNull()
     for j in junk:
         ok = ok & (v != F.lit(j))
-    first = labels.filter(ok).groupBy(*KEY).agg(F.min_by("etiqueta_categoria", order).alias("etiqueta_categoria"))
+    place = [F.min(order).alias("_orden")] if keep_order else []
+    first = labels.filter(ok).groupBy(*KEY).agg(F.min_by("etiqueta_categoria", order).alias("etiqueta_categoria"), *place)
     if recode:
         first = first.withColumn("etiqueta_categoria", recode_labels("etiqueta_categoria"))
     return first
@@ -97,8 +101,11 @@ def attach_labels(
     if strip_leading_zeros:
         # a label file keyed '01' and data valued '1' (or the reverse) match;
         # the published value stays as it is in the data
-        lab = labels.select("codigo_variable", strip_zeros("valor_categoria").alias("_k"), "etiqueta_categoria")
-        lab = lab.groupBy("codigo_variable", "_k").agg(F.min("etiqueta_categoria").alias("_label"))
+        # of several spellings of a key the label that came first in the source
+        # (labels cleaned with ``keep_order``), else that of the shortest spelling
+        turn = F.col("_orden") if "_orden" in labels.columns else F.struct(F.length("valor_categoria"), F.col("valor_categoria"))
+        lab = labels.select("codigo_variable", strip_zeros("valor_categoria").alias("_k"), "etiqueta_categoria", turn.alias("_turn"))
+        lab = lab.groupBy("codigo_variable", "_k").agg(F.min_by("etiqueta_categoria", "_turn").alias("_label"))
         if check_size:
             lab = bounded_broadcast(lab)
         out = long.withColumn("_k", strip_zeros("valor_categoria")).join(lab, ["codigo_variable", "_k"], "left").drop("_k")

@@ -10,7 +10,7 @@ variable and makes a re-run idempotent per variable.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -120,29 +120,26 @@ def write_long(
     )
 
 
-def write_by_variable(long: DataFrame, path: str, partitions: int | None = None, replace_all: bool = False) -> None:
-    """One folder per variable; re-running a variable replaces only its folder
+def write_by_variable(
+    long: DataFrame, path: str, partitions: int | None = None, replace_all: bool = False, keys: Sequence[str] = ()
+) -> None:
+    """One folder per variable (under one per value of ``keys``); re-running a variable replaces only its folder
     (``replace_all=True`` replaces the whole table instead).
 
     Range partitioning on (variable, area) keeps each task on a contiguous
     slice: a large variable spans several tasks, small ones share a task,
     so the file count stays near partitions + variables.
     """
-    spark = long.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static" if replace_all else "dynamic")
-    try:
-        (
-            long.repartitionByRange(n, "codigo_variable", "id_geo")
-            .sortWithinPartitions("codigo_variable", "id_geo")
-            .write.mode("overwrite")
-            .option("compression", "zstd")
-            .partitionBy("codigo_variable")
-            .parquet(path)
-        )
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    n = partitions or int(long.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (
+        long.repartitionByRange(n, "codigo_variable", "id_geo")
+        .sortWithinPartitions("codigo_variable", "id_geo")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
+        .option("compression", "zstd")
+        .partitionBy(*keys, "codigo_variable")
+        .parquet(path)
+    )
 
 
 def export(df: DataFrame, path: str, compression: str = "zstd") -> None:
@@ -167,21 +164,28 @@ def pending_variables(requested: DataFrame, produced: DataFrame) -> DataFrame:
     )
 
 
-def run_manifest(requested: DataFrame, produced: DataFrame) -> DataFrame:
-    """``(codigo_variable, status, n_rows)`` for every requested variable.
+def run_manifest(
+    requested: DataFrame, produced: DataFrame, ran: Sequence[str] | None = None, errors: Mapping[str, str] | None = None
+) -> DataFrame:
+    """``(codigo_variable, status, n_rows, mensaje)`` for every requested variable.
 
-    status: ``success`` (rows written), ``empty`` (produced, zero rows) or
-    ``missing`` (requested but never produced, e.g. failed or unknown).
+    status: ``error`` (named in ``errors``, with its text), ``success`` (rows
+    produced), ``empty`` (named in ``ran``, but every value was dropped) or
+    ``missing`` (requested but never run, e.g. unknown).
     """
     req = requested.select("codigo_variable").distinct()
     out = req.join(produced.select("codigo_variable", "n_rows"), "codigo_variable", "left")
+    rows = [(c, True, None) for c in ran or () if c not in (errors or {})] + [(c, False, m) for c, m in (errors or {}).items()]
+    known = produced.sparkSession.createDataFrame(rows, "codigo_variable string, _ran boolean, mensaje string")
+    out = out.join(F.broadcast(known), "codigo_variable", "left")  # one literal row a variable
     status = (
-        F.when(F.col("n_rows").isNull(), F.lit("missing"))
-        .when(F.col("n_rows") == 0, F.lit("empty"))
-        .otherwise(F.lit("success"))
+        F.when(F.col("mensaje").isNotNull(), F.lit("error"))
+        .when(F.col("n_rows") > 0, F.lit("success"))
+        .when(F.col("_ran") | (F.col("n_rows") == 0), F.lit("empty"))
+        .otherwise(F.lit("missing"))
     )
     return out.select(
-        "codigo_variable", status.alias("status"), F.coalesce(F.col("n_rows"), F.lit(0)).cast("long").alias("n_rows")
+        "codigo_variable", status.alias("status"), F.coalesce(F.col("n_rows"), F.lit(0)).cast("long").alias("n_rows"), "mensaje"
     )
 
 

@@ -31,7 +31,6 @@ from pyspark.sql import functions as F
 
 from areatab.functions.codes import area_key
 from areatab.operators import areas
-from areatab.operators.broadcast import bounded_broadcast
 
 def fraction_code() -> Column:
     """Fraction code of a dwelling, derived from its key (4 fractions per department).
@@ -46,6 +45,15 @@ def radio_code() -> Column:
     return F.expr("(c_custkey div 4) % 5")
 
 
+def point_columns() -> tuple[Column, Column]:
+    """EPSG:3857 coordinates of a dwelling, derived from its key."""
+    lon = F.lit(-74.0) + (F.col("c_custkey") * 7919 % 4000).cast("double") / F.lit(100.0)
+    lat = F.lit(-55.0) + (F.col("c_custkey") * 104729 % 3300).cast("double") / F.lit(100.0)
+    x = F.lit(6378137.0) * F.radians(lon)
+    y = F.lit(6378137.0) * F.ln(F.tan(F.lit(3.141592653589793 / 4) + F.radians(lat) / F.lit(2.0)))
+    return x, y
+
+
 # Fixed: which driver table plays which census entity.
 ENTITY_TABLES = {"PERSONA": "lineitem", "HOGAR": "orders", "VIVIENDA": "customer"}
 
@@ -267,14 +275,5 @@ class Census:
     @_memo
     def dwelling_points(self) -> DataFrame:
         """Synthetic dwelling coordinates in EPSG:3857 (lon in [-74,-34), lat in [-55,-22))."""
-        c = self.table("customer").select("c_custkey")
-        lon = F.lit(-74.0) + (F.col("c_custkey") * 7919 % 4000).cast("double") / F.lit(100.0)
-        lat = F.lit(-55.0) + (F.col("c_custkey") * 104729 % 3300).cast("double") / F.lit(100.0)
-        x = F.lit(6378137.0) * F.radians(lon)
-        y = F.lit(6378137.0) * F.ln(F.tan(F.lit(3.141592653589793 / 4) + F.radians(lat) / F.lit(2.0)))
-        return c.select(F.col("c_custkey").alias("id"), x.alias("x"), y.alias("y"))
-
-
-def small(df: DataFrame) -> DataFrame:
-    """Size-checked broadcast hint (re-exported for plans)."""
-    return bounded_broadcast(df)
+        x, y = point_columns()
+        return self.table("customer").select(F.col("c_custkey").alias("id"), x.alias("x"), y.alias("y"))

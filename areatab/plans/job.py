@@ -2,23 +2,26 @@
 
 Stages, each materialised under ``out_dir`` on shared storage:
 
-1. ``frecuencias/``: the frequency table, partitioned by ``codigo_variable``.
-   Only variables without a folder yet are tabulated (resume); dynamic
-   partition overwrite publishes a variable's folder at job commit, so a
-   crashed run leaves no half-written variable. Writing it also cuts the
-   lineage: everything after reads this table instead of re-running joins,
-   so a lost executor later costs a re-read, not a recomputation of the
-   fact joins.
-2. ``largo/``: the published long table, labelled, range-partitioned and
-   sorted by ``id_geo``.
+1. ``frecuencias/``: the frequency table, one folder per fingerprint and
+   variable. A variable's fingerprint covers the input files, the rows' plan
+   (joins, filters, exclusions), its expression and the NULL policy, and it is
+   part of the folder's name, so it is on disk before the first row and no
+   crash can part the two. A run takes over just the folders whose fingerprints
+   it asks for; whatever was made from other inputs or with other options is
+   another folder and is never published. Dynamic partition overwrite publishes
+   a variable's folder at job commit, so a crashed run leaves no half-written
+   variable. Writing also cuts the lineage: everything after reads this table,
+   so a lost executor later costs a re-read, not the fact joins.
+2. ``largo/``: the published long table of the requested variables, labelled,
+   range-partitioned and sorted by ``id_geo``.
 3. ``metadatos/``: the category x variable dictionary.
 4. ``manifiesto/``: one row per requested variable with status (success =
-   computed now, skipped = reused from an earlier run, empty, missing), rows
-   and the input fingerprint.
+   computed now, skipped = reused from an earlier run, empty, error with its
+   text), rows and the fingerprint of the inputs.
 
 The list of variable codes is metadata (bounded by the questionnaire), so
-reading the produced partition names on the driver is fine; no data rows go
-through the driver.
+reading the produced partition names on the driver is fine; no data rows and
+no list of files go through the driver.
 """
 
 from __future__ import annotations
@@ -28,11 +31,13 @@ import os
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from areatab.operators import areas, labels, publish
+from areatab.operators.broadcast import literal_broadcast
 from areatab.operators.frequency import frequencies_multi
 from areatab.plans.census import Census
 
@@ -41,6 +46,7 @@ FREQ_SCHEMA = T.StructType(
         T.StructField("id_geo", T.StringType()),
         T.StructField("valor_categoria", T.StringType()),
         T.StructField("conteo", T.LongType()),
+        T.StructField("clave", T.StringType()),
         T.StructField("codigo_variable", T.StringType()),
     ]
 )
@@ -56,48 +62,59 @@ class RunResult:
     skipped: list[str]
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """True if ``path`` holds at least one Parquet file."""
+def _read_freq(spark: SparkSession, path: str) -> DataFrame:
+    """The frequency folders; an empty table if nothing has been written yet."""
     try:
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet") \
-            .load(path).select("path").limit(1).collect()
-    except Exception as e:  # missing folder
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return False
-        raise
-    return True
+        return spark.read.schema(FREQ_SCHEMA).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], FREQ_SCHEMA)
 
 
 def fingerprint(spark: SparkSession, frames: Sequence[DataFrame]) -> str:
     """Hash of the input files (path, length, modification time) behind ``frames``.
 
     File metadata only: the ``binaryFile`` source lists the files and the
-    unused ``content`` column is pruned, so no data is read.
+    unused ``content`` column is pruned, so no data is read. The files' hashes
+    are added up in Spark; one row comes back, however many files there are.
     """
     files = sorted({f for df in frames for f in df.inputFiles()})
+    if not files:
+        return hashlib.sha256(b"").hexdigest()[:32]
     meta = spark.read.format("binaryFile").load(files).select("path", "length", "modificationTime")
-    items = sorted(f"{r.path}|{r.length}|{r.modificationTime.isoformat()}" for r in meta.collect())
-    return hashlib.sha256("\n".join(items).encode()).hexdigest()[:32]
+    # four sums of 32-bit parts: independent of the order, no overflow
+    hashes = [F.xxhash64("path", "length", F.unix_micros("modificationTime"), F.lit(k)) for k in (1, 2)]
+    parts = [F.sum(F.pmod(h, F.lit(1 << 32))) for h in hashes] + [F.sum(F.shiftrightunsigned(h, 32)) for h in hashes]
+    row = meta.agg(F.count(F.lit(1)), F.sum("length"), *parts).first()
+    return hashlib.sha256("|".join(map(str, row)).encode()).hexdigest()[:32]
 
 
-def previous_fingerprint(spark: SparkSession, man_dir: str) -> str | None:
-    """Fingerprint of the last run (None if there was none).
+def variable_keys(huella: str, sources: Mapping[str, tuple[DataFrame, Mapping]], null_policy: str) -> dict[str, str]:
+    """``{code: fingerprint}``: inputs, the rows' canonical plan, the variable's expression and the NULL policy."""
+    keys = {}
+    for rows, variables in sources.values():
+        plan = rows._jdf.queryExecution().analyzed().canonicalized().toString()
+        for code, expr in variables.items():
+            text = "\n".join((huella, plan, code, str(expr), null_policy))
+            keys[code] = hashlib.sha256(text.encode()).hexdigest()[:32]
+    return keys
 
-    A manifest without exactly one fingerprint cannot vouch for its outputs,
-    so it yields a value that never matches and forces a full recomputation.
-    """
-    if not _exists(spark, man_dir):
-        return None
-    rows = spark.read.parquet(man_dir).select("huella").distinct().collect()
-    return rows[0][0] if len(rows) == 1 and rows[0][0] else "<unknown>"
+
+def failing_variables(rows: DataFrame, variables: Mapping) -> dict[str, str]:
+    """``{code: message}`` of the expressions that the rows can't provide (analysis only)."""
+    errors = {}
+    for code, expr in variables.items():
+        try:
+            rows.select(F.col(expr) if isinstance(expr, str) else expr).schema  # noqa: B018
+        except AnalysisException as e:
+            errors[code] = str(e).strip().splitlines()[0]
+    return errors
 
 
-def produced_codes(spark: SparkSession, freq_dir: str) -> set[str]:
-    """Variable codes that already have a partition folder (partition values only)."""
-    if not _exists(spark, freq_dir):
-        return set()
-    df = spark.read.schema(FREQ_SCHEMA).parquet(freq_dir)
-    return {r[0] for r in df.select("codigo_variable").distinct().collect()}
+def produced_keys(spark: SparkSession, freq_dir: str) -> set[str]:
+    """Fingerprints that already have a folder (partition values only)."""
+    return {r[0] for r in _read_freq(spark, freq_dir).select("clave").distinct().collect()}
 
 
 def run_resumable(
@@ -115,30 +132,32 @@ def run_resumable(
     ``sources`` maps each entity to ``(rows with id_geo, {code: column})``;
     ``publish_fn`` turns the frequency table into the published long table
     (area and category labels); ``inputs`` are the frames whose files make up
-    the input fingerprint.
+    the input fingerprint. A variable that the rows can't provide is reported
+    with status ``error``; the others run.
     """
     freq_dir = os.path.join(out_dir, "frecuencias")
-    man_dir = os.path.join(out_dir, "manifiesto")
     huella = fingerprint(spark, list(inputs))
-    # resume only over outputs made from the same inputs
-    same_inputs = previous_fingerprint(spark, man_dir) in (None, huella)
-    done = produced_codes(spark, freq_dir) if resume and same_inputs else set()
-    computed, skipped, parts, requested = [], [], [], []
-    for _, (rows, variables) in sources.items():
-        requested += list(variables)
-        todo = {code: expr for code, expr in variables.items() if code not in done}
-        skipped += [code for code in variables if code in done]
+    keys = variable_keys(huella, sources, null_policy)
+    done = produced_keys(spark, freq_dir) if resume else set()
+    computed, skipped, parts, errors = [], [], [], {}
+    for rows, variables in sources.values():
+        failing = failing_variables(rows, variables)
+        errors |= failing
+        todo = {code: expr for code, expr in variables.items() if keys[code] not in done and code not in failing}
+        skipped += [code for code in variables if keys[code] in done and code not in failing]
         if todo:
             computed += list(todo)
             parts.append((rows, todo))
     if parts:
         new = frequencies_multi(parts, null_policy=null_policy)
-        # outputs of other inputs are dropped as a whole, never mixed in
+        names = spark.createDataFrame([(c, keys[c]) for c in computed], "codigo_variable string, clave string")
+        new = new.join(literal_broadcast(names), "codigo_variable")
         publish.write_by_variable(
-            new.select("id_geo", "codigo_variable", "valor_categoria", "conteo"), freq_dir, replace_all=not same_inputs
+            new.select("id_geo", "valor_categoria", "conteo", "clave", "codigo_variable"), freq_dir, keys=("clave",)
         )
 
-    freq = spark.read.schema(FREQ_SCHEMA).parquet(freq_dir)
+    wanted = [keys[c] for c in computed + skipped]
+    freq = _read_freq(spark, freq_dir).where(F.col("clave").isin(wanted)).drop("clave")
     long_dir = os.path.join(out_dir, "largo")
     publish.write_long(publish_fn(freq), long_dir)
 
@@ -146,10 +165,11 @@ def run_resumable(
     meta_dir = os.path.join(out_dir, "metadatos")
     publish.export(publish.to_metadata(long_back, variable_labels), meta_dir)
 
-    req = spark.createDataFrame([(c,) for c in requested], "codigo_variable string")
-    manifest = publish.run_manifest(req, publish.produced_variables(freq))
+    man_dir = os.path.join(out_dir, "manifiesto")
+    req = spark.createDataFrame([(c,) for c in keys], "codigo_variable string")
+    manifest = publish.run_manifest(req, publish.produced_variables(freq), computed + skipped, errors)
     if skipped:
-        # produced by an earlier run over the same inputs and reused as is
+        # produced by an earlier run over the same inputs, with the same options, and reused as is
         manifest = manifest.withColumn(
             "status",
             F.when((F.col("status") == "success") & F.col("codigo_variable").isin(skipped), F.lit("skipped")).otherwise(F.col("status")),

@@ -87,6 +87,62 @@ CROSSWALK_1991 = """(VALUES (1, 17), (2, 2), (3, 1), (4, 19), (5, 8), (6, 12), (
         (23, 5), (24, 4), (25, 10), (26, 20)) cw(idprov, provin_ref_id)"""
 
 
+# The published variable dictionaries (code, label file, label; code, label).
+VARIABLES_1991 = """(VALUES
+        ('PERSONA_PARENT', 'persona_labels_parentes.csv', 'Parentesco'), ('PERSONA_SEXO', 'persona_labels_sexo.csv', 'Sexo'),
+        ('PERSONA_EDAD', NULL, 'Edad'), ('PERSONA_LUGARNAC', 'persona_labels_naciocodi.csv', 'Lugar de nacimiento'),
+        ('PERSONA_ASISTE', 'persona_labels_asistencia.csv', 'Asistencia escolar'),
+        ('PERSONA_NIVEL', 'persona_labels_nivelasist.csv', 'Nivel educativo'),
+        ('PERSONA_NIVELMAX', 'persona_labels_ultimoapro.csv', 'Máximo nivel aprobado'),
+        ('PERSONA_NIVELCOM', 'persona_labels_complcurso.csv', 'Nivel completo'),
+        ('HOGAR_CUARTOS', NULL, 'Cantidad de cuartos'), ('HOGAR_DESAGUE', 'hogar_labels_desaginh.csv', 'Desagüe'),
+        ('HOGAR_TENENCIA', 'hogar_labels_propvivh.csv', 'Tenencia de la vivienda'),
+        ('HOGAR_BANO', 'hogar_labels_inodoroh.csv', 'Baño'), ('HOGAR_TIPOH', NULL, 'Tipo de hogar'),
+        ('HOGAR_TIPOHOG', NULL, 'Tipo de hogar (detallado)'), ('VIVIENDA_LOCALIDA', NULL, 'Localidad'),
+        ('VIVIENDA_AREA', NULL, 'Área'), ('VIVIENDA_USO', NULL, 'Uso de la vivienda'),
+        ('VIVIENDA_TIPOVIV', 'vivienda_labels_tipoviv.csv', 'Tipo de vivienda'), ('VIVIENDA_DESTINO', NULL, 'Destino'),
+        ('VIVIENDA_PISO', 'vivienda_labels_pisos.csv', 'Material del piso'),
+        ('VIVIENDA_AGUA', 'vivienda_labels_agua.csv', 'Provisión de agua'),
+        ('VIVIENDA_AGUAOBT', 'vivienda_labels_obtagua.csv', 'Obtención del agua'), ('VIVIENDA_TIPOCASA', NULL, 'Tipo de casa'),
+        ('VIVIENDA_VILLA', NULL, 'Villa de emergencia')) v91(codigo_variable, label_file, etiqueta_variable)"""
+
+VARIABLES_2001 = """(VALUES
+        ('PERSONA_P1', 'Parentesco'), ('PERSONA_P2', 'Sexo'), ('PERSONA_P3', 'Edad'), ('PERSONA_P4', 'Sabe leer y escribir'),
+        ('PERSONA_P5', 'Usa computadora'), ('PERSONA_P7A', 'Lugar de nacimiento'),
+        ('PERSONA_P7PROV', 'Provincia de nacimiento'), ('PERSONA_P7PAIS', 'País de nacimiento'),
+        ('PERSONA_P8A', 'Residencia hace 5 años'), ('PERSONA_P8PROV', 'Provincia hace 5 años'),
+        ('PERSONA_P8PAIS', 'País hace 5 años'), ('PERSONA_P9A', 'Trabaja en otro lugar'),
+        ('PERSONA_P9PROV', 'Provincia de trabajo'), ('PERSONA_P9PAIS', 'País de trabajo'),
+        ('PERSONA_P19DIS', 'Disciplina de estudio'), ('PERSONA_P20', 'Estado civil'), ('PERSONA_P21', 'Vive en pareja'),
+        ('PERSONA_P22', 'Tiene hijos nacidos vivos'), ('PERSONA_P295', 'Calificación ocupacional'),
+        ('PERSONA_P36', 'Tamaño del establecimiento'), ('PERSONA_P37', 'Aportes jubilatorios'),
+        ('PERSONA_P38T', 'Horas trabajadas'), ('PERSONA_P40', 'Busca trabajo'), ('PERSONA_CP1', 'Tiene documento'),
+        ('PERSONA_CP3', 'Asistencia escolar'), ('PERSONA_CP4', 'Nivel educativo'), ('PERSONA_CP5', 'Edad (menores de 5)'),
+        ('PERSONA_CP7', 'Categoría ocupacional'), ('PERSONA_CP9', 'Descuento jubilatorio'),
+        ('PERSONA_CP12', 'Años de estudio aprobados'), ('PERSONA_CP63', 'Condición de actividad'),
+        ('PERSONA_EDADAGRU', 'Grupo de edad (3 grupos)'), ('PERSONA_EDADQUI', 'Grupo de edad quinquenal'),
+        ('PERSONA_RAMA2', 'Rama de actividad (CIIU)'), ('PERSONA_RAMA91', 'Rama de actividad (1991)'),
+        ('HOGAR_H1', 'Cantidad de personas'), ('HOGAR_H10', 'Provisión de agua'), ('HOGAR_CH6', 'Tenencia de la vivienda'),
+        ('HOGAR_CH9', 'Desagüe del inodoro'), ('HOGAR_CH10', 'Cocina'), ('HOGAR_CH12', 'Material de paredes'),
+        ('HOGAR_CH13', 'Material de techos'), ('HOGAR_CH14', 'Condición ocupacional jefe/cónyuge'), ('HOGAR_CH23', 'Heladera'),
+        ('HOGAR_CH24', 'Lavarropas'), ('HOGAR_CH25', 'Teléfono'), ('HOGAR_CH26', 'Computadora e internet'),
+        ('HOGAR_CH28', 'Calidad de materiales (CALMAT)'), ('HOGAR_CH33', 'Privación material'),
+        ('HOGAR_CH51', 'Ingreso total del hogar'), ('HOGAR_CH82', 'Tipo de hogar'),
+        ('HOGAR_CHNBI', 'Necesidades básicas insatisfechas'), ('HOGAR_CHNBI1', 'NBI: Vivienda inconveniente'),
+        ('HOGAR_CHNBI2', 'NBI: Condiciones sanitarias'), ('HOGAR_CHNBI3', 'NBI: Hacinamiento'),
+        ('HOGAR_CHNBI4', 'NBI: Inasistencia escolar'), ('HOGAR_CHNBI5', 'NBI: Capacidad de subsistencia'),
+        ('HOGAR_HACIAGRU', 'Hacinamiento (personas por cuarto)'), ('VIVIENDA_TIPOVIV', 'Tipo de relevamiento'),
+        ('VIVIENDA_URP', 'Área urbana/rural'), ('VIVIENDA_V0T', 'Motivo vivienda desocupada'),
+        ('VIVIENDA_V4', 'Tipo de vivienda'), ('VIVIENDA_CV12', 'Material de paredes'), ('VIVIENDA_CV13', 'Material de techos'),
+        ('VIVIENDA_CV94', 'Viviendas 1994'), ('VIVIENDA_CV94RA', 'Radios 1994'), ('VIVIENDA_CV951', 'Segmento 1995'),
+        ('VIVIENDA_CV952', 'Vivienda 1995'), ('VIVIENDA_CC4', 'Cobertura: entrevista completa'),
+        ('VIVIENDA_CC5', 'Cobertura: rechazo'), ('VIVIENDA_CC6', 'Cobertura: ausencia'),
+        ('VIVIENDA_CC7', 'Cobertura: otra causa'), ('VIVIENDA_CC9', 'Cobertura: vivienda desocupada'),
+        ('VIVIENDA_CC10', 'Cobertura: uso no habitacional'), ('VIVIENDA_CC11', 'Cobertura: en construcción'),
+        ('VIVIENDA_CC12', 'Cobertura: demolida'), ('VIVIENDA_LOC', 'Código de localidad'),
+        ('VIVIENDA_MUNI', 'Código de municipio'), ('VIVIENDA_AGLO', 'Código de aglomerado'),
+        ('VIVIENDA_CANTPERS', 'Cantidad de personas'), ('VIVIENDA_CANTHOG', 'Cantidad de hogares')) v01(codigo_variable, etiqueta_variable)"""
+
 # Fixed: column order of the driver tables profiled by describe_table.
 TABLE_COLUMNS = {
     "region": ["r_regionkey", "r_name"],
@@ -174,7 +230,7 @@ DLL = "dll AS (SELECT ll.id AS c_custkey, ll.lon, ll.lat, g.id_geo FROM ll JOIN
 SLICE_FREQ = "f AS (" + _freq("h", {"HOGAR_STATUS": "o_orderstatus"}, "keep") + ")"
 
 DAMAGED = (f"dmg AS (SELECT doc_id, translate(text, 'áéíóúñüÁÉÍÓÚÑ', '{RC * 13}') AS text "
-           "FROM documents WHERE lang = 'es')")
+           "FROM documents)")
 
 
 def _repair_sql(expr: str, rules) -> str:
@@ -185,6 +241,11 @@ def _repair_sql(expr: str, rules) -> str:
         if kind == "literal":
             out = f"replace({out}, '{pat}', '{rep}')"
         else:
+            if pat.endswith("\\b"):
+                # this engine has no look-ahead: the next character is matched and put back,
+                # and a second pass meets what that character began
+                pat, rep = pat[:-2] + "([^\\pL\\pM\\pN_]|$)", rep + "\\1"
+                out = f"regexp_replace({out}, '{pat}', '{rep}', 'g')"
             out = f"regexp_replace({out}, '{pat}', '{rep}', 'g')"
     return f"CASE WHEN strpos({expr}, '{RC}') > 0 THEN {out} ELSE {expr} END"
 
@@ -206,7 +267,7 @@ def _tile_sql() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    from areatab.functions.textfix import RULES_1991, RULES_2001
+    from areatab.functions.textfix import RULES_1991, RULES_2001, RULES_CORRECTED
 
     q: dict[str, str] = {}
     q["freq_drop_nulls"] = _with(G, H, P) + _freq("p", PERSONA, "drop")
@@ -221,11 +282,21 @@ def oracle_sql() -> dict[str, str]:
     q["freq_salted"] = _with(G, H, P) + _freq("p", PERSONA, "drop") + "\nUNION ALL\n" + _freq("h", HOGAR, "drop")
     q["freq_vivienda"] = _with(G, V) + _freq("v", VIVIENDA, "drop")
     q["freq_left_chain"] = _with(GL, HL, PL) + _freq("pl", PERSONA, "drop") + "\nUNION ALL\n" + _freq("hl", HOGAR, "drop")
-    q["freq_by_levels"] = _with(G, H, P) + (
-        "SELECT r_name, n_name, l_linestatus AS valor_categoria, CAST(count(*) AS BIGINT) AS conteo "
-        "FROM p JOIN region ON CAST(substr(p.id_geo, 1, 2) AS INTEGER) = r_regionkey "
-        "JOIN nation ON CAST(substr(p.id_geo, 1, 2) AS INTEGER) = n_regionkey AND CAST(substr(p.id_geo, 3, 3) AS INTEGER) = n_nationkey "
-        "WHERE l_linestatus IS NOT NULL GROUP BY r_name, n_name, l_linestatus"
+    status = ("st AS (SELECT id_geo, 'PERSONA_STATUS' AS codigo_variable, l_linestatus AS valor_categoria FROM p "
+              "UNION ALL SELECT id_geo, 'HOGAR_STATUS', o_orderstatus FROM h "
+              "UNION ALL SELECT id_geo, 'HOGAR_VACIA', nullif(o_orderstatus, o_orderstatus) FROM h)")
+    named = ("FROM st JOIN region ON CAST(substr(st.id_geo, 1, 2) AS INTEGER) = r_regionkey "
+             "JOIN nation ON CAST(substr(st.id_geo, 1, 2) AS INTEGER) = n_regionkey AND CAST(substr(st.id_geo, 3, 3) AS INTEGER) = n_nationkey "
+             "WHERE valor_categoria IS NOT NULL GROUP BY ALL")
+    q["freq_by_levels"] = _with(G, H, P, status) + (
+        f"SELECT r_name, n_name, codigo_variable, valor_categoria, CAST(count(*) AS BIGINT) AS conteo {named}"
+    )
+    q["freq_four_levels"] = _with(G, H, P, status) + (
+        "SELECT substr(st.id_geo, 1, 2) AS valor_provincia, r_name AS etiqueta_provincia, "
+        "substr(st.id_geo, 3, 3) AS valor_departamento, n_name AS etiqueta_departamento, "
+        "substr(st.id_geo, 6, 2) AS valor_fraccion, 'Fraccion ' || substr(st.id_geo, 6, 2) AS etiqueta_fraccion, "
+        "substr(st.id_geo, 8, 2) AS valor_radio, 'Radio ' || substr(st.id_geo, 8, 2) AS etiqueta_radio, "
+        f"codigo_variable, valor_categoria, CAST(count(*) AS BIGINT) AS conteo {named}"
     )
     q["freq_all"] = _with(G, H, P, V) + _freq("p", PERSONA, "keep") + "\nUNION ALL\n" + _freq("h", HOGAR, "keep") + "\nUNION ALL\n" + _freq("v", VIVIENDA, "keep")
     q["total_check"] = _with(G, H, P, "f AS (" + _freq("p", PERSONA, "keep") + ")") + (
@@ -270,6 +341,12 @@ def oracle_sql() -> dict[str, str]:
         "FROM (SELECT c_nationkey AS idprov, CAST(count(*) AS BIGINT) AS n FROM customer GROUP BY c_nationkey) c "
         f"LEFT JOIN {PROVINCES_1991} ON c.idprov = pv.idprov"
     )
+    q["inline_dictionaries"] = (
+        "SELECT a.codigo_variable, a.label_file, a.etiqueta_variable, v01.codigo_variable AS codigo_2001, c.n "
+        "FROM (SELECT CAST(o_orderkey % 24 AS INTEGER) AS k, CAST(count(*) AS BIGINT) AS n FROM orders GROUP BY 1) c "
+        f"JOIN (SELECT *, row_number() OVER (ORDER BY codigo_variable) - 1 AS k FROM {VARIABLES_1991}) a ON a.k = c.k "
+        f"LEFT JOIN {VARIABLES_2001} ON a.etiqueta_variable = v01.etiqueta_variable"
+    )
     q["label_areas"] = _with(G, H, P, "f AS (" + _freq("p", PERSONA, "drop") + ")") + (
         "SELECT f.id_geo, printf('%02d', CAST(substr(f.id_geo, 1, 2) AS INTEGER)) AS valor_provincia, r.r_name AS etiqueta_provincia, "
         "printf('%03d', CAST(substr(f.id_geo, 3, 3) AS INTEGER)) AS valor_departamento, "
@@ -293,6 +370,39 @@ def oracle_sql() -> dict[str, str]:
     q["long_roundtrip"] = q["publish_long"]
     q["census_job"] = q["publish_long"]
     q["linked_model"] = q["publish_long"]
+    q["census_job_changed"] = q["publish_long"]
+    q["csv_linked"] = q["publish_long"]
+    q["label_files"] = q["clean_labels"]
+    # 2010: the missing province leaves its areas without a key, a missing name stays NULL
+    persona_2010 = dict(PERSONA)
+    persona_2010["PERSONA_STATUS"] = "CASE WHEN l_linestatus = 'F' THEN '' ELSE l_linestatus END"
+    kept = "WHERE NOT EXISTS (SELECT 1 FROM region WHERE r_name = 'MIDDLE EAST' AND printf('%02d', r_regionkey) = substr(f.id_geo, 1, 2))"
+    f_2010 = "f AS (" + "\nUNION ALL\n".join(
+        (_freq("p", persona_2010, "drop_blank"), _freq("h", HOGAR, "drop_blank"), _freq("v", VIVIENDA, "drop_blank"))) + ")"
+    long_2010 = LONG_SELECT.replace("coalesce(n.n_name, 'Sin dato')", "CASE WHEN n.n_nationkey % 5 <> 0 THEN n.n_name END").replace(
+        "coalesce(sl.etiqueta_categoria, f.valor_categoria)", "sl.etiqueta_categoria")
+    plain_labels = """sl AS (SELECT codigo_variable, valor_categoria, arg_min(etiqueta_categoria, linea) AS etiqueta_categoria
+      FROM raw WHERE valor_categoria IS NOT NULL AND valor_categoria <> 'NA' GROUP BY codigo_variable, valor_categoria)"""
+    q["linked_2010"] = _with(G, H, P, V, f_2010, RAW, plain_labels, f"long AS ({long_2010} {kept})") + f"SELECT {LONG_COLS} FROM long"
+    wide_frac = "CASE WHEN c_custkey % 4 >= 2 THEN c_custkey % 4 + 98 ELSE c_custkey % 4 END"
+    wide_g = G.replace("lpad(CAST(c_custkey % 4 AS VARCHAR), 2, '0')", "fr").replace(
+        "FROM customer JOIN", f"FROM (SELECT *, CASE WHEN c_custkey % 4 >= 2 THEN CAST({wide_frac} AS VARCHAR) "
+        f"ELSE lpad(CAST({wide_frac} AS VARCHAR), 2, '0') END AS fr FROM customer) customer JOIN")
+    q["linked_wide_codes"] = _with(wide_g, H) + (
+        "SELECT id_geo, substr(id_geo, 6, length(id_geo) - 7) AS valor_fraccion, 'HOGAR_STATUS' AS codigo_variable, "
+        "o_orderstatus AS valor_categoria, CAST(count(*) AS BIGINT) AS conteo FROM h WHERE o_orderstatus IS NOT NULL GROUP BY ALL"
+    )
+    q["csv_flat"] = _with(G, V, "f AS (" + _freq("v", VIVIENDA, "keep") + ")") + (
+        "SELECT f.id_geo, 'Jardín ' || replace(n_name, 'P', 'p') || ' público' AS etiqueta_departamento, "
+        "f.codigo_variable, f.valor_categoria, f.conteo "
+        "FROM f JOIN nation ON CAST(substr(f.id_geo, 1, 2) AS INTEGER) = n_regionkey AND CAST(substr(f.id_geo, 3, 3) AS INTEGER) = n_nationkey"
+    )
+    q["xml_dictionary"] = _with(*LONG_CTES) + (
+        "SELECT long.codigo_variable, any_value(vlab.etiqueta_variable) AS etiqueta_variable, "
+        "split_part(long.codigo_variable, '_', 1) AS entidad, split_part(long.codigo_variable, '_', 2) AS nombre_variable, "
+        f"CAST(count(*) AS BIGINT) AS n_rows FROM long LEFT JOIN {VARIABLE_LABELS} ON long.codigo_variable = vlab.codigo_variable "
+        "GROUP BY long.codigo_variable"
+    )
     level_long = LONG_SELECT.replace(
         "coalesce(n.n_name, 'Sin dato') AS etiqueta_departamento", "n.n_name AS etiqueta_departamento").replace(
         "CAST(NULL AS VARCHAR) AS etiqueta_fraccion", "'Fraccion ' || substr(f.id_geo, 6, 2) AS etiqueta_fraccion").replace(
@@ -325,9 +435,11 @@ def oracle_sql() -> dict[str, str]:
         "FROM req LEFT JOIN prod ON req.codigo_variable = prod.codigo_variable"
     )
     q["run_manifest"] = _with(G, H, P, PRODUCED, REQUESTED) + (
-        "SELECT req.codigo_variable, CASE WHEN prod.n_rows IS NULL THEN 'missing' WHEN prod.n_rows = 0 THEN 'empty' "
-        "ELSE 'success' END AS status, CAST(coalesce(prod.n_rows, 0) AS BIGINT) AS n_rows "
-        "FROM req LEFT JOIN prod ON req.codigo_variable = prod.codigo_variable"
+        "SELECT req.codigo_variable, CASE WHEN prod.n_rows IS NULL THEN 'missing' ELSE 'success' END AS status, "
+        "CAST(coalesce(prod.n_rows, 0) AS BIGINT) AS n_rows, CAST(NULL AS BOOLEAN) AS con_mensaje "
+        "FROM req LEFT JOIN prod ON req.codigo_variable = prod.codigo_variable "
+        "UNION ALL SELECT * FROM (VALUES ('VIVIENDA_VACIA', 'empty', CAST(0 AS BIGINT), CAST(NULL AS BOOLEAN)), "
+        "('VIVIENDA_ROTA', 'error', CAST(0 AS BIGINT), TRUE)) odd"
     )
     q["distinct_variables"] = _with(*LONG_CTES, METADATA) + (
         "SELECT DISTINCT codigo_variable, etiqueta_variable FROM meta ORDER BY codigo_variable"
@@ -362,8 +474,30 @@ def oracle_sql() -> dict[str, str]:
     )
     q["export_geometry"] = q["join_geometry"]
     q["wkb_points"] = _with(POINTS, LONLAT) + "SELECT id, 'Point' AS kind, lon, lat FROM ll"
+    side = "(1000.0::DOUBLE * (c_custkey % 3 + 1))"
+    second = "c_custkey % 5 = 0"
+    q["wkb_polygons"] = (
+        f"SELECT c_custkey AS id, CASE WHEN {second} THEN 'MultiPolygon' ELSE 'Polygon' END AS kind, "
+        "CASE WHEN c_custkey % 2 = 0 THEN 3857 END AS srid, "
+        f"CASE WHEN {second} THEN 2 ELSE 1 END AS n_parts, CASE WHEN {second} THEN 3 ELSE 2 END AS n_rings, "
+        f"round({side} * {side} * (CASE WHEN {second} THEN 1.75 ELSE 0.75 END)::DOUBLE, 1) AS area FROM customer"
+    )
+    wide = f"{side} * CASE WHEN c_custkey % 5 = 0 THEN 3 ELSE 1 END"
+    boxes = (f"bx AS (SELECT c_custkey, x, y, x + {wide} AS x2, y + {side} AS y2 FROM pts JOIN customer ON id = c_custkey), "
+             "bl AS (SELECT c_custkey, round(degrees(x / 6378137.0::DOUBLE), 9) AS min_lon, "
+             "round(degrees(2 * atan(exp(y / 6378137.0::DOUBLE)) - pi() / 2), 9) AS min_lat, "
+             "round(degrees(x2 / 6378137.0::DOUBLE), 9) AS max_lon, "
+             "round(degrees(2 * atan(exp(y2 / 6378137.0::DOUBLE)) - pi() / 2), 9) AS max_lat FROM bx)")
+    q["reproject_rings"] = _with(POINTS, boxes) + (
+        f"SELECT c_custkey AS id, CASE WHEN {second} THEN 15 ELSE 10 END AS n_points, min_lon, min_lat, max_lon, max_lat FROM bl"
+    )
+    q["bbox_polygons"] = _with(G, POINTS, boxes) + (
+        "SELECT id_geo, min(min_lon) AS min_lon, min(min_lat) AS min_lat, max(max_lon) AS max_lon, max(max_lat) AS max_lat "
+        "FROM bl JOIN g USING (c_custkey) GROUP BY id_geo"
+    )
     q["repair_text_2001"] = _repair_query(RULES_2001)
     q["repair_text_1991"] = _repair_query(RULES_1991)
+    q["repair_text_corrected"] = _repair_query(RULES_CORRECTED)
     q["repair_text_literal"] = _repair_query([r for r in RULES_2001 if r[2] == "literal"])
     prof = []
     for t, cols in TABLE_COLUMNS.items():

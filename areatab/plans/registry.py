@@ -8,17 +8,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from areatab.functions.codes import area_key, format_code, pad_code
 from areatab.functions.textfix import RC, count_damaged, repair
 from areatab.operators import areas, consumer, geo, labels, publish
 from areatab.operators.broadcast import bounded_broadcast, literal_broadcast
-from areatab.operators.frequency import check_totals, entity_count, frequencies, frequencies_multi, rollup_levels
-from areatab.plans.census import Census, fraction_code, radio_code
+from areatab.operators.frequency import frequencies, frequencies_multi, rollup_levels, totals_check
+from areatab.plans.census import Census, fraction_code, point_columns, radio_code
 from areatab.session import scratch_path
-from areatab.sources.inline import crosswalk_1991, provinces_1991
+from areatab.sources.inline import crosswalk_1991, provinces_1991, variables_1991, variables_2001
 
 ENTITIES = ("PERSONA", "HOGAR", "VIVIENDA")
 SLICE_VARIABLE = "HOGAR_STATUS"
@@ -161,18 +161,33 @@ def freq_by_levels(spark, sf_dir):
     Counted at the finest level first, then named with the broadcast area
     dimensions and rolled up, so names never ride through the fact shuffle.
     """
-    c = _census(spark, sf_dir)
-    f = frequencies(c.entity("PERSONA"), {"PERSONA_STATUS": c.variables["PERSONA"]["PERSONA_STATUS"]})
-    f = areas.label_areas(f, c.provinces(), c.departments())
+    f = _status_by_area(_census(spark, sf_dir))
     f = f.withColumnsRenamed({"etiqueta_provincia": "r_name", "etiqueta_departamento": "n_name"})
     return rollup_levels(f, ["r_name", "n_name"])
 
 
+def _status_by_area(c: Census) -> DataFrame:
+    """Two variables whose categories share their codes, and one without any value, by area."""
+    persons = {"PERSONA_STATUS": c.variables["PERSONA"]["PERSONA_STATUS"]}
+    homes = {"HOGAR_STATUS": c.variables["HOGAR"]["HOGAR_STATUS"], "HOGAR_VACIA": F.nullif(F.col("o_orderstatus"), F.col("o_orderstatus"))}
+    f = frequencies_multi([(c.entity("PERSONA"), persons), (c.entity("HOGAR"), homes)], null_policy="drop")
+    return areas.label_areas(f, c.provinces(), c.departments())
+
+
+def freq_four_levels(spark, sf_dir):
+    """Two variables by value and label of all four area levels, one row each."""
+    f = _status_by_area(_census(spark, sf_dir))
+    f = f.withColumns({
+        "etiqueta_fraccion": F.concat(F.lit("Fraccion "), F.col("valor_fraccion")),
+        "etiqueta_radio": F.concat(F.lit("Radio "), F.col("valor_radio")),
+    })
+    levels = [f"{kind}_{level}" for level in ("provincia", "departamento", "fraccion", "radio") for kind in ("valor", "etiqueta")]
+    return rollup_levels(f, levels)
+
+
 def total_check(spark, sf_dir):
     c = _census(spark, sf_dir)
-    persons = c.entity("PERSONA")
-    f = frequencies(persons, c.variables["PERSONA"], null_policy="keep")
-    return check_totals(f, entity_count(persons, "PERSONA"))
+    return totals_check(c.entity("PERSONA"), "PERSONA", c.variables["PERSONA"])
 
 
 def freq_all(spark, sf_dir):
@@ -233,6 +248,18 @@ def crosswalk_codes(spark, sf_dir):
     return out.select("idprov", "provin_ref_id", "n")
 
 
+def inline_dictionaries(spark, sf_dir):
+    """Households by a 24-way code that stands for the 1991 variables, with both years' dictionaries."""
+    c = _census(spark, sf_dir)
+    counts = c.table("orders").groupBy((F.col("o_orderkey") % 24).cast("int").alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    first = variables_1991(spark).withColumn("k", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("codigo_variable")) - 1)
+    both = counts.join(literal_broadcast(first), "k")
+    later = variables_2001(spark).select("etiqueta_variable", F.col("codigo_variable").alias("codigo_2001"))
+    return both.join(literal_broadcast(later), "etiqueta_variable", "left").select(
+        "codigo_variable", "label_file", "etiqueta_variable", "codigo_2001", "n"
+    )
+
+
 def inline_lookup(spark, sf_dir):
     """Dwellings per province code with the inline province names (fallback 'Sin dato')."""
     c = _census(spark, sf_dir)
@@ -320,6 +347,162 @@ def census_job(spark, sf_dir):
     return publish.read_long(spark, res.largo)
 
 
+def census_job_changed(spark, sf_dir):
+    """The production run after all that must not show in its result.
+
+    Into one folder: a run of persons that drops NULLs, a run over other
+    inputs that breaks off before its manifest, and a run with one variable
+    more. The last run asks for the published variables only and gives just
+    what a first run gives.
+    """
+    from areatab.plans import job
+
+    c = _census(spark, sf_dir)
+    out = scratch_path(spark, "census-changed")
+    job.run_census(c, out, entities=("PERSONA",), null_policy="drop")
+
+    other = {"HOGAR": (c.entity("HOGAR").where("o_orderkey % 3 = 0"), c.variables["HOGAR"])}
+
+    def breaks_off(freq: DataFrame) -> DataFrame:
+        raise InterruptedError
+
+    try:
+        job.run_resumable(spark, other, breaks_off, out, [c.table("orders")])
+    except InterruptedError:
+        pass
+    more = {"VIVIENDA": (c.entity("VIVIENDA"), {**c.variables["VIVIENDA"], "VIVIENDA_NACION": F.col("c_nationkey").cast("string")})}
+    job.run_resumable(spark, more, lambda freq: publish.to_long(freq), out, [c.table("customer")])
+    return publish.read_long(spark, job.run_census(c, out).largo)
+
+
+def linked_2010(spark, sf_dir):
+    """The long table as in 2010: left joins, blanks dropped, no repair, no recoded or made-up labels.
+
+    One province and some departments are missing from their files, so areas
+    without a key fall away and departments without a name stay NULL.
+    """
+    from areatab.plans.vintages import tabulate_linked_2010
+
+    c = _census(spark, sf_dir)
+    t = {n: df.toDF(*[x.upper() for x in df.columns]) for n, df in c.linked_tables().items()}  # as that year writes its names
+    prov = t["prov"].where("nomprov <> 'MIDDLE EAST'")
+    dpto = t["dpto"].withColumn("nomdpto", F.when(F.col("iddpto") % 5 != 0, F.col("nomdpto"))).withColumnRenamed("nomdpto", "NOMDEPTO")
+    persona = t["persona"].withColumn("STATUS", F.when(F.col("STATUS") == "F", F.lit("")).otherwise(F.col("STATUS")))
+    long, _ = tabulate_linked_2010(
+        prov, dpto, t["frac"], t["radio"], t["seg"], t["vivienda"], t["hogar"], persona,
+        raw_labels=c.raw_labels().withColumn("orden", F.col("linea")), variable_labels=c.variable_labels(),
+    )
+    return long
+
+
+def linked_wide_codes(spark, sf_dir):
+    """Households by area where some fraction codes outgrow their two digits: no two areas merge."""
+    from areatab.plans.vintages import tabulate_linked
+
+    c = _census(spark, sf_dir)
+    t = c.linked_tables()
+    wide = lambda name: F.when(F.col(name) >= 2, F.col(name) + 98).otherwise(F.col(name))
+    frac = t["frac"].withColumn("idfrac", wide("idfrac"))
+    long, _ = tabulate_linked(
+        t["prov"], t["dpto"], frac, t["radio"], t["seg"], t["vivienda"], t["hogar"], null_policy="drop",
+    )
+    return long.where("codigo_variable = 'HOGAR_STATUS'").select("id_geo", "valor_fraccion", "codigo_variable", "valor_categoria", "conteo")
+
+
+# ---------------------------------------------------------------- file sources
+def _csv(df: DataFrame, name: str, encoding: str = "UTF-8") -> str:
+    """``df`` as ``;`` text with a header, in several files."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("sep", ";").option("header", True).option("encoding", encoding).csv(path)
+    return path
+
+
+def _label_folder(c: Census, name: str) -> str:
+    """The labels as files ``entity_labels_variable.csv``, one a variable, in source order.
+
+    The list of variables is metadata; a variable's labels are bounded by the
+    questionnaire (the long derived list is cut to its distinct rows first).
+    """
+    import os
+
+    spark = c.spark
+    raw = c.raw_labels().groupBy("codigo_variable", "valor_categoria", "etiqueta_categoria").agg(F.min("linea").alias("linea"))
+    folder = scratch_path(spark, name)
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    for code in sorted({r[0] for r in raw.select("codigo_variable").distinct().collect()}):
+        entity, variable = code.lower().split("_")
+        rows = raw.where(F.col("codigo_variable") == code).coalesce(1).sortWithinPartitions("linea")
+        part = f"{folder}/.{code}"
+        rows.select(F.col("valor_categoria").alias("valor"), F.col("etiqueta_categoria").alias("etiqueta")).write.option("sep", ";").option(
+            "header", True).csv(part)
+        made = fs.globStatus(fs_path(f"{part}/part-*.csv"))
+        fs.rename(made[0].getPath(), fs_path(os.path.join(folder, f"{entity}_labels_{variable}.csv")))
+        fs.delete(fs_path(part), True)
+    return folder
+
+
+def label_files(spark, sf_dir):
+    """Cleaned labels read back from one text file a variable, named by entity and variable."""
+    from areatab.sources.files import read_label_files
+
+    c = _census(spark, sf_dir)
+    rows = read_label_files(spark, _label_folder(c, "labels"))
+    return labels.clean_labels(rows.withColumn("orden", F.struct("archivo", "linea")), "orden")
+
+
+def csv_linked(spark, sf_dir):
+    """The linked model read from ``;`` text files and label files, as :func:`linked_model`."""
+    from areatab.plans.vintages import tabulate_linked
+    from areatab.sources.files import read_delimited, read_label_files
+
+    c = _census(spark, sf_dir)
+    t = {n: read_delimited(spark, _csv(df, f"csv-{n}")) for n, df in c.linked_tables().items()}
+    long, _ = tabulate_linked(
+        t["prov"], t["dpto"], t["frac"], t["radio"], t["seg"], t["vivienda"], t["hogar"], t["persona"],
+        raw_labels=read_label_files(spark, _label_folder(c, "csv-labels")),
+        variable_labels=c.variable_labels(), null_policy="keep",
+    )
+    return long
+
+
+def csv_flat(spark, sf_dir):
+    """Dwellings of the flat model read from Latin-1 ``;`` text, department names damaged and repaired."""
+    from areatab.plans.vintages import tabulate_flat
+    from areatab.sources.files import read_delimited
+
+    c = _census(spark, sf_dir)
+    homes = c.dwelling_area(names=False, keep=("c_mktsegment",)).select(
+        F.substring("id_geo", 1, 2).alias("IDPROV"), F.substring("id_geo", 3, 3).alias("IDDPTO"),
+        F.substring("id_geo", 6, 2).alias("IDFRAC"), F.substring("id_geo", 8, 2).alias("IDRADIO"), F.col("c_mktsegment").alias("SEGMENT"),
+    )
+    homes = read_delimited(spark, _csv(homes, "csv-flat", "ISO-8859-1"), encoding="ISO-8859-1")
+    dptos = c.departments().withColumn("nomdpto", F.concat(F.lit(f"Jard{RC}n "), F.col("nomdpto"), F.lit(f" P{RC}blico")))
+    dptos = dptos.withColumn("nomdpto", F.replace("nomdpto", F.lit("P"), F.lit("p")))
+    long, _ = tabulate_flat({"VIVIENDA": homes}, c.provinces(), dptos)
+    return long.select("id_geo", "etiqueta_departamento", "codigo_variable", "valor_categoria", "conteo")
+
+
+def xml_dictionary(spark, sf_dir):
+    """Variables and labels read from an XML dictionary, entities nested and wrapped, with their rows' counts."""
+    from areatab.sources.files import read_dictionary
+
+    c = _census(spark, sf_dir)
+    text = dict(c.variable_labels().collect())
+
+    def entity(name: str, inner: str = "") -> str:
+        vs = "".join(
+            f'<Variable name="{v.split("_")[1]}"' + (f' description="{text[v]}"' if v in text else "") + "/>" for v in c.variables[name]
+        )
+        return f'<Entity name="{name}"><Variables>{vs}</Variables>{inner}</Entity>'
+
+    body = entity("VIVIENDA", f"<Entities>{entity('HOGAR', entity('PERSONA'))}</Entities>")
+    path = scratch_path(spark, "dictionary")
+    spark.createDataFrame([(f"<Dictionary>{body}</Dictionary>",)], "value string").coalesce(1).write.text(path)
+    counts = publish.produced_variables(_published(spark, sf_dir))
+    return read_dictionary(spark, path).join(counts, "codigo_variable")
+
+
 def linked_model(spark, sf_dir):
     """The long table produced by the linked-model pipeline (reference-id
     chains through province, department, fraction, radio and segment files)."""
@@ -390,24 +573,38 @@ def flat_level_labels(spark, sf_dir):
     return long
 
 
-def publish_metadata(spark, sf_dir):
+def _published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The long table as published: written once per session to the shared folder, one folder per variable.
+
+    What users ask of it (names, counts, slices) reads this table, or only its
+    folders' names, instead of tabulating the fact tables again.
+    """
     c = _census(spark, sf_dir)
-    return publish.to_metadata(_long(c), c.variable_labels())
+    path = c._cache.get("published")
+    if path is None:
+        path = scratch_path(spark, "published")
+        publish.write_by_variable(_long(c), path)
+        c._cache["published"] = path
+    return spark.read.schema(publish.LONG_SCHEMA).parquet(path).select(*publish.LONG_COLUMNS)
+
+
+def publish_metadata(spark, sf_dir):
+    return publish.to_metadata(_published(spark, sf_dir), _census(spark, sf_dir).variable_labels())
 
 
 def dataset_stats(spark, sf_dir):
-    return publish.dataset_stats(publish_long(spark, sf_dir))
+    return publish.dataset_stats(_published(spark, sf_dir))
 
 
 def table_counts(spark, sf_dir):
     c = _census(spark, sf_dir)
     tabs = {t: c.table(t) for t in ("region", "nation", "customer", "orders", "lineitem")}
-    tabs["largo"] = _long(c)
+    tabs["largo"] = _published(spark, sf_dir)
     return publish.table_counts(tabs)
 
 
 def variable_catalog(spark, sf_dir):
-    return consumer.variable_catalog(publish_long(spark, sf_dir))
+    return consumer.variable_catalog(_published(spark, sf_dir))
 
 
 def duplicate_variable_names(spark, sf_dir):
@@ -418,23 +615,40 @@ def _requested(c: Census) -> DataFrame:
     return c.variable_codes().unionByName(c.spark.createDataFrame([(UNKNOWN_VARIABLE,)], "codigo_variable string"))
 
 
+def _produced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run of persons and households has published (whole folders; other entities' are pruned)."""
+    c = _census(spark, sf_dir)
+    codes = [code for e in ("PERSONA", "HOGAR") for code in c.variables[e]]
+    return publish.produced_variables(_published(spark, sf_dir).where(F.col("codigo_variable").isin(codes)))
+
+
 def pending_variables(spark, sf_dir):
     """Requested variables with no output yet, when only persons and households ran."""
-    c = _census(spark, sf_dir)
-    produced = publish.produced_variables(_all_freq(c, "keep", ("PERSONA", "HOGAR")))
-    return publish.pending_variables(_requested(c), produced)
+    return publish.pending_variables(_requested(_census(spark, sf_dir)), _produced(spark, sf_dir))
 
 
 def resume_counts(spark, sf_dir):
-    c = _census(spark, sf_dir)
-    produced = publish.produced_variables(_all_freq(c, "keep", ("PERSONA", "HOGAR")))
-    return publish.resume_counts(_requested(c), produced)
+    return publish.resume_counts(_requested(_census(spark, sf_dir)), _produced(spark, sf_dir))
 
 
 def run_manifest(spark, sf_dir):
+    """Status of every requested variable after persons, households and two odd dwelling variables ran.
+
+    One of these has no value in any row (``empty``), one names a column that
+    the dwellings don't have (``error``, with Spark's message).
+    """
+    from areatab.plans.job import failing_variables
+
     c = _census(spark, sf_dir)
-    produced = publish.produced_variables(_all_freq(c, "keep", ("PERSONA", "HOGAR")))
-    return publish.run_manifest(_requested(c), produced)
+    odd = {"VIVIENDA_VACIA": F.nullif(F.col("c_mktsegment"), F.col("c_mktsegment")), "VIVIENDA_ROTA": F.col("c_no_existe")}
+    homes = c.entity("VIVIENDA")
+    errors = failing_variables(homes, odd)
+    sound = {code: v for code, v in odd.items() if code not in errors}
+    produced = _produced(spark, sf_dir).unionByName(publish.produced_variables(frequencies(homes, sound, null_policy="drop")))
+    ran = [*c.variables["PERSONA"], *c.variables["HOGAR"], *sound]
+    requested = _requested(c).unionByName(spark.createDataFrame([(code,) for code in odd], "codigo_variable string"))
+    out = publish.run_manifest(requested, produced, ran, errors)
+    return out.select("codigo_variable", "status", "n_rows", F.col("mensaje").contains("c_no_existe").alias("con_mensaje"))
 
 
 # ---------------------------------------------------------------- consumer SQL
@@ -447,7 +661,7 @@ def categories_per_variable(spark, sf_dir):
 
 
 def preview(spark, sf_dir):
-    return consumer.preview(publish_long(spark, sf_dir), 10)
+    return consumer.preview(_published(spark, sf_dir), 10)
 
 
 def variable_slice(spark, sf_dir):
@@ -469,8 +683,10 @@ def reproject_points(spark, sf_dir):
 
 
 def _dwelling_lonlat(c: Census) -> DataFrame:
-    pts = _points_lonlat(c).withColumnRenamed("id", "c_custkey")
-    return pts.join(c.dwelling_area(names=False), "c_custkey")
+    """Dwellings with area and coordinates in one pass (the point is made from the dwelling's own row)."""
+    d = c.dwelling_area(names=False)
+    pts = geo.reproject(d.withColumns(dict(zip(("x", "y"), point_columns(), strict=True))))
+    return pts.select("c_custkey", F.round("lon", 9).alias("lon"), F.round("lat", 9).alias("lat"), "id_geo")
 
 
 def bbox(spark, sf_dir):
@@ -543,10 +759,58 @@ def wkb_points(spark, sf_dir):
     )
 
 
+def _dwelling_polygons(c: Census) -> DataFrame:
+    """Every dwelling's plot as WKB, in metres: a square with a square hole, for every fifth a second square.
+
+    Half of them carry the reference system's number, as spatial databases write it.
+    """
+    d = c.dwelling_area(names=False)
+    x, y = point_columns()
+    side = (F.lit(1000.0) * (F.col("c_custkey") % 3 + 1)).cast("double")
+
+    def square(dx: Column, size: Column) -> Column:
+        corner = lambda i, j: F.struct((x + dx + i * size).alias("x"), (y + j * size).alias("y"))
+        return F.array(*[corner(F.lit(i), F.lit(j)) for i, j in ((0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0), (0.0, 0.0))])
+
+    first = F.array(square(F.lit(0.0), side), square(side / 4, side / 2))
+    plots = F.when(F.col("c_custkey") % 5 == 0, F.array(first, F.array(square(side * 2, side)))).otherwise(F.array(first))
+    srid = F.when(F.col("c_custkey") % 2 == 0, F.lit(3857))
+    return d.select("c_custkey", "id_geo", geo.encode_polygons_wkb(plots, srid).alias("geometry"))
+
+
+def _decoded_polygons(c: Census) -> DataFrame:
+    return _dwelling_polygons(c).select("c_custkey", "id_geo", geo.decode_wkb("geometry").alias("g"))
+
+
+def wkb_polygons(spark, sf_dir):
+    """Polygons and multipolygons with holes through WKB and back: parts, rings, area."""
+    g = _decoded_polygons(_census(spark, sf_dir))
+    return g.select(
+        F.col("c_custkey").alias("id"), F.col("g.kind").alias("kind"), F.col("g.srid").alias("srid"),
+        (F.array_max("g.part") + 1).alias("n_parts"), F.size("g.rings").alias("n_rings"),
+        F.round(geo.rings_area("g.rings", "g.part"), 1).alias("area"),
+    )
+
+
+def reproject_rings(spark, sf_dir):
+    """Every plot's rings in degrees: their number of points and their box."""
+    g = _decoded_polygons(_census(spark, sf_dir)).withColumn("rings", geo.reproject_rings("g.rings"))
+    box = {k: F.round(v, 9) for k, v in geo.rings_box("rings").items()}
+    return g.withColumns(box).select(F.col("c_custkey").alias("id"), F.size(F.flatten("rings")).alias("n_points"), *box)
+
+
+def bbox_polygons(spark, sf_dir):
+    """Bounding box of each area from the rings of its plots."""
+    g = _decoded_polygons(_census(spark, sf_dir)).withColumn("rings", geo.reproject_rings("g.rings"))
+    box = g.select("id_geo", *[F.round(v, 9).alias(k) for k, v in geo.rings_box("rings").items()])
+    return box.groupBy("id_geo").agg(
+        F.min("min_lon").alias("min_lon"), F.min("min_lat").alias("min_lat"), F.max("max_lon").alias("max_lon"), F.max("max_lat").alias("max_lat")
+    )
+
+
 # ---------------------------------------------------------------- text repair
 def _damaged(c: Census) -> DataFrame:
-    d = c.table("documents").filter(F.col("lang") == "es")
-    return d.select("doc_id", F.translate("text", "áéíóúñüÁÉÍÓÚÑ", RC * 13).alias("text"))
+    return c.table("documents").select("doc_id", F.translate("text", "áéíóúñüÁÉÍÓÚÑ", RC * 13).alias("text"))
 
 
 def repair_text_2001(spark, sf_dir):
@@ -561,6 +825,13 @@ def repair_text_1991(spark, sf_dir):
     return fixed.select("doc_id", "text", count_damaged("text").alias("left_bad"))
 
 
+def repair_text_corrected(spark, sf_dir):
+    """The 2001 rules with the words they get wrong mended first; ``left_bad`` reports what stays damaged."""
+    d = _damaged(_census(spark, sf_dir))
+    fixed = d.select("doc_id", repair("text", "corrected").alias("text"))
+    return fixed.select("doc_id", "text", count_damaged("text").alias("left_bad"))
+
+
 def repair_text_literal(spark, sf_dir):
     """Only the literal (plain substring) rules of the 2001 set, in order."""
     from areatab.functions.textfix import RULES_2001
@@ -584,6 +855,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "freq_keep_nulls": freq_keep_nulls,
     "freq_drop_blank": freq_drop_blank,
     "freq_salted": freq_salted,
+    "freq_four_levels": freq_four_levels,
     "freq_stream": freq_stream,
     "freq_native_codes": freq_native_codes,
     "freq_hogar": freq_hogar,
@@ -608,6 +880,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "long_roundtrip": long_roundtrip,
     "variable_partition_roundtrip": variable_partition_roundtrip,
     "census_job": census_job,
+    "census_job_changed": census_job_changed,
+    "linked_2010": linked_2010,
+    "linked_wide_codes": linked_wide_codes,
+    "label_files": label_files,
+    "csv_linked": csv_linked,
+    "csv_flat": csv_flat,
+    "xml_dictionary": xml_dictionary,
+    "inline_dictionaries": inline_dictionaries,
     "linked_model": linked_model,
     "flat_model": flat_model,
     "flat_level_labels": flat_level_labels,
@@ -631,8 +911,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sql_recipes": sql_recipes,
     "export_geometry": export_geometry,
     "wkb_points": wkb_points,
+    "wkb_polygons": wkb_polygons,
+    "reproject_rings": reproject_rings,
+    "bbox_polygons": bbox_polygons,
     "repair_text_2001": repair_text_2001,
     "repair_text_1991": repair_text_1991,
+    "repair_text_corrected": repair_text_corrected,
     "repair_text_literal": repair_text_literal,
     "describe_table": describe_table,
 }

@@ -23,10 +23,9 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from areatab.functions.codes import area_key, pad_code, split_area_key, to_int
+from areatab.functions.codes import area_key, split_area_key, to_int, widen_code
 from areatab.functions.textfix import repair
 from areatab.operators import areas, catalog, labels, publish
-from areatab.operators.broadcast import bounded_broadcast
 from areatab.operators.frequency import frequencies_multi
 
 # Key columns of the flat model, excluded from the variables.
@@ -47,8 +46,19 @@ def _lower(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.lower() for c in df.columns])
 
 
-def _labels(raw: DataFrame | None, codes: DataFrame, rules, junk=("NA",)) -> DataFrame:
-    """Cleaned, repaired, recoded labels plus one 'Sin dato' label per variable."""
+# How the years of the linked model differ: arguments of ``linked_plan`` and the NULL policy.
+PRESETS: dict[str, dict] = {
+    "2001": {"how": "inner", "null_policy": "drop"},
+    "2010": {
+        "how": "left", "null_policy": "drop_blank", "exclude": EXCLUDE_2010, "extra_exclude": EXCLUDE_2010_EXTRA,
+        "case_sensitive": True, "repair_rules": None, "recode": False, "sentinel_labels": False,
+        "fallback_to_value": False, "missing_department": None,
+    },
+}
+
+
+def _labels(raw: DataFrame | None, codes: DataFrame, rules, junk=("NA",), recode: bool = True, sentinel: bool = True) -> DataFrame:
+    """Cleaned, repaired, recoded labels plus one 'Sin dato' label per variable (each step optional)."""
     if raw is None:
         schema = "codigo_variable string, valor_categoria string, etiqueta_categoria string"
         base = codes.sparkSession.createDataFrame([], schema)
@@ -57,8 +67,9 @@ def _labels(raw: DataFrame | None, codes: DataFrame, rules, junk=("NA",)) -> Dat
         base = labels.clean_labels(r, "orden", junk=junk, recode=False)
         if rules is not None:
             base = base.withColumn("etiqueta_categoria", repair("etiqueta_categoria", rules))
-        base = base.withColumn("etiqueta_categoria", labels.recode_labels("etiqueta_categoria"))
-    return labels.add_sentinel(base, codes)
+        if recode:
+            base = base.withColumn("etiqueta_categoria", labels.recode_labels("etiqueta_categoria"))
+    return labels.add_sentinel(base, codes) if sentinel else base.select(*labels.KEY, "etiqueta_categoria")
 
 
 # Published label column of each area level.
@@ -149,14 +160,19 @@ def tabulate_flat(*args, variable_labels: DataFrame | None = None, null_policy:
 
 
 def area_lookup_linked(
-    prov: DataFrame, dpto: DataFrame, frac: DataFrame, radio: DataFrame, how: str = "inner", repair_rules=None
+    prov: DataFrame, dpto: DataFrame, frac: DataFrame, radio: DataFrame, how: str = "inner", repair_rules=None,
+    missing_department: str | None = "Sin dato",
 ) -> DataFrame:
     """Radio-level lookup ``(radio_ref_id, id_geo, published area columns...)``.
 
-    Codes are padded (2+3+2+2); a radio whose chain breaks under ``how='left'``
-    keeps its row with a NULL key.
+    Codes are padded to at least 2+3+2+2 and never cut, so a fraction 100
+    stays apart from 101 (see ``areas.wide_codes`` for a report); a radio whose
+    chain breaks under ``how='left'`` keeps its row with a NULL key. The
+    department's name may be called ``nomdpto`` or ``nomdepto``.
     """
     p, d, f, r = (_lower(x) for x in (prov, dpto, frac, radio))
+    if "nomdpto" not in d.columns and "nomdepto" in d.columns:
+        d = d.withColumnRenamed("nomdepto", "nomdpto")
     if repair_rules is not None:
         p = p.withColumn("nomprov", repair("nomprov", repair_rules))
         d = d.withColumn("nomdpto", repair("nomdpto", repair_rules))
@@ -174,14 +190,14 @@ def area_lookup_linked(
     )
     return g.select(
         "radio_ref_id",
-        area_key("idprov", "iddpto", "idfrac", "idradio").alias("id_geo"),
-        pad_code("idprov", 2).alias("valor_provincia"),
+        area_key("idprov", "iddpto", "idfrac", "idradio", cut=False).alias("id_geo"),
+        widen_code("idprov", 2).alias("valor_provincia"),
         F.col("nomprov").alias("etiqueta_provincia"),
-        pad_code("iddpto", 3).alias("valor_departamento"),
-        F.coalesce(F.col("nomdpto"), F.lit("Sin dato")).alias("etiqueta_departamento"),
-        pad_code("idfrac", 2).alias("valor_fraccion"),
+        widen_code("iddpto", 3).alias("valor_departamento"),
+        F.coalesce(F.col("nomdpto"), F.lit(missing_department)).alias("etiqueta_departamento"),
+        widen_code("idfrac", 2).alias("valor_fraccion"),
         F.col("nomfrac").alias("etiqueta_fraccion"),
-        pad_code("idradio", 2).alias("valor_radio"),
+        widen_code("idradio", 2).alias("valor_radio"),
         F.col("nomradio").alias("etiqueta_radio"),
     )
 
@@ -202,6 +218,10 @@ def linked_plan(
     case_sensitive: bool = False,
     extra_exclude: Mapping[str, Sequence[str]] | None = None,
     hot_rows: int | None = None,
+    recode: bool = True,
+    sentinel_labels: bool = True,
+    fallback_to_value: bool = True,
+    missing_department: str | None = "Sin dato",
 ) -> tuple[dict, Callable[[DataFrame], DataFrame]]:
     """Linked model as ``(sources, publish_fn)``; see :func:`tabulate_linked`.
 
@@ -218,41 +238,48 @@ def linked_plan(
     ``case_sensitive``, else on lower-cased names; e.g.
     ``exclude=EXCLUDE_2010, extra_exclude=EXCLUDE_2010_EXTRA, case_sensitive=True``.
     ``hot_rows`` salts the entity joins for parents with more children than
-    that (see ``operators.skew``).
+    that (see ``operators.skew``). ``repair_rules`` (None: names and labels
+    stay as they are), ``recode``, ``sentinel_labels`` (one 'Sin dato' label a
+    variable), ``fallback_to_value`` (a missing label is the value) and
+    ``missing_department`` differ by year: see ``PRESETS``.
     """
     originals = {"VIVIENDA": vivienda, "HOGAR": hogar, "PERSONA": persona}
-    lookup = area_lookup_linked(prov, dpto, frac, radio, how, repair_rules)
+    lookup = area_lookup_linked(prov, dpto, frac, radio, how, repair_rules, missing_department)
     seg_area = areas.roll_down(_lower(seg), "seg_ref_id", "radio_ref_id", lookup, "radio_ref_id", how=how)
     v = _lower(vivienda)
-    viv_area = areas.roll_down(v, "vivienda_ref_id", "seg_ref_id", seg_area, "seg_ref_id", how=how, hot_rows=hot_rows)
+    # dwellings get their area from the segments, and are the map of the households: one join serves both
+    located = areas.attach_area(v, "seg_ref_id", seg_area, "seg_ref_id", how=how, hot_rows=hot_rows)
+    viv_area = located.select("vivienda_ref_id", "id_geo")
     sources, codes = {}, []
 
-    def add(ent: str, rows: DataFrame, fk: str, amap: DataFrame, key: str) -> None:
+    def add(ent: str, rows: DataFrame) -> None:
         pats = list(exclude) + list((extra_exclude or {}).get(ent, ()))
         names = catalog.variables_excluding_patterns(originals[ent].columns, pats, lower=not case_sensitive)
         vars_ = {f"{ent}_{n.upper()}": n.lower() for n in names}
         codes.extend(vars_)
-        sources[ent] = (areas.attach_area(rows, fk, amap, key, how=how, hot_rows=hot_rows), vars_)
+        sources[ent] = (rows, vars_)
 
-    add("VIVIENDA", v, "vivienda_ref_id", viv_area, "vivienda_ref_id")
+    attach = lambda rows, fk, amap: areas.attach_area(rows, fk, amap, fk, how=how, hot_rows=hot_rows)
+    add("VIVIENDA", located)
     if hogar is not None:
         h = _lower(hogar)
-        add("HOGAR", h, "vivienda_ref_id", viv_area, "vivienda_ref_id")
+        add("HOGAR", attach(h, "vivienda_ref_id", viv_area))
         if persona is not None:
             hog_area = areas.roll_down(h, "hogar_ref_id", "vivienda_ref_id", viv_area, "vivienda_ref_id", how=how,
                                        hot_rows=hot_rows)
-            add("PERSONA", _lower(persona), "hogar_ref_id", hog_area, "hogar_ref_id")
+            add("PERSONA", attach(_lower(persona), "hogar_ref_id", hog_area))
     spark = v.sparkSession
     code_df = spark.createDataFrame([(c,) for c in codes], "codigo_variable string")
-    lab = _labels(raw_labels, code_df, repair_rules)
+    lab = _labels(raw_labels, code_df, repair_rules, recode=recode, sentinel=sentinel_labels)
     cols = [c for c in lookup.columns if c not in ("radio_ref_id", "id_geo")]
     # one row per area (radios of one area carry the same codes and names;
     # min keeps the choice deterministic if a file disagrees)
     names = lookup.filter(F.col("id_geo").isNotNull()).groupBy("id_geo").agg(*[F.min(c).alias(c) for c in cols])
 
     def publish_fn(freq: DataFrame) -> DataFrame:
-        long = freq.join(bounded_broadcast(names), "id_geo", "left")
-        return publish.to_long(labels.attach_labels(long, lab))
+        # one row an area: the hash is built on the names, whatever their estimate
+        long = freq.join(names.hint("shuffle_hash"), "id_geo", "left")
+        return publish.to_long(labels.attach_labels(long, lab, fallback_to_value))
 
     return sources, publish_fn
 
@@ -265,6 +292,11 @@ def tabulate_linked(*args, variable_labels: DataFrame | None = None, null_policy
     return long, publish.to_metadata(long, variable_labels)
 
 
+def tabulate_linked_2010(*args, variable_labels: DataFrame | None = None, **kwargs):
+    """The linked model as in 2010 (``PRESETS``): left joins, blank values dropped, names and labels as they are."""
+    return tabulate_linked(*args, variable_labels=variable_labels, **(PRESETS["2010"] | kwargs))
+
+
 def crosswalk_departments(departments_raw: DataFrame, crosswalk: DataFrame) -> DataFrame:
     """Department file keyed by another province id -> (idprov, iddpto, nomdpto); misses dropped."""
     d = _lower(departments_raw)

@@ -1,13 +1,15 @@
 """Session construction and the shared scratch location.
 
 Intermediate tables and checkpoints go under the folder the cluster names in
-``spark.checkpoint.dir``. Only when the session has none (local tests) do we
-create one, so nothing on a cluster lands on a machine-local disk.
+``spark.checkpoint.dir``. Only a session whose master is this one machine and
+that has none (tests) gets one made; on a cluster a missing folder is an error,
+since executors would write to their own disks.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -19,9 +21,10 @@ _DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Fact tables are never broadcast implicitly: dimensions are broadcast
-    # explicitly after a size check (operators.broadcast); entity joins are
-    # shuffled, as hash joins when Spark's estimate says the build side fits
-    # per partition (or AQE measures it so), else sort-merge.
+    # by the optimiser's size in bytes (operators.broadcast) or by AQE from
+    # measured bytes; entity joins are shuffled, as hash joins when Spark's
+    # estimate says the build side fits per partition (or AQE measures it so),
+    # else sort-merge.
     "spark.sql.autoBroadcastJoinThreshold": "1m",
     "spark.sql.join.preferSortMergeJoin": "false",
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
@@ -80,7 +83,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # unset: local runs and tests only
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors share (master {sc.master})")
         configured = tempfile.mkdtemp(prefix="areatab-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

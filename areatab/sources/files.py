@@ -10,10 +10,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from areatab.operators.broadcast import bounded_broadcast
+
+
+# Text of a row whose number of fields is wrong.
+MALFORMED = "_malformada"
+
 
 def string_schema(columns: Sequence[str]) -> T.StructType:
     """All-string schema for code-bearing files."""
@@ -36,26 +42,57 @@ def read_delimited(
     encoding: str = "UTF-8",
     header: bool = True,
     quote: str = '"',
+    malformed: str = "fail",
 ) -> DataFrame:
     """``sep``-delimited files with a header; every column text unless a schema says otherwise.
 
     With ``schema=None`` the header of the first file names the columns and all
-    of them are read as strings.
+    of them are read as strings. Every file's own header is held against the
+    schema: a file with other columns, or the same in another order, fails the
+    read instead of filling the wrong columns. So does a row with too few or
+    too many fields (``malformed="fail"``); ``malformed="keep"`` reads what it
+    can and adds ``_malformada`` with the row's text (NULL for sound rows), see
+    :func:`malformed_rows`. All fields are parsed, or a short row could not be
+    told.
     """
+    if malformed not in ("fail", "keep"):
+        raise ValueError("malformed must be 'fail' or 'keep'")
     if schema is None:
         first = path if isinstance(path, str) else path[0]
         schema = string_schema(header_columns(spark, first, sep, encoding))
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    if malformed == "keep":
+        schema = T.StructType([*schema.fields, T.StructField(MALFORMED, T.StringType(), True)])
     reader = (
         spark.read.schema(schema)
         .option("sep", sep)
         .option("header", header)
+        .option("enforceSchema", False)
         .option("quote", quote)
         .option("encoding", encoding)
-        .option("mode", "PERMISSIVE")
+        .option("columnPruning", False)
+        .option("mode", "FAILFAST" if malformed == "fail" else "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", MALFORMED)
     )
     return reader.csv(path if isinstance(path, str) else list(path))
 
 
+def malformed_rows(df: DataFrame) -> DataFrame:
+    """``(archivo, n_filas, n_malformadas, n_sin_clave)`` of rows read with ``malformed="keep"``.
+
+    ``n_sin_clave`` counts the rows without a value in the first column.
+    """
+    key = next(c for c in df.columns if c != MALFORMED)
+    rows = df.select(
+        F.col("_metadata.file_name").alias("archivo"), F.col(MALFORMED).isNotNull().cast("long").alias("mal"),
+        F.col(key).isNull().cast("long").alias("blank"),
+    )
+    return rows.groupBy("archivo").agg(
+        F.count(F.lit(1)).alias("n_filas"), F.sum("mal").alias("n_malformadas"), F.sum("blank").alias("n_sin_clave")
+    )
+
+
 LABEL_SCHEMA = T.StructType(
     [T.StructField("valor_categoria", T.StringType(), True), T.StructField("etiqueta_categoria", T.StringType(), True)]
 )
@@ -88,14 +125,15 @@ def read_label_files(
     """All label files of a folder as ``(codigo_variable, valor_categoria, etiqueta_categoria, archivo, linea)``.
 
     style "lower": files ``<entity>_labels_<variable>.csv``; code is upper-cased.
-    style "upper": files ``<ENTITY>-<VARIABLE>-LABELS.csv``; code kept as written.
+    style "upper": files ``<ENTITY>-<VARIABLE>-LABELS.csv``; code kept as written
+    (further ``-`` parts before ``LABELS`` are ignored).
     ``linea`` increases with the position in a file (use with ``archivo`` as
     the source order when de-duplicating).
     """
     if style == "lower":
         glob, pat = "*_labels_*.csv", r"^(\w+?)_labels_(\w+)\.csv$"
     elif style == "upper":
-        glob, pat = "*-LABELS.csv", r"^([^-]+)-([^-]+)-LABELS\.csv$"
+        glob, pat = "*-LABELS.csv", r"^([^-]+)-([^-]+)-(?:.*-)?LABELS\.csv$"
     else:
         raise ValueError("style must be 'lower' or 'upper'")
     rows = _label_rows(spark, f"{folder.rstrip('/')}/{glob}", sep, encoding)
@@ -123,7 +161,7 @@ def read_mapped_label_files(
     without a file simply produce no labels.
     """
     rows = _label_rows(spark, f"{folder.rstrip('/')}/*.csv", sep, encoding)
-    m = F.broadcast(mapping.select("codigo_variable", F.col("label_file").alias("archivo")).filter(F.col("archivo").isNotNull()))
+    m = bounded_broadcast(mapping.select("codigo_variable", F.col("label_file").alias("archivo")).filter(F.col("archivo").isNotNull()))
     return rows.join(m, "archivo", "inner").select(
         "codigo_variable", "valor_categoria", "etiqueta_categoria", "archivo", "linea"
     )
@@ -135,42 +173,42 @@ def read_mapped_label_files(
 def read_dictionary(spark: SparkSession, path: str, row_tag: str = "Entity") -> DataFrame:
     """Variable dictionary ``(codigo_variable, etiqueta_variable, entidad, nombre_variable)``.
 
-    Each ``<Entity name=..>`` lists ``<Variable name=.. description=..>``
-    children; entities may nest. Spark's XML reader returns the outer entity
-    as a row and nested entities as struct fields, so the nesting is walked
-    level by level from the inferred schema. Each entity contributes its own
-    variables; a missing description is NULL.
+    Each ``<Entity name=..>`` holds ``<Variable name=.. description=..>``
+    elements at any depth, wrapped in other elements or not, and entities may
+    nest. Spark's XML reader returns the outer entity as a row and everything
+    below as struct fields, so the nesting is walked from the inferred schema.
+    A variable belongs to the nearest entity around it; a missing description
+    is NULL. A file without any variable is an error.
     """
     raw = spark.read.format("xml").option("rowTag", row_tag).option("attributePrefix", "_").load(path)
     parts: list[DataFrame] = []
 
-    def walk(df: DataFrame, node: str | None, st: T.StructType) -> None:
-        prefix = f"{node}." if node else ""
-        names = st.fieldNames()
-        if "Variable" in names:
-            var_t = st["Variable"].dataType
-            vexpr = F.col(f"{prefix}Variable")
-            arr = vexpr if isinstance(var_t, T.ArrayType) else F.array(vexpr)
-            elem_t = var_t.elementType if isinstance(var_t, T.ArrayType) else var_t
-            desc = F.col("v._description") if "_description" in elem_t.fieldNames() else F.lit(None).cast("string")
-            part = df.select(F.col(f"{prefix}_name").alias("entidad"), F.explode(arr).alias("v")).select(
-                "entidad",
-                F.col("v._name").cast("string").alias("nombre_variable"),
-                desc.cast("string").alias("etiqueta_variable"),
-            )
-            parts.append(part)
-        if row_tag in names:
-            child_t = st[row_tag].dataType
-            if isinstance(child_t, T.ArrayType):
-                exploded = df.select(F.explode(F.col(f"{prefix}{row_tag}")).alias("_child"))
-                walk(exploded, "_child", child_t.elementType)
+    def attribute(st: T.StructType, name: str) -> Column:
+        return F.col(f"node.{name}").cast("string") if name in st.fieldNames() else F.lit(None).cast("string")
+
+    def walk(df: DataFrame, st: T.StructType) -> None:
+        for f in st.fields:
+            many = isinstance(f.dataType, T.ArrayType)
+            inner = f.dataType.elementType if many else f.dataType
+            if not isinstance(inner, T.StructType):
+                continue
+            below = F.col(f"node.`{f.name}`")
+            child = df.select("entidad", F.explode(below if many else F.array(below)).alias("node")).where("node is not null")
+            if f.name == "Variable":
+                parts.append(child.select(
+                    "entidad", attribute(inner, "_name").alias("nombre_variable"),
+                    attribute(inner, "_description").alias("etiqueta_variable"),
+                ))
+            elif f.name == row_tag:
+                walk(child.select(attribute(inner, "_name").alias("entidad"), "node"), inner)
             else:
-                walk(df.select(F.col(f"{prefix}{row_tag}").alias("_child")), "_child", child_t)
+                walk(child, inner)
 
-    walk(raw, None, raw.schema)
+    top = raw.select(F.struct(*[F.col(f"`{c}`") for c in raw.columns]).alias("node")) if raw.columns else raw
+    if raw.columns:
+        walk(top.select(attribute(raw.schema, "_name").alias("entidad"), "node"), raw.schema)
     if not parts:
-        schema = "codigo_variable string, etiqueta_variable string, entidad string, nombre_variable string"
-        return spark.createDataFrame([], schema)
+        raise ValueError(f"no <Variable> below any <{row_tag}> in {path}")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -72,3 +72,20 @@ def test_integer_path_is_planned_on_long_codes(spark):
     plan = buf.getvalue()
     # grouped on the numeric code; text is made after the aggregate
     assert "_v#" in plan and "partial_count" in plan
+
+
+def test_rollup_keeps_variables_apart(spark):
+    from areatab.operators.frequency import rollup_levels
+
+    f = spark.createDataFrame([("p", "P_X", "A", 1), ("p", "P_Y", "A", 2), ("p", "P_X", "A", 4)], "prov string, codigo_variable string, valor_categoria string, conteo long")
+    assert sorted(map(tuple, rollup_levels(f, ["prov"]).collect())) == [("p", "P_X", "A", 5), ("p", "P_Y", "A", 2)]
+
+
+def test_floating_codes_are_refused(spark):
+    import pytest
+
+    from areatab.operators.frequency import frequencies
+
+    df = spark.createDataFrame([("020070101", 1.0, "a")], "id_geo string, x double, y string")
+    with pytest.raises(TypeError, match="text or integers"):
+        frequencies(df, ["x", "y"])

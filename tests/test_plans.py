@@ -79,3 +79,39 @@ def test_linked_pipeline_entity_joins_are_parent_built(spark):
     # AQE broadcasts from measured sizes), never on entity keys
     smj_keys = re.findall(r"\) SortMergeJoin.*\nLeft keys \[\d+\]: \[(.*)\]", plan)
     assert all(k.startswith("codigo_variable#") for k in smj_keys), smj_keys
+
+
+def test_metadata_queries_do_not_read_the_facts(spark):
+    for name in ("variable_catalog", "duplicate_variable_names", "pending_variables", "run_manifest", "resume_counts", "publish_metadata", "dataset_stats"):
+        plan = _plan(spark, name)
+        assert "lineitem.parquet" not in plan and "orders.parquet" not in plan, name
+
+
+def test_totals_read_and_join_each_table_once(spark):
+    plan = _plan(spark, "total_check")
+    assert plan.count("lineitem.parquet]") == 1 and plan.count("orders.parquet]") == 1
+
+
+def test_building_a_plan_runs_no_size_check(spark):
+    from areatab.plans.census import Census
+    from areatab.plans.registry import _long
+
+    c = Census(spark, SF)
+    spark.sparkContext.setJobGroup("plan-only", "building")
+    try:
+        _long(c)
+        c.linked_tables()
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("plan-only")
+    finally:
+        spark.sparkContext._jsc.sc().clearJobGroup()
+    # opening a table reads its schema; nothing counts rows
+    assert len(jobs) <= 6
+
+
+def test_salted_join_reads_the_same_columns(spark):
+    columns = {}
+    for name in ("freq_salted", "freq_drop_nulls"):
+        plan = _plan(spark, name)
+        found = re.findall(r"lineitem.parquet\][^\n]*(?:\n(?!ReadSchema)[^\n]*)*\nReadSchema: struct<([^>]*)>", plan)
+        columns[name] = set().union(*({c.split(":")[0] for c in f.split(",") if c.startswith("l_")} for f in found))
+    assert columns["freq_salted"] == columns["freq_drop_nulls"]

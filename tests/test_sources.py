@@ -75,3 +75,55 @@ def test_catalog_and_describe(spark):
     df = spark.createDataFrame([(1, "a")], "a int, b string")
     d = describe(spark, {"t": df}).collect()
     assert [(r.columna, r.posicion, r.tipo) for r in d] == [("a", 1, "int"), ("b", 2, "string")]
+
+
+def test_columns_in_another_order_are_not_mixed(spark, tmp_dir):
+    import pytest
+
+    a, b = os.path.join(tmp_dir, "a.csv"), os.path.join(tmp_dir, "b.csv")
+    _write(a, "IDPROV;SEXO\n7;1\n")
+    _write(b, "SEXO;IDPROV\n2;24\n")
+    assert read_delimited(spark, a).unionByName(read_delimited(spark, b)).collect() == [("7", "1"), ("24", "2")]
+    with pytest.raises(Exception, match="header|CSV"):
+        read_delimited(spark, [a, b]).collect()
+
+
+def test_malformed_rows_fail_or_are_counted(spark, tmp_dir):
+    import pytest
+
+    from areatab.sources.files import malformed_rows
+
+    p = os.path.join(tmp_dir, "p.csv")
+    _write(p, "A;B\n01;1\n02;2;9;9\n03\n04;\n")
+    with pytest.raises(Exception, match="MALFORMED|malformed|Malformed"):
+        read_delimited(spark, p).collect()
+    with pytest.raises(Exception, match="MALFORMED|malformed|Malformed"):
+        read_delimited(spark, p).select("A").collect()
+    kept = read_delimited(spark, p, malformed="keep")
+    assert [tuple(r) for r in malformed_rows(kept).collect()] == [("p.csv", 4, 2, 0)]
+
+
+def test_label_file_names_with_more_parts(spark, tmp_dir):
+    _write(os.path.join(tmp_dir, "PERSONA-P05-B-LABELS.csv"), "v;l\n1;Sí\n")
+    assert [r.codigo_variable for r in read_label_files(spark, tmp_dir, "upper").collect()] == ["PERSONA_P05"]
+
+
+def test_xml_dictionary_wrapped(spark, tmp_dir):
+    import pytest
+
+    p = os.path.join(tmp_dir, "dict.xml")
+    _write(p, """<D><Entity name="V"><Variables><Variable name="A" description="a"/><Variable name="B" description="b"/></Variables>
+<Entities><Entity name="H"><Group><Variables><Variable name="C"/></Variables></Group></Entity></Entities></Entity></D>""")
+    found = {(r.codigo_variable, r.etiqueta_variable) for r in read_dictionary(spark, p).collect()}
+    assert found == {("V_A", "a"), ("V_B", "b"), ("H_C", None)}
+    q = os.path.join(tmp_dir, "none.xml")
+    _write(q, '<D><Entity name="V"><Other x="1"/></Entity></D>')
+    with pytest.raises(ValueError, match="Variable"):
+        read_dictionary(spark, q)
+
+
+def test_published_dictionaries(spark):
+    from areatab.sources.inline import variables_1991, variables_2001
+
+    assert (variables_1991(spark).count(), variables_2001(spark).count()) == (24, 81)
+    assert variables_1991(spark).where("codigo_variable = 'PERSONA_SEXO'").first().label_file == "persona_labels_sexo.csv"

@@ -118,3 +118,41 @@ def test_flat_model_with_level_labels_on_rows(spark, tmp_dir):
     assert (r.valor_provincia, r.etiqueta_provincia, r.valor_departamento, r.etiqueta_departamento) == ("06", "Buenos Aires", "014", "Ayacucho")
     assert (r.valor_fraccion, r.etiqueta_fraccion, r.valor_radio, r.etiqueta_radio, r.conteo) == ("02", "Fr 2", "03", "Rd 3", 1)
     assert {x.codigo_variable for x in meta.collect()} == {"VIVIENDA_TIPO"}  # label columns are not variables
+
+
+def _linked_frames(spark, names="nomdpto", frac=(("1", "10", "100"), ("2", "10", "101"))):
+    t = lambda rows, schema: spark.createDataFrame(rows, schema)
+    return (
+        t([("1", "2", "C�rdoba")], "prov_ref_id string, idprov string, nomprov string"),
+        t([("10", "1", "7", None)], f"dpto_ref_id string, prov_ref_id string, iddpto string, {names} string"),
+        t(list(frac), "frac_ref_id string, dpto_ref_id string, idfrac string"),
+        t([("1", "1", "1"), ("2", "2", "1")], "radio_ref_id string, frac_ref_id string, idradio string"),
+        t([("1", "1"), ("2", "2")], "seg_ref_id string, radio_ref_id string"),
+        t([("1", "1", "a", ""), ("2", "2", "a", "x"), ("3", "9", "a", "x")], "VIVIENDA_REF_ID string, SEG_REF_ID string, V01 string, V02 string"),
+    )
+
+
+def test_wide_codes_stay_apart(spark):
+    from areatab.operators.areas import wide_codes
+    from areatab.plans.vintages import tabulate_linked
+
+    long, _ = tabulate_linked(*_linked_frames(spark))
+    got = {(r.id_geo, r.valor_fraccion, r.conteo) for r in long.where("codigo_variable = 'VIVIENDA_V01'").collect()}
+    assert got == {("0200710001", "100", 1), ("0200710101", "101", 1)}
+    wide = wide_codes(_linked_frames(spark)[2], {"idfrac": 2})
+    assert sorted(map(tuple, wide.collect())) == [("idfrac", "100", 1), ("idfrac", "101", 1)]
+
+
+def test_2001_department_column_and_2010_preset(spark):
+    from areatab.plans.vintages import tabulate_linked, tabulate_linked_2010
+
+    frames = _linked_frames(spark, names="nomdepto")
+    labels_ = spark.createDataFrame([("VIVIENDA_V01", "b", "MISSING", "f", 1)], "codigo_variable string, valor_categoria string, etiqueta_categoria string, archivo string, linea int")
+    old, _ = tabulate_linked(*frames, raw_labels=labels_)
+    row = old.where("codigo_variable = 'VIVIENDA_V01'").first()
+    assert (row.etiqueta_departamento, row.etiqueta_categoria) == ("Sin dato", "a")
+    new, _ = tabulate_linked_2010(*frames, raw_labels=labels_)
+    rows = new.collect()
+    # blanks and dwellings without an area fall away, nothing is made up
+    assert sorted((r.codigo_variable, r.valor_categoria, r.conteo) for r in rows) == [("VIVIENDA_V01", "a", 1), ("VIVIENDA_V01", "a", 1), ("VIVIENDA_V02", "x", 1)]
+    assert {(r.etiqueta_departamento, r.etiqueta_categoria, r.etiqueta_provincia) for r in rows} == {(None, None, "C�rdoba")}
