@@ -15,6 +15,7 @@ rows change alike; all other columns stay as they are.
 
 from __future__ import annotations
 
+import bisect
 import datetime
 import hashlib
 import re
@@ -28,10 +29,20 @@ from pyspark.sql import functions as F
 from areatab.llm.common import slices
 
 ROUNDS = 8
+STRETCH = 64
 #: Default key, for tests and demonstrations; a run passes its own.
 KEY = b"areatab-pseudonyms"
-FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
-DAYS = datetime.date(2100, 1, 1).toordinal() - FIRST_DAY
+
+
+def day_class(day: datetime.date) -> int:
+    """Whether day and month have one digit or two, and whether the day is past the 12th, which tells it from a month."""
+    return 3 * (day.month > 9) + (day.day > 9) + (day.day > 12)
+
+
+#: Days from 1900 to 2099 by class.
+DAYS: list[list[int]] = [[] for _ in range(6)]
+for _d in range(datetime.date(1900, 1, 1).toordinal(), datetime.date(2100, 1, 1).toordinal()):
+    DAYS[day_class(datetime.date.fromordinal(_d))].append(_d)
 
 #: Texts without a digit, an @ or one of these words hold nothing to find.
 SUSPECT = r"[0-9@]|(?i:token|secret|passw|api[_-]?key)"
@@ -47,7 +58,7 @@ FIND = re.compile(
     |(?<![\w-])(?P<ssn>[0-9]{3}-[0-9]{2}-[0-9]{4})(?![\w-])
     |(?<![\w.+-])(?P<phone>(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4})(?![0-9]|[-.][0-9])
     |(?<![\w+-])(?P<tel>\+[0-9](?:[ .-]?[0-9]){7,13}+)(?![0-9])
-    |(?<![0-9A-Za-z.-])(?P<card>[0-9](?:[ -]?[0-9]){12,18}+)(?![0-9A-Za-z]|[.-][0-9])
+    |(?<![0-9A-Za-z.])(?P<card>[0-9]{13,19}+|[0-9]{4}([ -])[0-9]{4}\13[0-9]{4}\13[0-9]{1,7}+|[0-9]{4}([ -])[0-9]{6}\14[0-9]{5})(?![0-9A-Za-z]|[.-][0-9])
     """,
     re.VERBOSE,
 )
@@ -59,7 +70,7 @@ def feistel(value: int, size: int, key: bytes, kind: str, backwards: bool = Fals
         return value
     half = max(1, -(-(size - 1).bit_length() // 2))
     mask, n_bytes = (1 << half) - 1, -(-half // 8)
-    salt = len(key).to_bytes(4, "big") + key + kind.encode() + b"/" + str(size).encode() + b"/"
+    salt = len(key).to_bytes(4, "big") + key + kind.encode() + b"/" + format(size, "x").encode() + b"/"
 
     def turn(i: int, x: int) -> int:
         found = hashlib.shake_256(salt + bytes([i]) + x.to_bytes(n_bytes, "big")).digest(n_bytes)
@@ -98,7 +109,13 @@ LETTERS = (
 
 
 def by_class(text: str, key: bytes, kind: str, backwards: bool) -> str:
-    """Permute among the texts whose every character is of the same class; other characters stay."""
+    """Permute among the texts whose every character is of the same class; other characters stay.
+
+    Long texts are permuted in stretches of ``STRETCH`` characters, which keeps the work linear.
+    """
+    if len(text) > STRETCH:
+        parts = [text[i : i + STRETCH] for i in range(0, len(text), STRETCH)]
+        return "".join(by_class(p, key, f"{kind}+{i}", backwards) for i, p in enumerate(parts))
     sets = [next((s for s in LETTERS if c in s), c) for c in text]
     value, size = 0, 1
     for c, s in zip(text, sets, strict=True):
@@ -127,6 +144,9 @@ def email(text: str, key: bytes, back: bool) -> str:
 
 
 def secret(text: str, key: bytes, back: bool) -> str:
+    if len(text) > STRETCH:
+        parts = [text[i : i + STRETCH] for i in range(0, len(text), STRETCH)]
+        return "".join(secret(p, key + i.to_bytes(4, "big"), back) for i, p in enumerate(parts))
     if re.fullmatch("[0-9a-f]+|[0-9A-F]+", text):
         new = format(feistel(int(text, 16), 16 ** len(text), key, "hex", back), "x").zfill(len(text))
         return new.upper() if re.search("[A-F]", text) else new
@@ -170,19 +190,25 @@ def card(text: str, key: bytes, back: bool) -> str | None:
 
 
 def date(text: str, key: bytes, back: bool) -> str | None:
-    """A day from 1900 to 2099; the same day in another notation gets the same new day."""
+    """A day from 1900 to 2099; the same day in another notation gets the same new day.
+
+    Numbers of digits stay, and days after the 12th stay after the 12th, so a
+    notation is as long and reads as clearly as before.
+    """
     parts = re.split("[./-]", text)
     sep = text[len(parts[0])]
     orders = [(0, 1, 2)] if len(parts[0]) == 4 else [(2, 1, 0), (2, 0, 1)]  # day first unless that is no day
     for y, m, d in orders:
         try:
-            place = datetime.date(int(parts[y]), int(parts[m]), int(parts[d])).toordinal() - FIRST_DAY
+            old = datetime.date(int(parts[y]), int(parts[m]), int(parts[d]))
         except ValueError:
             continue
-        if 0 <= place < DAYS:
-            new = datetime.date.fromordinal(FIRST_DAY + feistel(place, DAYS, key, "date", back))
-            put = {y: f"{new.year:04d}", m: f"{new.month:02d}", d: f"{new.day:02d}"}
-            return sep.join(put[k] for k in range(3))
+        if 1900 <= old.year < 2100:
+            days = DAYS[day_class(old)]
+            place = bisect.bisect_left(days, old.toordinal())
+            new = datetime.date.fromordinal(days[feistel(place, len(days), key, f"date{day_class(old)}", back)])
+            put = {y: new.year, m: new.month, d: new.day}
+            return sep.join(f"{put[k]:0{len(parts[k])}d}" for k in range(3))
     return None
 
 

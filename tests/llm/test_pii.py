@@ -29,7 +29,7 @@ def test_feistel_is_a_permutation():
 VALUES = {
     "jane.doe+x_1@Mail.example-site.co.uk": "email", "réné.34@mail7.example.com": "email", "255.1.20.199": "ip", "4111 1111 1111 1111": "card",
     "4111-1111-1111-1111": "card", "378282246310005": "card", "+1 (017) 555-7713": "phone", "(212) 555-0100": "phone", "212-555-0100": "phone",
-    "+49 30 1234567": "tel", "078-05-1120": "ssn", "2024-02-29": "iso", "29.02.2024": "day", "12/31/1999": "day", "GB82 WEST 1234 5698 7654 32": "iban",
+    "+49 30 1234567": "tel", "078-05-1120": "ssn", "2024-02-29": "iso", "29.02.2024": "day", "12/31/1999": "day", "3/4/2001": "day", "03.04.2001": "day", "GB82 WEST 1234 5698 7654 32": "iban",
     "DE89370400440532013000": "iban", "04dbebab91ab85687d33eeaaf9ac699e1188f962": "hex",
 }
 
