@@ -316,7 +316,8 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_docs: int = 1500, clean_docs:
         yield pa.record_batch({"model": pa.array([pickle.dumps(model)], pa.binary())})
 
     rows = sample(docs, labels, toxic_docs, clean_docs, max_chars).coalesce(1)
-    return pickle.loads(rows.mapInArrow(work, "model binary").first()[0])
+    found = rows.mapInArrow(work, "model binary").first()
+    return pickle.loads(found[0]) if found else train([], np.zeros(0, bool))
 
 
 SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
