@@ -203,8 +203,12 @@ def sample(docs: DataFrame, labels: DataFrame, toxic_docs: int, clean_docs: int,
     return rows.orderBy(order, "doc_id", "text").limit(toxic_docs + clean_docs).select("text", "toxic")
 
 
-def train(texts: list[str], toxic: np.ndarray, epochs: int = 25, rate: float = 0.5, decay: float = 1e-6) -> Model:
-    """Fit the chain on three quarters of the texts, the document's score on the rest and those."""
+def train(texts: list[str], toxic: np.ndarray, prior: float | None = None, epochs: int = 25, rate: float = 0.5, decay: float = 1e-6) -> Model:
+    """Fit the chain on three quarters of the texts, the document's score on the rest and those.
+
+    ``prior``: the share of toxic documents that the score is to reckon with
+    (None: that of the texts given, which a sample by kind may have shifted).
+    """
     blank = Model(np.zeros((3, 1 << BITS), np.float32), 0.0, np.ones((2, 2)), np.array([-20.0, 0, 0]), False)
     if not toxic.any() or toxic.all():
         return blank
@@ -253,6 +257,10 @@ def train(texts: list[str], toxic: np.ndarray, epochs: int = 25, rate: float = 0
     ridge = np.diag([1e-3, 1e-2, 1e-2])
     # the two kinds count alike in the held-out quarter and in what the chain has seen
     weight = np.where(held, 3.0, 1.0)
+    if prior is not None:
+        whole = weight.sum()
+        for kind, share in ((toxic, prior), (~toxic, 1 - prior)):
+            weight[kind] *= share * whole / weight[kind].sum()
     for _ in range(50):
         q = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
         step = np.linalg.solve((x * (weight * q * (1 - q))[:, None]).T @ x + ridge, x.T @ (weight * (toxic - q)) - ridge @ b)
@@ -309,10 +317,14 @@ def learnable() -> F.Column:
 def fit(docs: DataFrame, labels: DataFrame, toxic_docs: int = 1500, clean_docs: int = 2500, max_chars: int = 20_000) -> Model:
     """Train on a bounded sample of the labelled rows that are not held out, in one task; the model comes back."""
 
+    marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
+    marks = marks.where(learnable() & F.col("toxic").isNotNull())
+    prior = marks.agg(F.avg(F.col("toxic").cast("double"))).first()[0]  # one number over all learnable labels
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [r for batch in batches for r in batch.to_pylist()]
         unique = list(dict.fromkeys((r["text"], r["toxic"]) for r in rows))  # copies teach nothing new
-        model = train([t for t, _ in unique], np.array([y for _, y in unique], bool))
+        model = train([t for t, _ in unique], np.array([y for _, y in unique], bool), prior)
         yield pa.record_batch({"model": pa.array([pickle.dumps(model)], pa.binary())})
 
     rows = sample(docs, labels, toxic_docs, clean_docs, max_chars).coalesce(1)
