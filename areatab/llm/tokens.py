@@ -22,12 +22,15 @@ empty file and result.
 from __future__ import annotations
 
 import string
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -38,7 +41,7 @@ from areatab.session import scratch_path
 END = 1
 PUNCTUATION = string.punctuation
 #: Parts of words that a task remembers at most.
-REMEMBERED = 1_000_000
+REMEMBERED = 800_000
 BLOCK_IDS = 1 << 16
 PROBE = "It's a  test,\tof 12 words' ends:\n<|endoftext|>x  Ünï-çødé's I'M don't 3.14 «so» … end"
 
@@ -50,13 +53,33 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+# The byte-level alphabet: printable bytes stand for themselves, the others for the characters from 256 on.
+SHOWN = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE]
+ALPHABET = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in SHOWN)}
+
+
+def letters(word: str) -> str | None:
+    """A Latin word of letters only as the byte-level model reads it; None for any other word."""
+    if not word.isalpha():
+        return None
+    if word.isascii():
+        return word.lower()
+    # each letter has one lower case of its own here
+    if max(word) >= "\u0250" or "\u0130" in word or not unicodedata.is_normalized("NFC", word):
+        return None
+    return word.lower().encode().decode("latin-1").translate(ALPHABET)
+
+
 @cache
-def loaded(path: str) -> tuple[Tokenizer, bool]:
-    """The tokenizer, and whether a text's ids are its words' ids."""
+def loaded(path: str) -> tuple[Tokenizer, bool, bool]:
+    """The tokenizer; whether a text's ids are its words' ids; whether plain words go to its model unchanged."""
     t = Tokenizer.from_file(path)
     whole = t.encode(PROBE, add_special_tokens=False).ids
     parts = [i for w in PROBE.split() for i in t.encode(w, add_special_tokens=False).ids]
-    return t, whole == parts
+    latin = [chr(c) for c in range(0x250) if chr(c).isalpha()]
+    probes = [*latin, *("x" + a + b for a, b in zip(latin, latin[7:], strict=False)), "unbelievable", "Straße", "œuvre", string.ascii_lowercase * 3]
+    same = all([x.id for x in t.model.tokenize(y)] == t.encode(w, add_special_tokens=False).ids for w in probes if (y := letters(w)))
+    return t, whole == parts, same
 
 
 def bits_for(path: str) -> int:
@@ -102,11 +125,12 @@ class Encoder:
 
     A word's closing run of ASCII punctuation is a part of its own, and ASCII
     letters are lowered beforehand, as the vocabulary's rules do anyway; words
-    that might hold a special token are left as they are.
+    that might hold a special token are left as they are. Parts of Latin
+    letters only go to the tokenizer's model directly.
     """
 
     def __init__(self, path: str, end: int = END):
-        self.tokenizer, self.by_word = loaded(path)
+        self.tokenizer, self.by_word, self.plain = loaded(path)
         self.end = end
         self.forget()
 
@@ -116,27 +140,40 @@ class Encoder:
         self.sizes = [np.array([0, 1], np.int64)]  # nothing, the end
         self.count = 2
 
-    def learn(self, parts: list[str]) -> None:
-        new = list(dict.fromkeys(x for x in parts if x not in self.known))
-        if not new:
-            return
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        self.known.update(zip(new, range(self.count, self.count + len(new)), strict=True))
-        self.count += len(new)
-        self.flat.append(np.fromiter((i for x in found for i in x), np.uint32))
-        self.sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
-
-    def parts(self, words: list[str]) -> np.ndarray:
+    def ids_of(self, part: str) -> list[int]:
+        if self.plain and (own := letters(part)):
+            return [x.id for x in self.tokenizer.model.tokenize(own)]
+        return self.tokenizer.encode(part, add_special_tokens=False).ids
+
+    def numbers(self, parts: pa.Array) -> np.ndarray:
+        """The number by which each part is known; new ones are encoded."""
+        coded = parts.dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        new = [x for x in names if x not in self.known]
+        if new:
+            found = [self.ids_of(x) for x in new]
+            self.known.update(zip(new, range(self.count, self.count + len(new)), strict=True))
+            self.count += len(new)
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            self.sizes.append(sizes)
+            self.flat.append(np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())))
+        numbers = np.fromiter(map(self.known.__getitem__, names), np.int64, len(names))
+        return numbers[coded.indices.to_numpy()]
+
+    def parts(self, words: pa.Array) -> np.ndarray:
         """Two parts of each word; the second may be nothing."""
-        stems = [w if "<|" in w else w.rstrip(PUNCTUATION) for w in words]
+        stems = pc.utf8_rtrim(words, PUNCTUATION)
         # only after a letter or a digit does the run begin a part of its own
-        stems = [x if x and (x[-1].isalpha() or x[-1] in string.digits) else w for w, x in zip(words, stems, strict=True)]
-        tails = [w[len(x) :] for w, x in zip(words, stems, strict=True)]
-        stems = [w if "<|" in w or not w.isascii() else w.lower() for w in stems]
-        self.learn(stems)
-        self.learn(tails)
-        known = self.known
-        return np.array([[known[x] for x in stems], [known[x] for x in tails]], np.int64).T.reshape(-1, 2)
+        apart = pc.and_(pc.match_substring_regex(stems, r"[\pL0-9]$"), pc.invert(pc.match_substring(words, "<|")))
+        stems = pc.if_else(apart, pc.ascii_lower(stems), words)
+        out = np.zeros((len(words), 2), np.int64)
+        out[:, 0] = self.numbers(stems)
+        cut = pc.binary_length(stems).to_numpy()
+        rest = np.flatnonzero(pc.binary_length(words).to_numpy() > cut)
+        # the run is ASCII: its length in bytes is its length in characters
+        tails = [w[len(w) - n :] for w, n in zip(words.take(pa.array(rest)).to_pylist(), (pc.binary_length(words).to_numpy() - cut)[rest].tolist(), strict=True)]
+        out[rest, 1] = self.numbers(pa.array(tails, pa.string()))
+        return out
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and how many each has."""
@@ -146,7 +183,7 @@ class Encoder:
         if self.count > REMEMBERED:
             self.forget()
         ids, words, offsets = split_words(texts)
-        parts = self.parts(words.to_pylist())[ids]
+        parts = self.parts(words)[ids]
         parts = np.insert(parts, offsets[1:], [[1, 0]], axis=0)
         doc = np.repeat(np.arange(len(texts)), np.diff(offsets) + 1)
         sizes, flat = np.concatenate(self.sizes), np.concatenate(self.flat)
@@ -159,6 +196,12 @@ class Encoder:
         return flat[np.repeat(from_, count) + np.arange(int(count.sum()))], np.bincount(doc, per_word, len(texts)).astype(np.int64)
 
 
+@cache
+def encoder(path: str, end: int) -> Encoder:
+    """One for all tasks of a worker process: what it remembers depends on the words only."""
+    return Encoder(path, end)
+
+
 BLOCKS = "bucket int, block int, width int, n_ids long, doc_ids array<bigint>, n_tokens array<bigint>, payload binary"
 FIELDS = pa.schema([
     ("bucket", pa.int32()), ("block", pa.int32()), ("width", pa.int32()), ("n_ids", pa.int64()),
@@ -173,7 +216,7 @@ def write(docs: DataFrame, out: str, path: str, end: int = END, block_ids: int =
     dealt = dealt.repartition("bucket").sortWithinPartitions("bucket", "doc_id", "text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        width, block, at, encode = bits_for(path), 0, -1, Encoder(path, end)
+        width, block, at, encode = bits_for(path), 0, -1, encoder(path, end)
         docs_, sizes, parts, held = [], [], [], 0
 
         def close() -> pa.RecordBatch:

@@ -26,8 +26,8 @@ def test_packing_round_trip(width):
 
 def test_ids_by_word_are_the_texts_ids():
     path = T.vocabulary()
-    tokenizer, by_word = T.loaded(path)
-    assert by_word and T.bits_for(path) == 16
+    tokenizer, by_word, plain = T.loaded(path)
+    assert by_word and plain and T.bits_for(path) == 16
     want = [[*tokenizer.encode(t, add_special_tokens=False).ids, 1] for t in TEXTS]
     encoder = T.Encoder(path)
     for _ in range(2):  # from scratch, and from memory
@@ -40,14 +40,14 @@ def test_ids_by_word_are_the_texts_ids():
 
 def test_a_tokenizer_that_keeps_white_space_encodes_whole_texts():
     path = T.vocabulary("byte_bpe_50k.json")
-    tokenizer, by_word = T.loaded(path)
+    tokenizer, by_word, _ = T.loaded(path)
     assert not by_word
     ids, count = T.Encoder(path, 0)(pa.array(["a b", None]))
     assert ids.tolist() == [*tokenizer.encode("a b").ids, 0, 0] and count.tolist()[1] == 1
 
 
 def brute(rows):
-    tokenizer, _ = T.loaded(T.vocabulary())
+    tokenizer = T.loaded(T.vocabulary())[0]
     out, start = [], 0
     for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
         ids = [*tokenizer.encode(t or "", add_special_tokens=False).ids, 1]
@@ -71,7 +71,7 @@ def test_blocks_and_random_access(spark, documents):
     T.write(documents([(i, t, None) for i, t in rows]), out, T.vocabulary(), block_ids=500)
     found = {r.doc_id: r for r in T.read(spark, out).collect()}
     assert len({(r.bucket, r.block) for r in found.values()}) > 5
-    tokenizer, _ = T.loaded(T.vocabulary())
+    tokenizer = T.loaded(T.vocabulary())[0]
     for k in (0, 49, 299):
         r = found[k]
         ids = T.document(spark, out, r.bucket, r.block, r.at, r.n_tokens)
