@@ -18,6 +18,7 @@ import os
 import sys
 
 from areatab.operators import publish
+from areatab.operators.areas import require_unique
 from areatab.operators.frequency import frequencies_multi
 from areatab.plans.job import run_resumable
 from areatab.plans.vintages import PRESETS, crosswalk_departments, flat_plan, linked_plan
@@ -93,6 +94,9 @@ def main(argv: list[str] | None = None) -> dict:
         persona = read(args.persona) if args.persona else None
         raw = (read_label_files(spark, args.labels_dir, args.labels_style, sep=args.sep, encoding=args.labels_encoding)
                if args.labels_dir else None)
+        keys = {"prov": "PROV_REF_ID", "dpto": "DPTO_REF_ID", "frac": "FRAC_REF_ID", "radio": "RADIO_REF_ID", "seg": "SEG_REF_ID",
+                "vivienda": "VIVIENDA_REF_ID"}
+        require_unique({n: (t[n], [k]) for n, k in keys.items()} | ({"hogar": (hogar, ["HOGAR_REF_ID"])} if hogar is not None else {}))
         # all that differs between the years; --how and --null-policy given by hand win
         preset = dict(PRESETS[args.exclude_style])
         policy = args.null_policy or preset["null_policy"]

@@ -99,6 +99,20 @@ def attach_area(
     return out.withColumnRenamed(key, fk)
 
 
+def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``(keys..., n)``: key values of a dimension that stand on more than one row and would multiply counts."""
+    found = df.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return found.where("n > 1")
+
+
+def require_unique(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> None:
+    """Raise if a dimension's key is not unique (one small aggregate a table; the first duplicates are named)."""
+    for name, (df, keys) in tables.items():
+        found = duplicate_keys(df, keys).limit(3).collect()
+        if found:
+            raise ValueError(f"{name}: duplicate keys {[tuple(r) for r in found]}")
+
+
 def wide_codes(df: DataFrame, levels: Mapping[str, int]) -> DataFrame:
     """``(nivel, codigo, n)``: codes longer than their level's width, which the key holds whole."""
     both = [F.struct(F.lit(c).alias("nivel"), F.col(c).cast("string").alias("codigo"), F.lit(w).alias("ancho")) for c, w in levels.items()]

@@ -7,7 +7,7 @@ are counted as they arrive instead of re-running the whole tabulation:
       -> stream-static join with the area map   (area key per entity row)
       -> unpivot variables                        (same as batch)
       -> groupBy(id_geo, codigo_variable, valor_categoria).count()   [state]
-      -> foreachBatch: overwrite the current table
+      -> foreachBatch: write the current table as a new version
 
 The aggregation state is keyed by (area, variable, category), bounded by
 geography x questionnaire, not by people. State and source offsets live in
@@ -15,6 +15,10 @@ the checkpoint folder on shared storage, so a restarted query (or one whose
 executors were lost) resumes from the last committed micro-batch and never
 counts a file twice. ``availableNow`` processes what is there and stops,
 which makes the same code usable as a scheduled batch job.
+
+Every micro-batch publishes a folder of its own; readers take the newest one
+that is complete, so they never meet a table that is being replaced. The
+version before it stays for readers that have begun, older ones go.
 """
 
 from __future__ import annotations
@@ -26,6 +30,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from areatab.operators.frequency import unpivot_variables
+from areatab.session import scratch_path
+
+VERSION = "version="
+KEPT = 2
 
 
 def stream_frequencies(
@@ -69,8 +77,13 @@ def run_incremental(
     """Count everything that arrived in ``source`` since the last run, then stop.
 
     The full current table is written to ``out_dir`` at the end of each
-    micro-batch (complete mode).
+    micro-batch (complete mode). The area map is worked out once and written
+    to the shared folder, so a micro-batch reads it instead of joining it anew.
     """
+    if area_map is not None:
+        path = scratch_path(spark, "area-map")
+        area_map.select(key, "id_geo").write.parquet(path)
+        area_map = spark.read.schema(area_map.select(key, "id_geo").schema).parquet(path)
     reader = spark.readStream.schema(schema).format(file_format)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -80,7 +93,10 @@ def run_incremental(
     agg = stream_frequencies(rows, variables, area_map, fk, key, null_policy)
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").option("compression", "zstd").parquet(out_dir)
+        batch.write.mode("overwrite").option("compression", "zstd").parquet(f"{out_dir}/{VERSION}{batch_id:012d}")
+        fs, path = _folder(spark, out_dir)
+        for old in versions(spark, out_dir)[:-KEPT]:
+            fs.delete(path(f"{out_dir}/{old}"), True)
 
     q = (
         agg.writeStream.outputMode("complete")
@@ -94,6 +110,22 @@ def run_incremental(
         raise q.exception()
 
 
+def _folder(spark: SparkSession, out_dir: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    return path(out_dir).getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def versions(spark: SparkSession, out_dir: str) -> list[str]:
+    """Names of the complete versions, oldest first."""
+    fs, path = _folder(spark, out_dir)
+    done = fs.globStatus(path(f"{out_dir}/{VERSION}*/_SUCCESS")) or []
+    return sorted(f.getPath().getParent().getName() for f in done)
+
+
 def read_result(spark: SparkSession, out_dir: str) -> DataFrame:
+    """The newest complete version of the table."""
     schema = "id_geo string, codigo_variable string, valor_categoria string, conteo long"
-    return spark.read.schema(schema).parquet(out_dir)
+    found = versions(spark, out_dir)
+    if not found:
+        raise FileNotFoundError(f"no complete version in {out_dir}")
+    return spark.read.schema(schema).parquet(f"{out_dir}/{found[-1]}")

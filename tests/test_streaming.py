@@ -25,3 +25,21 @@ def test_incremental_counts_accumulate_and_resume(spark, tmp_dir):
     # nothing new: a third run changes nothing
     run()
     assert {tuple(r) for r in read_result(spark, out).collect()} == got
+
+
+def test_readers_never_meet_a_half_written_table(spark, tmp_dir):
+    import pytest
+
+    from areatab.streaming.incremental import versions
+
+    src, out, ckpt = (os.path.join(tmp_dir, d) for d in ("src", "out", "ckpt"))
+    with pytest.raises(FileNotFoundError):
+        read_result(spark, out)
+    for k in range(4):
+        spark.createDataFrame([("A", "M", k)], SCHEMA).write.parquet(os.path.join(src, f"p{k}"))
+        run_incremental(spark, os.path.join(src, "*"), SCHEMA, {"P_S": "sexo"}, out, ckpt)
+        assert read_result(spark, out).first().conteo == k + 1
+        assert len(versions(spark, out)) == min(2, k + 1)
+    # a version without its end mark is not read
+    os.makedirs(os.path.join(out, "version=999999999999"))
+    assert read_result(spark, out).first().conteo == 4

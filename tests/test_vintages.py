@@ -156,3 +156,15 @@ def test_2001_department_column_and_2010_preset(spark):
     # blanks and dwellings without an area fall away, nothing is made up
     assert sorted((r.codigo_variable, r.valor_categoria, r.conteo) for r in rows) == [("VIVIENDA_V01", "a", 1), ("VIVIENDA_V01", "a", 1), ("VIVIENDA_V02", "x", 1)]
     assert {(r.etiqueta_departamento, r.etiqueta_categoria, r.etiqueta_provincia) for r in rows} == {(None, None, "C�rdoba")}
+
+
+def test_duplicate_dimension_keys_are_named(spark):
+    import pytest
+
+    from areatab.operators.areas import duplicate_keys, require_unique
+
+    dim = spark.createDataFrame([("1", "a"), ("1", "b"), ("2", "c"), (None, "d"), (None, "e")], "k string, v string")
+    assert [tuple(r) for r in duplicate_keys(dim, ["k"]).collect()] == [("1", 2)]
+    require_unique({"dim": (dim, ["k", "v"])})
+    with pytest.raises(ValueError, match="dim: duplicate keys"):
+        require_unique({"dim": (dim, ["k"])})
