@@ -30,7 +30,7 @@ def pseudonymised(spark: SparkSession, sf_dir: str) -> DataFrame:
 def repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every document loses as 400-byte strings that start elsewhere too."""
     found = suffixes.repeated_bytes(read_table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans")
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +58,7 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def repeated_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every document loses as runs of 35 words that start elsewhere too."""
     found = phrases.repeated_words(read_table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_words", "n_removed", "kept_sha256", "spans")
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
 def leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,4 +88,37 @@ QUERIES = {
     "op10_decontamination": _ready(leaks),
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: Every window of every text, counted; the other operators are not expressible in SQL.
+ORACLE_SQL: dict[str, str] = {
+    "op4_suffix_array_dedup": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+win AS (SELECT r, i, md5(substr(h, 2 * i + 1, 800)) AS k FROM d, unnest(range(0, length(h) // 2 - 399)) AS t(i)),
+rep AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY k) AS n FROM win) WHERE n > 1),
+mark AS (SELECT r, i, CASE WHEN i - lag(i) OVER (PARTITION BY r ORDER BY i) <= 400 THEN 0 ELSE 1 END AS new FROM rep),
+span AS (SELECT r, min(i) AS a, max(i) + 400 AS b FROM (SELECT r, i, sum(new) OVER (PARTITION BY r ORDER BY i) AS g FROM mark) GROUP BY r, g),
+piece AS (
+  SELECT r, lag(b, 1, 0) OVER (PARTITION BY r ORDER BY a) AS s, a AS e FROM span
+  UNION ALL SELECT r, max(b), NULL FROM span GROUP BY r),
+kept AS (
+  SELECT piece.r, string_agg(substr(h, 2 * s + 1, 2 * (coalesce(e, length(h) // 2) - s)), '' ORDER BY s) AS k
+  FROM piece JOIN d ON piece.r = d.r GROUP BY piece.r),
+num AS (SELECT r, count(*) AS n, sum(b - a) AS m FROM span GROUP BY r)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(m, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(k, h))) AS kept_sha256
+FROM d LEFT JOIN kept ON d.r = kept.r LEFT JOIN num ON d.r = num.r
+""",
+    "op9_repeated_phrases": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT r, i, array_to_string(w[i:i + 34], ' ') AS k FROM d, unnest(range(1, len(w) - 33)) AS t(i)),
+rep AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY k) AS n FROM win) WHERE n > 1),
+gone AS (SELECT DISTINCT r, i + o AS p FROM rep, range(0, 35) AS t(o)),
+word AS (SELECT r, generate_subscripts(w, 1) AS p, unnest(w) AS x FROM d),
+kept AS (
+  SELECT word.r, count(*) AS n, string_agg(x, ' ' ORDER BY word.p) AS s
+  FROM word ANTI JOIN gone ON word.r = gone.r AND word.p = gone.p GROUP BY word.r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(s, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON d.r = kept.r
+""",
+}
