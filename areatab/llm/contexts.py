@@ -100,16 +100,13 @@ def _piece(units: np.ndarray, lo: int, hi: int, offsets: np.ndarray, width: int,
 CONTEXT_FIELDS = "key long, place int, first int, last int, anchor long, content long"
 
 
-def recurring(found: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-    """Contexts whose anchor recurs: (all rows with ``n``, how often the content occurs), and the open contents.
+def recurring(found: DataFrame, name: str) -> DataFrame:
+    """Contents whose anchor recurs: (anchor, content, n, kinds, key, place, first, last).
 
-    An open content shares its anchor with another content, so some of its
-    windows may recur there: (anchor, content, n, kinds, key, place, first, last) of one
-    place where it stands, and the number of contents of the anchor.
+    ``n``: how often the content occurs; ``kinds``: contents of its anchor; the
+    rest is one place where it stands, the only one if ``n`` is 1.
     """
     one = F.struct("key", "place", "first", "last")
     contents = written(found.groupBy("anchor", "content").agg(F.count("*").alias("n"), F.min(one).alias("at")), f"{name}-contents")
     anchors = contents.groupBy("anchor").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")).where("total > 1")
-    known = written(meet(contents, anchors, "anchor").select("anchor", "content", "n", "kinds", "at.*"), f"{name}-recurring")
-    rows = meet(found, known.select("anchor", "content", "n", "kinds"), ["anchor", "content"])
-    return rows, known.where("kinds > 1")
+    return written(meet(contents, anchors, "anchor").select("anchor", "content", "n", "kinds", "at.*"), f"{name}-recurring")

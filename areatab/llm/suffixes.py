@@ -271,11 +271,14 @@ def open_windows(rows: DataFrame, open_: DataFrame, shard_bytes: int = SHARD_BYT
 
 def repeated_spans(rows: DataFrame, found: DataFrame, open_runs, length: int, name: str) -> DataFrame:
     """(key, spans): the runs of window starts that recur, for each text that has any."""
-    all_, open_ = recurring(found, name)
-    partly = written(open_runs(rows, open_), f"{name}-open")
-    whole = all_.where("n > 1").select("key", F.col("first").alias("lo"), F.col("last").alias("hi"))
-    # a content that stands once has only its open windows
-    once = all_.where("n = 1 and kinds > 1").select("key", "anchor", "content", "first")
+    known = recurring(found, name)
+    # another content shares the anchor: some windows may recur there
+    partly = written(open_runs(rows, known.where("kinds > 1")), f"{name}-open")
+    # a content that stands twice recurs whole; this join alone meets the hot contents, and Spark may split them
+    whole = meet(found, known.where("n > 1").select("anchor", "content"), ["anchor", "content"])
+    whole = written(whole.select("key", F.col("first").alias("lo"), F.col("last").alias("hi")), f"{name}-whole")
+    # one that stands once has only its open windows
+    once = known.where("n = 1 and kinds > 1").select("key", "anchor", "content", "first")
     part = meet(once, partly, ["anchor", "content"]).select("key", (F.col("first") + F.col("lo")).alias("lo"), (F.col("first") + F.col("hi")).alias("hi"))
     spans = whole.unionByName(part).groupBy("key").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
     return written(spans, f"{name}-spans")
