@@ -1,5 +1,6 @@
 import hashlib
 import random
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -40,6 +41,33 @@ def test_likeness_estimates_the_shared_pieces(spark):
         assert abs(found[k] - w) < 0.2 and (found[k] == 1.0) == (w == 1.0)
 
 
+def test_likeness_counts_repeated_pieces_one_by_one(spark):
+    rng = random.Random(6)
+    menu = [f"menu line {i} again." for i in range(7)]
+    pairs = [
+        (["ten equal words here."] * 10, ["ten equal words here."] * 5),  # in one paragraph
+        ([f"row {i} of a table." for i in range(20)] * 30, [f"row {i} of a table." for i in range(20)] * 12),
+        (menu * 40 + ["own text of a."], menu * 25 + ["own text of b."]),
+        (menu * 40, [f"other line {i} again." for i in range(7)] * 40),
+        ([f"s {rng.randrange(50)} common piece." for _ in range(900)], [f"s {rng.randrange(50)} common piece." for _ in range(900)]),
+        (["x y z w."] * 200_000, ["x y z w."] * 60_000),  # past 16 bits
+        ([f"long {i} text." for i in range(200_000)], [f"long {i} text." for i in range(100_000)]),
+        (["x y z w."] * 90_000 + [f"long {i} text." for i in range(90_000)], ["x y z w."] * 90_000 + [f"more {i} text." for i in range(90_000)]),
+    ]
+    frame = spark.createDataFrame([(k, sep.join(a), sep.join(b)) for k, (a, b) in enumerate(pairs) for sep in [" " if k == 0 else "\n"]], "k long, a string, b string")
+    sums = [M.with_sums(frame, ["k"], c).withColumnRenamed("sums", c) for c in "ab"]
+    found = {r.k: r.x for r in sums[0].join(sums[1], "k").select("k", M.likeness(F.col("a"), F.col("b")).alias("x")).collect()}
+    for k, (a, b) in enumerate(pairs):
+        a, b = Counter(a), Counter(b)
+        assert abs(found[k] - (a & b).total() / (a | b).total()) < 0.2, k
+
+
+def test_shared_and_repeated_paragraphs_add_up(spark):
+    frame = spark.createDataFrame([(1, "a b.\na b.\nc"), (2, "c\na b. d"), (3, "c\na b.\nc\na b. d\na b.")], "doc_id long, text string")
+    wide = M.fingerprints(frame).groupBy().pivot("doc_id", [1, 2, 3]).agg(F.first("sums"))
+    assert wide.select(M.combine(F.col("1"), F.col("2")) == F.col("3")).first()[0]
+
+
 def brute_edited(rows):
     order = sorted(((i is not None, i or 0, t or "") for i, t in rows))
     out = []
