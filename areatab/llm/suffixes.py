@@ -10,7 +10,9 @@ smaller suffixes get their group's next place.
 
 ``repeated_bytes`` finds every 400-byte string that also starts elsewhere. The
 contexts of recurring anchors (see ``contexts``) are dealt to bounded shards by
-their anchor; equal contexts count as one. In a shard each context is a
+their anchor; equal contexts count as one. Where an anchor has many contents
+and many of them share the bytes around it, their windows are counted instead,
+told apart by all their bytes, so no shard grows with a hot passage. In a shard each context is a
 sequence of 8-byte symbols laid out from its anchor, so equal strings are cut
 alike; the suffix array of all sequences brings those together that share 49
 symbols, which any two equal 400-byte strings around an anchor do, and the
@@ -40,7 +42,7 @@ GRAM = 128
 SYMBOL = 8
 #: Bytes of contexts in a shard, on average.
 SHARD_BYTES = 1 << 19
-#: Contents of one anchor from which on its windows are split by what they have in common.
+#: Contents of one anchor from which on its windows are split by what they have in common; pieces that share it from which on windows are counted.
 HOT_KINDS = 256
 STEP = 64
 
@@ -217,34 +219,57 @@ def find_contexts(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Da
 
 
 def open_windows(rows: DataFrame, open_: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """(anchor, content, lo, hi): runs of windows, counted from the context's first, that recur in another content."""
+    """(anchor, content, lo, hi): runs of windows, counted from the context's first, that recur in another content.
+
+    Anchors of fewer than HOT_KINDS contents go to suffix arrays whole. The
+    others' windows are split by the bytes that STEP of them share, the core;
+    cores of fewer than HOT_KINDS pieces go to suffix arrays too, and the windows
+    around the rest are counted, so no task's memory grows with a passage's texts.
+    """
     wanted = open_.select("key", F.struct("anchor", "content", "place", "first", "last", "kinds").alias("c"))
     wanted = wanted.groupBy("key").agg(F.collect_list("c").alias("cs"))  # a text's own contexts: bounded by its length
     cut = meet(rows, wanted, "key")
+    hot_kinds = HOT_KINDS
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done = None
         for batch in slices(batches, "text"):
             out: list[tuple] = []
-            for text, cs in zip(texts_of(batch, "text"), batch.column("cs").to_pylist(), strict=True):
+            for key, text, cs in zip(batch.column("key").to_pylist(), texts_of(batch, "text"), batch.column("cs").to_pylist(), strict=True):
+                if key == done:  # equal rows come one after another and are cut the same
+                    continue
+                done = key
                 for c in cs:
                     a, b, at = c["first"], c["last"], c["place"]
-                    if c["kinds"] < HOT_KINDS:
-                        out.append((c["anchor"], c["content"], 0, c["anchor"], at - a, text[a : b + LENGTH]))
+                    if c["kinds"] < hot_kinds:
+                        out.append((c["anchor"], c["content"], 0, c["anchor"], at - a, text[a : b + LENGTH], None, None))
                         continue
                     # windows that begin in the same stretch before the anchor share what lies between
                     for t in range((at - b) // STEP, (at - a) // STEP + 1):
                         lo, hi = max(a, at - t * STEP - STEP + 1), min(b, at - t * STEP)
                         if lo <= hi:
-                            core = text[at - t * STEP : at - t * STEP - STEP + 1 + LENGTH]
-                            shared = int.from_bytes(hashlib.blake2b(core + t.to_bytes(2, "big"), digest_size=8).digest(), "big", signed=True)
-                            out.append((c["anchor"], c["content"], lo - a, shared ^ c["anchor"], at - lo, text[lo : hi + LENGTH]))
-            columns = list(zip(*out, strict=True)) if out else [()] * 6
-            types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary()]
-            names = ["anchor", "content", "skip", "deal", "at", "bytes"]
+                            core = at - t * STEP
+                            shared = hashlib.blake2b(text[core : core - STEP + 1 + LENGTH] + t.to_bytes(2, "big"), digest_size=8).digest()
+                            deal = int.from_bytes(shared, "big", signed=True) ^ c["anchor"]
+                            out.append((c["anchor"], c["content"], lo - a, deal, at - lo, text[lo : hi + LENGTH], core - lo, t))
+            columns = list(zip(*out, strict=True)) if out else [()] * 8
+            types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.int32()]
+            names = ["anchor", "content", "skip", "deal", "at", "bytes", "core", "t"]
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types, strict=True)], names)
 
-    cuts = written(cut.select("text", "cs").mapInArrow(pieces, "anchor long, content long, skip int, deal long, at int, bytes binary"), "suffix-pieces")
-    total = cuts.agg(F.sum(F.length("bytes"))).first()[0] or 0
+    names = "anchor long, content long, skip int, deal long, at int, bytes binary, core int, t int"
+    cuts = written(cut.select("key", "text", "cs").mapInArrow(pieces, names), "suffix-pieces")
+    # how many pieces hold a core, counted before they meet; the core's bytes tell it, not their hash alone
+    same = ["deal", "t", "held"]
+    held = F.expr(f"substring(bytes, core + 1, {LENGTH - STEP + 1})")
+    hot = cuts.where("core is not null").withColumn("held", held)
+    cores = hot.groupBy(*same).agg(F.count("*").alias("n"), F.min("content").alias("least"), F.max("content").alias("most"))
+    # windows around a core that one content holds recur in no other
+    cores = written(cores.where("least <> most").select(*same, "n", F.monotonically_increasing_id().alias("number")), "suffix-cores")
+    hot = written(meet(hot, cores, same).drop("held"), "suffix-hot")
+    some = ["anchor", "content", "skip", "deal", "at", "bytes"]
+    arrayed = cuts.where("core is null").select(*some).unionByName(hot.where(F.col("n") < hot_kinds).select(*some))
+    total = arrayed.agg(F.sum(F.length("bytes"))).first()[0] or 0
     shards = max(1, -(-int(total) // shard_bytes))
 
     def shard(table: pa.Table) -> pa.Table:
@@ -265,8 +290,46 @@ def open_windows(rows: DataFrame, open_: DataFrame, shard_bytes: int = SHARD_BYT
             [pa.array(np.array(x, np.int64)) for x in columns[:2]] + [pa.array(np.array(x, np.int32)) for x in columns[2:]], ["anchor", "content", "lo", "hi"]
         )
 
-    dealt = cuts.withColumn("shard", F.pmod(F.xxhash64("deal"), F.lit(shards)))
-    return dealt.groupBy("shard").applyInArrow(shard, "anchor long, content long, lo int, hi int")
+    dealt = arrayed.withColumn("shard", F.pmod(F.xxhash64("deal"), F.lit(shards)))
+    small = dealt.groupBy("shard").applyInArrow(shard, "anchor long, content long, lo int, hi int")
+    return small.unionByName(counted_windows(hot.where(F.col("n") >= hot_kinds)))
+
+
+def counted_windows(hot: DataFrame) -> DataFrame:
+    """(anchor, content, lo, hi): the same of pieces around cores that many share.
+
+    A window is told by its core's number, how many bytes stand before the core,
+    and the bytes on both sides of it: together all its 400 bytes. Counts are
+    combined before the shuffle.
+    """
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = LENGTH - STEP + 1
+        for batch in batches:
+            out: list[tuple] = []
+            columns = [batch.column(c).to_pylist() for c in ("number", "anchor", "content", "skip", "core", "bytes")]
+            for number, anchor, content, skip, core, piece in zip(*columns, strict=True):
+                for w in range(len(piece) - LENGTH + 1):
+                    out.append((number, core - w, piece[w:core] + piece[core + rest : w + LENGTH], anchor, content, skip + w))
+            columns = list(zip(*out, strict=True)) if out else [()] * 6
+            types = [pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int32()]
+            names = ["number", "before", "beside", "anchor", "content", "w"]
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types, strict=True)], names)
+
+    same = ["number", "before", "beside"]
+    found = hot.mapInArrow(windows, "number long, before int, beside binary, anchor long, content long, w int")
+    found = written(found, "suffix-windows")
+    many = found.groupBy(*same).agg(F.min("content").alias("a"), F.max("content").alias("b")).where("a <> b").select(*same)
+    # written, so that Spark may split the hot windows where they meet
+    hit = meet(found, written(many, "suffix-recurring-windows"), same).groupBy("anchor", "content").agg(F.array_sort(F.collect_set("w")).alias("ws"))
+
+    def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [(i, int(lo), int(hi)) for i, ws in enumerate(batch.column("ws").to_pylist()) for lo, hi in zip(*runs(np.array(ws)), strict=True)]
+            i, lo, hi = (pa.array([r[k] for r in out], t) for k, t in enumerate((pa.int64(), pa.int32(), pa.int32())))
+            yield pa.RecordBatch.from_arrays([batch.column("anchor").take(i), batch.column("content").take(i), lo, hi], ["anchor", "content", "lo", "hi"])
+
+    return hit.mapInArrow(ranges, "anchor long, content long, lo int, hi int")
 
 
 def repeated_spans(rows: DataFrame, found: DataFrame, open_runs, length: int, name: str) -> DataFrame:

@@ -81,6 +81,26 @@ def test_removed_bytes_equal_brute_force(documents, odd_rows, monkeypatch, hot):
     assert sorted((tuple(r[:5]) for r in found.collect()), key=str) == brute(rows)
 
 
+def test_no_array_grows_with_a_hot_passage(documents, monkeypatch, tmp_path):
+    monkeypatch.setattr(S, "HOT_KINDS", 16)
+    plain, log = S.windows_that_recur, tmp_path / "sizes"
+    log.mkdir()
+
+    def logged(pieces, anchors):
+        (log / f"{len(pieces)}-{random.random()}").touch()
+        return plain(pieces, anchors)
+
+    monkeypatch.setattr(S, "windows_that_recur", logged)
+    rng = random.Random(11)
+    words = lambda k: " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9))) for _ in range(k))
+    passage = words(120)
+    rows = [(i, words(rng.randint(1, 60)) + passage + words(rng.randint(1, 60)), None) for i in range(150)]
+    found = S.repeated_bytes(documents([*rows, rows[0], rows[0]]))
+    assert sorted((tuple(r[:5]) for r in found.collect()), key=str) == brute([r[:2] for r in [*rows, rows[0], rows[0]]])
+    # 150 texts share cores at the passage's edges
+    assert max([int(x.name.split("-")[0]) for x in log.iterdir()], default=0) < 150
+
+
 def test_kept_bytes_and_spans(documents, no_documents):
     text = "é" * 300 + "tail"
     found = S.repeated_bytes(documents([(1, text, None), (2, "head" + "é" * 300, None)])).collect()
