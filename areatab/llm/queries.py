@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areatab.llm import decontaminate, html, multiset, packing, phrases, pii, simhash, suffixes, tokens, toxicity
+from areatab.llm import decontaminate, html, multiset, packing, phrases, pii, simhash, suffixes, tokens, toxicity, trie_bpe
 from areatab.llm.common import read_table
 from areatab.session import ensure_checkpoint_dir
 
@@ -66,6 +66,11 @@ def leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlaps(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def trie_encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids and decoded text, as digests."""
+    return trie_bpe.digests(read_table(spark, sf_dir, "documents"), tokens.vocabulary("word_bpe_49k.json"))
+
+
 def _ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ensure_checkpoint_dir(spark)
@@ -86,6 +91,7 @@ QUERIES = {
     "op8_simhash": _ready(near_duplicates),
     "op9_repeated_phrases": _ready(repeated_words),
     "op10_decontamination": _ready(leaks),
+    "op12_trie_bpe": _ready(trie_encoded),
 }
 
 #: Every window of every text, counted; the other operators are not expressible in SQL.
