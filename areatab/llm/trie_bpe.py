@@ -66,6 +66,7 @@ class Merges:
             parts = self.merge(token)
             if len(parts) == 1 and parts[0][0] == own:
                 self.ends[own], self.starts[own] = self.spine(parts[0], 1), self.spine(parts[0], 0)
+        self.reachable = {t: i for t, i in vocab.items() if i in self.ends}
         self.beside: dict[int, bool] = {}
 
     def symbols(self, token: str) -> list[str]:
@@ -115,43 +116,57 @@ class Merges:
         return known
 
 
+def shared_prefixes(parts: list[str], seen: int = 32) -> list[int]:
+    """Of each of the sorted parts, how many symbols its branch of the trie shares with the one before."""
+    shared = np.zeros(len(parts), np.int64)
+    if len(parts) > 1:
+        letters = np.array([p[:seen] for p in parts], f"<U{seen}").view(np.uint32).reshape(len(parts), seen)
+        same = letters[1:] == letters[:-1]
+        shared[1:] = np.where(same.all(axis=1), seen, same.argmin(axis=1))
+    out = shared.tolist()
+    for k in np.flatnonzero(shared == seen).tolist():
+        a, b = parts[k - 1], parts[k]
+        while out[k] < min(len(a), len(b)) and a[out[k]] == b[out[k]]:
+            out[k] += 1
+    # the last symbol carries the end of the word and is nobody else's
+    return [min(n, len(a) - 1, len(b) - 1) for n, a, b in zip(out, ["", *parts], parts, strict=False)]
+
+
 def encode_parts(parts: list[str], rules: Merges) -> dict[str, list[int]]:
-    """The ids of distinct parts: all go into a trie, which is walked once, depth first."""
-    suffix, vocab, fits, reachable, longest = rules.suffix, rules.vocab, rules.fits, rules.ends, rules.longest
-    root: dict = {}
-    for part in parts:
-        node = root
-        for c in part[:-1]:
-            below = node.get(c)
-            if below is None:
-                below = node[c] = {}
-            node = below
-        node[part[-1] + suffix if suffix else (part[-1], True)] = part
+    """The ids of distinct parts, by one walk over their trie, depth first.
+
+    The trie is held as the sorted parts and the lengths of the prefixes that
+    neighbours share: a branch leaves the one before it there, and the states
+    down to that node are kept.
+    """
+    parts = sorted(parts)
+    suffix, longest, fits, beside, size = rules.suffix, rules.longest, rules.fits, rules.beside, rules.size
+    token_of = rules.reachable.get
     out: dict[str, list[int]] = {}
-    last: list[int] = [-1]  # of each prefix on the way down: its last token, and where that begins
-    begin: list[int] = [0]
-    way = ""
-    stack = [(0, key, below) for key, below in root.items()]
-    while stack:
-        depth, key, below = stack.pop()
-        del last[depth + 1 :], begin[depth + 1 :]
-        way = way[:depth] + (key if type(key) is str else key[0])
-        for i in range(max(0, depth + 1 - longest), depth + 1):
-            token = vocab.get(way[i:])
-            if token is not None and token in reachable and (not i or fits(last[i], token)):
-                break
-        else:
-            raise ValueError(f"no token for {way[-1]!r}")
-        last.append(token)
-        begin.append(i)
-        if type(below) is dict:
-            stack.extend((depth + 1, k, b) for k, b in below.items())
-        else:
-            ids, at = [], depth + 1
-            while at:
-                ids.append(last[at])
-                at = begin[at]
-            out[below] = ids[::-1]
+    last, begin = [-1], [0]  # of each prefix on the way down: its last token, and where that begins
+    for part, shared in zip(parts, shared_prefixes(parts), strict=True):
+        n = len(part)
+        del last[max(shared, 0) + 1 :], begin[max(shared, 0) + 1 :]
+        for end in range(max(shared, 0) + 1, n + 1):
+            way = part[:end] if end < n else part + suffix
+            for i in range(end - longest if end > longest else 0, end):
+                token = token_of(way[i:])
+                if token is not None:
+                    if not i:
+                        break
+                    known = beside.get(last[i] * size + token)
+                    if known or (known is None and fits(last[i], token)):
+                        break
+            else:
+                raise ValueError(f"no token for {way[-1]!r}")
+            last.append(token)
+            begin.append(i)
+        ids, at = [], n
+        while at:
+            ids.append(last[at])
+            at = begin[at]
+        ids.reverse()
+        out[part] = ids
     return out
 
 
