@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areatab.llm import decontaminate, html, multiset, packing, phrases, pii, simhash, suffixes, tokens, toxicity, trie_bpe
+from areatab.llm import crosstok, decontaminate, dualtree, html, multiset, packing, phrases, pii, simhash, suffixes, tokens, toxicity, trie_bpe
 from areatab.llm.common import read_table
 from areatab.session import ensure_checkpoint_dir
 
@@ -71,6 +71,17 @@ def trie_encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_bpe.digests(read_table(spark, sf_dir, "documents"), tokens.vocabulary("word_bpe_49k.json"))
 
 
+def aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids of two tokenizers, aligned, with the counts of its links in all documents."""
+    paths = tokens.vocabulary("byte_bpe_50k.json"), tokens.vocabulary("piece_bpe_32k.model")
+    return crosstok.align(read_table(spark, sf_dir, "documents"), *paths)
+
+
+def vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's code, its error, and the codebooks' digest."""
+    return dualtree.compress(read_table(spark, sf_dir, "embeddings"))
+
+
 def _ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ensure_checkpoint_dir(spark)
@@ -91,11 +102,14 @@ QUERIES = {
     "op8_simhash": _ready(near_duplicates),
     "op9_repeated_phrases": _ready(repeated_words),
     "op10_decontamination": _ready(leaks),
+    "op11_dual_tree_codes": _ready(vector_codes),
     "op12_trie_bpe": _ready(trie_encoded),
+    "op13_cross_tokenizer": _ready(aligned),
 }
 
-#: Every window of every text, counted; the other operators are not expressible in SQL.
+#: Every window of every text, counted; every part of a vector against every entry; the other operators are not expressible in SQL.
 ORACLE_SQL: dict[str, str] = {
+    "op11_dual_tree_codes": dualtree.oracle_sql(),
     "op4_suffix_array_dedup": r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
 win AS (SELECT r, i, md5(substr(h, 2 * i + 1, 800)) AS k FROM d, unnest(range(0, length(h) // 2 - 399)) AS t(i)),
