@@ -10,13 +10,15 @@ smaller suffixes get their group's next place.
 
 ``repeated_bytes`` finds every 400-byte string that also starts elsewhere. The
 contexts of recurring anchors (see ``contexts``) are dealt to bounded shards by
-their anchor; equal contexts count as one. Where an anchor has many contents
-and many of them share the bytes around it, their windows are counted instead,
-told apart by all their bytes, so no shard grows with a hot passage. In a shard each context is a
+their anchor; equal contexts count as one. An anchor's contexts are dealt in
+parts of bounded size, however many it has. In a shard each context is a
 sequence of 8-byte symbols laid out from its anchor, so equal strings are cut
 alike; the suffix array of all sequences brings those together that share 49
 symbols, which any two equal 400-byte strings around an anchor do, and the
-bytes beside them decide exactly.
+bytes beside them decide exactly. Of the strings that a part holds, the first of
+each kind stands for it before the anchor's other parts: strings there meet by
+128-bit digests, at first of the bytes that 64 neighbouring strings share, then 8,
+then of the string itself, and what no other context holds goes at each step.
 
 Defined cases: a null text is empty; texts under 400 bytes keep all; equal rows
 are copies of each other and lose all that the length allows; a null doc_id is
@@ -42,9 +44,10 @@ GRAM = 128
 SYMBOL = 8
 #: Bytes of contexts in a shard, on average.
 SHARD_BYTES = 1 << 19
-#: Contents of one anchor from which on its windows are split by what they have in common; pieces that share it from which on windows are counted.
-HOT_KINDS = 256
-STEP = 64
+#: Contexts of one anchor that meet in one suffix array; an anchor with more of them is dealt in parts.
+PART = 1024
+#: Neighbouring strings that are compared at once by what they share, step by step.
+STEPS = (64, 8, 1)
 
 
 def suffix_array(text: list[int]) -> list[int]:
@@ -129,8 +132,9 @@ def suffix_array(text: list[int]) -> list[int]:
     return out
 
 
-def windows_that_recur(pieces: list[bytes], anchors: list[int]) -> list[np.ndarray]:
-    """Of each piece, the starts of its 400-byte windows that another piece holds at the same distance from the anchor.
+def windows_that_recur(pieces: list[bytes], anchors: list[int]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Of each piece, the starts of its 400-byte windows that another piece holds at the same distance from the anchor,
+    and of these the ones that an earlier piece holds.
 
     ``anchors``: the anchor's place in each piece, which every window holds.
     """
@@ -152,14 +156,14 @@ def windows_that_recur(pieces: list[bytes], anchors: list[int]) -> list[np.ndarr
     order = order[order >= 0]
     room = ends[owner] - np.arange(len(cut)) >= span
     order = order[room[order]]  # suffixes of at least 49 symbols, in order
-    out = [np.zeros(0, np.int64)] * len(pieces)
+    none = [np.zeros(0, np.int64)] * len(pieces)
     if len(order) < 2:
-        return out
+        return none, none
     same = np.ones(len(order) - 1, bool)
     for k in range(span):
         at = np.flatnonzero(same)
         if not len(at):
-            return out
+            return none, none
         same[at] = rank[order[at] + k] == rank[order[at + 1] + k]
     label = np.r_[0, np.cumsum(~same)]
     size = np.bincount(label)[label]
@@ -169,7 +173,7 @@ def windows_that_recur(pieces: list[bytes], anchors: list[int]) -> list[np.ndarr
     raw = np.frombuffer(b"".join(b"\0" * SYMBOL + p + b"\0" * SYMBOL for p in pieces), np.uint8)
     length = np.array([len(p) for p in pieces])
     base = np.cumsum(length + 2 * SYMBOL) - length - SYMBOL
-    found: list[list[np.ndarray]] = [[] for _ in pieces]
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     distance = np.array(anchors)[own] - begin
     for shift in range(SYMBOL):  # windows that begin so many bytes before the shared symbols
         whole = (begin >= shift) & (begin - shift + LENGTH <= length[own])
@@ -183,14 +187,25 @@ def windows_that_recur(pieces: list[bytes], anchors: list[int]) -> list[np.ndarr
             key[:, 2] = key[:, 2] * 256 + raw[start + k]
         for k in range(SYMBOL - shift):
             key[:, 3] = key[:, 3] * 256 + raw[start + LENGTH - 1 - k]
-        _, which, many = np.unique(key, axis=0, return_inverse=True, return_counts=True)
-        hit = many[which.ravel()] > 1
-        starts, owners = begin[w][hit] - shift, own[w][hit]
-        by = np.argsort(owners, kind="stable")
-        parts = np.flatnonzero(np.r_[True, np.diff(owners[by]) > 0])
-        for group in np.split(by, parts[1:]) if len(by) else []:
-            found[owners[group[0]]].append(starts[group])
-    return [np.unique(np.concatenate(x)) if x else np.zeros(0, np.int64) for x in found]
+        by = np.lexsort((own[w], *key.T))
+        new = np.r_[True, (np.diff(key[by], axis=0) != 0).any(axis=1)]
+        many = np.bincount(np.cumsum(new) - 1)[np.cumsum(new) - 1] > 1
+        hit = by[many]
+        found.append((own[w][hit], begin[w][hit] - shift, ~new[many]))
+    if not found:
+        return none, none
+    owners, starts, later = (np.concatenate(x) for x in zip(*found, strict=True))
+    return split_by(owners, starts, len(pieces)), split_by(owners[later], starts[later], len(pieces))
+
+
+def split_by(owner: np.ndarray, value: np.ndarray, n: int) -> list[np.ndarray]:
+    """The sorted distinct values of each of ``n`` owners."""
+    by = np.lexsort((value, owner))
+    owner, value = owner[by], value[by]
+    if len(by):
+        new = np.r_[True, (np.diff(owner) != 0) | (np.diff(value) != 0)]
+        owner, value = owner[new], value[new]
+    return np.split(value, np.searchsorted(owner, np.arange(1, n)))
 
 
 def runs(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -218,18 +233,73 @@ def find_contexts(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Da
     return rows.select("key", "text").mapInArrow(work, CONTEXT_FIELDS)
 
 
-def open_windows(rows: DataFrame, open_: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def shared_digest(text: bytes, anchor: int, at: int, first: int, last: int) -> bytes:
+    """128 bits of the bytes that the windows beginning at ``first`` to ``last`` share, and where they lie from the anchor.
+
+    ``anchor``: the anchor's hash; ``at``: its place in ``text``.
+    """
+    where = anchor.to_bytes(8, "big", signed=True) + (at - last).to_bytes(4, "big") + (at - first).to_bytes(4, "big")
+    return hashlib.blake2b(where + text[last : first + LENGTH], digest_size=16).digest()
+
+
+def stretches(first: int, last: int, at: int, step: int) -> Iterator[tuple[int, int, int, int]]:
+    """Windows from ``first`` to ``last`` cut where their distance from the anchor is a whole number of steps.
+
+    (first, last, and the bounds of the whole stretch that they are part of), so that equal windows are in equal stretches.
+    """
+    for t in range((at - last) // step, (at - first) // step + 1):
+        low, high = at - t * step - step + 1, at - t * step
+        yield max(first, low), min(last, high), low, high
+
+
+LOOSE = "digest binary, anchor long, content long, skip int, at int, first int, last int, bytes binary"
+RUNS = "anchor long, content long, lo int, hi int"
+
+
+def cut_stretches(rows: DataFrame, step: int) -> DataFrame:
+    """The rows' windows in stretches of ``step``, each with the digest of the bytes that a whole stretch shares.
+
+    ``first`` and ``last`` count from the start of ``bytes``, which begins ``skip`` bytes into the context.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = [pa.binary(), pa.int64(), pa.int64(), *[pa.int32()] * 4, pa.binary()]
+        names = ["digest", "anchor", "content", "skip", "at", "first", "last", "bytes"]
+        for batch in batches:
+            out: list[tuple] = []
+            columns = [batch.column(c).to_pylist() for c in names[1:]]
+            for anchor, content, skip, at, first, last, text in zip(*columns, strict=True):
+                for a, b, low, high in stretches(first, last, at, step):
+                    # what a whole stretch shares lies within any part of it
+                    digest = shared_digest(text, anchor, at, low, high)
+                    out.append((digest, anchor, content, skip + a, at - a, 0, b - a, text[a : b + LENGTH]))
+            columns = list(zip(*out, strict=True)) if out else [()] * 8
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types, strict=True)], names)
+
+    return rows.select("anchor", "content", "skip", "at", "first", "last", "bytes").mapInArrow(work, LOOSE)
+
+
+def across_parts(loose: DataFrame) -> DataFrame:
+    """(anchor, content, lo, hi): windows that stand for their part's equal ones and that another context holds too."""
+    for step in STEPS:
+        cut = written(cut_stretches(loose, step), f"suffix-stretches-{step}")
+        # counted before they meet; what one context holds alone goes
+        many = cut.groupBy("digest").agg(F.min("content").alias("a"), F.max("content").alias("b")).where("a <> b").select("digest")
+        loose = meet(cut, written(many, f"suffix-shared-{step}"), "digest")
+    return loose.select("anchor", "content", F.col("skip").alias("lo"), F.col("skip").alias("hi"))
+
+
+def open_windows(rows: DataFrame, open_: DataFrame, shard_bytes: int | None = None, part: int | None = None) -> DataFrame:
     """(anchor, content, lo, hi): runs of windows, counted from the context's first, that recur in another content.
 
-    Anchors of fewer than HOT_KINDS contents go to suffix arrays whole. The
-    others' windows are split by the bytes that STEP of them share, the core;
-    cores of fewer than HOT_KINDS pieces go to suffix arrays too, and the windows
-    around the rest are counted, so no task's memory grows with a passage's texts.
+    An anchor's contexts go to suffix arrays in parts of about ``part``, by
+    their content, so no task's memory grows with a passage's texts; what stands
+    for the others of its part meets the other parts' (see ``across_parts``).
     """
+    shard_bytes, part = shard_bytes or SHARD_BYTES, part or PART
     wanted = open_.select("key", F.struct("anchor", "content", "place", "first", "last", "kinds").alias("c"))
     wanted = wanted.groupBy("key").agg(F.collect_list("c").alias("cs"))  # a text's own contexts: bounded by its length
     cut = meet(rows, wanted, "key")
-    hot_kinds = HOT_KINDS
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done = None
@@ -240,96 +310,43 @@ def open_windows(rows: DataFrame, open_: DataFrame, shard_bytes: int = SHARD_BYT
                     continue
                 done = key
                 for c in cs:
-                    a, b, at = c["first"], c["last"], c["place"]
-                    if c["kinds"] < hot_kinds:
-                        out.append((c["anchor"], c["content"], 0, c["anchor"], at - a, text[a : b + LENGTH], None, None))
-                        continue
-                    # windows that begin in the same stretch before the anchor share what lies between
-                    for t in range((at - b) // STEP, (at - a) // STEP + 1):
-                        lo, hi = max(a, at - t * STEP - STEP + 1), min(b, at - t * STEP)
-                        if lo <= hi:
-                            core = at - t * STEP
-                            shared = hashlib.blake2b(text[core : core - STEP + 1 + LENGTH] + t.to_bytes(2, "big"), digest_size=8).digest()
-                            deal = int.from_bytes(shared, "big", signed=True) ^ c["anchor"]
-                            out.append((c["anchor"], c["content"], lo - a, deal, at - lo, text[lo : hi + LENGTH], core - lo, t))
-            columns = list(zip(*out, strict=True)) if out else [()] * 8
-            types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.int32()]
-            names = ["anchor", "content", "skip", "deal", "at", "bytes", "core", "t"]
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types, strict=True)], names)
+                    parts = -(-c["kinds"] // part)
+                    deal = c["anchor"] ^ (c["content"] % parts * 0x9E3779B97F4A7C15 & 0x7FFFFFFFFFFFFFFF)
+                    out.append((c["anchor"], c["content"], deal, parts, c["place"] - c["first"], text[c["first"] : c["last"] + LENGTH]))
+            columns = list(zip(*out, strict=True)) if out else [()] * 6
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types, strict=True)], ["anchor", "content", "deal", "parts", "at", "bytes"])
 
-    names = "anchor long, content long, skip int, deal long, at int, bytes binary, core int, t int"
-    cuts = written(cut.select("key", "text", "cs").mapInArrow(pieces, names), "suffix-pieces")
-    # how many pieces hold a core, counted before they meet; the core's bytes tell it, not their hash alone
-    same = ["deal", "t", "held"]
-    held = F.expr(f"substring(bytes, core + 1, {LENGTH - STEP + 1})")
-    hot = cuts.where("core is not null").withColumn("held", held)
-    cores = hot.groupBy(*same).agg(F.count("*").alias("n"), F.min("content").alias("least"), F.max("content").alias("most"))
-    # windows around a core that one content holds recur in no other
-    cores = written(cores.where("least <> most").select(*same, "n", F.monotonically_increasing_id().alias("number")), "suffix-cores")
-    hot = written(meet(hot, cores, same).drop("held"), "suffix-hot")
-    some = ["anchor", "content", "skip", "deal", "at", "bytes"]
-    arrayed = cuts.where("core is null").select(*some).unionByName(hot.where(F.col("n") < hot_kinds).select(*some))
-    total = arrayed.agg(F.sum(F.length("bytes"))).first()[0] or 0
+    cuts = written(cut.select("key", "text", "cs").mapInArrow(pieces, "anchor long, content long, deal long, parts long, at int, bytes binary"), "suffix-pieces")
+    total = cuts.agg(F.sum(F.length("bytes"))).first()[0] or 0
     shards = max(1, -(-int(total) // shard_bytes))
 
     def shard(table: pa.Table) -> pa.Table:
-        marks = list(zip(*(table.column(c).to_pylist() for c in ("anchor", "content", "skip")), strict=True))
+        marks = list(zip(*(table.column(c).to_pylist() for c in ("anchor", "content")), strict=True))
         table = table.take(pa.array(list({m: i for i, m in enumerate(marks)}.values())))  # equal rows have cut the same
-        deal, at = table.column("deal").to_numpy(), table.column("at").to_numpy()
-        pieces = table.column("bytes").to_pylist()
-        order = np.argsort(deal, kind="stable")
-        out: list[tuple] = []
+        order = np.argsort(table.column("deal").to_numpy(), kind="stable")
+        anchors, contents, parts, at = (table.column(c).to_numpy()[order].tolist() for c in ("anchor", "content", "parts", "at"))
+        texts = table.column("bytes").take(pa.array(order)).to_pylist()
         # anchors that fall together in a shard can't share a window, so one array serves them all
-        found = windows_that_recur([pieces[i] for i in order], [int(at[i]) for i in order])
-        anchor, content, skip = (table.column(c).to_numpy() for c in ("anchor", "content", "skip"))
-        for i, starts in zip(order, found, strict=True):
+        found, later = windows_that_recur(texts, at)
+        out: list[tuple] = []
+        for k, (anchor, content, starts, again) in enumerate(zip(anchors, contents, found, later, strict=True)):
             for lo, hi in zip(*runs(starts), strict=True):
-                out.append((anchor[i], content[i], int(lo) + skip[i], int(hi) + skip[i]))
-        columns = list(zip(*out, strict=True)) if out else [()] * 4
-        return pa.Table.from_arrays(
-            [pa.array(np.array(x, np.int64)) for x in columns[:2]] + [pa.array(np.array(x, np.int32)) for x in columns[2:]], ["anchor", "content", "lo", "hi"]
-        )
-
-    dealt = arrayed.withColumn("shard", F.pmod(F.xxhash64("deal"), F.lit(shards)))
-    small = dealt.groupBy("shard").applyInArrow(shard, "anchor long, content long, lo int, hi int")
-    return small.unionByName(counted_windows(hot.where(F.col("n") >= hot_kinds)))
-
-
-def counted_windows(hot: DataFrame) -> DataFrame:
-    """(anchor, content, lo, hi): the same of pieces around cores that many share.
-
-    A window is told by its core's number, how many bytes stand before the core,
-    and the bytes on both sides of it: together all its 400 bytes. Counts are
-    combined before the shuffle.
-    """
-
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = LENGTH - STEP + 1
-        for batch in batches:
-            out: list[tuple] = []
-            columns = [batch.column(c).to_pylist() for c in ("number", "anchor", "content", "skip", "core", "bytes")]
-            for number, anchor, content, skip, core, piece in zip(*columns, strict=True):
-                for w in range(len(piece) - LENGTH + 1):
-                    out.append((number, core - w, piece[w:core] + piece[core + rest : w + LENGTH], anchor, content, skip + w))
-            columns = list(zip(*out, strict=True)) if out else [()] * 6
-            types = [pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int32()]
-            names = ["number", "before", "beside", "anchor", "content", "w"]
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types, strict=True)], names)
-
-    same = ["number", "before", "beside"]
-    found = hot.mapInArrow(windows, "number long, before int, beside binary, anchor long, content long, w int")
-    found = written(found, "suffix-windows")
-    many = found.groupBy(*same).agg(F.min("content").alias("a"), F.max("content").alias("b")).where("a <> b").select(*same)
-    # written, so that Spark may split the hot windows where they meet
-    hit = meet(found, written(many, "suffix-recurring-windows"), same).groupBy("anchor", "content").agg(F.array_sort(F.collect_set("w")).alias("ws"))
-
-    def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = [(i, int(lo), int(hi)) for i, ws in enumerate(batch.column("ws").to_pylist()) for lo, hi in zip(*runs(np.array(ws)), strict=True)]
-            i, lo, hi = (pa.array([r[k] for r in out], t) for k, t in enumerate((pa.int64(), pa.int32(), pa.int32())))
-            yield pa.RecordBatch.from_arrays([batch.column("anchor").take(i), batch.column("content").take(i), lo, hi], ["anchor", "content", "lo", "hi"])
-
-    return hit.mapInArrow(ranges, "anchor long, content long, lo int, hi int")
+                out.append((anchor, content, int(lo), int(hi), None, None))
+            if parts[k] > 1:
+                own = np.ones(len(texts[k]) - LENGTH + 1, bool)
+                own[again] = False
+                for lo, hi in zip(*runs(np.flatnonzero(own)), strict=True):
+                    # with the bytes that whole stretches share, which reach no further than a stretch
+                    out.append((anchor, content, int(lo), int(hi), at[k], texts[k]))
+        columns = list(zip(*out, strict=True)) if out else [()] * 6
+        types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+        return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(columns, types, strict=True)], ["anchor", "content", "lo", "hi", "at", "bytes"])
+
+    dealt = cuts.withColumn("shard", F.pmod(F.xxhash64("deal"), F.lit(shards)))
+    known = written(dealt.groupBy("shard").applyInArrow(shard, f"{RUNS}, at int, bytes binary"), "suffix-runs")
+    loose = known.where("bytes is not null").select("anchor", "content", F.lit(0).alias("skip"), "at", F.col("lo").alias("first"), F.col("hi").alias("last"), "bytes")
+    return known.where("bytes is null").select("anchor", "content", "lo", "hi").unionByName(across_parts(loose))
 
 
 def repeated_spans(rows: DataFrame, found: DataFrame, open_runs, length: int, name: str) -> DataFrame:

@@ -72,9 +72,9 @@ def passages(rng, n=60):
     return [*out, out[3], (n, out[5][1] * 3)]
 
 
-@pytest.mark.parametrize("hot", [256, 2])
-def test_removed_bytes_equal_brute_force(documents, odd_rows, monkeypatch, hot):
-    monkeypatch.setattr(S, "HOT_KINDS", hot)
+@pytest.mark.parametrize("part", [1024, 2])
+def test_removed_bytes_equal_brute_force(documents, odd_rows, monkeypatch, part):
+    monkeypatch.setattr(S, "PART", part)
     rows = passages(random.Random(7)) + [(i, t) for i, t, _ in odd_rows if len(t or "") < 10_000]
     rows += [(900, "x" * 399), (901, "y" * 400), (902, "z" * 401)]
     found = S.repeated_bytes(documents([(i, t, None) for i, t in rows]))
@@ -82,7 +82,8 @@ def test_removed_bytes_equal_brute_force(documents, odd_rows, monkeypatch, hot):
 
 
 def test_no_array_grows_with_a_hot_passage(documents, monkeypatch, tmp_path):
-    monkeypatch.setattr(S, "HOT_KINDS", 16)
+    monkeypatch.setattr(S, "PART", 8)
+    monkeypatch.setattr(S, "SHARD_BYTES", 2000)
     plain, log = S.windows_that_recur, tmp_path / "sizes"
     log.mkdir()
 
@@ -95,10 +96,27 @@ def test_no_array_grows_with_a_hot_passage(documents, monkeypatch, tmp_path):
     words = lambda k: " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9))) for _ in range(k))
     passage = words(120)
     rows = [(i, words(rng.randint(1, 60)) + passage + words(rng.randint(1, 60)), None) for i in range(150)]
+    # pairs that share what stands before the passage too, so that parts hold strings the others have once
+    rows += [(200 + i, rows[i][1][:-40] + words(9), None) for i in range(30)]
     found = S.repeated_bytes(documents([*rows, rows[0], rows[0]]))
     assert sorted((tuple(r[:5]) for r in found.collect()), key=str) == brute([r[:2] for r in [*rows, rows[0], rows[0]]])
-    # 150 texts share cores at the passage's edges
-    assert max([int(x.name.split("-")[0]) for x in log.iterdir()], default=0) < 150
+    # 180 texts share anchors at the passage's edges
+    assert max([int(x.name.split("-")[0]) for x in log.iterdir()], default=0) < 90
+
+
+def test_first_of_equal_windows_stands_for_them():
+    passage, rng = bytes(range(256)) * 2, random.Random(4)
+    pieces = [rng.randbytes(9) + passage + rng.randbytes(9) for _ in range(5)]
+    found, later = S.windows_that_recur(pieces, [200] * 5)
+    assert all(f.tolist() == list(range(9, 122)) for f in found)
+    assert later[0].tolist() == [] and all(x.tolist() == list(range(9, 122)) for x in later[1:])
+
+
+def test_stretches_hold_every_window_once():
+    for at, first, last, step in ((300, 0, 272, 64), (130, 3, 130, 8), (5, 5, 5, 1), (77, 0, 76, 64)):
+        cut = list(S.stretches(first, last, at, step))
+        assert sorted(w for a, b, *_ in cut for w in range(a, b + 1)) == list(range(first, last + 1))
+        assert all(low <= a <= b <= high and high - low + 1 == step and (at - high) % step == 0 for a, b, low, high in cut)
 
 
 def test_kept_bytes_and_spans(documents, no_documents):
