@@ -43,8 +43,9 @@ from pyspark.sql import functions as F
 from areatab.llm.common import slices, written
 from areatab.llm.tokens import ALPHABET, SHOWN
 
-#: Characters of a text that the tokenizers get at once, where a blank between two letters is near.
-CHUNK = 1 << 19
+#: Bytes of text in a slice, and characters that the tokenizers get at once, where a blank between two letters is near.
+SLICE = 1 << 20
+CHUNK = 1 << 18
 #: Distinct pairs in a shard, on average, and in a block at most (one shard more).
 SHARD = 1 << 17
 BLOCK = 1 << 22
@@ -116,6 +117,11 @@ def chunks(text: str, size: int = CHUNK) -> Iterator[str]:
     yield text[at:]
 
 
+def key_type(n_a: int, n_b: int) -> str:
+    """What a pair's number is stored as."""
+    return "<u4" if n_a * n_b <= 1 << 32 else "<i8"
+
+
 class Pair:
     """Both vocabularies, their ids' bytes, and how ids are written in groups."""
 
@@ -126,6 +132,7 @@ class Pair:
         self.sizes = [np.array([len(p) for p in x.pieces], np.int64) for x in (self.a, self.b)]
         marks = [f"{i}{m}" for n, ms in ((self.n_a, ",|"), (self.n_b, ",;")) for i in range(n) for m in ms]
         self.marked = pa.array(marks, pa.large_string())
+        self.key_type = key_type(self.n_a, self.n_b)
         self.kinds = [np.uint16 if n <= 1 << 16 else np.uint32 for n in (self.n_a, self.n_b)]
 
     def ids(self, texts: list[str | None], which: int) -> tuple[np.ndarray, np.ndarray]:
@@ -139,7 +146,7 @@ class Pair:
                 held.append(found)
                 n += len(found)
                 n_held += len(found)
-                if n_held >= 1 << 19:
+                if n_held >= 1 << 16:
                     parts.append(np.fromiter(chain.from_iterable(held), kind, n_held))
                     held, n_held = [], 0
             counts.append(n)
@@ -240,7 +247,7 @@ def perfect_hash(keys: np.ndarray) -> tuple[list[int], np.ndarray, np.ndarray]:
 class Numbers:
     """Numbers of the pairs of a block of shards, one after the other."""
 
-    def __init__(self, shards: int, n_b: int, rows: list[tuple[int, list[int], bytes, bytes]]):
+    def __init__(self, shards: int, n_b: int, stored: str, rows: list[tuple[int, list[int], bytes, bytes]]):
         """``rows``: of each shard (shard, bits of each level, words, keys)."""
         self.shards, self.n_b = shards, n_b
         self.members = [r[0] for r in rows]
@@ -251,9 +258,9 @@ class Numbers:
         for k, r in enumerate(rows):
             self.sizes[k, : len(r[1])] = r[1]
         self.words = np.concatenate([np.zeros(0, "<u8"), *(np.frombuffer(r[2], "<u8") for r in rows)])
-        keys = [np.frombuffer(r[3], "<u4" if len(r[3]) == 4 * count(r[2]) else "<i8") for r in rows]
+        keys = [np.frombuffer(r[3], stored) for r in rows]
         self.first = np.cumsum([0, *map(len, keys)])  # the first number of each shard, and the end
-        self.keys = np.concatenate([np.zeros(0, np.uint32), *keys])
+        self.keys = np.concatenate([np.zeros(0, stored), *keys])
         start = np.cumsum(self.sizes.sum(axis=1)) - self.sizes.sum(axis=1)
         self.base = start[:, None] + np.cumsum(self.sizes, axis=1) - self.sizes
         ones = np.bitwise_count(self.words).astype(np.int64)
@@ -280,10 +287,6 @@ class Numbers:
         return out
 
 
-def count(words: bytes) -> int:
-    return int(np.bitwise_count(np.frombuffer(words, "<u8")).sum())
-
-
 # --- the two passes
 
 LONGS = pa.list_(pa.int64())
@@ -300,7 +303,7 @@ def first_pass(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, task = pair(path_a, path_b), TaskContext.get().partitionId()
-        for k, batch in enumerate(slices(batches, "text")):
+        for k, batch in enumerate(slices(batches, "text", SLICE)):
             texts = batch.column("text").to_pylist()
             raw = [t.encode() if t else b"" for t in texts]
             found = [own.ids(texts, w) for w in (0, 1)]
@@ -309,7 +312,7 @@ def first_pass(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
             x = Alignment(own, a, n_a, b, n_b)
             pairs, counts = np.unique(x.keys(), return_counts=True)
             row = {"slice": task << 32 | k, "doc_ids": batch.column("doc_id").to_pylist(), "n_a": n_a, "n_b": n_b, "n_groups": x.n_groups, "n_links": x.n_links, "groups": x.groups(n_a, n_b)}
-            row |= {"a": a.tobytes(), "b": b.tobytes(), "pairs": pairs.astype("<i8").tobytes(), "counts": counts.astype("<i8").tobytes()}
+            row |= {"a": a.tobytes(), "b": b.tobytes(), "pairs": pairs.astype(own.key_type).tobytes(), "counts": counts.astype("<u4").tobytes()}
             yield pa.RecordBatch.from_pylist([row], KEPT_FIELDS)
 
     return rows.mapInArrow(work, KEPT)
@@ -321,14 +324,14 @@ def alignment(own: Pair, row: dict) -> Alignment:
     return Alignment(own, np.frombuffer(row["a"], own.kinds[0]), n_a, np.frombuffer(row["b"], own.kinds[1]), n_b)
 
 
-def distinct_pairs(kept: DataFrame) -> DataFrame:
+def distinct_pairs(kept: DataFrame, stored: str) -> DataFrame:
     """(pair): every linked pair once; a task merges its slices' pairs before they are shuffled."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [np.zeros(0, np.int64)], 0
         for batch in batches:
             for x in batch.column("pairs").to_pylist():
-                held.append(np.frombuffer(x, "<i8"))
+                held.append(np.frombuffer(x, stored).astype(np.int64))
                 n += len(held[-1])
                 if n >= GATHERED:
                     held = [np.unique(np.concatenate(held))]
@@ -342,7 +345,7 @@ def distinct_pairs(kept: DataFrame) -> DataFrame:
     return kept.select("pairs").mapInArrow(work, "pair long").distinct()
 
 
-def hashed(pairs: DataFrame, n_b: int, shards: int, small: bool) -> DataFrame:
+def hashed(pairs: DataFrame, n_b: int, shards: int, stored: str) -> DataFrame:
     """(shard, n, levels, words, keys): a perfect hash of each shard's pairs; a shard is bounded by the vocabularies."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -352,13 +355,13 @@ def hashed(pairs: DataFrame, n_b: int, shards: int, small: bool) -> DataFrame:
 
     def build(table: pa.Table) -> pa.Table:
         sizes, words, keys = perfect_hash(table.column("pair").to_numpy())
-        row = {"shard": table.column("shard")[0].as_py(), "n": len(keys), "levels": sizes, "words": words.tobytes(), "keys": keys.astype("<u4" if small else "<i8").tobytes()}
+        row = {"shard": table.column("shard")[0].as_py(), "n": len(keys), "levels": sizes, "words": words.tobytes(), "keys": keys.astype(stored).tobytes()}
         return pa.Table.from_pylist([row], pa.schema([("shard", pa.int32()), ("n", pa.int64()), ("levels", LONGS), ("words", pa.binary()), ("keys", pa.binary())]))
 
     return pairs.mapInArrow(deal, "shard int, pair long").groupBy("shard").applyInArrow(build, "shard int, n long, levels array<long>, words binary, keys binary")
 
 
-def summed(kept: DataFrame, numbers, parts: int) -> DataFrame:
+def summed(kept: DataFrame, numbers, stored: str, parts: int) -> DataFrame:
     """(shard, counts): dense vectors of the pairs' counts, indexed by their numbers, one a task, summed in a tree."""
 
     def count_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -366,9 +369,9 @@ def summed(kept: DataFrame, numbers, parts: int) -> DataFrame:
         total = np.zeros(int(x.first[-1]), np.int64)
         for batch in batches:
             for keys, counts in zip(batch.column("pairs").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-                at = x.find(np.frombuffer(keys, "<i8"))
+                at = x.find(np.frombuffer(keys, stored).astype(np.int64))
                 here = at >= 0
-                total[at[here]] += np.frombuffer(counts, "<i8")[here]  # a slice's pairs are distinct
+                total[at[here]] += np.frombuffer(counts, "<u4")[here]  # a slice's pairs are distinct
         task = TaskContext.get().partitionId()
         for shard, a, b in zip(x.members, x.first, x.first[1:], strict=False):
             own = total[a:b]
@@ -435,20 +438,20 @@ def pair_counts(kept: DataFrame, path_a: str, path_b: str, shard_pairs: int = SH
     """Of each block: the broadcast numbers of its pairs, and the broadcast counts and best marks by number."""
     spark = kept.sparkSession
     own = pair(path_a, path_b)
-    pairs = written(distinct_pairs(kept), "crosstok-pairs")
+    pairs = written(distinct_pairs(kept, own.key_type), "crosstok-pairs")
     n = pairs.count()
     shards = max(1, -(-n // shard_pairs))
-    tables = written(hashed(pairs, own.n_b, shards, own.n_a * own.n_b <= 1 << 32), "crosstok-hashes")
+    tables = written(hashed(pairs, own.n_b, shards, own.key_type), "crosstok-hashes")
     entries = kept.agg(F.sum(F.length("pairs"))).first()[0] or 0
     sizes = sorted((r.shard, r.n) for r in tables.select("shard", "n").collect())  # a row for each shard, not for each pair
     for members in blocks(sizes, block_pairs):
         rows = tables.where(F.col("shard").isin(members)).select("shard", "levels", "words", "keys").collect()
-        block = Numbers(shards, own.n_b, sorted((r.shard, list(r.levels), bytes(r.words), bytes(r["keys"])) for r in rows))
+        block = Numbers(shards, own.n_b, own.key_type, sorted((r.shard, list(r.levels), bytes(r.words), bytes(r["keys"])) for r in rows))
         del rows
         numbers = spark.sparkContext.broadcast(block)
         # no more dense vectors than what they sum up outweighs
-        parts = max(8, min(4096, entries // 8 // max(1, int(block.first[-1]))))
-        found = written(summed(kept, numbers, parts), "crosstok-counts")
+        parts = max(8, min(4096, entries // np.dtype(own.key_type).itemsize // max(1, int(block.first[-1]))))
+        found = written(summed(kept, numbers, own.key_type, parts), "crosstok-counts")
         counts = np.zeros(int(block.first[-1]), np.int64)
         for r in found.collect():
             k = int(block.slot[r.shard])

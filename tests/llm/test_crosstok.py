@@ -123,7 +123,7 @@ def test_perfect_hash_numbers_every_key_once(n):
     for s in (0, 2):  # shard 1 is in another block
         sizes, words, order = crosstok.perfect_hash(keys[shard == s])
         rows.append((s, sizes, words.tobytes(), order.astype("<u4").tobytes()))
-    x = crosstok.Numbers(3, 1000, rows)
+    x = crosstok.Numbers(3, 1000, "<u4", rows)
     here = shard != 1
     at = x.find(keys)
     assert sorted(at[here]) == list(range(int(here.sum()))) and (at[~here] == -1).all()
