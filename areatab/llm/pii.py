@@ -9,7 +9,8 @@ pseudonyms in every document and run, different values different ones, and
 whoever holds the key can undo it. Lengths and separators stay.
 
 Defined cases: a null text stays null and an empty one empty; digits that fail
-their check (a card number without its Luhn digit) are left alone; repeated
+their check (a card number without its Luhn digit) are left alone; of an IBAN
+with a word in capitals behind it, the IBAN alone changes; repeated
 rows change alike; all other columns stay as they are.
 """
 
@@ -53,7 +54,7 @@ FIND = re.compile(
     |(?<![0-9A-Za-z])(?P<hex>(?=[0-9]*+[a-fA-F])[0-9a-fA-F]{32,}+)(?![0-9A-Za-z])
     |(?<![\w.])(?P<ip>(?:[0-9]{1,3}\.){3}[0-9]{1,3})(?![0-9]|\.[0-9])
     |(?<!\w)(?P<iban>[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?)(?!\w)
-    |(?<![\w-])(?P<iso>[0-9]{4}-[0-9]{2}-[0-9]{2})(?![\w-])
+    |(?<![\w-])(?P<iso>[0-9]{4}-[0-9]{2}-[0-9]{2})(?:(?=T[0-9]{2}:?[0-9]{2})|(?![\w-]))
     |(?<![\w./-])(?P<day>[0-9]{1,2}([./-])[0-9]{1,2}\8[0-9]{4})(?![\w/-]|\.[0-9])
     |(?<![\w-])(?P<ssn>[0-9]{3}-[0-9]{2}-[0-9]{4})(?![\w-])
     |(?<![\w.+-])(?P<phone>(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4})(?![0-9]|[-.][0-9])
@@ -64,6 +65,21 @@ FIND = re.compile(
 )
 
 
+#: The length of an IBAN by country.
+IBAN_LENGTHS = {c[:2]: int(c[2:]) for c in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DK18 DO28 EE20 EG29 ES24 FI18 FO18 FR27 GB22 GE22 GI23 GL18 "
+    "GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 MC27 MD24 ME22 MK19 MR27 MT31 MU30 NL18 NO15 PK24 "
+    "PL28 PS29 PT25 QA29 RO24 RS22 SA24 SC31 SE24 SI19 SK24 SM27 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20"
+).split()}
+
+
+def iban_ends(text: str) -> list[int]:
+    """Where an IBAN that begins ``text`` may end: its country's length, then all of it, then at each blank, longest first."""
+    ends = [len(text), *(m.start() for m in reversed(list(re.finditer(" ", text))))]
+    own = IBAN_LENGTHS.get(text[:2])
+    return sorted(ends, key=lambda e: len(text[:e].replace(" ", "")) != own)
+
+
 def feistel(value: int, size: int, key: bytes, kind: str, backwards: bool = False) -> int:
     """A permutation of 0 ... size - 1 by key and kind: a balanced network, walked until it lands inside."""
     if size < 2:
@@ -226,7 +242,12 @@ def pseudonyms(text: str, key: bytes = KEY, backwards: bool = False) -> tuple[st
     while m := FIND.search(text, pos):
         kind = m.lastgroup if m.lastgroup in KINDS else next(k for k in KINDS if m[k] is not None)
         a, b = m.span(kind)
-        new = KINDS[kind](m[kind], key, backwards)
+        # a word in capitals behind an IBAN looks like its last group
+        for b in iban_ends(m[kind]) if kind == "iban" else (b - a,):
+            new = KINDS[kind](m[kind][:b], key, backwards)
+            if new is not None:
+                break
+        b += a
         if new is None:
             # not this kind after all: what begins later may still be something
             pos = b if kind == "card" else a + 1

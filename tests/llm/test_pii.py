@@ -1,6 +1,7 @@
 import datetime
 import re
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -61,6 +62,28 @@ def test_what_fails_its_check_stays():
         assert P.pseudonyms(f"x {text} y", KEY) == (f"x {text} y", []), text
 
 
+@pytest.mark.parametrize("text", ["ES91 2100 0418 4502 0005 1332 BIC", "AT61 1904 3002 3457 3201 SWIFT", "BE68 5390 0754 7034 AND MORE", "ES9121000418450200051332 BIC", "XX44 ZZZZ ES91 2100 0418 4502 0005 1332"])
+def test_words_behind_an_iban(text):
+    new, spans = P.pseudonyms(text)
+    own = new[spans[0][0] : spans[0][1]]
+    assert len(spans) == 1 and spans[0][2] == "iban" and len(new) == len(text)
+    assert P.iban_rest(own.replace(" ", "")) == 1 and own not in text
+    assert len(own.replace(" ", "")) == P.IBAN_LENGTHS[own[:2]]
+    assert new[: spans[0][0]] == text[: spans[0][0]] and new[spans[0][1] :] == text[spans[0][1] :]
+    assert P.pseudonyms(new, backwards=True)[0] == text
+    alone = P.pseudonyms(text[spans[0][0] : spans[0][1]])[0]
+    assert own == alone  # linked to the value standing alone
+
+
+def test_iso_dates_before_a_time():
+    for text in ("2021-03-04T12:00", "2021-03-04T12:00:00Z", "at 2021-03-04T1200."):
+        new, spans = P.pseudonyms(text)
+        assert [k for *_, k in spans] == ["iso"] and new[spans[0][1] :] == text[spans[0][1] :] and "2021-03-04" not in new
+        assert P.pseudonyms(new, backwards=True)[0] == text
+    for text in ("2021-03-04Tuesday", "2021-03-04x", "2021-03-04-05"):
+        assert P.pseudonyms(text) == (text, [])
+
+
 def test_equal_values_stay_linked():
     cards = [P.pseudonyms(t, KEY)[0] for t in ("4111111111111111", "4111 1111 1111 1111", "4111-1111-1111-1111")]
     assert len({re.sub(r"\D", "", c) for c in cards}) == 1
