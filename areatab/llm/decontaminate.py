@@ -1,16 +1,17 @@
 """Benchmark decontamination by spaced-seed hashing.
 
 A seed is a fixed mask over consecutive words; its hash leaves the masked-out
-words unread, so a substituted word there does no harm. The three masks are
-lossless: any 15 aligned words of which at most three differ are hit by one of
-them. Hashes of the test items meet the hashes of every position of every
+words unread, so a substituted word there does no harm. The four masks are
+lossless for the rule below: of any 15 or more aligned words, a fifth of them
+substituted wherever one likes, at least one mask finds its words untouched
+(``least_to_spoil``; for long stretches since its parts have that property). Hashes of the test items meet the hashes of every position of every
 document; around each hit the item is laid on the document along that diagonal,
 and an overlap counts if at least 15 aligned words, 80 % of them equal, begin
 and end with equal words. Items shorter than that must occur whole and
 unchanged.
 
-The benchmark is cut into blocks of bounded size, each sent to the tasks once;
-documents stay where they are and nothing is shuffled, so copies, hot sources
+The benchmark's distinct items are cut into blocks of bounded size, by their
+words as they are compared, each sent to the tasks once; documents stay where they are and nothing is shuffled, so copies, hot sources
 and common passages cost no more than their length.
 
 Defined cases: words are lower-cased, and white space and ASCII punctuation
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from areatab.llm.common import BASES, ranges_hash, slices, split_words
 
-MASKS = ("1111011", "11001000111", "11010110001")
+MASKS = ("1111011", "11001000111", "11010110001", "1100000110101")
 LEAST = 15
 SIMILAR = 0.8
 #: Words of the benchmark in one block: about 40 MB where it is used.
@@ -42,6 +43,25 @@ PARTS = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuati
 FOLD = 20
 
 
+def least_to_spoil(masks: tuple[str, ...], n: int) -> int:
+    """The least number of ``n`` words that must be substituted for every mask to be hit at every place.
+
+    Runs along the words; of what lies behind, only the last places that a mask can reach count.
+    """
+    own = [(len(m), int(m, 2)) for m in masks]  # the last bit is the current word
+    keep = (1 << max(map(len, masks)) - 1) - 1
+    least = {0: 0}
+    for i in range(n):
+        found: dict[int, int] = {}
+        for behind, cost in least.items():
+            for b in (0, 1):
+                at = behind << 1 | b
+                if all(i + 1 < size or at & mask for size, mask in own):
+                    found[at & keep] = min(found.get(at & keep, n), cost + b)
+        least = found
+    return min(least.values())
+
+
 def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """The 64-bit hash of every word of all texts, and where each text begins (and the end)."""
     plain = pa.array([(t or "").lower().encode().translate(PARTS) for t in texts], pa.binary()).cast(pa.string())
@@ -70,16 +90,17 @@ def seeds(words: np.ndarray, offsets: np.ndarray, mask: str) -> tuple[np.ndarray
 
 @dataclass
 class Tests:
-    """A block of the benchmark, ready to be searched for."""
+    """A block of the benchmark, ready to be searched for; an item that stands on several rows is there once."""
 
     items: list
+    rows: list[int]
     words: np.ndarray
     offsets: np.ndarray
     tables: list[tuple[str, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]  # mask, bitmap, hashes, item, place
 
     @classmethod
     def of(cls, rows: list[tuple]) -> Tests:
-        words, offsets = word_hashes([t for _, t in rows])
+        words, offsets = word_hashes([t for _, t, _ in rows])
         size = np.diff(offsets)
         tables = []
         short = sorted({int(n) for n in size if 0 < n < LEAST})
@@ -93,7 +114,7 @@ class Tests:
             bitmap = np.zeros(1 << FOLD, bool)
             bitmap[(h >> np.uint64(64 - FOLD)).astype(np.int64)] = True
             tables.append((mask, bitmap, h, item, at - offsets[item]))
-        return cls([i for i, _ in rows], words, offsets, tables)
+        return cls([i for i, _, _ in rows], [n for _, _, n in rows], words, offsets, tables)
 
     def overlaps(self, words: np.ndarray, offsets: np.ndarray) -> list[tuple]:
         """(text, item, first word in the text, first word in the item, words, equal words): the best of each pair."""
@@ -153,10 +174,11 @@ def longest(same: np.ndarray, share: float) -> tuple[int, int]:
 
 
 def blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[Broadcast]:
-    """The benchmark's items in blocks of about ``block_words`` words, whatever its size."""
+    """The benchmark's distinct items in blocks of about ``block_words`` words, whatever its size and its repeats."""
     spark = benchmark.sparkSession
     rows = benchmark.select("item_id", F.col("text").cast("string").alias("text")).where(F.length("text") > 0)
-    size = F.size(F.split("text", r"\s+"))
+    rows = rows.groupBy("item_id", "text").agg(F.count("*").alias("n"))
+    size = F.size(F.split("text", r"[\s\p{Punct}]+"))
     total = rows.agg(F.sum(size)).first()[0] or 0
     n = max(1, -(-int(total) // block_words))
     for k in range(n):
@@ -174,7 +196,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WOR
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             t = tests.value
             for batch in slices(batches, "text"):
-                found = t.overlaps(*word_hashes(batch.column("text").to_pylist()))
+                found = [r for r in t.overlaps(*word_hashes(batch.column("text").to_pylist())) for _ in range(t.rows[r[1]])]
                 ids = batch.column("doc_id").take(pa.array([r[0] for r in found], pa.int64()))
                 item = pa.array([t.items[r[1]] for r in found])
                 rest = [pa.array([r[k] for r in found], pa.int64()) for k in (2, 3, 4, 5)]

@@ -7,11 +7,43 @@ import pytest
 from areatab.llm import decontaminate as D
 
 
+def hit(masks, n, differ):
+    return any(all(p + k not in differ for k, c in enumerate(m) if c == "1") for m in masks for p in range(n - len(m) + 1))
+
+
 def test_the_masks_miss_no_overlap_of_15_words_with_3_differences():
     for differ in combinations(range(15), 3):
-        assert any(
-            all(p + k not in differ for k, c in enumerate(m) if c == "1") for m in D.MASKS for p in range(15 - len(m) + 1)
-        ), differ
+        assert hit(D.MASKS, 15, differ), differ
+
+
+def test_the_masks_miss_no_overlap_of_the_rule():
+    # every placement: a fifth of the words may differ. Longer stretches fall into parts of 15 to 29 words, and what
+    # spoils the stretch spoils each of its parts
+    for n in range(15, 30):
+        assert D.least_to_spoil(D.MASKS, n) * 5 > n, n
+
+
+def test_least_to_spoil_against_every_placement():
+    for masks, n in ((D.MASKS[:1], 12), (D.MASKS[1:3], 15), (D.MASKS[:3], 20), (D.MASKS, 18)):
+        least = D.least_to_spoil(masks, n)
+        assert not all(hit(masks, n, c) for c in combinations(range(n), least))
+        assert all(hit(masks, n, c) for c in combinations(range(n), least - 1))
+
+
+def test_twenty_words_with_four_differences(spark, documents):
+    item = [f"w{k}" for k in range(20)]
+    text = " ".join("x" if k in (6, 7, 9, 13) else w for k, w in enumerate(item))
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    found = D.overlaps(documents([(1, text, None)]), bench).collect()
+    assert [tuple(r) for r in found] == [(1, 1, 0, 0, 20, 16, 0.8)]
+
+
+def test_repeated_items_are_rows_but_searched_once(spark, documents):
+    item = "one, two; three (four)" * 30
+    bench = spark.createDataFrame([(1, item)] * 5 + [(2, item)], "item_id long, text string")
+    assert [t.value.rows for t in D.blocks(bench)] == [[5, 1]]
+    assert len(list(D.blocks(bench, 30))) == 9  # punctuation parts words there too
+    assert sorted(r.item_id for r in D.overlaps(documents([(1, item, None)]), bench).collect()) == [1] * 5 + [2]
 
 
 @pytest.mark.parametrize("seed", range(40))
