@@ -200,21 +200,27 @@ def near_duplicates(
 
 
 def deduplicate(docs: DataFrame, shingle: int = 3, radius: int = 3, seed: int = 42) -> DataFrame:
-    """``docs`` with one row of each group: that of its least doc_id; of several such rows, one."""
+    """``docs`` with one row of each group: that of its least doc_id; of several such rows, one.
+
+    An id that stands on one row picks that row; rows that share an id (or have
+    none) are told apart by their fingerprints.
+    """
     found = near_duplicates(docs, shingle, radius, seed)
-    mine, n, fp, root = (temporary(x) for x in ("id", "n", "fp", "root"))
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    counts = written(kept.groupBy(F.col("doc_id").alias(mine)).agg(F.count("*").alias(n)), "simhash-kept")
+    mine, n, fp, root, other = (temporary(x) for x in ("id", "n", "fp", "root", "other"))
+    chosen = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    counts = found.groupBy(F.col("doc_id").alias(mine)).agg(F.count("*").alias(n), F.count_if(chosen).alias(other))
+    counts = written(counts.where(F.col(other) > 0).select(mine, n), "simhash-kept")
     same = docs["doc_id"].cast("long").eqNullSafe(F.col(mine))
     single = meet(docs, counts.where(F.col(n) == 1), same, "left_semi")
     again = counts.where(F.col(n) > 1)
     if again.isEmpty():
         return single
-    # rows that share an id with other kept rows: one for each group
+    # several rows with that id: those whose fingerprint stands for a group, and of equal ones, one
     mark = F.pandas_udf(lambda t: t.map(lambda x: _signed(fingerprint((x or "").encode(), shingle, seed))), "long")
     several = written(meet(docs, again, same, "left_semi"), "simhash-several").withColumn(fp, mark(F.col("text").cast("string")))
-    groups = kept.groupBy(F.col("fp").alias(fp)).agg(F.first("root").alias(root))
-    several = meet(several, groups, fp).dropDuplicates(["doc_id", root]).select(*docs.columns)
+    groups = found.where(chosen).groupBy(F.col("doc_id").alias(mine), F.col("fp").alias(other)).agg(F.first("root").alias(root))
+    of_row = several["doc_id"].cast("long").eqNullSafe(F.col(mine)) & (F.col(fp) == F.col(other))
+    several = meet(several, groups, of_row).dropDuplicates(["doc_id", root]).select(*docs.columns)
     return single.unionByName(several)
 
 

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 import xxhash
 
 from areatab.llm import simhash as S
@@ -117,6 +118,35 @@ def test_one_row_of_each_group_stays(odd, no_documents):
     assert S.deduplicate(no_documents).count() == 0
 
 
+def test_reused_ids_are_told_apart_by_row(documents):
+    one, two = "the quick brown fox jumps over the lazy dog again", "something else that is not like it at all here"
+    kept = S.deduplicate(documents([(1, one, "a"), (1, two, "b"), (0, two, "c")]))
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(0, two), (1, one)]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_kept_rows_equal_brute_force_with_reused_and_null_ids(documents, seed):
+    rng = random.Random(seed)
+    texts = [" ".join(rng.choice("abcdefgh") * rng.randint(1, 5) for _ in range(rng.randint(0, 30))) for _ in range(12)]
+    rows = [(rng.choice([None, 0, 1, 2, 3, *range(10, 40)]), rng.choice(texts), "s") for _ in range(60)]
+    groups = {}
+    for i, t, _ in rows:  # the texts are far apart or equal: a group is a fingerprint
+        groups.setdefault(brute_fingerprint(t), set()).add(i)
+    marks = sorted(groups)
+    label = brute_groups(marks)
+    of = dict(zip(marks, label, strict=True))
+    least = {}
+    for fp, ids in groups.items():
+        known = {i for i in ids if i is not None}
+        mine = min(known) if known else None
+        old = least.get(of[fp], "none")
+        least[of[fp]] = mine if old == "none" or old is None else old if mine is None else min(old, mine)
+    kept = [(r.doc_id, r.text) for r in S.deduplicate(documents(rows)).collect()]
+    assert len(kept) == len(least)
+    assert {of[brute_fingerprint(t)]: i for i, t in kept} == least
+    assert all((i, t) in {(a, b) for a, b, _ in rows} for i, t in kept)
+
+
 def test_hex_digits(spark):
     found = spark.createDataFrame([(0,), (-1,), (255,)], "fp long").select(S.hex_digits("fp").alias("x")).collect()
     assert [r.x for r in found] == ["0" * 16, "f" * 16, "00000000000000ff"]
