@@ -56,10 +56,16 @@ NAMES = set(
     "copyright legal skip toolbar tags toc".split()
 )
 CONTENT_NAMES = set("article post story entry content maincontent articlebody postcontent entrycontent storybody main".split())
+#: Words that only say where or how large such a part is, or whose.
+PLAIN = set(
+    "area bar bars big block body bottom box btn button buttons by center col column container content desktop email facebook fixed float follow foot google group has "
+    "head hide hidden icon icons image img in inline inner is item items js large latest left like link links list mail main middle mini mobile module more most native "
+    "outer page panel popular post posts print right row rss section show site slot small story sticky text the third title top twitter unit wide wrap wrapper zone".split()
+)
 REMARKS = {"comment", "comments", "reply", "replies", "disqus"}
 TOKEN = re.compile(
     r"""<!--(?P<comment>.*?)(?:--!?>|\Z)
-    |<(?P<close>/)?(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*')*+)(?P<end>>|\Z)
+    |<(?P<close>/)?(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>=]|=\s*+(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|[^\s>"'][^\s>]*+|))*+)(?P<end>>|\Z)
     |<(?P<loose>/?[a-zA-Z])(?P<rest>[^>]*)(?:>|\Z)
     |<[!?/](?P<other>[^>]*)(?:>|\Z)
     |(?P<text>[^<]+|<)""",
@@ -78,6 +84,15 @@ class Element:
     verdict: int | None  # what it says about the text in it; None: nothing
 
 
+def furniture(words: list[str]) -> bool:
+    """Whether one of an element's names says that it is no content, and says nothing else."""
+    for word in words:
+        parts = {p.lower() for p in PARTS.findall(word) if not p.isdigit()}
+        if re.sub("[-_]", "", word.lower()) in NAMES or (parts & NAMES and parts <= NAMES | PLAIN):
+            return True
+    return False
+
+
 def verdict(tag: str, attrs: str, inside_article: bool) -> int | None:
     """What an element says about the text in it; None: nothing."""
     if tag in NOT_CONTENT or (tag == "header" and not inside_article):
@@ -86,8 +101,8 @@ def verdict(tag: str, attrs: str, inside_article: bool) -> int | None:
     if not attrs:
         return own
     found = {(m[1] or m[5]).lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in ATTR.finditer(attrs)}
-    names = {p.lower() for a in ("class", "id") for p in PARTS.findall(found.get(a, ""))}
-    names |= {re.sub("[-_]", "", w.lower()) for a in ("class", "id") for w in found.get(a, "").split()}
+    words = [w for a in ("class", "id") for w in found.get(a, "").split()]
+    names = {p.lower() for w in words for p in PARTS.findall(w)} | {re.sub("[-_]", "", w.lower()) for w in words}
     roles, prop = set(found.get("role", "").lower().split()), found.get("itemprop", "").lower()
     if names & REMARKS or "comment" in prop:
         return OUT
@@ -96,7 +111,8 @@ def verdict(tag: str, attrs: str, inside_article: bool) -> int | None:
     if tag == "article" or "articlebody" in prop or "article" in roles:
         return CONTENT
     if tag not in ("html", "body", "main") and names & NAMES and not names & CONTENT_NAMES:
-        return OUT
+        # inside an article one word among others is not enough: a "form of government" is a section like any other
+        return OUT if not inside_article or furniture(words) else own
     if tag == "main" or "main" in roles or (tag in ("div", "section", "td") and names & CONTENT_NAMES):
         return MAIN
     return own
@@ -193,10 +209,10 @@ def blocks(page: str) -> list[tuple[str, int]]:
         if says is not None:
             restate()
     close_block()
-    # beside an article the main part is open and the rest is out; without one the main part is the content
+    # beside an article what the markup says nothing about is open, as the article may be a teaser; without one the main part is the content
     top = max((s for _, s in out), default=OUT)
     if top == CONTENT:
-        final = {CONTENT: CONTENT, MAIN: OPEN}
+        final = {CONTENT: CONTENT, MAIN: OPEN, OPEN: OPEN}
     else:
         final = {MAIN: CONTENT} if top == MAIN else {OPEN: OPEN}
     return [(t, final.get(s, OUT)) for t, s in out]

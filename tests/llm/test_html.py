@@ -1,5 +1,6 @@
 import random
 from collections import defaultdict
+from html.parser import HTMLParser
 
 import pytest
 
@@ -36,6 +37,72 @@ def test_small_pages(page, want):
     assert content(page) == want
 
 
+def test_a_teaser_beside_the_body_does_not_hide_it():
+    page = "<article class=teaser>card</article><div><p>Real body one two three</p></div><div class=sidebar>side</div>"
+    assert H.main_text(H.blocks(page), None)[0] == "card\nReal body one two three"
+    assert [v for _, v in H.blocks(page)] == [H.CONTENT, H.OPEN, H.OUT]
+
+
+def test_apostrophes_in_unquoted_values():
+    assert content("<article><p>A</p><a title=it's>B</a><p>C it's D</p><p>E</p></article>") == ["A", "B", "C it's D", "E"]
+    assert content("<article><p title=a'b>one</p><p data-x=\"q'q\" y='z\"z'>two</p><p x = 'a>b' >three</p><p\">four</article>") == ["one", "two", "three", "four"]
+    assert content("<article><p>x</p><p class='un>rest</p></article>") == ["x"]
+
+
+def test_one_word_of_a_name_is_not_enough_inside_an_article():
+    page = "<article><p>a</p>{}</article>"
+    for kept in ("<section class='promotion-history'>b</section>", "<div id=form-of-government>b</div>", "<div class='ad-hoc-networks'>b</div>", "<p class='share-prices'>b</p>"):
+        assert content(page.format(kept)) == ["a", "b"], kept
+    for gone in ("<div class=ad>b</div>", "<div class='ad-slot-2'>b</div>", "<div id=social-share-buttons>b</div>", "<p class='newsletter'>b</p>", "<div class='relatedPosts'>b</div>"):
+        assert content(page.format(gone)) == ["a"], gone
+
+
+class Plain(HTMLParser):
+    """Article text by the standard library's parser: an extraction of its own, enough for the given pages."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.path, self.lines, self.held = [], [], ""
+
+    def flush(self):
+        if self.held.split():
+            self.lines.append(" ".join(self.held.split()))
+        self.held = ""
+
+    def handle_starttag(self, tag, attrs):
+        if tag not in ("a", "b", "i", "em", "strong", "span", "code", "small"):
+            self.flush()
+        if tag not in ("br", "hr", "img", "input", "meta", "link"):
+            names = set((dict(attrs).get("class") or "").split()) | set((dict(attrs).get("id") or "").split())
+            out = tag in ("nav", "footer", "aside", "form", "script", "style") or bool(
+                names & {"ad", "ads", "advert", "sidebar", "cookie", "cookie-banner", "comments", "comment", "menu", "nav", "notice", "related", "share", "newsletter", "breadcrumb"}
+            )
+            self.path.append((tag, out))
+
+    def handle_endtag(self, tag):
+        if tag not in ("a", "b", "i", "em", "strong", "span", "code", "small"):
+            self.flush()
+        while any(t == tag for t, _ in self.path) and self.path.pop()[0] != tag:
+            pass
+
+    def handle_data(self, data):
+        if any(t == "article" for t, _ in self.path) and not any(out for _, out in self.path):
+            self.held += data
+
+
+def test_given_pages_against_another_parser(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    want = {}
+    for r in pages.collect():
+        p = Plain()
+        p.feed(r.html or "")
+        p.close()
+        p.flush()
+        want[r.page_id] = "\n".join(p.lines)
+    found = {r.page_id: r.text for r in H.extract(pages).collect()}
+    assert found == want and sum(map(bool, want.values())) > 40
+
+
 def test_deep_and_long_pages():
     assert content("<article>" + "<div>" * 20_000 + "deep" + "</p></b>" * 20_000) == ["deep"]
     assert len(content("<article>" + "<p>w w</p>" * 50_000)[0]) == 3
