@@ -179,6 +179,14 @@ def parse_geometry(buf: bytes | None) -> dict | None:
     }
 
 
+def wkb_rings(buf: bytes) -> list[np.ndarray]:
+    """The rings of a Polygon or MultiPolygon as arrays of points; other kinds have none."""
+    kind, parts, _, end = _parse(buf, 0)
+    if end != len(buf):
+        raise ValueError(f"{len(buf) - end} bytes after the WKB geometry")
+    return [ring for rings in parts for ring in rings] if kind.endswith("Polygon") else []
+
+
 @F.pandas_udf(GEOM_TYPE)
 def _decode_wkb(col: pd.Series) -> pd.DataFrame:
     parsed = [parse_geometry(b) or {} for b in col]

@@ -495,6 +495,34 @@ def oracle_sql() -> dict[str, str]:
         "SELECT id_geo, min(min_lon) AS min_lon, min(min_lat) AS min_lat, max(max_lon) AS max_lon, max(max_lat) AS max_lat "
         "FROM bl JOIN g USING (c_custkey) GROUP BY id_geo"
     )
+    # every tile of each square's box, less those strictly inside its hole, once for each plot
+    world = "40075016.68557849"
+    line = lambda e, n: f"CAST(floor((({e}) / {world}::DOUBLE + 0.5::DOUBLE) * {n}) AS BIGINT)"
+    down = lambda e, n: f"CAST(floor((0.5::DOUBLE - ({e}) / {world}::DOUBLE) * {n}) AS BIGINT)"
+    n = "pow(2.0, z)"
+    squares = (
+        f"sq AS (SELECT c_custkey, x, y, s, x + s AS x2, y + s AS y2, x + s / 4 AS hx, y AS hy, true AS hole FROM "
+        f"(SELECT c_custkey, x, y, {side} AS s FROM pts JOIN customer ON id = c_custkey) "
+        f"UNION ALL SELECT c_custkey, x + s * 2, y, s, x + s * 2 + s, y + s, 0, 0, false FROM "
+        f"(SELECT c_custkey, x, y, {side} AS s FROM pts JOIN customer ON id = c_custkey) WHERE {second})")
+    grid = (
+        f"gr AS (SELECT c_custkey, z, hole, {line('x', n)} AS a, {line('x2', n)} AS b, {down('y2', n)} AS c, {down('y', n)} AS d, "
+        f"{line('hx', n)} AS ha, {line('hx + s / 2', n)} AS hb, {down('hy + s / 2', n)} AS hc, {down('hy', n)} AS hd "
+        "FROM sq, (SELECT CAST(range AS INTEGER) AS z FROM range(0, 17)) zz)")
+    q["tile_cover_polygons"] = _with(POINTS, squares, grid) + (
+        "SELECT z, tx, ty, CAST(count(*) AS BIGINT) AS n FROM (SELECT DISTINCT c_custkey, z, tx, ty FROM "
+        "(SELECT *, unnest(range(c, d + 1)) AS ty FROM (SELECT *, unnest(range(a, b + 1)) AS tx FROM gr)) "
+        "WHERE NOT (hole AND tx > ha AND tx < hb AND ty > hc AND ty < hd)) GROUP BY z, tx, ty"
+    )
+    tract = ("tract AS (SELECT * FROM (SELECT g.id_geo, bl.*, row_number() OVER (PARTITION BY g.id_geo ORDER BY c_custkey) AS k "
+             "FROM bl JOIN g USING (c_custkey)) WHERE k = 1)")
+    q["join_geometry_polygons"] = _with(G, H, SLICE_FREQ, RAW, CL, SL, slice_long, POINTS, boxes, tract) + (
+        "SELECT long.id_geo, codigo_variable, valor_categoria, etiqueta_categoria, conteo, min_lon, min_lat, max_lon, max_lat, "
+        f"CASE WHEN {second} THEN 'MultiPolygon' ELSE 'Polygon' END AS kind, CASE WHEN {second} THEN 3 ELSE 2 END AS n_rings, "
+        f"round({side} * {side} * (CASE WHEN {second} THEN 1.75 ELSE 0.75 END)::DOUBLE, 1) AS area "
+        "FROM long JOIN tract ON long.id_geo = tract.id_geo "
+        "WHERE max_lon >= -66.0 AND min_lon <= -52.0 AND max_lat >= -42.0 AND min_lat <= -28.0"
+    )
     q["repair_text_2001"] = _repair_query(RULES_2001)
     q["repair_text_1991"] = _repair_query(RULES_1991)
     q["repair_text_corrected"] = _repair_query(RULES_CORRECTED)

@@ -12,12 +12,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from areatab.functions.codes import area_key, format_code, pad_code
-from areatab.functions.textfix import RC, count_damaged, repair
-from areatab.operators import areas, consumer, geo, labels, publish
+from areatab.functions.textfix import RC, count_damaged, repair_text
+from areatab.operators import areas, consumer, geo, labels, publish, tiles
 from areatab.operators.broadcast import bounded_broadcast, literal_broadcast
 from areatab.operators.frequency import frequencies, frequencies_multi, rollup_levels, totals_check
 from areatab.plans.census import Census, fraction_code, point_columns, radio_code
 from areatab.session import scratch_path
+from areatab.sources.files import path_state
 from areatab.sources.inline import crosswalk_1991, provinces_1991, variables_1991, variables_2001
 
 ENTITIES = ("PERSONA", "HOGAR", "VIVIENDA")
@@ -63,12 +64,13 @@ def _long(c: Census, freq: DataFrame | None = None) -> DataFrame:
     return publish.to_long(f)
 
 
-_CENSUS: dict[tuple[str, str], Census] = {}
+CENSUS_TABLES = ("region", "nation", "customer", "orders", "lineitem")
+_CENSUS: dict[tuple, Census] = {}
 
 
 def _census(spark: SparkSession, sf_dir: str) -> Census:
-    """One model (and one set of table scans) per application and data folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """One model (and one set of table scans, and of stored tables) per application, data folder and state of its files."""
+    key = (spark.sparkContext.applicationId, sf_dir, *(path_state(spark, f"{sf_dir}/{t}.parquet") for t in CENSUS_TABLES))
     c = _CENSUS.get(key)
     if c is None or c.spark is not spark:
         c = _CENSUS[key] = Census(spark, sf_dir)
@@ -573,18 +575,24 @@ def flat_level_labels(spark, sf_dir):
     return long
 
 
+def _stored(c: Census, name: str, write: Callable[[str], None]) -> str:
+    """Path of a table derived from the model's tables, written once to the shared folder."""
+    path = c._cache.get(name)
+    if path is None:
+        path = scratch_path(c.spark, name)
+        write(path)
+        c._cache[name] = path
+    return path
+
+
 def _published(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The long table as published: written once per session to the shared folder, one folder per variable.
+    """The long table as published: written once to the shared folder, one folder per variable, anew if an input has changed.
 
     What users ask of it (names, counts, slices) reads this table, or only its
     folders' names, instead of tabulating the fact tables again.
     """
     c = _census(spark, sf_dir)
-    path = c._cache.get("published")
-    if path is None:
-        path = scratch_path(spark, "published")
-        publish.write_by_variable(_long(c), path)
-        c._cache["published"] = path
+    path = _stored(c, "published", lambda p: publish.write_by_variable(_long(c), p))
     return spark.read.schema(publish.LONG_SCHEMA).parquet(path).select(*publish.LONG_COLUMNS)
 
 
@@ -808,6 +816,38 @@ def bbox_polygons(spark, sf_dir):
     )
 
 
+#: Plots are 1 to 3 km wide: on this zoom (tiles of 0.6 km) their holes show.
+PLOT_ZOOM = 16
+#: West, south, east, north of the map view that the polygon join answers.
+MAP_WINDOW = (-66.0, -42.0, -52.0, -28.0)
+
+
+def tile_cover_polygons(spark, sf_dir):
+    """Plots per map tile, from the whole plots, for every zoom from the world down to 0.6 km."""
+    return tiles.tile_cover_polygons(_dwelling_polygons(_census(spark, sf_dir)), max_zoom=PLOT_ZOOM)
+
+
+def _tract_polygons(c: Census) -> DataFrame:
+    """The polygon layer as stored: a row for each area with its box in degrees and, as geometry, the plot of its lowest dwelling."""
+    def write(path: str) -> None:
+        plots = _dwelling_polygons(c).groupBy("id_geo").agg(F.min_by("geometry", "c_custkey").alias("geometry"))
+        g = plots.withColumn("rings", geo.reproject_rings(geo.decode_wkb("geometry")["rings"]))
+        g.select("id_geo", *(F.round(v, 9).alias(k) for k, v in geo.rings_box("rings").items()), "geometry").write.parquet(path)
+
+    return c.spark.read.parquet(_stored(c, "tract-polygons", write))
+
+
+def join_geometry_polygons(spark, sf_dir):
+    """One variable's counts in a map view, joined to tract polygons; the geometry is fetched for the areas in view."""
+    c = _census(spark, sf_dir)
+    met = consumer.join_geometry_late(variable_slice(spark, sf_dir), _tract_polygons(c), window=MAP_WINDOW)
+    g = met.withColumn("g", geo.decode_wkb("geometry"))
+    return g.select(
+        "id_geo", "codigo_variable", "valor_categoria", "etiqueta_categoria", "conteo", *consumer.BOX,
+        F.col("g.kind").alias("kind"), F.size("g.rings").alias("n_rings"), F.round(geo.rings_area("g.rings", "g.part"), 1).alias("area"),
+    )
+
+
 # ---------------------------------------------------------------- text repair
 def _damaged(c: Census) -> DataFrame:
     return c.table("documents").select("doc_id", F.translate("text", "áéíóúñüÁÉÍÓÚÑ", RC * 13).alias("text"))
@@ -815,20 +855,20 @@ def _damaged(c: Census) -> DataFrame:
 
 def repair_text_2001(spark, sf_dir):
     d = _damaged(_census(spark, sf_dir))
-    fixed = d.select("doc_id", repair("text", "2001").alias("text"))
+    fixed = d.select("doc_id", repair_text("text", "2001").alias("text"))
     return fixed.select("doc_id", "text", count_damaged("text").alias("left_bad"))
 
 
 def repair_text_1991(spark, sf_dir):
     d = _damaged(_census(spark, sf_dir))
-    fixed = d.select("doc_id", repair("text", "1991").alias("text"))
+    fixed = d.select("doc_id", repair_text("text", "1991").alias("text"))
     return fixed.select("doc_id", "text", count_damaged("text").alias("left_bad"))
 
 
 def repair_text_corrected(spark, sf_dir):
     """The 2001 rules with the words they get wrong mended first; ``left_bad`` reports what stays damaged."""
     d = _damaged(_census(spark, sf_dir))
-    fixed = d.select("doc_id", repair("text", "corrected").alias("text"))
+    fixed = d.select("doc_id", repair_text("text", "corrected").alias("text"))
     return fixed.select("doc_id", "text", count_damaged("text").alias("left_bad"))
 
 
@@ -838,7 +878,7 @@ def repair_text_literal(spark, sf_dir):
 
     literal = [r for r in RULES_2001 if r[2] == "literal"]
     d = _damaged(_census(spark, sf_dir))
-    fixed = d.select("doc_id", repair("text", literal).alias("text"))
+    fixed = d.select("doc_id", repair_text("text", literal).alias("text"))
     return fixed.select("doc_id", "text", count_damaged("text").alias("left_bad"))
 
 
@@ -914,6 +954,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "wkb_polygons": wkb_polygons,
     "reproject_rings": reproject_rings,
     "bbox_polygons": bbox_polygons,
+    "tile_cover_polygons": tile_cover_polygons,
+    "join_geometry_polygons": join_geometry_polygons,
     "repair_text_2001": repair_text_2001,
     "repair_text_1991": repair_text_1991,
     "repair_text_corrected": repair_text_corrected,

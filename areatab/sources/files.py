@@ -21,6 +21,19 @@ from areatab.operators.broadcast import bounded_broadcast
 MALFORMED = "_malformada"
 
 
+def path_state(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """(files, bytes, time of the last change) of a file or folder, from its file system's own summary; zeros if it isn't there.
+
+    A folder's time changes as files come and go. No list of files comes to the driver.
+    """
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(at):
+        return 0, 0, 0
+    total = fs.getContentSummary(at)
+    return total.getFileCount(), total.getLength(), fs.getFileStatus(at).getModificationTime()
+
+
 def string_schema(columns: Sequence[str]) -> T.StructType:
     """All-string schema for code-bearing files."""
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])

@@ -1,4 +1,4 @@
-from areatab.operators.consumer import preview, variable_slice
+from areatab.operators.consumer import join_geometry_late, preview, variable_slice
 from areatab.operators.publish import to_long, to_metadata
 from areatab.sources.views import RECIPES, recipe, register
 
@@ -29,3 +29,20 @@ def test_sql_recipes_on_views(spark):
     j = recipe(spark, "join_geometry", code="PERSONA_P1").collect()
     assert [(r.id_geo, r.valor_categoria, r.conteo) for r in j] == [("020070101", "1", 5)]
     assert set(RECIPES) == {"variables", "categories_per_variable", "row_counts", "join_geometry"}
+
+
+def _layer(spark):
+    rows = [("a", 0.0, 0.0, 1.0, 1.0, b"A"), ("b", 5.0, 5.0, 6.0, 6.0, b"B"), ("c", 179.0, 0.0, 179.5, 1.0, b"C"), ("d", 2.0, 2.0, 3.0, 3.0, None), (None, 0.0, 0.0, 1.0, 1.0, b"N")]
+    return spark.createDataFrame(rows, "id_geo string, min_lon double, min_lat double, max_lon double, max_lat double, geometry binary")
+
+
+def test_geometry_is_fetched_for_areas_in_view(spark):
+    long = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("c", 4), ("d", 5), ("z", 6), (None, 7)], "id_geo string, conteo long")
+
+    def found(window=None):
+        return sorted((r.conteo, r.geometry and bytes(r.geometry)) for r in join_geometry_late(long, _layer(spark), window=window).collect())
+
+    assert found() == [(1, b"A"), (2, b"A"), (3, b"B"), (4, b"C"), (5, None)]
+    assert found((0.5, 0.5, 2.0, 2.0)) == [(1, b"A"), (2, b"A"), (5, None)]  # borders count
+    assert found((170.0, -5.0, 0.5, 5.0)) == [(1, b"A"), (2, b"A"), (4, b"C")]  # past the antimeridian
+    assert found((50.0, 50.0, 60.0, 60.0)) == []

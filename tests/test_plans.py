@@ -115,3 +115,22 @@ def test_salted_join_reads_the_same_columns(spark):
         found = re.findall(r"lineitem.parquet\][^\n]*(?:\n(?!ReadSchema)[^\n]*)*\nReadSchema: struct<([^>]*)>", plan)
         columns[name] = set().union(*({c.split(":")[0] for c in f.split(",") if c.startswith("l_")} for f in found))
     assert columns["freq_salted"] == columns["freq_drop_nulls"]
+
+
+def test_polygon_join_shuffles_geometry_once_and_last(spark):
+    """No exchange before the last join carries the binary column, and the counts' side never does."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(spark, "join_geometry_polygons")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    carrying = [m.group(1) for m in re.finditer(r"\d+\) Exchange\nInput \[\d+\]: \[(.*)\]", plan) if "geometry" in m.group(1)]
+    assert len(carrying) == 1 and "conteo" not in carrying[0], carrying
+    scans = re.findall(r"tract-polygons[^\n]*\n(?:Pushed[^\n]*\n|Partition[^\n]*\n)*ReadSchema: struct<([^>]*)>", plan)
+    assert any("geometry" not in s and "min_lon" in s for s in scans) and any("geometry" in s and "min_lon" not in s for s in scans), scans
+
+
+def test_polygon_tiles_meet_as_partial_sums(spark):
+    plan = _plan(spark, "tile_cover_polygons")
+    assert "partial_sum(change" in plan and "Cartesian" not in plan

@@ -1,4 +1,6 @@
-from areatab.functions.textfix import RULES_1991, RULES_2001, count_damaged, java_pattern, repair
+import random
+
+from areatab.functions.textfix import RULE_SETS, RULES_1991, RULES_2001, count_damaged, java_pattern, repair, repair_text, repairer, sees_one_word
 
 RC = "�"
 
@@ -74,3 +76,32 @@ def test_corrected_rules_mend_what_the_published_ones_break(spark):
     found = rows.select("w", repair("t", "corrected").alias("r"), repair("t", "2001").alias("o"), count_damaged(repair("t", "corrected")).alias("n")).collect()
     assert all(r.r == r.w and r.n == 0 for r in found)
     assert any(r.o != r.w for r in found)
+
+
+def _damaged_texts(n):
+    """Random texts from what the rules look for, blanks, line breaks and stray '�'."""
+    rng = random.Random(11)
+    pieces = [p.strip("^$").removesuffix("\\b") for p, _, _ in RULE_SETS["corrected"]]
+    pieces += [" ", " ", "  ", RC, RC + RC, "o", "a", "n", "1", "_", "s", "\n", "\t", "é", "́", "² ", "x", "Entre", "Negro"]
+    return ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 14))) for _ in range(n)]
+
+
+def test_one_pass_equals_the_chain(spark):
+    texts = [*_damaged_texts(4000), "", None, "sin dano", "x" * 5000 + RC, (f"a{RC}o " * 3000)]
+    own = (("b c�", "b d", "literal"), ("�$", "z", "regex"), (" �a ", " q ", "literal"), ("c�.", "w", "regex"), ("n�", "ñ", "literal"))
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for rules in ("1991", "2001", "corrected", own):
+        out = df.select(repair("t", rules).alias("a"), repair_text("t", rules).alias("b")).collect()
+        assert [r.b for r in out] == [r.a for r in out]
+
+
+def test_which_rules_see_one_word():
+    assert all(map(sees_one_word, RULES_2001)) and all(map(sees_one_word, RULES_1991))
+    assert [r[0] for r in RULE_SETS["corrected"] if not sees_one_word(r)] == [f"Entre R{RC}os", f"R{RC}o Negro", f"R{RC}o Cuarto", f"Ciudad Aut{RC}noma"]
+    for other in ((f" {RC} ", " x ", "literal"), (f" {RC}", "x", "literal"), (f"{RC}", "a b", "literal"), (f"a.{RC}", "x", "regex"), ("a", "b", "literal")):
+        assert not sees_one_word(other)
+
+
+def test_distinct_words_are_worked_out_once():
+    fix = repairer((("a�", "aá", "literal"),))
+    assert fix("a� b a� a�") == "aá b aá aá"
