@@ -44,7 +44,7 @@ from areatab.llm.common import slices, written
 from areatab.llm.tokens import ALPHABET, SHOWN
 
 #: Bytes of text in a slice, and characters that the tokenizers get at once, where a blank between two letters is near.
-SLICE = 1 << 20
+SLICE = 1 << 18
 CHUNK = 1 << 18
 #: Distinct pairs in a shard, on average, and in a block at most (one shard more).
 SHARD = 1 << 17
@@ -318,10 +318,11 @@ def first_pass(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     return rows.mapInArrow(work, KEPT)
 
 
-def alignment(own: Pair, row: dict) -> Alignment:
-    """The kept row's texts, aligned anew."""
-    n_a, n_b = (np.array(row[c], np.int64) for c in ("n_a", "n_b"))
-    return Alignment(own, np.frombuffer(row["a"], own.kinds[0]), n_a, np.frombuffer(row["b"], own.kinds[1]), n_b)
+def alignment(own: Pair, batch: pa.RecordBatch, i: int) -> Alignment:
+    """The texts of a kept row, aligned anew; the ids stay in the batch's memory."""
+    n_a, n_b = (batch.column(c).slice(i, 1).flatten().to_numpy() for c in ("n_a", "n_b"))
+    a, b = (np.frombuffer(batch.column(c)[i].as_buffer(), k) for c, k in zip("ab", own.kinds, strict=True))
+    return Alignment(own, a, n_a, b, n_b)
 
 
 def distinct_pairs(kept: DataFrame, stored: str) -> DataFrame:
@@ -330,8 +331,8 @@ def distinct_pairs(kept: DataFrame, stored: str) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [np.zeros(0, np.int64)], 0
         for batch in batches:
-            for x in batch.column("pairs").to_pylist():
-                held.append(np.frombuffer(x, stored).astype(np.int64))
+            for x in batch.column("pairs"):
+                held.append(np.frombuffer(x.as_buffer(), stored).astype(np.int64))
                 n += len(held[-1])
                 if n >= GATHERED:
                     held = [np.unique(np.concatenate(held))]
@@ -368,10 +369,10 @@ def summed(kept: DataFrame, numbers, stored: str, parts: int) -> DataFrame:
         x: Numbers = numbers.value
         total = np.zeros(int(x.first[-1]), np.int64)
         for batch in batches:
-            for keys, counts in zip(batch.column("pairs").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-                at = x.find(np.frombuffer(keys, stored).astype(np.int64))
+            for keys, counts in zip(batch.column("pairs"), batch.column("counts"), strict=True):
+                at = x.find(np.frombuffer(keys.as_buffer(), stored).astype(np.int64))
                 here = at >= 0
-                total[at[here]] += np.frombuffer(counts, "<u4")[here]  # a slice's pairs are distinct
+                total[at[here]] += np.frombuffer(counts.as_buffer(), "<u4")[here]  # a slice's pairs are distinct
         task = TaskContext.get().partitionId()
         for shard, a, b in zip(x.members, x.first, x.first[1:], strict=False):
             own = total[a:b]
@@ -410,12 +411,12 @@ def second_pass(kept: DataFrame, numbers, values, path_a: str, path_b: str) -> D
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, x, (counts, top) = pair(path_a, path_b), numbers.value, values.value
         for batch in batches:
-            for row in batch.to_pylist():
-                links = alignment(own, row)
+            for i, slice_ in enumerate(batch.column("slice").to_pylist()):
+                links = alignment(own, batch, i)
                 at = x.find(links.keys())
                 here = at >= 0
-                sums = [links.per_text(np.where(here, v[at], 0)) if len(v) else np.zeros(len(row["n_a"]), np.int64) for v in (top, counts)]
-                place = [pa.array(np.full(len(sums[0]), row["slice"], np.int64)), pa.array(np.arange(len(sums[0])))]
+                sums = [links.per_text(np.where(here, v[at], 0)) if len(v) else np.zeros(len(links.n_links), np.int64) for v in (top, counts)]
+                place = [pa.array(np.full(len(sums[0]), slice_, np.int64)), pa.array(np.arange(len(sums[0])))]
                 yield pa.RecordBatch.from_arrays([*place, *map(pa.array, sums)], ["slice", "row", "n_best", "count_sum"])
 
     return kept.select("slice", "n_a", "n_b", "a", "b").mapInArrow(work, LOOKED_UP)
