@@ -120,6 +120,53 @@ def write_long(
     )
 
 
+#: Rows of a Parquet row group, the unit that statistics skip.
+ROW_GROUP = 1_000_000
+#: Cells into which each side of the (area, variable) plane is cut, a power of two.
+CELLS = 64
+
+
+def clustered(long: DataFrame, codes: Sequence[str], cells: int = CELLS) -> DataFrame:
+    """``long`` with ``_z``: the place of the row's cell along a Z curve over areas and variables.
+
+    Areas are cut into ``cells`` ranges of equal numbers of areas (a sample of
+    the distinct ones gives the bounds), variables into as many runs of ``codes``
+    (the sorted list of variables, metadata); a cell's place takes the two
+    numbers' bits in turn, so rows that are near in both lie near on the curve.
+    """
+    spark, bits = long.sparkSession, (cells - 1).bit_length()
+    areas = long.select("id_geo").distinct().repartitionByRange(cells, "id_geo").select("id_geo", F.spark_partition_id().alias("_a"))
+    order = sorted(codes)
+    numbered = spark.createDataFrame([(c, k * cells // max(1, len(order))) for k, c in enumerate(order)], "codigo_variable string, _v int")
+    placed = long.join(areas.withColumnRenamed("id_geo", "_area"), F.col("id_geo").eqNullSafe(F.col("_area")), "left").drop("_area")
+    placed = placed.join(F.broadcast(numbered), "codigo_variable", "left")  # one literal row a variable
+    bit = lambda c, k: F.shiftleft(F.shiftright(F.coalesce(F.col(c), F.lit(0)), k).bitwiseAND(F.lit(1)), 2 * k)
+    z = F.lit(0)
+    for k in range(bits):
+        z = z + bit("_a", k) + 2 * bit("_v", k)
+    return placed.withColumn("_z", z).drop("_a", "_v")
+
+
+def write_clustered(
+    long: DataFrame, path: str, codes: Sequence[str], partitions: int | None = None, row_group: int = ROW_GROUP, cells: int = CELLS, mode: str = "overwrite"
+) -> None:
+    """Write for filters on areas and on variables alike: along a Z curve over both, in row groups of at most ``row_group`` rows.
+
+    A row group covers a small piece of both, so its least and greatest area and
+    variable, and the page indexes within, let a reader skip it for either
+    filter; sorted by area alone, a variable would be in every row group.
+    """
+    n = partitions or int(long.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (
+        clustered(long, codes, cells).repartitionByRange(n, "_z", "id_geo", "codigo_variable")
+        .sortWithinPartitions("_z", "id_geo", "codigo_variable", "valor_categoria").drop("_z")
+        .write.mode(mode)
+        .option("compression", "zstd")
+        .option("parquet.block.row.count.limit", row_group)
+        .parquet(path)
+    )
+
+
 def write_by_variable(
     long: DataFrame, path: str, partitions: int | None = None, replace_all: bool = False, keys: Sequence[str] = ()
 ) -> None:

@@ -19,6 +19,10 @@ Stages, each materialised under ``out_dir`` on shared storage:
    computed now, skipped = reused from an earlier run, empty, error with its
    text), rows and the fingerprint of the inputs.
 
+The last three are published together: each run writes them to a new folder
+under ``versiones/`` and then moves the pointer ``actual`` there (see
+``operators.snapshot``); ``read_current`` never sees parts of two runs.
+
 The list of variable codes is metadata (bounded by the questionnaire), so
 reading the produced partition names on the driver is fine; no data rows and
 no list of files go through the driver.
@@ -36,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from areatab.operators import areas, labels, publish
+from areatab.operators import areas, labels, publish, snapshot
 from areatab.operators.broadcast import literal_broadcast
 from areatab.operators.frequency import frequencies_multi
 from areatab.plans.census import Census
@@ -158,14 +162,16 @@ def run_resumable(
 
     wanted = [keys[c] for c in computed + skipped]
     freq = _read_freq(spark, freq_dir).where(F.col("clave").isin(wanted)).drop("clave")
-    long_dir = os.path.join(out_dir, "largo")
+    version = snapshot.new_version(out_dir)
+    version_dir = snapshot.folder(out_dir, version)
+    long_dir = os.path.join(version_dir, "largo")
     publish.write_long(publish_fn(freq), long_dir)
 
     long_back = publish.read_long(spark, long_dir)
-    meta_dir = os.path.join(out_dir, "metadatos")
+    meta_dir = os.path.join(version_dir, "metadatos")
     publish.export(publish.to_metadata(long_back, variable_labels), meta_dir)
 
-    man_dir = os.path.join(out_dir, "manifiesto")
+    man_dir = os.path.join(version_dir, "manifiesto")
     req = spark.createDataFrame([(c,) for c in keys], "codigo_variable string")
     manifest = publish.run_manifest(req, publish.produced_variables(freq), computed + skipped, errors)
     if skipped:
@@ -176,6 +182,7 @@ def run_resumable(
         )
     manifest = manifest.withColumn("huella", F.lit(huella))
     manifest.write.mode("overwrite").parquet(man_dir)
+    snapshot.publish(spark, out_dir, version)
     return RunResult(freq_dir, long_dir, meta_dir, man_dir, computed, skipped)
 
 
@@ -204,9 +211,18 @@ def run_census(
                          census.variable_labels(), null_policy, resume)
 
 
+def _tables(spark: SparkSession, largo: str, metadatos: str, manifiesto: str) -> dict[str, DataFrame]:
+    return {"largo": publish.read_long(spark, largo), "metadatos": spark.read.parquet(metadatos), "manifiesto": spark.read.parquet(manifiesto)}
+
+
 def read_outputs(spark: SparkSession, result: RunResult) -> dict[str, DataFrame]:
-    return {
-        "largo": publish.read_long(spark, result.largo),
-        "metadatos": spark.read.parquet(result.metadatos),
-        "manifiesto": spark.read.parquet(result.manifiesto),
-    }
+    """The tables that this run has published."""
+    return _tables(spark, result.largo, result.metadatos, result.manifiesto)
+
+
+def read_current(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
+    """The tables of the run published last, all of the same run."""
+    at = snapshot.current(spark, out_dir)
+    if at is None:
+        raise FileNotFoundError(f"nothing published in {out_dir}")
+    return _tables(spark, *(os.path.join(at, t) for t in ("largo", "metadatos", "manifiesto")))

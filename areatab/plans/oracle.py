@@ -372,7 +372,17 @@ def oracle_sql() -> dict[str, str]:
     q["linked_model"] = q["publish_long"]
     q["census_job_changed"] = q["publish_long"]
     q["csv_linked"] = q["publish_long"]
-    q["label_files"] = q["clean_labels"]
+    q["label_files"] = q["label_files_upper"] = q["label_files_mapped"] = q["clean_labels"]
+    q["label_files_quarantine"] = _with(RAW) + (
+        "SELECT lower(split_part(codigo_variable, '_', 1)) || '_labels_' || lower(split_part(codigo_variable, '_', 2)) || '.csv' AS archivo, "
+        "'success' AS estado, CAST(NULL AS VARCHAR) AS motivo, CAST(count(*) AS BIGINT) AS n_filas, CAST(count(*) AS BIGINT) AS n_etiquetas "
+        "FROM (SELECT DISTINCT codigo_variable, valor_categoria, etiqueta_categoria FROM raw) GROUP BY codigo_variable "
+        "UNION ALL SELECT archivo, estado, motivo, CAST(n AS BIGINT), CAST(m AS BIGINT) FROM (VALUES "
+        "('persona_labels_rota.csv', 'error', 'campos', 2, 0), ('persona_labels_latin.csv', 'error', 'texto', 1, 0), "
+        "('persona_labels_vacia.csv', 'empty', NULL, 0, 0), ('persona_labels_coma.csv', 'error', 'cabecera', 1, 0), "
+        "('notas.csv', 'error', 'nombre', 1, 0), ('persona_labels_zip.csv.gz', 'error', 'ilegible', 0, 0), "
+        "('persona_labels_sana.csv.gz', 'success', NULL, 1, 1)) odd(archivo, estado, motivo, n, m)"
+    )
     # 2010: the missing province leaves its areas without a key, a missing name stays NULL
     persona_2010 = dict(PERSONA)
     persona_2010["PERSONA_STATUS"] = "CASE WHEN l_linestatus = 'F' THEN '' ELSE l_linestatus END"
@@ -413,11 +423,31 @@ def oracle_sql() -> dict[str, str]:
                                    "long AS (" + level_long + ")") + f"SELECT {LONG_COLS} FROM long"
     q["flat_model"] = _with(*LONG_CTES) + f"SELECT {LONG_COLS} FROM long WHERE codigo_variable LIKE 'PERSONA%'"
     q["variable_partition_roundtrip"] = _with(*LONG_CTES) + f"SELECT {LONG_COLS} FROM long WHERE codigo_variable = 'HOGAR_STATUS'"
+    q["clustered_roundtrip"] = _with(*LONG_CTES) + (
+        f"SELECT {LONG_COLS} FROM long WHERE id_geo BETWEEN '01' AND '03' AND codigo_variable IN ('HOGAR_STATUS', 'PERSONA_STATUS')")
+    q["csv_mixed"] = ("SELECT CAST(c_custkey AS VARCHAR) AS \"CLAVE\", 'Jardín; ' || c_mktsegment || ', año' AS \"NOMBRE\", "
+                      "c_mktsegment AS \"SEGMENTO\" FROM customer")
+    q["csv_dialects"] = (
+        "SELECT CASE c_custkey % 3 WHEN 0 THEN ';' WHEN 1 THEN ',' ELSE chr(9) END AS separador, "
+        "CASE c_custkey % 3 WHEN 1 THEN 'ISO-8859-1' ELSE 'UTF-8' END AS juego, c_custkey % 3 <> 2 AS comillas, true AS regular, "
+        "3 AS n_campos, CAST(count(*) AS BIGINT) AS n_filas FROM customer GROUP BY c_custkey % 3")
     q["publish_metadata"] = _with(*LONG_CTES, METADATA) + "SELECT * FROM meta"
     q["dataset_stats"] = _with(*LONG_CTES) + (
         "SELECT CAST(count(*) AS BIGINT) AS total_rows, CAST(count(DISTINCT codigo_variable) AS BIGINT) AS unique_vars, "
         "CAST(count(DISTINCT id_geo) AS BIGINT) AS unique_geos FROM long"
     )
+    q["dataset_stats_merged"] = q["dataset_stats"]
+    ranges = [f"SELECT '{t}' AS tabla, CAST(count(*) AS BIGINT) AS n, CAST(min({k}) AS BIGINT) AS menor, CAST(max({k}) AS BIGINT) AS mayor FROM {t}"
+              for t, k in (("region", "r_regionkey"), ("nation", "n_nationkey"), ("customer", "c_custkey"), ("orders", "o_orderkey"),
+                           ("lineitem", "l_orderkey"))]
+    ranges.append("SELECT 'largo', CAST(count(*) AS BIGINT), CAST(min(conteo) AS BIGINT), CAST(max(conteo) AS BIGINT) FROM long")
+    q["footer_ranges"] = _with(*LONG_CTES) + "\nUNION ALL\n".join(ranges)
+    q["footer_variables"] = _with(*LONG_CTES) + "SELECT codigo_variable, CAST(count(*) AS BIGINT) AS n_rows FROM long GROUP BY codigo_variable"
+    q["published_snapshot"] = _with(*LONG_CTES, METADATA) + (
+        "SELECT codigo_variable, n_filas, n_categorias FROM "
+        "(SELECT codigo_variable, CAST(count(*) AS BIGINT) AS n_filas FROM long GROUP BY codigo_variable) JOIN "
+        "(SELECT codigo_variable, CAST(count(*) AS BIGINT) AS n_categorias FROM meta GROUP BY codigo_variable) USING (codigo_variable)"
+    )
     counts = [f"SELECT '{t}' AS tabla, CAST(count(*) AS BIGINT) AS n FROM {t}" for t in ("region", "nation", "customer", "orders", "lineitem")]
     counts.append("SELECT 'largo' AS tabla, CAST(count(*) AS BIGINT) AS n FROM long")
     q["table_counts"] = _with(*LONG_CTES) + "\nUNION ALL\n".join(counts)

@@ -328,6 +328,41 @@ def long_roundtrip(spark, sf_dir):
     return publish.read_long(spark, path)
 
 
+def clustered_roundtrip(spark, sf_dir):
+    """The long table written along a Z curve over areas and variables, and read back for one area range and variable."""
+    c = _census(spark, sf_dir)
+    path = scratch_path(spark, "clustered")
+    publish.write_clustered(_published(spark, sf_dir), path, [code for v in c.variables.values() for code in v], row_group=2_000, cells=16)
+    return publish.read_long(spark, path).where("id_geo between '01' and '03' and codigo_variable in ('HOGAR_STATUS', 'PERSONA_STATUS')")
+
+
+def _mixed_folder(c: Census) -> str:
+    """The dwellings as text files of one folder in three dialects, each a part of them."""
+    folder = scratch_path(c.spark, "csv-mixed")
+    d = c.table("customer").select(
+        F.col("c_custkey").cast("string").alias("CLAVE"), F.concat(F.lit("Jardín; "), F.col("c_mktsegment"), F.lit(", año")).alias("NOMBRE"), F.col("c_mktsegment").alias("SEGMENTO")
+    )
+    for k, (sep, encoding) in enumerate(((";", "UTF-8"), (",", "ISO-8859-1"), ("\t", "UTF-8"))):
+        part = d.where(F.pmod(F.col("CLAVE").cast("long"), F.lit(3)) == k)
+        part.write.mode("append").option("sep", sep).option("header", True).option("encoding", encoding).csv(folder)
+    return folder
+
+
+def csv_dialects(spark, sf_dir):
+    """What each file's lines say about its dialect, by dialect: all of its rows."""
+    from areatab.sources.dialects import file_dialects
+
+    found = file_dialects(spark, _mixed_folder(_census(spark, sf_dir)))
+    return found.groupBy("separador", "juego", "comillas", "regular", "n_campos").agg(F.sum("n_filas").cast("long").alias("n_filas"))
+
+
+def csv_mixed(spark, sf_dir):
+    """All dwellings read from files of three dialects in one folder."""
+    from areatab.sources.dialects import read_mixed
+
+    return read_mixed(spark, _mixed_folder(_census(spark, sf_dir)), ["CLAVE", "NOMBRE", "SEGMENTO"])
+
+
 def variable_partition_roundtrip(spark, sf_dir):
     """Per-variable layout; reading one variable prunes the other folders."""
     path = scratch_path(spark, "by-variable")
@@ -419,28 +454,29 @@ def _csv(df: DataFrame, name: str, encoding: str = "UTF-8") -> str:
     return path
 
 
-def _label_folder(c: Census, name: str) -> str:
-    """The labels as files ``entity_labels_variable.csv``, one a variable, in source order.
+def _fs(spark: SparkSession, path: str):
+    """(file system, path) on the Java side."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def _label_folder(c: Census, name: str, named: Callable[[str, str], str] = lambda entity, variable: f"{entity.lower()}_labels_{variable.lower()}.csv") -> str:
+    """The labels as files, one a variable, in source order; ``named`` gives a file's name.
 
     The list of variables is metadata; a variable's labels are bounded by the
     questionnaire (the long derived list is cut to its distinct rows first).
     """
-    import os
-
     spark = c.spark
     raw = c.raw_labels().groupBy("codigo_variable", "valor_categoria", "etiqueta_categoria").agg(F.min("linea").alias("linea"))
     folder = scratch_path(spark, name)
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = fs_path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
     for code in sorted({r[0] for r in raw.select("codigo_variable").distinct().collect()}):
-        entity, variable = code.lower().split("_")
         rows = raw.where(F.col("codigo_variable") == code).coalesce(1).sortWithinPartitions("linea")
         part = f"{folder}/.{code}"
         rows.select(F.col("valor_categoria").alias("valor"), F.col("etiqueta_categoria").alias("etiqueta")).write.option("sep", ";").option(
             "header", True).csv(part)
-        made = fs.globStatus(fs_path(f"{part}/part-*.csv"))
-        fs.rename(made[0].getPath(), fs_path(os.path.join(folder, f"{entity}_labels_{variable}.csv")))
-        fs.delete(fs_path(part), True)
+        fs, made = _fs(spark, f"{part}/part-*.csv")
+        fs.rename(fs.globStatus(made)[0].getPath(), _fs(spark, f"{folder}/{named(*code.split('_'))}")[1])
+        fs.delete(_fs(spark, part)[1], True)
     return folder
 
 
@@ -453,6 +489,58 @@ def label_files(spark, sf_dir):
     return labels.clean_labels(rows.withColumn("orden", F.struct("archivo", "linea")), "orden")
 
 
+def label_files_upper(spark, sf_dir):
+    """The same from files named in capitals, one of them with a further part in its name."""
+    from areatab.sources.files import read_label_files
+
+    c = _census(spark, sf_dir)
+    folder = _label_folder(c, "labels-upper", lambda e, v: f"{e}-{v}-{'NEW-' if v == 'STATUS' else ''}LABELS.csv")
+    return labels.clean_labels(read_label_files(spark, folder, "upper").withColumn("orden", F.struct("archivo", "linea")), "orden")
+
+
+def label_files_mapped(spark, sf_dir):
+    """The same from files that only a map assigns to variables; it names a file that isn't there and leaves one out."""
+    from areatab.sources.files import read_mapped_label_files
+
+    c = _census(spark, sf_dir)
+    folder = _label_folder(c, "labels-mapped", lambda e, v: f"L{e[0]}{v[:3]}.csv")
+    _put(spark, f"{folder}/other.csv", "valor;etiqueta\n1;nobody's\n".encode())
+    files = [(code, "L{0[0]}{1:.3}.csv".format(*code.split("_"))) for v in c.variables.values() for code in v]
+    mapping = spark.createDataFrame([*files, ("HOGAR_AUSENTE", "gone.csv"), ("HOGAR_SIN", None)], "codigo_variable string, label_file string")
+    rows = read_mapped_label_files(spark, folder, mapping)
+    return labels.clean_labels(rows.withColumn("orden", F.struct("archivo", "linea")), "orden")
+
+
+def _put(spark: SparkSession, path: str, content: bytes) -> None:
+    """A small file with these bytes."""
+    fs, at = _fs(spark, path)
+    stream = fs.create(at, True)
+    try:
+        stream.write(bytearray(content))
+    finally:
+        stream.close()
+
+
+def label_files_quarantine(spark, sf_dir):
+    """Every label file with its verdict and the labels published from it, broken ones among sound ones."""
+    import gzip
+
+    from areatab.sources.files import check_label_files, read_sound_label_files
+
+    c = _census(spark, sf_dir)
+    folder = _label_folder(c, "labels-mixed")
+    head = "valor;etiqueta\n"
+    for name, content in {
+        "persona_labels_rota.csv": f"{head}1;uno\n2;dos;tres\n".encode(), "persona_labels_latin.csv": f"{head}1;año\n".encode("latin-1"),
+        "persona_labels_vacia.csv": head.encode(), "persona_labels_coma.csv": b"valor,etiqueta\n1,uno\n", "notas.csv": b"a;b\n1;2\n",
+        "persona_labels_zip.csv.gz": gzip.compress(head.encode() * 9)[:-12], "persona_labels_sana.csv.gz": gzip.compress(f"{head}1;uno\n".encode()),
+    }.items():
+        _put(spark, f"{folder}/{name}", content)
+    checks = check_label_files(spark, folder, header=("valor", "etiqueta"))
+    used = read_sound_label_files(spark, folder, checks).groupBy("archivo").agg(F.count(F.lit(1)).alias("n"))
+    return checks.join(used, "archivo", "left").select("archivo", "estado", "motivo", "n_filas", F.coalesce("n", F.lit(0)).cast("long").alias("n_etiquetas"))
+
+
 def csv_linked(spark, sf_dir):
     """The linked model read from ``;`` text files and label files, as :func:`linked_model`."""
     from areatab.plans.vintages import tabulate_linked
@@ -604,6 +692,58 @@ def dataset_stats(spark, sf_dir):
     return publish.dataset_stats(_published(spark, sf_dir))
 
 
+def dataset_stats_merged(spark, sf_dir):
+    """The same statistics from stored bitmaps: all variables but one, one of them replaced, then the missing one added."""
+    from areatab.operators import distincts
+
+    c = _census(spark, sf_dir)
+    long, folder = _published(spark, sf_dir), scratch_path(spark, "distincts")
+    codes = [code for v in c.variables.values() for code in v]
+    of = lambda *some: long.where(F.col("codigo_variable").isin(*some))
+    distincts.update(spark, folder, of(*codes[1:]).where("conteo > 1"))
+    distincts.update(spark, folder, of(*codes[2:]))
+    distincts.update(spark, folder, of(*codes[:2]))
+    return distincts.stats(spark, folder)
+
+
+def footer_ranges(spark, sf_dir):
+    """Rows and extremes of the stored tables, from Parquet footers alone."""
+    from areatab.operators import footers
+
+    _published(spark, sf_dir)
+    keys = {"region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "orders": "o_orderkey", "lineitem": "l_orderkey"}
+    tables = {t: (f"{sf_dir}/{t}.parquet", k) for t, k in keys.items()}
+    return footers.footer_ranges(spark, tables | {"largo": (_census(spark, sf_dir)._cache["published"], "conteo")})
+
+
+def footer_variables(spark, sf_dir):
+    """Published rows of each variable, from Parquet footers alone."""
+    from areatab.operators import footers
+
+    _published(spark, sf_dir)
+    return footers.footer_variables(spark, _census(spark, sf_dir)._cache["published"])
+
+
+def published_snapshot(spark, sf_dir):
+    """Long rows and categories by variable as a reader finds them after a run that broke between its two tables."""
+    from areatab.plans import job
+
+    c = _census(spark, sf_dir)
+    out = scratch_path(spark, "census-snapshot")
+    job.run_census(c, out)
+    broken = c.variable_labels().withColumn("etiqueta_variable", F.raise_error(F.lit("the dictionary is gone")))
+    more = {"VIVIENDA": (c.entity("VIVIENDA"), {"VIVIENDA_NACION": F.col("c_nationkey").cast("string")})}
+    try:
+        job.run_resumable(spark, more, lambda freq: publish.to_long(freq), out, [c.table("customer")], broken)
+    except Exception as e:
+        if "the dictionary is gone" not in str(e):
+            raise
+    now = job.read_current(spark, out)
+    rows = now["largo"].groupBy("codigo_variable").agg(F.count(F.lit(1)).alias("n_filas"))
+    categories = now["metadatos"].groupBy("codigo_variable").agg(F.count(F.lit(1)).alias("n_categorias"))
+    return rows.join(categories, "codigo_variable", "full")
+
+
 def table_counts(spark, sf_dir):
     c = _census(spark, sf_dir)
     tabs = {t: c.table(t) for t in ("region", "nation", "customer", "orders", "lineitem")}
@@ -919,11 +1059,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "publish_long": publish_long,
     "long_roundtrip": long_roundtrip,
     "variable_partition_roundtrip": variable_partition_roundtrip,
+    "clustered_roundtrip": clustered_roundtrip,
+    "csv_dialects": csv_dialects,
+    "csv_mixed": csv_mixed,
     "census_job": census_job,
     "census_job_changed": census_job_changed,
     "linked_2010": linked_2010,
     "linked_wide_codes": linked_wide_codes,
     "label_files": label_files,
+    "label_files_quarantine": label_files_quarantine,
+    "label_files_mapped": label_files_mapped,
+    "label_files_upper": label_files_upper,
     "csv_linked": csv_linked,
     "csv_flat": csv_flat,
     "xml_dictionary": xml_dictionary,
@@ -933,6 +1079,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flat_level_labels": flat_level_labels,
     "publish_metadata": publish_metadata,
     "dataset_stats": dataset_stats,
+    "published_snapshot": published_snapshot,
+    "footer_variables": footer_variables,
+    "footer_ranges": footer_ranges,
+    "dataset_stats_merged": dataset_stats_merged,
     "table_counts": table_counts,
     "variable_catalog": variable_catalog,
     "duplicate_variable_names": duplicate_variable_names,

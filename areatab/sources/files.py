@@ -8,8 +8,12 @@ covers a whole folder of label files.
 
 from __future__ import annotations
 
+import gzip
+import io
+import zlib
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -111,12 +115,20 @@ LABEL_SCHEMA = T.StructType(
 )
 
 
-def _label_rows(spark: SparkSession, path: str, sep: str, encoding: str) -> DataFrame:
+#: Style of label files: names that a folder's listing takes, and where entity and variable stand in them.
+LABEL_STYLES = {
+    "lower": ("*_labels_*.csv*", r"^(\w+?)_labels_(\w+)\.csv(?:\.gz)?$"),
+    "upper": ("*-LABELS.csv*", r"^([^-]+)-([^-]+)-(?:.*-)?LABELS\.csv(?:\.gz)?$"),
+}
+
+
+def _label_rows(spark: SparkSession, path: str, sep: str, encoding: str, skip_unreadable: bool = False) -> DataFrame:
     df = (
         spark.read.schema(LABEL_SCHEMA)
         .option("sep", sep)
         .option("header", True)
         .option("encoding", encoding)
+        .option("ignoreCorruptFiles", skip_unreadable)
         .csv(path)
     )
     # source order: file name, then position within the file
@@ -134,6 +146,7 @@ def read_label_files(
     style: str = "lower",
     sep: str = ";",
     encoding: str = "UTF-8",
+    skip_unreadable: bool = False,
 ) -> DataFrame:
     """All label files of a folder as ``(codigo_variable, valor_categoria, etiqueta_categoria, archivo, linea)``.
 
@@ -141,15 +154,13 @@ def read_label_files(
     style "upper": files ``<ENTITY>-<VARIABLE>-LABELS.csv``; code kept as written
     (further ``-`` parts before ``LABELS`` are ignored).
     ``linea`` increases with the position in a file (use with ``archivo`` as
-    the source order when de-duplicating).
+    the source order when de-duplicating). A file that can't be read fails the
+    read, or is left out with ``skip_unreadable`` (see :func:`check_label_files`).
     """
-    if style == "lower":
-        glob, pat = "*_labels_*.csv", r"^(\w+?)_labels_(\w+)\.csv$"
-    elif style == "upper":
-        glob, pat = "*-LABELS.csv", r"^([^-]+)-([^-]+)-(?:.*-)?LABELS\.csv$"
-    else:
+    if style not in LABEL_STYLES:
         raise ValueError("style must be 'lower' or 'upper'")
-    rows = _label_rows(spark, f"{folder.rstrip('/')}/{glob}", sep, encoding)
+    glob, pat = LABEL_STYLES[style]
+    rows = _label_rows(spark, f"{folder.rstrip('/')}/{glob}", sep, encoding, skip_unreadable)
     ent = F.regexp_extract("archivo", pat, 1)
     var = F.regexp_extract("archivo", pat, 2)
     code = F.concat_ws("_", ent, var)
@@ -161,6 +172,70 @@ def read_label_files(
     )
 
 
+@F.arrow_udf(T.BooleanType())
+def _breaks_off(content: pa.Array) -> pa.Array:
+    """Whether a gzip file can't be unpacked to its end."""
+
+    def broken(data: bytes) -> bool:
+        try:
+            with gzip.open(io.BytesIO(data)) as f:
+                while f.read(1 << 20):
+                    pass
+        except (OSError, EOFError, zlib.error):
+            return True
+        return False
+
+    return pa.array([None if x is None else broken(x) for x in content.to_pylist()], pa.bool_())
+
+
+def check_label_files(spark: SparkSession, folder: str, style: str = "lower", sep: str = ";", header: Sequence[str] | None = None) -> DataFrame:
+    """``(archivo, estado, motivo, n_filas)`` for every ``.csv`` file of a folder: is it a sound label file?
+
+    ``estado`` is ``success``, ``empty`` (a header at most) or ``error`` with the
+    first of these reasons: ``nombre`` (the name tells no variable), ``ilegible``
+    (reading breaks off), ``texto`` (bytes that are no UTF-8), ``cabecera`` (the
+    first line isn't two fields, or not those of ``header``), ``campos`` (a row
+    with more or fewer fields). Files are judged one by one in one aggregate over
+    their lines; a broken one says nothing about the others. Files without a byte
+    are in no listing of Spark's and have no row.
+    """
+    _, pat = LABEL_STYLES[style]
+    at = f"{folder.rstrip('/')}/*.csv*"
+    files = spark.read.format("binaryFile").load(at).select(F.element_at(F.split("path", "/"), -1).alias("archivo"), "path", "length")
+    # Spark's reader passes over a compressed file that breaks off, with what came before: those are unpacked to see
+    packed = spark.read.format("binaryFile").load(at).where("path like '%.gz'").select("path", _breaks_off("content").alias("roto"))
+    files = files.join(packed, "path", "left").drop("path")
+    lines = spark.read.option("ignoreCorruptFiles", True).text(at).select(
+        "value", F.col("_metadata.file_name").alias("archivo"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("lugar"),
+    ).where("value <> ''")
+    fields = lambda c: F.size(F.split(F.regexp_replace(c, '"[^"]*"', ""), f"[{sep}]"))
+    seen = lines.groupBy("archivo").agg(
+        F.count(F.lit(1)).alias("n"), F.min_by("value", "lugar").alias("primera"),
+        F.count_if(~F.is_valid_utf8("value")).alias("n_texto"), F.count_if(fields("value") != 2).alias("n_campos"),
+    )
+    head = fields("primera") == 2
+    if header is not None:
+        head = F.transform(F.split("primera", f"[{sep}]"), lambda c: F.trim(F.replace(c, F.lit('"'), F.lit("")))) == F.array(*map(F.lit, header))
+    reason = (
+        F.when(~F.col("archivo").rlike(pat), "nombre")
+        .when(F.col("roto") | (F.col("n").isNull() & (F.col("length") > 0)), "ilegible")
+        .when(F.col("n_texto") > 0, "texto")
+        .when(~head, "cabecera")
+        .when(F.col("n_campos") > 0, "campos")
+    )
+    rows = F.when(F.col("roto"), 0).otherwise(F.greatest(F.coalesce("n", F.lit(0)) - 1, F.lit(0))).cast("long")
+    out = files.join(seen, "archivo", "left").select("archivo", reason.alias("motivo"), rows.alias("n_filas"))
+    state = F.when(F.col("motivo").isNotNull(), "error").when(F.col("n_filas") == 0, "empty").otherwise("success")
+    return out.select("archivo", state.alias("estado"), "motivo", "n_filas")
+
+
+def read_sound_label_files(spark: SparkSession, folder: str, checks: DataFrame, style: str = "lower", sep: str = ";") -> DataFrame:
+    """The labels of the files that ``checks`` (see :func:`check_label_files`) calls sound; the others are set apart, not read in."""
+    rows = read_label_files(spark, folder, style, sep, skip_unreadable=True)
+    return rows.join(checks.where("estado = 'success'").select("archivo"), "archivo", "left_semi")
+
+
 def read_mapped_label_files(
     spark: SparkSession,
     folder: str,

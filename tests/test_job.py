@@ -1,7 +1,7 @@
 import os
 
 from areatab.plans.census import Census
-from areatab.plans.job import read_outputs, run_census
+from areatab.plans.job import read_current, read_outputs, run_census
 from areatab.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -31,7 +31,7 @@ def test_changed_inputs_invalidate_resume(spark, tmp_dir):
     c = Census(spark, SF)
     out = os.path.join(tmp_dir, "run")
     run_census(c, out, entities=("HOGAR", "VIVIENDA"))
-    man = spark.read.parquet(os.path.join(out, "manifiesto")).first()
+    man = read_current(spark, out)["manifiesto"].first()
     assert man.huella == fingerprint(spark, [c.table(t) for t in ("lineitem", "orders", "customer", "nation", "region")])
     # same inputs: nothing recomputed
     assert run_census(c, out, entities=("VIVIENDA",)).computed == []
@@ -114,3 +114,34 @@ def test_fingerprint_is_one_row_whatever_the_files(spark, tmp_dir):
     assert a == fingerprint(spark, [spark.read.parquet(path)])
     spark.range(1).write.mode("append").parquet(path)
     assert a != fingerprint(spark, [spark.read.parquet(path)])
+
+
+def test_a_run_that_breaks_between_its_tables_is_not_seen(spark, tmp_dir):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from areatab.operators import publish
+    from areatab.plans.job import run_resumable
+
+    c = Census(spark, SF)
+    out = os.path.join(tmp_dir, "run")
+    with pytest.raises(FileNotFoundError):
+        read_current(spark, out)
+    run_census(c, out, entities=("HOGAR",))
+    before = {name: sorted(map(str, df.collect())) for name, df in read_current(spark, out).items()}
+    # the long table gets written, then the metadata fail
+    broken = c.variable_labels().withColumn("etiqueta_variable", F.raise_error(F.lit("no dictionary")))
+    sources = {"VIVIENDA": (c.entity("VIVIENDA"), c.variables["VIVIENDA"])}
+    with pytest.raises(Exception, match="no dictionary"):
+        run_resumable(spark, sources, lambda freq: publish.to_long(freq), out, [c.table("customer")], broken)
+    versions = os.listdir(os.path.join(out, "versiones"))
+    assert len(versions) == 2 and sum(os.path.exists(os.path.join(out, "versiones", v, "metadatos", "_SUCCESS")) for v in versions) == 1
+    assert all(os.path.exists(os.path.join(out, "versiones", v, "largo", "_SUCCESS")) for v in versions)
+    assert {name: sorted(map(str, df.collect())) for name, df in read_current(spark, out).items()} == before
+    # a reader that has the old pair open keeps it when the next run publishes
+    held = read_current(spark, out)
+    run_census(c, out, entities=("VIVIENDA",))
+    assert sorted(map(str, held["metadatos"].collect())) == before["metadatos"]
+    now = read_current(spark, out)
+    assert {r.codigo_variable for r in now["largo"].select("codigo_variable").distinct().collect()} == {"VIVIENDA_SEGMENT"}
+    assert {r.codigo_variable for r in now["metadatos"].collect()} == {"VIVIENDA_SEGMENT"}

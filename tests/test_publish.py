@@ -68,3 +68,40 @@ def test_metadata_prefers_dictionary_names(spark):
     assert (r.nombre_variable, r.etiqueta_variable, r.entidad) == ("P07_A", "Lugar", "PERSONA")
     r2 = to_metadata(long, d.select("codigo_variable", "etiqueta_variable")).first()
     assert r2.nombre_variable == "P07"  # cut at '_' when no dictionary name is given, as published
+
+
+def test_clustered_layout_skips_row_groups_for_areas_and_for_variables(spark, tmp_dir):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from areatab.operators.publish import LONG_COLUMNS, write_clustered
+
+    codes = [f"PERSONA_P{k:02d}" for k in range(16)]
+    data = [(f"{a:09d}", c, v, a) for a in range(256) for c in codes for v in ("1", "2")]
+    long = to_long(spark.createDataFrame(data, "id_geo string, codigo_variable string, valor_categoria string, conteo long"))
+    path = os.path.join(tmp_dir, "z")
+    write_clustered(long, path, codes, partitions=2, row_group=128, cells=16)
+    back = read_long(spark, path)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, long.collect())) and tuple(back.columns) == LONG_COLUMNS
+    groups = []
+    for f in glob.glob(f"{path}/*.parquet"):
+        m = pq.ParquetFile(f).metadata
+        at = {m.schema.column(i).name: i for i in range(m.num_columns)}
+        for g in range(m.num_row_groups):
+            row = m.row_group(g)
+            assert row.num_rows <= 128
+            groups.append({c: (row.column(at[c]).statistics.min, row.column(at[c]).statistics.max) for c in ("id_geo", "codigo_variable")})
+    read = lambda c, v: sum(g[c][0] <= v <= g[c][1] for g in groups)
+    assert len(groups) >= 64
+    # of n row groups a filter on either side reads about the square root
+    assert max(read("id_geo", f"{a:09d}") for a in range(0, 256, 5)) <= len(groups) / 4
+    assert max(read("codigo_variable", c) for c in codes) <= len(groups) / 4
+
+
+def test_clustered_layout_keeps_null_areas_and_unknown_variables(spark, tmp_dir):
+    from areatab.operators.publish import write_clustered
+
+    long = to_long(spark.createDataFrame([(None, "A", "1", 1), ("x", "B", "1", 2), ("x", "A", None, 3)], "id_geo string, codigo_variable string, valor_categoria string, conteo long"))
+    write_clustered(long, os.path.join(tmp_dir, "z"), ["A"], partitions=2)
+    assert sorted(r.conteo for r in read_long(spark, os.path.join(tmp_dir, "z")).collect()) == [1, 2, 3]

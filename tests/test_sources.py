@@ -127,3 +127,31 @@ def test_published_dictionaries(spark):
 
     assert (variables_1991(spark).count(), variables_2001(spark).count()) == (24, 81)
     assert variables_1991(spark).where("codigo_variable = 'PERSONA_SEXO'").first().label_file == "persona_labels_sexo.csv"
+
+
+def test_broken_label_files_are_set_apart(spark, tmp_dir):
+    import gzip
+
+    from areatab.sources.files import check_label_files, read_sound_label_files
+
+    head = "valor;etiqueta\n"
+    _write(os.path.join(tmp_dir, "persona_labels_p01.csv"), head + '1;Varón\n2;"Mu;jer"\n')
+    _write(os.path.join(tmp_dir, "persona_labels_p02.csv"), head + "1;a;b\n")
+    _write(os.path.join(tmp_dir, "persona_labels_p03.csv"), head + "1;año\n", "latin-1")
+    _write(os.path.join(tmp_dir, "persona_labels_p04.csv"), head)
+    _write(os.path.join(tmp_dir, "persona_labels_p05.csv"), "codigo;texto\n1;x\n")
+    _write(os.path.join(tmp_dir, "other.csv"), head + "1;x\n")
+    for name, cut in (("p06", None), ("p07", -9)):
+        with open(os.path.join(tmp_dir, f"hogar_labels_{name}.csv.gz"), "wb") as f:
+            f.write(gzip.compress((head + "".join(f"{k};label {k}\n" for k in range(500))).encode())[:cut])
+    checks = check_label_files(spark, tmp_dir, header=("valor", "etiqueta"))
+    found = {r.archivo: (r.estado, r.motivo, r.n_filas) for r in checks.collect()}
+    assert found == {
+        "persona_labels_p01.csv": ("success", None, 2), "persona_labels_p02.csv": ("error", "campos", 1), "persona_labels_p03.csv": ("error", "texto", 1),
+        "persona_labels_p04.csv": ("empty", None, 0), "persona_labels_p05.csv": ("error", "cabecera", 1), "other.csv": ("error", "nombre", 1),
+        "hogar_labels_p06.csv.gz": ("success", None, 500), "hogar_labels_p07.csv.gz": ("error", "ilegible", 0),
+    }
+    rows = read_sound_label_files(spark, tmp_dir, checks)
+    assert {r.codigo_variable: r.n for r in rows.groupBy("codigo_variable").agg(F.count("*").alias("n")).collect()} == {"PERSONA_P01": 2, "HOGAR_P06": 500}
+    # without names for the header any two columns will do
+    assert {r.archivo: r.estado for r in check_label_files(spark, tmp_dir).collect()}["persona_labels_p05.csv"] == "success"
