@@ -37,7 +37,7 @@ def piece_bytes(model, i):
 
 
 def brute(libraries, rows):
-    """Every pair of tokens of every text compared by their ranges."""
+    """Every text's tokens side by side, in plain Python."""
     a_tok, a_bytes, b_tok = libraries
     found, counts = [], Counter()
     for i, text, *_ in rows:
@@ -50,15 +50,22 @@ def brute(libraries, rows):
             if b"".join(pa_) != want or b"".join(pb) != want:
                 a, b = [], []
             else:
-                ea, eb = np.cumsum([len(p) for p in pa_]), np.cumsum([len(p) for p in pb])
-                sa, sb = ea - [len(p) for p in pa_], eb - [len(p) for p in pb]
-                for x, (s, e) in enumerate(zip(sa, ea, strict=True)):
-                    for y in np.flatnonzero((sb < e) & (eb > s)):
-                        links.append((a[x], b[y]))
-                lo = 0
-                for cut in sorted(set(ea) & set(eb)):
-                    groups.append(([str(t) for t, e in zip(a, ea, strict=True) if lo < e <= cut], [str(t) for t, e in zip(b, eb, strict=True) if lo < e <= cut]))
-                    lo = cut
+                # both token lists side by side: whichever token ends first goes on
+                x = y = end_a = end_b = 0
+                sizes = [len(p) for p in pa_], [len(p) for p in pb]
+                group = ([], [])
+                while x < len(a):
+                    links.append((a[x], b[y]))
+                    stop_a, stop_b = end_a + sizes[0][x], end_b + sizes[1][y]
+                    if stop_a <= stop_b:
+                        group[0].append(str(a[x]))
+                        end_a, x = stop_a, x + 1
+                    if stop_b <= stop_a:
+                        group[1].append(str(b[y]))
+                        end_b, y = stop_b, y + 1
+                    if stop_a == stop_b:
+                        groups.append(group)
+                        group = ([], [])
         counts.update(links)
         text_ = ";".join(",".join(x) + "|" + ",".join(y) for x, y in groups)
         found.append((i, len(a), len(b), len(groups), links, hashlib.sha256(text_.encode()).hexdigest() if a else ""))
