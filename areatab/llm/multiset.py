@@ -32,7 +32,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from areatab.llm.common import range_buckets, written
+from areatab.llm.common import meet, range_buckets, written
 
 OWN = 8
 DRAWS = 96
@@ -141,30 +141,27 @@ def edited(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     dealt = range_buckets(rows, "doc_id", rows.count(), 1024)
     # a range's first text goes to the range before it as well, as the end of that range's list
-    present = dealt.groupBy("bucket").agg(F.min(F.struct("doc_id", "text")).alias("head"))
-    present = written(present, "multiset-heads")
-    turn = Window.orderBy("bucket")
+    heads = written(dealt.groupBy("bucket").agg(F.min(F.struct("doc_id", "text")).alias("head")), "multiset-heads")
+    turn = Window.orderBy("bucket")  # the ranges' numbers only
     whole = turn.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    before = F.coalesce(F.lag("bucket").over(turn), F.last("bucket").over(whole))
-    guests = present.select(before.alias("bucket"), F.col("head.doc_id").alias("doc_id"), F.col("head.text").alias("text"), F.lit(1).alias("guest"))
+    before = heads.select("bucket", F.coalesce(F.lag("bucket").over(turn), F.last("bucket").over(whole)).alias("before"))
+    guests = meet(heads, before, "bucket").select(F.col("before").alias("bucket"), F.col("head.doc_id").alias("doc_id"), F.col("head.text").alias("text"), F.lit(1).alias("guest"))
     listed = dealt.select("bucket", "doc_id", "text", F.lit(0).alias("guest")).unionByName(guests)
     inside = Window.partitionBy("bucket").orderBy("guest", "doc_id", "text")
-    listed = listed.withColumn("rn", F.row_number().over(inside)).withColumn("next", F.lead("text").over(inside)).where("guest = 0")
-    n = F.length("text")
+    listed = listed.withColumn("rn", F.row_number().over(inside)).withColumn("next", F.lead("text").over(inside))
     edit = F.concat(F.expr("substring(text, 1, length(text) - int(floor(length(text) / 2)))"), F.expr("substring(next, 1, int(floor(length(text) / 2)))"))
-    keyed = listed.select("bucket", "rn", "doc_id", n.cast("long").alias("n_chars"), "text", "next", edit.alias("edited"))
+    keys = ["bucket", "rn", "guest", "doc_id", "n_chars", "edited_sha256"]
+    keyed = listed.select("bucket", "rn", "guest", "doc_id", F.length("text").cast("long").alias("n_chars"), "text", F.when(F.col("guest") == 0, edit).alias("edited"))
+    own = F.struct(F.lit(0).alias("v"), F.col("text").alias("t"))
     versions = keyed.select(
-        "bucket", "rn", "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        F.explode(F.array(
-            F.struct(F.lit(0).alias("v"), F.col("text").alias("t")),
-            F.struct(F.lit(1).alias("v"), F.col("edited").alias("t")),
-            F.struct(F.lit(2).alias("v"), F.col("next").alias("t")),
-        )).alias("x"),
-    ).select("bucket", "rn", "doc_id", "n_chars", "edited_sha256", "x.v", "x.t")
-    keys = ["bucket", "rn", "doc_id", "n_chars", "edited_sha256"]
+        *keys[:-1], F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        F.explode(F.when(F.col("guest") == 1, F.array(own)).otherwise(F.array(own, F.struct(F.lit(1).alias("v"), F.col("edited").alias("t"))))).alias("x"),
+    ).select(*keys, "x.v", "x.t")
     sums = with_sums(versions, [*keys, "v"], "t")
-    sides = [F.max(F.when(F.col("v") == k, F.col("sums"))).alias(f"f{k}") for k in range(3)]
+    sides = [F.max(F.when(F.col("v") == k, F.col("sums"))).alias(f"f{k}") for k in range(2)]
     found = sums.groupBy(*keys).agg(*sides)
+    # the next document's fingerprint is the next row's; ranges are still together, so nothing is shuffled for it
+    found = found.withColumn("f2", F.lead("f0").over(Window.partitionBy("bucket").orderBy("rn"))).where("guest = 0")
     return found.select(
         "doc_id", "n_chars", "edited_sha256", as_text(F.col("f0")).alias("fingerprint"), as_text(F.col("f1")).alias("edited_fingerprint"),
         likeness(F.col("f0"), F.col("f1")).alias("near_edited"), likeness(F.col("f0"), F.col("f2")).alias("near_next"),
