@@ -14,7 +14,7 @@ def test_stages_over_the_small_tables(spark):
     assert names == ["toxicity", "simhash_near_dedup", "benchmark_decontamination", "pii", "best_fit_packing"]
     # plain Python over what each stage is given
     model = toxicity.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"))
-    items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
+    items = [(*r, 1) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
     tests = decontaminate.Tests.of(items)
     for name, stage in corpus_pipeline.STAGES[:-1]:
         before = sorted(docs.collect())
@@ -54,14 +54,13 @@ def test_stages_over_the_small_tables(spark):
 def test_run_and_queries(spark, tmp_path):
     assert corpus_pipeline.run(spark, SF).count() > 0
     assert sorted(queries.QUERIES, key=lambda n: int(n[2:].split("_")[0])) == list(queries.QUERIES)
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{k}" for k in range(1, 14)]
 
 
 @pytest.mark.parametrize("name", list(queries.QUERIES))
 def test_every_query_reads_its_whole_table(spark, name):
     found = queries.QUERIES[name](spark, SF)
-    table = "pages" if name.startswith("op1_") else "documents"
-    key = "page_id" if table == "pages" else "doc_id"
+    table, key = {"op1": ("pages", "page_id"), "op11": ("embeddings", "vec_id")}.get(name.split("_")[0], ("documents", "doc_id"))
     ids = {r[0] for r in spark.read.parquet(f"{SF}/{table}.parquet").select(key).collect()}
     got = {r[0] for r in found.select(key).distinct().collect()}
     assert got <= ids and (got == ids or name.startswith("op10_"))
