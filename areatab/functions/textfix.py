@@ -241,28 +241,26 @@ def sees_one_word(rule: Rule) -> bool:
 
 
 def _steps(rules: Sequence[Rule]) -> Callable[[str], str]:
-    """The rules one after the other, as plain Python."""
-    steps: list[Callable[[str], str]] = []
+    """The rules one after the other, as plain Python; a rule is tried where the text holds its letters."""
+    steps: list[tuple[str, str, regex.Pattern | None]] = []
     for pattern, replacement, kind in rules:
         if kind == "literal":
-            steps.append(lambda t, a=pattern, b=replacement: t.replace(a, b))
+            steps.append((pattern, replacement, None))
         elif kind == "regex":
-            find = regex.compile(java_pattern(pattern).replace("\\z", "\\Z"))
-            steps.append(lambda t, f=find, b=replacement: f.sub(lambda _: b, t))
+            core = pattern.removeprefix("^").removesuffix("\\b").removesuffix("$") if sees_one_word((pattern, replacement, kind)) else ""
+            steps.append((core, replacement, regex.compile(java_pattern(pattern).replace("\\z", "\\Z"))))
         else:
             raise ValueError(f"unknown rule kind {kind!r}")
 
     def run(text: str) -> str:
-        for step in steps:
-            text = step(text)
+        for core, replacement, find in steps:
+            if core in text:
+                text = text.replace(core, replacement) if find is None else find.sub(lambda _, r=replacement: r, text)
         return text
 
     return run
 
 
-DAMAGED_WORD = regex.compile(f"[^ ]*{RC}[^ ]*")
-
-
 @cache
 def repairer(rules: tuple[Rule, ...]) -> Callable[[str], str]:
     """The rules in order on a whole text: runs of rules that see one word by words, the others as they are."""
@@ -276,21 +274,28 @@ def repairer(rules: tuple[Rule, ...]) -> Callable[[str], str]:
     def by_words(own: Sequence[Rule]) -> Callable[[str], str]:
         fix, known = _steps(own), {}
 
-        def word(found: regex.Match) -> str:
+        def word(key: tuple[str, bool, bool]) -> str:
             # the blank before and after it, or the text's ends, are all that the rules see of the rest
-            key = (found[0], found.start() > 0, found.end() < len(found.string))
-            out = known.get(key)
-            if out is None:
-                own, before, after = key
-                fixed = fix(" " * before + own + " " * after)
-                out = fixed[before : len(fixed) - after]
-                if len(own) <= WORD:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    known[key] = out
+            own, before, after = key
+            fixed = fix(" " * before + own + " " * after)
+            out = fixed[before : len(fixed) - after]
+            if len(own) <= WORD:
+                if len(known) >= REMEMBERED:
+                    known.clear()
+                known[key] = out
             return out
 
-        return lambda text: DAMAGED_WORD.sub(word, text)
+        def run(text: str) -> str:
+            words = text.split(" ")
+            last = len(words) - 1
+            for i, own in enumerate(words):
+                if RC in own:
+                    key = (own, i > 0, i < last)
+                    found = known.get(key)
+                    words[i] = word(key) if found is None else found
+            return " ".join(words)
+
+        return run
 
     parts = [by_words(own) if alone else _steps(own) for alone, own in runs]
 
