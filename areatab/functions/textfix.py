@@ -19,10 +19,12 @@ Every rule pattern contains '�', so texts without one are returned untouched.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -220,8 +222,10 @@ def repair(text: Column | str, rules: Sequence[Rule] | str = "2001") -> Column:
     return F.when(F.instr(c, RC) > 0, out).otherwise(c)
 
 
-#: Distinct words that a worker remembers at most, and the longest of them.
-REMEMBERED, WORD = 200_000, 64
+#: Distinct words that a worker remembers at most for a run of rules, and the longest of them: a few MB, whatever the input.
+REMEMBERED, WORD = 20_000, 64
+#: Bytes of text that a worker holds decoded at once; one longer text is a slice of its own.
+SLICE_BYTES = 1 << 20
 
 
 def sees_one_word(rule: Rule) -> bool:
@@ -307,15 +311,25 @@ def repairer(rules: tuple[Rule, ...]) -> Callable[[str], str]:
     return run
 
 
+def repaired(texts: pa.Array, rules: tuple[Rule, ...]) -> Iterator[pa.Array]:
+    """The rules on each text of a batch, slice by slice: a batch of long texts takes little more than itself."""
+    fix = repairer(rules)
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    part = (np.cumsum(sizes) - sizes) // SLICE_BYTES
+    starts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist()]
+    for a, b in zip(starts, [*starts[1:], len(texts)], strict=True):
+        yield pa.array([None if t is None else fix(t) for t in texts.slice(a, b - a).to_pylist()], pa.string())
+
+
 def repair_text(text: Column | str, rules: Sequence[Rule] | str = "2001") -> Column:
     """The same as :func:`repair`, for long texts: one pass over each, whatever the number of rules. NULL stays NULL."""
     own = tuple(RULE_SETS[rules] if isinstance(rules, str) else map(tuple, rules))
     c = F.col(text) if isinstance(text, str) else text
 
     @F.arrow_udf("string")
-    def fixed(column: pa.Array) -> pa.Array:
-        fix = repairer(own)
-        return pa.array([None if t is None else fix(t) for t in column.to_pylist()], pa.string())
+    def fixed(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            yield from repaired(column, own)
 
     # texts without damage don't leave the JVM
     return F.coalesce(fixed(F.when(F.instr(c, RC) > 0, c)), c)

@@ -1,6 +1,9 @@
 import random
+import tracemalloc
 
-from areatab.functions.textfix import RULE_SETS, RULES_1991, RULES_2001, count_damaged, java_pattern, repair, repair_text, repairer, sees_one_word
+import pyarrow as pa
+
+from areatab.functions.textfix import RULE_SETS, RULES_1991, RULES_2001, count_damaged, java_pattern, repair, repair_text, repaired, repairer, sees_one_word
 
 RC = "�"
 
@@ -105,3 +108,33 @@ def test_which_rules_see_one_word():
 def test_distinct_words_are_worked_out_once():
     fix = repairer((("a�", "aá", "literal"),))
     assert fix("a� b a� a�") == "aá b aá aá"
+
+
+def test_remembered_words_stay_small_whatever_the_number_of_words():
+    fix = repairer((*RULE_SETS["corrected"], ("own�rule", "ownórule", "literal")))  # rules of its own: nothing remembered yet
+    tracemalloc.start()
+    for k in range(60):
+        fix(" ".join(f"{k}w{i}�" for i in range(1000)))
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 12e6  # all 60,000 remembered take about 30 MB
+
+
+def test_a_batch_is_decoded_in_slices():
+    texts = [None, "", *(f"a�o{i} ca�er " * 4000 for i in range(200)), None]  # about 15 MB
+    batch = pa.array(texts, pa.string())
+    fix = repairer(RULES_2001)
+    expected = [None if t is None else fix(t) for t in texts]
+    got, sizes = [], []
+    for part in repaired(batch, RULES_2001):
+        sizes.append(part.nbytes)
+        got += part.to_pylist()
+    assert got == expected and len(sizes) > 10 and max(sizes) < 3e6
+    assert [p.to_pylist() for p in repaired(batch.slice(0, 0), RULES_2001)] == [[]]
+
+
+def test_slices_keep_their_rows(spark):
+    n = 300
+    df = spark.range(n, numPartitions=2).selectExpr("id", "if(id % 7 = 0, null, concat(id, repeat(' a�os', if(id % 3 = 0, 8000, 1)))) t")
+    rows = df.select("id", repair("t", "2001").alias("a"), repair_text("t", "2001").alias("b")).collect()
+    assert len(rows) == n and all(r.a == r.b for r in rows) and all(r.b is None or r.b.startswith(f"{r.id} años") for r in rows)
