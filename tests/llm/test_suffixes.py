@@ -7,6 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from areatab.llm import phrases as P
 from areatab.llm import suffixes as S
 from areatab.llm.contexts import contexts, sliding_min
 
@@ -125,3 +126,17 @@ def test_kept_bytes_and_spans(documents, no_documents):
     assert {r.doc_id: bytes(r.kept) for r in found} == {1: b"tail", 2: b"head"}
     assert {r.doc_id: [tuple(s) for s in r.spans] for r in found} == {1: [(0, 600)], 2: [(4, 604)]}
     assert S.repeated_bytes(no_documents).count() == 0
+
+
+def test_a_passage_of_over_50_words_goes_only_where_it_has_400_bytes(documents):
+    rng = random.Random(13)
+    words = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+    short, long = words(59), words(90)
+    rows = [(i, f"{words(80)} {p} {words(80)}") for i, p in enumerate([short, short, long, long, words(59)])]
+    docs = documents([(*r, None) for r in rows])
+    found = S.repeated_bytes(docs).collect()
+    assert sorted(tuple(r[:5]) for r in found) == brute(rows)
+    # 59 words of 5 letters are 353 bytes: op9's 35 words recur there, no 400 bytes do
+    gone = {r.doc_id: r.n_removed for r in found}
+    assert gone[0] == gone[1] == gone[4] == 0 and gone[2] == gone[3] >= len(long)
+    assert {r.doc_id: r.n_removed > 0 for r in P.repeated_words(docs).collect()} == {0: True, 1: True, 2: True, 3: True, 4: False}
